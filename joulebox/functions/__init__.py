@@ -1,6 +1,6 @@
 """Column -> Column helpers; all are Catalyst expressions (no Python UDFs)."""
 
-from joulebox.functions.categories import HVAC_ACRONYMS, normalize_category, normalize_hvac
+from joulebox.functions.categories import HVAC_ACRONYMS, fix_acronyms, normalize_category, normalize_hvac
 from joulebox.functions.dates import date_key, date_parts, parse_date, reading_date_from_hash
 from joulebox.functions.numeric import (
     clamp_health_score,
@@ -13,6 +13,7 @@ from joulebox.functions.text import batch_id, deviation_message, record_id
 
 __all__ = [
     "HVAC_ACRONYMS",
+    "fix_acronyms",
     "normalize_category",
     "normalize_hvac",
     "date_key",

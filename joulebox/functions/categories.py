@@ -27,10 +27,20 @@ def normalize_category(col: Column | str, null_tokens: tuple[str, ...] = ("",))
     return F.initcap(F.when(cond, F.lit(None).cast("string")).otherwise(c))
 
 
-def normalize_hvac(col: Column | str, null_tokens: tuple[str, ...] = ("",)) -> Column:
-    """normalize_category followed by the acronym map, as one CASE expression."""
-    base = normalize_category(col, null_tokens)
+def fix_acronyms(col: Column | str) -> Column:
+    """Acronym map on an already initcapped value (one CASE)."""
+    base = F.col(col) if isinstance(col, str) else col
     expr = None
     for wrong, right in HVAC_ACRONYMS.items():
         expr = F.when(base == wrong, F.lit(right)) if expr is None else expr.when(base == wrong, F.lit(right))
     return expr.otherwise(base)
+
+
+def normalize_hvac(col: Column | str, null_tokens: tuple[str, ...] = ("",)) -> Column:
+    """normalize_category followed by the acronym map.
+
+    As one expression the initcap result is repeated in every CASE branch;
+    ``operators.cleaning.normalize_categories`` applies the two steps in
+    stacked projections so it is computed once per row.
+    """
+    return fix_acronyms(normalize_category(col, null_tokens))

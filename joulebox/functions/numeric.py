@@ -10,13 +10,18 @@ def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def nonfinite_to_null(col: Column | str) -> Column:
-    """Cast to double (NULL when not numeric) and map NaN / +Inf / -Inf to NULL."""
-    d = _c(col).try_cast("double")
+def finite_or_null(col: Column | str) -> Column:
+    """NaN / +Inf / -Inf -> NULL on a double column."""
+    d = _c(col)
     bad = F.isnan(d) | d.isin(float("inf"), float("-inf"))
     return F.when(bad, F.lit(None).cast("double")).otherwise(d)
 
 
+def nonfinite_to_null(col: Column | str) -> Column:
+    """Cast to double (NULL when not numeric) and map NaN / +Inf / -Inf to NULL."""
+    return finite_or_null(_c(col).try_cast("double"))
+
+
 def floor_int(col: Column | str) -> Column:
     """floor then int; NULL when out of int range instead of an ANSI error."""
     return F.floor(_c(col)).try_cast("int")

@@ -25,10 +25,10 @@ def batch_id(batch_number: Column | str) -> Column:
 def deviation_message(deviation: Column | str) -> Column:
     """'Energy consumption is 12.3% higher|lower than predicted' (1 decimal).
 
-    The magnitude is rounded half-up on its decimal value before formatting so
-    the text does not depend on an engine's binary tie rule.
+    The magnitude is rounded half-up on its decimal text before formatting so
+    the text does not depend on a formatter's binary tie rule.
     """
     d = _c(deviation)
     direction = F.when(d > 0, F.lit("higher")).otherwise(F.lit("lower"))
-    shown = F.round(F.abs(d).cast("decimal(38,10)"), 1).cast("double")
+    shown = F.round(F.abs(d), 1)
     return F.format_string("Energy consumption is %.1f%% %s than predicted", shown, direction)

@@ -40,13 +40,17 @@ def flagged_share(df: DataFrame, status: str = "EfficiencyStatus", normal: str =
 
 
 def regression_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """RMSE, MAE and R^2 over all rows (R^2 = 1 - SSres/SStot, SStot around the mean)."""
+    """RMSE, MAE and R^2 over all rows in one aggregation.
+
+    R^2 = 1 - SSres / SStot with SStot = var_pop(label) * n (a stable one-pass
+    moment, no second scan for the mean).
+    """
     err = F.col(label) - F.col(prediction)
-    mean = df.select(F.avg(label)).scalar()
+    ss_tot = F.var_pop(F.col(label)) * F.count(F.col(label))
     return df.agg(
         F.sqrt(F.avg(err * err)).alias("rmse"),
         F.avg(F.abs(err)).alias("mae"),
-        (F.lit(1.0) - F.sum(err * err) / F.sum((F.col(label) - mean) * (F.col(label) - mean))).alias("r2"),
+        (F.lit(1.0) - F.sum(err * err) / ss_tot).alias("r2"),
     )
 
 
@@ -57,11 +61,10 @@ def accuracy_report(df: DataFrame, actual: str = "actual", predicted: str = "pre
     """
     a, p = F.col(actual), F.col(predicted)
     err = a - p
-    mean = df.select(F.avg(actual)).scalar()
     n = F.count(F.lit(1))
     divisor = F.when(a == 0, F.lit(1.0)).otherwise(a)
     ss_res = F.sum(err * err)
-    ss_tot = F.sum((a - mean) * (a - mean))
+    ss_tot = F.var_pop(a) * F.count(a)
     return df.agg(
         F.coalesce(F.avg(F.abs(err)), F.lit(0.0)).alias("mae"),
         F.coalesce(F.sqrt(F.avg(err * err)), F.lit(0.0)).alias("rmse"),

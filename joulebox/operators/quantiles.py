@@ -5,8 +5,7 @@ Two modes:
 * ``approx`` (default, what the original pipeline does): one
   ``percentile_approx`` aggregation with relative error ``rel_error``
   (accuracy = 1 / rel_error). Partial sketches are merged, so memory per task
-  is bounded whatever the row count. Bounds enter the plan as one scalar
-  subquery, so the result stays lazy.
+  is bounded whatever the row count.
 * ``exact``: interpolated quantiles (same definition as SQL
   ``percentile`` / DuckDB ``quantile_cont``) found by distributed selection.
   Each round counts rows per ``width_bucket`` of the current value range for
@@ -22,7 +21,7 @@ from __future__ import annotations
 import math
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKETS = 1 << 16
@@ -33,93 +32,106 @@ def _interpolate(lo: float, hi: float, frac: float) -> float:
     return lo + (hi - lo) * frac
 
 
+def _select_round(narrow: DataFrame, open_: dict, buckets: int) -> dict:
+    """One refinement round: for each open target, the bucket holding its rank.
+
+    Histograms are built and searched inside Spark: per probe (column, range)
+    counts per bucket, a running count over the probe's buckets (at most
+    ``buckets + 2`` rows per probe), and a join with the open targets. Only one
+    row per target returns to the driver.
+    """
+    spark = narrow.sparkSession
+    probes = sorted({(c, lo, hi) for (c, _), (lo, hi, _) in open_.items()}, key=repr)
+    probe_id = {p: i for i, p in enumerate(probes)}
+    entries = []
+    for i, (c, lo, hi) in enumerate(probes):
+        x = F.col(c)
+        scale = 0.5 if math.isinf(hi - lo) else 1.0
+        b = F.width_bucket(x * scale, F.lit(lo * scale), F.lit(hi * scale), F.lit(buckets))
+        entries.append(F.when(x.between(lo, hi), F.struct(F.lit(i).alias("p"), b.alias("b"), x.alias("v"))))
+    hist = (
+        narrow.select(F.explode(F.array(*entries)).alias("e"))
+        .filter(F.col("e").isNotNull())
+        .groupBy(F.col("e.p").alias("p"), F.col("e.b").alias("b"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min("e.v").alias("mn"), F.max("e.v").alias("mx"))
+    )
+    before = Window.partitionBy("p").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    hist = hist.withColumn("below", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    keys = list(open_)
+    wanted = spark.createDataFrame(
+        [(t, probe_id[(c, lo, hi)], int(rank - offset)) for t, ((c, rank), (lo, hi, offset)) in enumerate(zip(keys, open_.values()))],
+        "t int, p int, r long",
+    )
+    # bounded: one row per open target
+    found = (
+        hist.join(F.broadcast(wanted), "p")
+        .filter((F.col("below") <= F.col("r")) & (F.col("r") < F.col("below") + F.col("n")))
+        .select("t", "below", "mn", "mx")
+        .collect()
+    )
+    return {keys[row["t"]]: row for row in found}
+
+
 def exact_order_statistics(
-    df: DataFrame, targets: dict[str, set[int]], buckets: int = DEFAULT_BUCKETS
+    narrow: DataFrame, targets: dict[str, set[int]], extremes: dict[str, tuple], buckets: int = DEFAULT_BUCKETS
 ) -> dict[tuple[str, int], float]:
     """Values at 0-based ranks among the non-null values of each column.
 
-    ``targets`` maps a column to the ranks wanted (each must be < count).
+    ``targets`` maps a column to the ranks wanted (each < the column's
+    non-null count); ``extremes`` gives each column's (min, max).
+    """
+    open_: dict[tuple[str, int], list] = {}  # (col, rank) -> [lo, hi, rows below lo]
+    done: dict[tuple[str, int], float] = {}
+    for c, ranks in targets.items():
+        lo, hi = extremes[c]
+        for r in ranks:
+            if lo == hi:
+                done[(c, r)] = lo
+            else:
+                open_[(c, r)] = [lo, hi, 0]
+    rounds = 0
+    while open_:
+        rounds += 1
+        if rounds > MAX_ROUNDS:
+            raise RuntimeError("exact quantile selection did not converge")
+        found = _select_round(narrow, open_, buckets)
+        for key, (lo, hi, offset) in list(open_.items()):
+            row = found.get(key)
+            if row is None:
+                raise RuntimeError(f"rank {key[1]} not found for column {key[0]}")
+            if row["mn"] == row["mx"]:
+                done[key] = row["mn"]
+                del open_[key]
+            else:
+                open_[key] = [row["mn"], row["mx"], offset + row["below"]]
+    return done
+
+
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], buckets: int = DEFAULT_BUCKETS) -> dict:
+    """{(col, p): value or None}; linear interpolation between order statistics.
+
+    The projection of the wanted columns is persisted (memory and disk; lost
+    blocks are recomputed from lineage) for the few selection rounds.
     """
-    cols = [c for c, r in targets.items() if r]
-    if not cols:
-        return {}
-    narrow = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    narrow = narrow.persist(StorageLevel.MEMORY_AND_DISK)
+    narrow = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        first = narrow.agg(*[F.struct(F.min(c), F.max(c)).alias(c) for c in cols]).first()
-        # open[(col, rank)] = [lo, hi, offset]; offset = rows below lo
-        open_: dict[tuple[str, int], list[float]] = {}
-        done: dict[tuple[str, int], float] = {}
+        first = narrow.agg(*[F.struct(F.count(c), F.min(c), F.max(c)).alias(c) for c in cols]).first()
+        targets: dict[str, set[int]] = {}
+        plan = {}
         for c in cols:
-            lo, hi = first[c][0], first[c][1]
-            for r in targets[c]:
-                if lo is None:
+            n, lo, hi = first[c][0], first[c][1], first[c][2]
+            for p in probs:
+                if n == 0:
+                    plan[(c, p)] = None
                     continue
-                if lo == hi:
-                    done[(c, r)] = lo
-                else:
-                    open_[(c, r)] = [lo, hi, 0]
-        rounds = 0
-        while open_:
-            rounds += 1
-            if rounds > MAX_ROUNDS:
-                raise RuntimeError("exact quantile selection did not converge")
-            probes = sorted({(c, lo, hi) for (c, _), (lo, hi, _) in open_.items()}, key=repr)
-            probe_id = {p: i for i, p in enumerate(probes)}
-            entries = []
-            for i, (c, lo, hi) in enumerate(probes):
-                x = F.col(c)
-                scale = 0.5 if math.isinf(hi - lo) else 1.0
-                b = F.width_bucket(x * scale, F.lit(lo * scale), F.lit(hi * scale), F.lit(buckets))
-                entries.append(F.when(x.between(lo, hi), F.struct(F.lit(i).alias("p"), b.alias("b"), x.alias("v"))))
-            hist = (
-                narrow.select(F.explode(F.array(*entries)).alias("e"))
-                .filter(F.col("e").isNotNull())
-                .groupBy(F.col("e.p").alias("p"), F.col("e.b").alias("b"))
-                .agg(F.count("*").alias("n"), F.min("e.v").alias("mn"), F.max("e.v").alias("mx"))
-                .collect()
-            )
-            per_probe: dict[int, list] = {}
-            for row in hist:
-                per_probe.setdefault(row["p"], []).append(row)
-            for rows in per_probe.values():
-                rows.sort(key=lambda r: r["b"])
-            for key, (lo, hi, offset) in list(open_.items()):
-                c, rank = key
-                rows = per_probe.get(probe_id[(c, lo, hi)], [])
-                seen = offset
-                for row in rows:
-                    if rank < seen + row["n"]:
-                        if row["mn"] == row["mx"]:
-                            done[key] = row["mn"]
-                            del open_[key]
-                        else:
-                            open_[key] = [row["mn"], row["mx"], seen]
-                        break
-                    seen += row["n"]
-                else:
-                    raise RuntimeError(f"rank {rank} not found for column {c}")
-        return done
+                h = (n - 1) * p
+                lo_r, hi_r = math.floor(h), math.ceil(h)
+                targets.setdefault(c, set()).update((lo_r, hi_r))
+                plan[(c, p)] = (lo_r, hi_r, h - lo_r)
+        extremes = {c: (first[c][1], first[c][2]) for c in cols}
+        stats = exact_order_statistics(narrow, targets, extremes, buckets) if targets else {}
     finally:
         narrow.unpersist()
-
-
-def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], buckets: int = DEFAULT_BUCKETS) -> dict:
-    """{(col, p): value or None}; linear interpolation between order statistics."""
-    counts = df.agg(*[F.count(c).alias(c) for c in cols]).first()
-    targets: dict[str, set[int]] = {c: set() for c in cols}
-    plan = {}
-    for c in cols:
-        n = counts[c]
-        for p in probs:
-            if n == 0:
-                plan[(c, p)] = None
-                continue
-            h = (n - 1) * p
-            lo_r, hi_r = math.floor(h), math.ceil(h)
-            targets[c].update((lo_r, hi_r))
-            plan[(c, p)] = (lo_r, hi_r, h - lo_r)
-    stats = exact_order_statistics(df, targets, buckets)
     out = {}
     for key, spec in plan.items():
         if spec is None:
@@ -147,48 +159,39 @@ def quantile_table(
     spark = df.sparkSession
     if mode == "exact":
         q = exact_quantiles(df, cols, probs)
-        rows = [(c, float(p), q[(c, p)]) for c in cols for p in probs]
-        return spark.createDataFrame(rows, "column string, probability double, value double")
-    row = approx_quantile_row(df, cols, probs, rel_error)
-    parts = [
-        row.select(F.lit(c).alias("column"), F.posexplode_outer(F.col(c)).alias("i", "value")).select(
-            "column", F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("i") + 1).alias("probability"), "value"
-        )
-        for c in cols
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    else:
+        row = approx_quantile_row(df, cols, probs, rel_error).first()
+        q = {(c, p): (row[c][i] if row[c] else None) for c in cols for i, p in enumerate(probs)}
+    rows = [(c, float(p), q[(c, p)]) for c in cols for p in probs]
+    return spark.createDataFrame(rows, "column string, probability double, value double")
 
 
 def iqr_bounds(
     df: DataFrame, cols: list[str], factor: float = 3.0, mode: str = "approx", rel_error: float = 0.01
 ) -> dict[str, tuple[Column, Column] | None]:
-    """Per column (lower, upper) = (Q1 - factor*IQR, Q3 + factor*IQR) as Columns.
+    """Per column (lower, upper) = (Q1 - factor*IQR, Q3 + factor*IQR) as literals.
 
     All bounds come from the same input. A column without quantiles maps to
-    None (its rule is skipped). In approx mode the bounds are fields of one
-    scalar subquery, evaluated once at execution time.
+    None (its rule is skipped). The quartiles come back to the driver as one
+    row of 2 x len(cols) doubles and enter the plan as literals, so the range
+    tests push down like any constant predicate (a scalar subquery would be
+    re-planned once per reference).
     """
     if mode == "exact":
         q = exact_quantiles(df, cols, [0.25, 0.75])
-        out = {}
-        for c in cols:
-            q1, q3 = q[(c, 0.25)], q[(c, 0.75)]
-            if q1 is None or q3 is None:
-                out[c] = None
-            else:
-                iqr = q3 - q1
-                out[c] = (F.lit(q1 - factor * iqr), F.lit(q3 + factor * iqr))
-        return out
-    qrow = approx_quantile_row(df, cols, [0.25, 0.75], rel_error)
-    fields = []
+        quart = {c: (q[(c, 0.25)], q[(c, 0.75)]) for c in cols}
+    else:
+        row = approx_quantile_row(df, cols, [0.25, 0.75], rel_error).first()
+        quart = {c: ((row[c][0], row[c][1]) if row[c] else (None, None)) for c in cols}
+    out: dict[str, tuple[Column, Column] | None] = {}
     for c in cols:
-        q1, q3 = F.col(c)[0], F.col(c)[1]
-        fields += [(q1 - F.lit(factor) * (q3 - q1)).alias(f"{c}__lo"), (q3 + F.lit(factor) * (q3 - q1)).alias(f"{c}__hi")]
-    bounds = qrow.select(F.struct(*fields).alias("b")).scalar()
-    return {c: (bounds.getField(f"{c}__lo"), bounds.getField(f"{c}__hi")) for c in cols}
+        q1, q3 = quart[c]
+        if q1 is None or q3 is None:
+            out[c] = None
+        else:
+            iqr = q3 - q1
+            out[c] = (F.lit(q1 - factor * iqr), F.lit(q3 + factor * iqr))
+    return out
 
 
 def iqr_condition(bounds: dict[str, tuple[Column, Column] | None]) -> Column | None:

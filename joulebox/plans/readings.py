@@ -36,20 +36,38 @@ def prepare_readings(raw: DataFrame, null_tokens=("",)) -> DataFrame:
     return normalize_categories(df, null_tokens=null_tokens)
 
 
+def before_outliers(raw: DataFrame, null_tokens=("",)) -> DataFrame:
+    """Everything up to the IQR rule: prepare, full-row dedup, drop missing,
+    numeric rules, temperature ranges."""
+    df = dedup_rows(prepare_readings(raw, null_tokens))
+    df = drop_missing(df, REQUIRED_COLUMNS)
+    return df.filter(valid_numbers() & valid_temperatures())
+
+
+def outlier_bounds(
+    raw: DataFrame, iqr_mode: str = "approx", iqr_factor: float = 3.0, rel_error: float = 0.01, null_tokens=("",)
+) -> dict:
+    """IQR bounds (literal Columns) computed on the rows that reach the IQR rule."""
+    return iqr_bounds(before_outliers(raw, null_tokens), OUTLIER_COLUMNS, iqr_factor, iqr_mode, rel_error)
+
+
 def clean_readings(
     raw: DataFrame,
     iqr_mode: str = "approx",
     iqr_factor: float = 3.0,
     rel_error: float = 0.01,
     null_tokens=("",),
+    bounds: dict | None = None,
 ) -> DataFrame:
     """The full cleaning order: prepare, full-row dedup, drop missing, numeric
     rules, temperature ranges, then the IQR rule on area, appliances and energy
-    (bounds from the rows that passed everything before it)."""
-    df = dedup_rows(prepare_readings(raw, null_tokens))
-    df = drop_missing(df, REQUIRED_COLUMNS)
-    df = df.filter(valid_numbers() & valid_temperatures())
-    return iqr_filter(df, OUTLIER_COLUMNS, iqr_factor, iqr_mode, rel_error)
+    (bounds from the rows that passed everything before it; pass ``bounds`` to
+    reuse ones already computed for the same input)."""
+    df = before_outliers(raw, null_tokens)
+    if bounds is None:
+        return iqr_filter(df, OUTLIER_COLUMNS, iqr_factor, iqr_mode, rel_error)
+    cond = iqr_condition(bounds)
+    return df if cond is None else df.filter(cond)
 
 
 def stage_report(

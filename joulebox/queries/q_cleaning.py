@@ -6,15 +6,20 @@ from pyspark.sql import SparkSession
 
 from joulebox.plans import readings as R
 from joulebox.queries import sql as S
-from joulebox.registry import register
+from joulebox.registry import memo, register
 from joulebox.sources import testdata
 
 # Oracle-checked queries use exact quartiles so DuckDB's quantile_cont can match.
 IQR_MODE = "exact"
 
 
+def bounds(spark: SparkSession, sf: str) -> dict:
+    """IQR bounds for the readings of ``sf`` (a handful of literals, memoised per session)."""
+    return memo(spark, ("iqr", sf), lambda: R.outlier_bounds(testdata.loose_readings(spark, sf), iqr_mode=IQR_MODE))
+
+
 def clean(spark: SparkSession, sf: str):
-    return R.clean_readings(testdata.loose_readings(spark, sf), iqr_mode=IQR_MODE)
+    return R.clean_readings(testdata.loose_readings(spark, sf), bounds=bounds(spark, sf))
 
 
 def features(spark: SparkSession, sf: str):

@@ -1 +1,176 @@
-"""Registered queries."""
+"""Queries for the model operators and the building-health table.
+
+Oracle-checked health queries use a one-variable least-squares line fitted
+on a stable md5 split (reproducible in SQL); the MLlib pipeline queries are
+row-checked.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
+from joulebox.operators.aggregates import flagged_share, regression_metrics
+from joulebox.operators.cleaning import filter_not_equal
+from joulebox.operators.topk import top_k
+from joulebox.plans import model as M
+from joulebox.queries import q_cleaning
+from joulebox.queries import sql as S
+from joulebox.registry import memo, register
+from joulebox.schema import STATUS_NORMAL
+
+
+def model_base(spark: SparkSession, sf: str):
+    return M.model_input(q_cleaning.features(spark, sf))
+
+
+def split(spark: SparkSession, sf: str):
+    return M.stable_split(model_base(spark, sf))
+
+
+def line_coefficients(spark: SparkSession, sf: str) -> tuple:
+    def fit():
+        train, _ = split(spark, sf)
+        row = train.agg(
+            F.regr_slope("EnergyConsumption", "RoomArea").alias("b"), F.regr_intercept("EnergyConsumption", "RoomArea").alias("a")
+        ).first()
+        return row["a"], row["b"]
+
+    return memo(spark, ("line", sf), fit)
+
+
+def predictions(spark: SparkSession, sf: str):
+    a, b = line_coefficients(spark, sf)
+    _, test = split(spark, sf)
+    return test.withColumn("prediction", F.lit(a) + F.lit(b) * F.col("RoomArea")).select(*M.PREDICTION_COLUMNS)
+
+
+def health(spark: SparkSession, sf: str):
+    """building_health over the line predictions with exact decile cuts (cuts memoised)."""
+    pred = predictions(spark, sf)
+
+    def cuts():
+        from joulebox.operators.quantiles import exact_quantiles
+
+        q = exact_quantiles(pred.withColumn("DeviationPercent", M.deviation_percent()), ["DeviationPercent"], [0.1, 0.9])
+        return q[("DeviationPercent", 0.1)], q[("DeviationPercent", 0.9)]
+
+    lo, hi = memo(spark, ("cuts", sf), cuts)
+    return M.health_from_cuts(pred, lo, hi)
+
+
+def mllib_fit(spark: SparkSession, sf: str):
+    train, test = split(spark, sf)
+    return memo(spark, ("mllib", sf), lambda: M.fit_energy_model(train)), test
+
+
+@register(
+    "ml_index",
+    S.with_features(
+        """SELECT BuildingType, CAST(row_number() OVER (ORDER BY cnt DESC, BuildingType) - 1 AS DOUBLE) AS BuildingType_index
+FROM (SELECT BuildingType, count(*) AS cnt FROM features GROUP BY BuildingType)"""
+    ),
+)
+def q_ml_index(spark, sf):
+    from pyspark.ml.feature import StringIndexer
+
+    feats = q_cleaning.features(spark, sf)
+    model = StringIndexer(inputCol="BuildingType", outputCol="BuildingType_index", handleInvalid="keep").fit(feats)
+    return model.transform(feats.select("BuildingType").distinct())
+
+
+@register("ml_onehot")
+def q_ml_onehot(spark, sf):
+    model, test = mllib_fit(spark, sf)
+    return model.transform(test).select("BuildingType", "BuildingType_index", "BuildingType_ohe", "HVACSystem", "HVACSystem_ohe")
+
+
+@register("ml_assemble_etl")
+def q_ml_assemble_etl(spark, sf):
+    return M.ml_feature_table(q_cleaning.features(spark, sf))
+
+
+@register("ml_assemble_model")
+def q_ml_assemble_model(spark, sf):
+    model, test = mllib_fit(spark, sf)
+    return model.transform(test).select("features", "EnergyConsumption")
+
+
+@register(
+    "ml_split",
+    S.with_model("SELECT is_train, count(*) AS rows FROM keyed GROUP BY is_train"),
+)
+def q_ml_split(spark, sf):
+    return model_base(spark, sf).groupBy(M.train_flag().alias("is_train")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("ml_linear_regression")
+def q_ml_linear_regression(spark, sf):
+    model, _ = mllib_fit(spark, sf)
+    lr = model.stages[-1]
+    coef = [float(x) for x in lr.coefficients.toArray()]
+    return spark.createDataFrame(
+        [(i, c) for i, c in enumerate(coef)] + [(-1, float(lr.intercept))], "term int, coefficient double"
+    )
+
+
+@register("ml_predict")
+def q_ml_predict(spark, sf):
+    model, test = mllib_fit(spark, sf)
+    return M.predictions(model, test)
+
+
+@register("ml_evaluate")
+def q_ml_evaluate(spark, sf):
+    model, test = mllib_fit(spark, sf)
+    return regression_metrics(M.predictions(model, test), "EnergyConsumption", "prediction")
+
+
+@register(
+    "regression_metrics",
+    S.with_model(
+        """SELECT sqrt(avg((EnergyConsumption - prediction) * (EnergyConsumption - prediction))) AS rmse,
+       avg(abs(EnergyConsumption - prediction)) AS mae,
+       1 - sum((EnergyConsumption - prediction) * (EnergyConsumption - prediction))
+           / (var_pop(EnergyConsumption) * count(EnergyConsumption)) AS r2
+FROM pred"""
+    ),
+)
+def q_regression_metrics(spark, sf):
+    return regression_metrics(predictions(spark, sf), "EnergyConsumption", "prediction")
+
+
+@register("building_health", S.with_model("SELECT * FROM health"))
+def q_building_health(spark, sf):
+    return health(spark, sf)
+
+
+@register(
+    "filter_not_equal", S.with_model("SELECT * FROM health WHERE EfficiencyStatus <> 'Normal Range'")
+)
+def q_filter_not_equal(spark, sf):
+    return filter_not_equal(health(spark, sf), "EfficiencyStatus", STATUS_NORMAL)
+
+
+@register(
+    "flagged_share",
+    S.with_model(
+        """SELECT count(*) FILTER (WHERE EfficiencyStatus <> 'Normal Range') AS FlaggedRecords, count(*) AS TotalRecords,
+       CAST(count(*) FILTER (WHERE EfficiencyStatus <> 'Normal Range') AS DOUBLE) / count(*) AS FlaggedShare
+FROM health"""
+    ),
+)
+def q_flagged_share(spark, sf):
+    return flagged_share(health(spark, sf))
+
+
+@register(
+    "topk_deviation",
+    S.with_model(
+        """SELECT * FROM health ORDER BY DeviationPercent DESC NULLS LAST, BuildingType, HVACSystem, RoomArea,
+         NumberofAppliances, InsulationThickness, EnergyPerArea, ActualEnergy, ExpectedEnergy, EfficiencyStatus LIMIT 10"""
+    ),
+)
+def q_topk_deviation(spark, sf):
+    h = health(spark, sf)
+    return top_k(h, [F.col("DeviationPercent").desc_nulls_last()], 10, [c for c in h.columns if c != "DeviationPercent"])

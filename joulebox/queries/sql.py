@@ -122,3 +122,71 @@ FEATURE_CHAIN = ",".join([LOOSE, PREP, DEDUP, VALID, BOUNDS, CLEAN, FEATURES])
 
 def with_features(select: str) -> str:
     return f"WITH {FEATURE_CHAIN}\n{select}"
+
+
+def md5_bucket(key: str, buckets: int = 100) -> str:
+    return f"(CAST('0x' || substr(md5({key}), 1, 7) AS BIGINT) % {buckets})"
+
+
+SPLIT_KEY = (
+    "concat_ws('|', CAST(RoomArea AS VARCHAR), CAST(NumberofAppliances AS VARCHAR), "
+    "CAST(OutsideTemperature AS VARCHAR), CAST(InsulationThickness AS VARCHAR), BuildingType, HVACSystem, "
+    "CAST(AverageTemperature AS VARCHAR), CAST(EnergyConsumption AS VARCHAR))"
+)
+
+MODEL = f"""
+keyed AS (SELECT *, {md5_bucket(SPLIT_KEY)} < 80 AS is_train FROM features),
+coef AS (
+  SELECT regr_slope(EnergyConsumption, RoomArea) AS b, regr_intercept(EnergyConsumption, RoomArea) AS a
+  FROM keyed WHERE is_train
+),
+pred AS (
+  SELECT EnergyConsumption, a + b * RoomArea AS prediction, BuildingType, HVACSystem, RoomArea,
+         NumberofAppliances, InsulationThickness, EnergyPerArea
+  FROM keyed CROSS JOIN coef WHERE NOT is_train
+),
+dev AS (
+  SELECT *, {rnd('(EnergyConsumption - prediction) / CASE WHEN prediction <> 0 THEN prediction END * 100', 2)}
+         AS DeviationPercent
+  FROM pred
+),
+cuts AS (SELECT quantile_cont(DeviationPercent, 0.1) AS lo, quantile_cont(DeviationPercent, 0.9) AS hi FROM dev),
+health AS (
+  SELECT BuildingType, HVACSystem, RoomArea, NumberofAppliances, InsulationThickness, EnergyPerArea,
+         EnergyConsumption AS ActualEnergy, {rnd('prediction', 2)} AS ExpectedEnergy, DeviationPercent,
+         CASE WHEN DeviationPercent >= hi THEN 'Inefficient (Above Expected)'
+              WHEN DeviationPercent <= lo THEN 'Highly Efficient (Below Expected)'
+              ELSE 'Normal Range' END AS EfficiencyStatus
+  FROM dev CROSS JOIN cuts
+)"""
+
+AGGS = f"""
+by_building AS (
+  SELECT BuildingType, count(*) AS RecordCount, {rnd('avg(EnergyConsumption)', 2)} AS AverageEnergy,
+         {rnd('sum(EnergyConsumption)', 2)} AS TotalEnergy, {rnd('avg(EnergyPerArea)', 4)} AS AverageEnergyPerArea
+  FROM features GROUP BY BuildingType
+),
+by_hvac AS (
+  SELECT HVACSystem, count(*) AS RecordCount, {rnd('avg(EnergyConsumption)', 2)} AS AverageEnergy,
+         {rnd('sum(EnergyConsumption)', 2)} AS TotalEnergy, {rnd('avg(EnergyPerArea)', 4)} AS AverageEnergyPerArea
+  FROM features GROUP BY HVACSystem
+),
+stats AS (
+  SELECT {rnd('avg(EnergyConsumption)', 2)} AS AverageEnergy, {rnd('min(EnergyConsumption)', 2)} AS MinimumEnergy,
+         {rnd('max(EnergyConsumption)', 2)} AS MaximumEnergy, {rnd('sum(EnergyConsumption)', 2)} AS TotalEnergy,
+         count(*) AS TotalRecords
+  FROM features
+)"""
+
+MODEL_CHAIN = ",".join([FEATURE_CHAIN, MODEL, AGGS])
+
+
+def with_model(select: str) -> str:
+    return f"WITH {MODEL_CHAIN}\n{select}"
+
+
+SCOPE = "BuildingType <> 'Nan' AND HVACSystem <> 'Nan'"
+
+
+def clamp_score(d: str = "DeviationPercent") -> str:
+    return f"CASE WHEN {d} IS NOT NULL THEN greatest(0, least(100, 100 - greatest({d}, 0))) END"

@@ -26,6 +26,17 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
+_MEMO: dict = {}
+
+
+def memo(spark: SparkSession, key, compute):
+    """Per-session cache for small driver-side values (bounds, cuts, coefficients)."""
+    full = (spark.sparkContext.applicationId, key)
+    if full not in _MEMO:
+        _MEMO[full] = compute()
+    return _MEMO[full]
+
+
 def load_all() -> None:
     """Import the modules that register queries (idempotent)."""
     from joulebox.queries import (  # noqa: F401
