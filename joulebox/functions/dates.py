@@ -12,7 +12,7 @@ def _c(col: Column | str) -> Column:
 
 def parse_date(col: Column | str, fmt: str = "yyyy-MM-dd") -> Column:
     """Parse a date string; malformed text gives NULL (no ANSI failure)."""
-    return F.try_to_date(_c(col), F.lit(fmt))
+    return F.try_to_date(_c(col), fmt)
 
 
 def date_key(col: Column | str) -> Column:

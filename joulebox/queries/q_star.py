@@ -1 +1,345 @@
-"""Registered queries."""
+"""Queries for the medallion layers, star schema, load strategies and sinks.
+
+Sink and load operators are registered as round trips: they write into a
+fresh folder under the session's checkpoint directory (the shared folder the
+cluster names) and the query reads the result back.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
+from joulebox.operators.joins import new_keys
+from joulebox.plans import loading as L
+from joulebox.plans import medallion as G
+from joulebox.queries import sql as S
+from joulebox.registry import memo, register
+from joulebox.schema import RAW_READING
+from joulebox.session import scratch_path
+from joulebox.sources import files, testdata
+
+CUTOFF = "1998-01-01"  # target / existing side of the incremental-load queries: earlier dates
+OVERLAP = "1997-07-01"  # source side: this date and later (overlaps the target)
+
+
+def fresh(spark: SparkSession, name: str) -> str:
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def silver(spark: SparkSession, sf: str):
+    return G.to_silver(testdata.raw_readings(spark, sf))
+
+
+def raw_json_path(spark: SparkSession, sf: str) -> str:
+    """Raw readings written once per session as JSON lines (the landing-zone format)."""
+
+    def write():
+        path = fresh(spark, "raw-json")
+        L.write_json(testdata.raw_readings(spark, sf), path)
+        return path
+
+    return memo(spark, ("raw-json", sf), write)
+
+
+@register("scan_parquet", "SELECT * FROM part")
+def q_scan_parquet(spark, sf):
+    return files.read_parquet(spark, f"{sf}/part.parquet")
+
+
+@register("scan_json_schema", S.with_silver("SELECT * FROM raw"))
+def q_scan_json_schema(spark, sf):
+    good, _ = G.read_raw_batch(spark, raw_json_path(spark, sf))
+    return good
+
+
+@register(
+    "scan_json_inferred",
+    S.with_silver(
+        """SELECT AverageTemperature, BuildingType,
+       CASE WHEN isnan(EnergyConsumption) THEN 'NaN' ELSE CAST(EnergyConsumption AS VARCHAR) END AS EnergyConsumption,
+       HVACSystem, InsulationThickness,
+       CAST(NumberofAppliances AS BIGINT) AS NumberofAppliances, OutsideTemperature, ReadingDate, RecordID,
+       CAST(RoomArea AS BIGINT) AS RoomArea, batch_id, ingested_at, source FROM raw"""
+    ),
+)
+def q_scan_json_inferred(spark, sf):
+    return files.read_json_inferred(spark, raw_json_path(spark, sf))
+
+
+@register(
+    "scan_csv",
+    f"""WITH {S.LOOSE.strip()}
+SELECT CAST(RoomArea AS DOUBLE) AS RoomArea, NumberofAppliances, "Outside Temperature", InsulationThickness,
+       nullif(BuildingType, '') AS BuildingType, HVACSystem, AverageTemperature, EnergyConsumption FROM loose""",
+)
+def q_scan_csv(spark, sf):
+    loose = testdata.loose_readings(spark, sf)
+    padded = loose.toDF(*[f" {c} " for c in loose.columns])  # headers with stray blanks, as exported CSVs have
+    path = fresh(spark, "csv")
+    padded.write.option("header", "true").option("ignoreLeadingWhiteSpace", "false").option(
+        "ignoreTrailingWhiteSpace", "false"
+    ).csv(path)
+    df = files.read_csv_trimmed(spark, path)
+    return df.select(
+        *[F.col(c).cast("double").alias(c) for c in ["RoomArea", "NumberofAppliances", "Outside Temperature", "InsulationThickness"]],
+        "BuildingType",
+        "HVACSystem",
+        *[F.col(c).cast("double").alias(c) for c in ["AverageTemperature", "EnergyConsumption"]],
+    )
+
+
+@register(
+    "scan_table_query",
+    S.with_silver("SELECT count(*) AS cnt FROM raw WHERE HVACSystem = 'vrf' AND RoomArea > 10"),
+)
+def q_scan_table_query(spark, sf):
+    return files.run_table_query(
+        spark,
+        "SELECT count(*) AS cnt FROM readings WHERE HVACSystem = :hvac AND RoomArea > :area",
+        views={"readings": testdata.raw_readings(spark, sf)},
+        hvac="vrf",
+        area=10,
+    )
+
+
+@register("to_bronze", S.with_silver("SELECT * FROM raw"))
+def q_to_bronze(spark, sf):
+    good, _ = G.read_raw_batch(spark, raw_json_path(spark, sf))
+    path = fresh(spark, "bronze")
+    L.append_if_rows(good, path)
+    return spark.read.parquet(path)
+
+
+@register("to_silver", S.with_silver("SELECT * FROM silver"))
+def q_to_silver(spark, sf):
+    return silver(spark, sf)
+
+
+@register("dedup_key", S.with_silver("SELECT * FROM picked"))
+def q_dedup_key(spark, sf):
+    from joulebox.operators.dedup import dedup_key
+
+    raw = testdata.raw_readings(spark, sf)
+    dated = raw.withColumn("ReadingDate", F.try_to_date("ReadingDate")).withColumn(
+        "date_key", F.date_format("ReadingDate", "yyyyMMdd").cast("int")
+    ).drop("source", "batch_id", "ingested_at")
+    return dedup_key(dated, "RecordID")
+
+
+@register("drop_columns", S.with_silver("SELECT * EXCLUDE (source, batch_id, ingested_at) FROM raw"))
+def q_drop_columns(spark, sf):
+    from joulebox.operators.cleaning import drop_columns
+
+    return drop_columns(testdata.raw_readings(spark, sf), ["source", "batch_id", "ingested_at"])
+
+
+@register("dim_date", S.with_silver(S.calendar_sql("silver")))
+def q_dim_date(spark, sf):
+    return G.calendar_for(silver(spark, sf), "ReadingDate")
+
+
+@register("fn_sequence_explode", S.with_silver(S.calendar_sql("silver")))
+def q_fn_sequence_explode(spark, sf):
+    return G.calendar_for(silver(spark, sf), "ReadingDate")
+
+
+@register(
+    "load_once",
+    S.with_silver(S.calendar_sql("silver")),
+)
+def q_load_once(spark, sf):
+    path = fresh(spark, "dim-date")
+    cal = G.calendar_for(silver(spark, sf), "ReadingDate")
+    first = L.load_once(spark, cal, path)
+    second = L.load_once(spark, cal.limit(0), path)  # already populated: skipped
+    assert first and not second
+    return spark.read.parquet(path)
+
+
+DIM_B = "SELECT DISTINCT md5(BuildingType) AS building_type_key, BuildingType FROM silver"
+DIM_H = "SELECT DISTINCT md5(HVACSystem) AS hvac_key, HVACSystem FROM silver"
+
+
+@register("dim_building_type", S.with_silver(DIM_B))
+def q_dim_building_type(spark, sf):
+    return G.dim_building_type(silver(spark, sf))
+
+
+@register("dim_hvac_system", S.with_silver(DIM_H))
+def q_dim_hvac_system(spark, sf):
+    return G.dim_hvac_system(silver(spark, sf))
+
+
+@register("fn_md5_key", S.with_silver(DIM_B))
+def q_fn_md5_key(spark, sf):
+    return silver(spark, sf).select(F.md5("BuildingType").alias("building_type_key"), "BuildingType").distinct()
+
+
+@register("fact_energy", S.with_silver("SELECT * FROM fact"))
+def q_fact_energy(spark, sf):
+    return G.fact_energy(silver(spark, sf))
+
+
+@register("join_left_equi", S.with_silver("SELECT * FROM fact"))
+def q_join_left_equi(spark, sf):
+    s = silver(spark, sf)
+    return G.fact_energy_via_dims(s, G.dim_building_type(s), G.dim_hvac_system(s))
+
+
+COMBO = "md5(BuildingType || '/' || HVACSystem || '/' || CAST(RoomArea AS VARCHAR))"
+NEW_COMBOS = S.with_silver(
+    f"""SELECT DISTINCT {COMBO} AS combo_key, BuildingType, HVACSystem, RoomArea FROM silver
+WHERE ReadingDate >= DATE '{OVERLAP}' AND {COMBO} NOT IN
+  (SELECT {COMBO} FROM silver WHERE ReadingDate < DATE '{CUTOFF}' AND RoomArea <= 25)"""
+)
+
+
+def combos(df):
+    """A dimension keyed on (type, HVAC, area): md5 of the joined natural values."""
+    key = F.md5(F.concat_ws("/", "BuildingType", "HVACSystem", F.col("RoomArea").cast("string")))
+    return df.select(key.alias("combo_key"), "BuildingType", "HVACSystem", "RoomArea")
+
+
+@register("join_left_anti", NEW_COMBOS)
+def q_join_left_anti(spark, sf):
+    s = silver(spark, sf)
+    existing = combos(s.filter((F.col("ReadingDate") < F.lit(CUTOFF).cast("date")) & (F.col("RoomArea") <= 25)))
+    batch = combos(s.filter(F.col("ReadingDate") >= F.lit(OVERLAP).cast("date"))).distinct()
+    return new_keys(batch, existing, "combo_key")
+
+
+@register("dim_append_new", NEW_COMBOS)
+def q_dim_append_new(spark, sf):
+    s = silver(spark, sf)
+    path = fresh(spark, "dim-combo")
+    L.dim_append_new(spark, combos(s.filter((F.col("ReadingDate") < F.lit(CUTOFF).cast("date")) & (F.col("RoomArea") <= 25))), path, "combo_key")
+    return L.dim_append_new(spark, combos(s.filter(F.col("ReadingDate") >= F.lit(OVERLAP).cast("date"))), path, "combo_key")
+
+
+MERGE_SQL = S.with_silver(
+    f"""target AS (SELECT f.* FROM fact f JOIN silver s USING (RecordID) WHERE s.ReadingDate < DATE '{CUTOFF}'),
+source AS (SELECT f.* REPLACE (f.EnergyConsumption + 1 AS EnergyConsumption) FROM fact f JOIN silver s USING (RecordID)
+           WHERE s.ReadingDate >= DATE '{OVERLAP}')
+SELECT * FROM target WHERE RecordID NOT IN (SELECT RecordID FROM source WHERE RecordID IS NOT NULL)
+UNION ALL SELECT * FROM source""".replace("target AS", ", target AS", 1)
+)
+# the with_silver prefix ends a CTE list; continue it
+MERGE_SQL = MERGE_SQL.replace("\n, target AS", ",\ntarget AS")
+
+
+def merge_sides(spark, sf):
+    s = silver(spark, sf)
+    f = G.fact_energy(s).join(s.select("RecordID", "ReadingDate"), "RecordID")
+    target = f.filter(F.col("ReadingDate") < F.lit(CUTOFF).cast("date")).drop("ReadingDate")
+    source = f.filter(F.col("ReadingDate") >= F.lit(OVERLAP).cast("date")).drop("ReadingDate").withColumn(
+        "EnergyConsumption", F.col("EnergyConsumption") + 1
+    )
+    return target, source
+
+
+@register("merge_upsert", MERGE_SQL)
+def q_merge_upsert(spark, sf):
+    target, source = merge_sides(spark, sf)
+    return L.merge_upsert(target, source, "RecordID")
+
+
+@register(
+    "join_merge_key",
+    S.with_silver(
+        f"""SELECT count(*) FILTER (WHERE s.ReadingDate < DATE '{CUTOFF}') AS updated,
+       count(*) FILTER (WHERE s.ReadingDate >= DATE '{CUTOFF}') AS inserted
+FROM silver s WHERE s.ReadingDate >= DATE '{OVERLAP}'"""
+    ),
+)
+def q_join_merge_key(spark, sf):
+    target, source = merge_sides(spark, sf)
+    return L.merge_counts(target, source, "RecordID")
+
+
+@register(
+    "atomic_swap",
+    MERGE_SQL,
+)
+def q_atomic_swap(spark, sf):
+    target, source = merge_sides(spark, sf)
+    table = f"fact_swap_{uuid.uuid4().hex[:8]}"
+    L.merge_into_table(spark, target, table, "RecordID")  # first run: created
+    L.merge_into_table(spark, source, table, "RecordID")  # merged + swapped in
+    return spark.table(table)
+
+
+@register(
+    "process_new_batches",
+    S.with_silver(
+        """SELECT batch_id, count(*) AS rows FROM raw
+WHERE batch_id NOT IN (SELECT DISTINCT batch_id FROM raw WHERE ReadingDate < '1997-01-01')
+GROUP BY batch_id"""
+    ),
+)
+def q_process_new_batches(spark, sf):
+    raw = testdata.raw_readings(spark, sf)
+    ledger_path = fresh(spark, "ledger")
+    L.record_batches(spark, raw.filter(F.col("ReadingDate") < "1997-01-01"), ledger_path)
+    todo = L.unprocessed_batches(raw, spark.read.parquet(ledger_path))
+    return todo.groupBy("batch_id").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("sink_parquet_overwrite", S.with_silver("SELECT * FROM fact"))
+def q_sink_parquet_overwrite(spark, sf):
+    path = fresh(spark, "fact")
+    fact = G.fact_energy(silver(spark, sf))
+    L.write_parquet(fact.limit(0), path)
+    L.write_parquet(fact, path)  # replaces the empty first write
+    return spark.read.parquet(path)
+
+
+@register("sink_parquet_append", S.with_silver("SELECT * FROM silver"))
+def q_sink_parquet_append(spark, sf):
+    path = fresh(spark, "silver")
+    s = silver(spark, sf)
+    early = F.col("ReadingDate") < F.lit(CUTOFF).cast("date")
+    L.append_if_rows(s.filter(early), path)
+    L.append_if_rows(s.filter(~early | F.col("ReadingDate").isNull()), path)
+    return spark.read.parquet(path)
+
+
+@register("skip_if_empty", S.with_silver("SELECT * FROM fact"))
+def q_skip_if_empty(spark, sf):
+    path = fresh(spark, "skip")
+    fact = G.fact_energy(silver(spark, sf))
+    wrote_empty = L.append_if_rows(fact.filter(F.lit(False)), path)
+    assert not wrote_empty and not L.path_exists(spark, path)
+    L.append_if_rows(fact, path)
+    return spark.read.parquet(path)
+
+
+@register(
+    "sink_json_overwrite",
+    S.with_silver("SELECT * EXCLUDE (ReadingDate) FROM silver"),
+)
+def q_sink_json_overwrite(spark, sf):
+    path = fresh(spark, "silver-json")
+    s = silver(spark, sf).drop("ReadingDate")
+    L.write_json(s, path)
+    return spark.read.schema(s.schema).json(path)
+
+
+@register("sink_table_overwrite", S.with_silver("SELECT * FROM fact"))
+def q_sink_table_overwrite(spark, sf):
+    table = f"fact_{uuid.uuid4().hex[:8]}"
+    L.replace_table(G.fact_energy(silver(spark, sf)), table)
+    return spark.table(table)
+
+
+@register("publish_tables", S.with_silver("SELECT * EXCLUDE (ReadingDate) FROM silver"))
+def q_publish_tables(spark, sf):
+    s = silver(spark, sf).drop("ReadingDate")
+    p1, p2 = fresh(spark, "pub-silver"), fresh(spark, "pub-dim")
+    L.write_parquet(s, p1)
+    L.write_parquet(G.dim_building_type(s), p2)
+    t1, t2 = f"silver_{uuid.uuid4().hex[:8]}", f"dimb_{uuid.uuid4().hex[:8]}"
+    L.publish_tables(spark, {p1: t1, p2: t2}, fmt="parquet")
+    return spark.table(t1)

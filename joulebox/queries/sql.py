@@ -190,3 +190,51 @@ SCOPE = "BuildingType <> 'Nan' AND HVACSystem <> 'Nan'"
 
 def clamp_score(d: str = "DeviationPercent") -> str:
     return f"CASE WHEN {d} IS NOT NULL THEN greatest(0, least(100, 100 - greatest({d}, 0))) END"
+
+
+def nz(x: str, default: str) -> str:
+    """fillna: NULL (and NaN for doubles) -> default."""
+    return f"CASE WHEN {x} IS NULL OR isnan({x}) THEN {default} ELSE {x} END"
+
+
+SILVER = f"""
+bronze AS (SELECT * FROM raw),
+dated AS (
+  SELECT * EXCLUDE (ReadingDate, source, batch_id, ingested_at), try_cast(ReadingDate AS DATE) AS ReadingDate,
+         CAST(strftime(try_cast(ReadingDate AS DATE), '%Y%m%d') AS INTEGER) AS date_key
+  FROM bronze
+),
+picked AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY RecordID ORDER BY RoomArea NULLS FIRST, NumberofAppliances NULLS FIRST,
+           OutsideTemperature NULLS FIRST, InsulationThickness NULLS FIRST, BuildingType NULLS FIRST, HVACSystem NULLS FIRST,
+           AverageTemperature NULLS FIRST, EnergyConsumption NULLS FIRST, ReadingDate NULLS FIRST, date_key NULLS FIRST) AS rn
+    FROM dated) WHERE rn = 1
+),
+silver AS (
+  SELECT RecordID, CAST(coalesce(RoomArea, 0) AS INTEGER) AS RoomArea,
+         CAST(coalesce(NumberofAppliances, 0) AS INTEGER) AS NumberofAppliances,
+         {nz('OutsideTemperature', '0.0')} AS OutsideTemperature, {nz('InsulationThickness', '0.0')} AS InsulationThickness,
+         coalesce(BuildingType, 'Unknown') AS BuildingType, coalesce(HVACSystem, 'Unknown') AS HVACSystem,
+         {nz('AverageTemperature', '0.0')} AS AverageTemperature, {nz('EnergyConsumption', '0.0')} AS EnergyConsumption,
+         ReadingDate, date_key
+  FROM picked
+),
+fact AS (
+  SELECT RecordID, md5(BuildingType) AS building_type_key, md5(HVACSystem) AS hvac_key, date_key, RoomArea,
+         NumberofAppliances, OutsideTemperature, InsulationThickness, AverageTemperature, EnergyConsumption
+  FROM silver
+)"""
+
+SILVER_CHAIN = ",".join([RAW, SILVER])
+
+
+def with_silver(select: str) -> str:
+    return f"WITH {SILVER_CHAIN}\n{select}"
+
+
+def calendar_sql(source: str) -> str:
+    return f"""SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS date, year(d) AS year, month(d) AS month,
+       day(d) AS day, dayname(d) AS day_name, dayofweek(d) + 1 AS day_of_week, weekofyear(d) AS week_of_year,
+       quarter(d) AS quarter, dayofweek(d) IN (0, 6) AS is_weekend
+FROM (SELECT CAST(unnest(generate_series(min(ReadingDate), max(ReadingDate), INTERVAL 1 DAY)) AS DATE) AS d FROM {source})"""

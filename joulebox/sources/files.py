@@ -44,11 +44,21 @@ def read_json_schema(
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good rows without the corrupt column, quarantined raw lines)."""
+    """(rows to keep without the corrupt column, quarantined raw lines).
+
+    A line that is not JSON at all (every field NULL, raw text in the corrupt
+    column) is quarantined. A JSON line with a wrong-typed value keeps its row
+    with that field NULL, as a plain PERMISSIVE read would.
+    """
     if CORRUPT_COLUMN not in df.columns:
         return df, df.limit(0)
-    good = df.filter(F.col(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN)
-    bad = df.filter(F.col(CORRUPT_COLUMN).isNotNull()).select(CORRUPT_COLUMN)
+    data = [c for c in df.columns if c != CORRUPT_COLUMN]
+    any_value = F.lit(False)
+    for c in data:
+        any_value = any_value | F.col(c).isNotNull()
+    garbage = F.col(CORRUPT_COLUMN).isNotNull() & ~any_value
+    good = df.filter(~garbage).drop(CORRUPT_COLUMN)
+    bad = df.filter(garbage).select(CORRUPT_COLUMN)
     return good, bad
 
 
@@ -62,15 +72,18 @@ def read_csv_trimmed(spark: SparkSession, path: str, schema: T.StructType | None
     With a schema the header only serves for trimming; without one every
     column is a string and the cleaners cast.
     """
-    reader = spark.read.option("header", "true").option("ignoreLeadingWhiteSpace", "true").option(
-        "ignoreTrailingWhiteSpace", "true"
-    )
+    reader = spark.read.option("header", "true")
     df = reader.schema(schema).csv(path) if schema is not None else reader.csv(path)
     return df.toDF(*[c.strip() for c in df.columns])
 
 
-def run_table_query(spark: SparkSession, sql_text: str, **binds) -> DataFrame:
-    """Parameterised SQL against catalog tables/views; binds are never concatenated."""
+def run_table_query(
+    spark: SparkSession, sql_text: str, views: dict[str, DataFrame] | None = None, **binds
+) -> DataFrame:
+    """Parameterised SQL (``:name`` markers) against catalog tables or the given
+    frames, registered as temporary views first; binds are never concatenated."""
+    for name, frame in (views or {}).items():
+        frame.createOrReplaceTempView(name)
     return spark.sql(sql_text, args=binds or None)
 
 
