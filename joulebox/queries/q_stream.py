@@ -1 +1,75 @@
-"""Registered queries."""
+"""Queries for the streaming ingest, batch stamping and Kafka value decoding."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from joulebox.queries import sql as S
+from joulebox.queries.q_star import fresh, raw_json_path
+from joulebox.registry import register
+from joulebox.schema import RAW_READING
+from joulebox.sources import testdata
+from joulebox.sources.kafka import decode_values
+from joulebox.streaming.batches import stamp_batches
+from joulebox.streaming.ingest import ingest_files
+
+LINEITEM_ORDER = [
+    "l_orderkey",
+    "l_linenumber",
+    "l_partkey",
+    "l_suppkey",
+    "l_quantity",
+    "l_extendedprice",
+    "l_discount",
+    "l_tax",
+    "l_returnflag",
+    "l_linestatus",
+    "l_shipdate",
+]
+INGESTED_AT = "2024-01-01 00:00:00"
+
+
+@register("stream_ingest", S.with_silver("SELECT * FROM raw"))
+def q_stream_ingest(spark, sf):
+    target, ckpt = fresh(spark, "raw-stream"), fresh(spark, "raw-stream-ckpt")
+    ingest_files(spark, raw_json_path(spark, sf), RAW_READING, target, ckpt, max_files_per_trigger=2)
+    return spark.read.parquet(target)
+
+
+@register(
+    "stamp_batches",
+    f"""SELECT printf('REC-%06d', rn) AS RecordID, l_orderkey, l_linenumber, l_extendedprice,
+       'power_consumption_sensor' AS source, '{INGESTED_AT}' AS ingested_at, printf('POWER-BATCH-%04d', rn // 50 + 1) AS batch_id
+FROM (SELECT *, row_number() OVER (ORDER BY {', '.join(LINEITEM_ORDER)}) - 1 AS rn FROM lineitem)""",
+)
+def q_stamp_batches(spark, sf):
+    li = testdata.table(spark, sf, "lineitem")
+    stamped = stamp_batches(li, LINEITEM_ORDER, 50, ingested_at=INGESTED_AT)
+    return stamped.select("RecordID", "l_orderkey", "l_linenumber", "l_extendedprice", "source", "ingested_at", "batch_id")
+
+
+EVENT_VALUE = T.StructType(
+    [
+        T.StructField("event_id", T.LongType()),
+        T.StructField("user_id", T.LongType()),
+        T.StructField("event_type", T.StringType()),
+        T.StructField("value", T.DoubleType()),
+    ]
+)
+
+
+@register("scan_kafka", "SELECT event_id, user_id, event_type, value FROM events")
+def q_scan_kafka(spark, sf):
+    """Kafka-shaped rows (binary JSON values) built from events, decoded back."""
+    ev = testdata.events(spark, sf)
+    kafka_rows = ev.select(F.to_json(F.struct("event_id", "user_id", "event_type", "value")).cast("binary").alias("value"))
+    return decode_values(kafka_rows, EVENT_VALUE)
+
+
+@register("fn_json_decode", "SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events")
+def q_fn_json_decode(spark, sf):
+    from joulebox.sources.kafka import decode_json
+
+    ev = testdata.events(spark, sf)
+    return ev.select("event_id", decode_json("props", "k int").getField("k").alias("k"))

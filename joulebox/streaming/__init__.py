@@ -1 +1 @@
-"""streaming"""
+"""Structured Streaming ingest and batch stamping."""
