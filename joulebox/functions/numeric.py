@@ -11,10 +11,13 @@ def _c(col: Column | str) -> Column:
 
 
 def finite_or_null(col: Column | str) -> Column:
-    """NaN / +Inf / -Inf -> NULL on a double column."""
+    """NaN / +Inf / -Inf -> NULL on a double column.
+
+    ``abs(d) < inf`` is false for NaN (NaN sorts above every number in Spark)
+    and for both infinities, so one comparison replaces three tests.
+    """
     d = _c(col)
-    bad = F.isnan(d) | d.isin(float("inf"), float("-inf"))
-    return F.when(bad, F.lit(None).cast("double")).otherwise(d)
+    return F.when(F.abs(d) < F.lit(float("inf")), d)
 
 
 def nonfinite_to_null(col: Column | str) -> Column:

@@ -22,9 +22,10 @@ from joulebox.operators.cleaning import (
     valid_temperatures,
 )
 from joulebox.operators.dedup import dedup_rows, dedup_rows_counted
-from joulebox.operators.quantiles import iqr_bounds, iqr_condition, iqr_filter
+from joulebox.operators.quantiles import iqr_bounds, iqr_condition
 from joulebox.operators.topk import top_k
 from joulebox.schema import NUMERIC_COLUMNS, OUTLIER_COLUMNS, REQUIRED_COLUMNS
+from joulebox.session import stage_table
 
 RENAMES = {"Outside Temperature": "OutsideTemperature"}
 
@@ -58,14 +59,22 @@ def clean_readings(
     rel_error: float = 0.01,
     null_tokens=("",),
     bounds: dict | None = None,
+    stage: bool = True,
 ) -> DataFrame:
     """The full cleaning order: prepare, full-row dedup, drop missing, numeric
     rules, temperature ranges, then the IQR rule on area, appliances and energy
     (bounds from the rows that passed everything before it; pass ``bounds`` to
-    reuse ones already computed for the same input)."""
+    reuse ones already computed for the same input).
+
+    With ``stage`` the rows that reach the IQR rule are written once under the
+    shared checkpoint folder, so the quantile pass and the final filter read
+    them instead of recomputing the scan, join and dedup shuffle.
+    """
     df = before_outliers(raw, null_tokens)
     if bounds is None:
-        return iqr_filter(df, OUTLIER_COLUMNS, iqr_factor, iqr_mode, rel_error)
+        if stage:
+            df = stage_table(df, "before-outliers")
+        bounds = iqr_bounds(df, OUTLIER_COLUMNS, iqr_factor, iqr_mode, rel_error)
     cond = iqr_condition(bounds)
     return df if cond is None else df.filter(cond)
 
@@ -83,7 +92,7 @@ def stage_report(
     counts come from the same aggregation as the rule counts (the original
     ran ten separate counts, each re-reading the input).
     """
-    counted = dedup_rows_counted(prepare_readings(raw, null_tokens), "_copies")
+    counted = stage_table(dedup_rows_counted(prepare_readings(raw, null_tokens), "_copies"), "stage-counts")
     complete = all_present(REQUIRED_COLUMNS)
     in_range = valid_numbers() & valid_temperatures()
     before_iqr = counted.filter(complete & in_range)

@@ -6,20 +6,33 @@ from pyspark.sql import SparkSession
 
 from joulebox.plans import readings as R
 from joulebox.queries import sql as S
+from joulebox.operators.quantiles import iqr_bounds, iqr_condition
 from joulebox.registry import memo, register
+from joulebox.schema import OUTLIER_COLUMNS
+from joulebox.session import stage_table
 from joulebox.sources import testdata
 
 # Oracle-checked queries use exact quartiles so DuckDB's quantile_cont can match.
 IQR_MODE = "exact"
 
 
+def staged(spark: SparkSession, sf: str):
+    """Rows that reach the IQR rule, stored once per session under the checkpoint folder."""
+    return memo(
+        spark, ("before-iqr", sf), lambda: stage_table(R.before_outliers(testdata.loose_readings(spark, sf)), "before-outliers")
+    )
+
+
 def bounds(spark: SparkSession, sf: str) -> dict:
     """IQR bounds for the readings of ``sf`` (a handful of literals, memoised per session)."""
-    return memo(spark, ("iqr", sf), lambda: R.outlier_bounds(testdata.loose_readings(spark, sf), iqr_mode=IQR_MODE))
+    return memo(spark, ("iqr", sf), lambda: iqr_bounds(staged(spark, sf), OUTLIER_COLUMNS, mode=IQR_MODE))
 
 
 def clean(spark: SparkSession, sf: str):
-    return R.clean_readings(testdata.loose_readings(spark, sf), bounds=bounds(spark, sf))
+    """clean_readings over the staged rows with the memoised bounds (same plan as the library call)."""
+    cond = iqr_condition(bounds(spark, sf))
+    rows = staged(spark, sf)
+    return rows if cond is None else rows.filter(cond)
 
 
 def features(spark: SparkSession, sf: str):

@@ -49,3 +49,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint directory for intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, name) if "://" not in base else base.rstrip("/") + "/" + name
+
+
+def stage_table(df, name: str):
+    """Write ``df`` as parquet to a fresh folder under the shared checkpoint
+    directory and return a frame reading it back.
+
+    Used where a plan would otherwise be computed twice (statistics first,
+    then the rows): the second use scans stored columns, with pruning and
+    filter pushdown, and the lineage is cut, so a lost executor only costs a
+    re-read.
+    """
+    import uuid
+
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
