@@ -7,12 +7,11 @@ catalog. Nothing here collects data to the driver.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from joulebox.operators.joins import new_keys
+from joulebox.session import stage_table
 
 
 # ---------------------------------------------------------------- paths
@@ -70,21 +69,12 @@ def dim_append_new(spark: SparkSession, df: DataFrame, path: str, key: str) -> D
         return spark.read.parquet(path)
     fresh = new_keys(batch, spark.read.parquet(path), key)
     # materialise before appending: the anti-join reads the same path
-    staged = _stage(spark, fresh)
+    staged = stage_table(fresh, "dim-new")
     if not staged.isEmpty():
         staged.write.mode("append").parquet(path)
     return staged
 
 
-def _stage(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Write to a fresh directory under the shared checkpoint folder and read back."""
-    from joulebox.session import scratch_path
-
-    tmp = scratch_path(spark, f"stage-{uuid.uuid4().hex}")
-    df.write.parquet(tmp)
-    return spark.read.parquet(tmp)
-
-
 # ---------------------------------------------------------------- merge
 
 def merge_upsert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:

@@ -86,13 +86,17 @@ def dim_hvac_system(silver: DataFrame) -> DataFrame:
     return silver.select("HVACSystem").distinct().select(F.md5("HVACSystem").alias("hvac_key"), "HVACSystem")
 
 
-def fact_energy(silver: DataFrame) -> DataFrame:
-    """Fact rows with md5 surrogate keys, one per RecordID (silver is already unique)."""
+def fact_energy(silver: DataFrame, extra: list[str] | None = None) -> DataFrame:
+    """Fact rows with md5 surrogate keys, one per RecordID (silver is already unique).
+
+    ``extra`` silver columns (e.g. the reading date for partitioning) are kept at the end.
+    """
     return silver.select(
         "RecordID",
         F.md5("BuildingType").alias("building_type_key"),
         F.md5("HVACSystem").alias("hvac_key"),
         *FACT_COLUMNS[3:],
+        *(extra or []),
     )
 
 

@@ -232,7 +232,8 @@ MERGE_SQL = MERGE_SQL.replace("\n, target AS", ",\ntarget AS")
 
 def merge_sides(spark, sf):
     s = silver(spark, sf)
-    f = G.fact_energy(s).join(s.select("RecordID", "ReadingDate"), "RecordID")
+    # fact rows carrying their reading date, so target and source split without a self-join
+    f = G.fact_energy(s, extra=["ReadingDate"])
     target = f.filter(F.col("ReadingDate") < F.lit(CUTOFF).cast("date")).drop("ReadingDate")
     source = f.filter(F.col("ReadingDate") >= F.lit(OVERLAP).cast("date")).drop("ReadingDate").withColumn(
         "EnergyConsumption", F.col("EnergyConsumption") + 1

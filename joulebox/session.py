@@ -24,6 +24,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "16g")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="joulebox-wh-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

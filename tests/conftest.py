@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -23,6 +24,7 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="joulebox-wh-"))
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
