@@ -185,3 +185,36 @@ def q_flagged_share(spark, sf):
 def q_topk_deviation(spark, sf):
     h = health(spark, sf)
     return top_k(h, [F.col("DeviationPercent").desc_nulls_last()], 10, [c for c in h.columns if c != "DeviationPercent"])
+
+
+@register("sink_model")
+def q_sink_model(spark, sf):
+    """Save the fitted pipeline (replacing any old one), load it back, score the test rows."""
+    from joulebox.queries.q_star import fresh
+
+    model, test = mllib_fit(spark, sf)
+    path = fresh(spark, "model")
+    M.save_model(model, path)
+    M.save_model(model, path)  # overwrite of an existing model
+    return M.predictions(M.load_model(path), test)
+
+
+@register(
+    "require_columns",
+    S.with_features(
+        "SELECT AverageTemperature, OutsideTemperature, InsulationThickness, NumberofAppliances, RoomArea, "
+        "TemperatureDifference, BuildingType, HVACSystem, EnergyConsumption, EnergyPerArea FROM features"
+    ),
+)
+def q_require_columns(spark, sf):
+    from joulebox.operators.cleaning import require_columns
+    from joulebox.schema import ML_REQUIRED_COLUMNS
+
+    return require_columns(processed(spark, sf), ML_REQUIRED_COLUMNS).select(*ML_REQUIRED_COLUMNS)
+
+
+@register("fail_if_empty", S.with_features("SELECT * FROM features"))
+def q_fail_if_empty(spark, sf):
+    from joulebox.operators.cleaning import fail_if_empty
+
+    return fail_if_empty(processed(spark, sf), "ETL stopped because no records remained after cleaning.")
