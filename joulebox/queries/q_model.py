@@ -18,17 +18,18 @@ from joulebox.queries import q_cleaning
 from joulebox.queries import sql as S
 from joulebox.registry import memo, register
 from joulebox.schema import STATUS_NORMAL
+from joulebox.session import stage_table
 
 
 def processed(spark: SparkSession, sf: str):
     """The cleaned readings with features, checkpointed once per session.
 
     The model stage starts from stored processed data, as the original's model
-    job re-reads the processed JSON: a reliable checkpoint in the shared
+    job re-reads the processed JSON: parquet written once under the shared
     checkpoint folder cuts the lineage, so every model query plans from a scan
     instead of re-deriving (and re-optimising) the whole cleaning plan.
     """
-    return memo(spark, ("processed", sf), lambda: q_cleaning.features(spark, sf).checkpoint(eager=True))
+    return memo(spark, ("processed", sf), lambda: stage_table(q_cleaning.features(spark, sf), "processed"))
 
 
 def model_base(spark: SparkSession, sf: str):
