@@ -24,7 +24,8 @@ from joulebox.sources.files import read_json_inferred
 
 def etl_job(spark: SparkSession, raw_path: str, out_base: str, iqr_mode: str = "approx") -> dict:
     raw = read_json_inferred(spark, raw_path)
-    feats = R.add_features(R.clean_readings(raw, iqr_mode=iqr_mode))
+    clean, report_df = R.clean_with_report(raw, iqr_mode=iqr_mode)
+    feats = R.add_features(clean)
     fail_if_empty(feats, "ETL stopped because no records remained after cleaning.")
     processed = f"{out_base}/processed/energy"
     L.write_json(feats, processed)
@@ -33,8 +34,7 @@ def etl_job(spark: SparkSession, raw_path: str, out_base: str, iqr_mode: str = "
     L.write_json(R.by_building(feats), f"{out_base}/analytics/energy_by_building")
     L.write_json(R.by_hvac(feats), f"{out_base}/analytics/energy_by_hvac")
     L.write_parquet(M.ml_feature_table(feats), f"{out_base}/analytics/ml_features")
-    report = R.stage_report(raw, iqr_mode=iqr_mode).first().asDict()
-    return report
+    return report_df.first().asDict()
 
 
 def model_job(

@@ -15,19 +15,19 @@ from joulebox.operators.aggregates import energy_by, energy_statistics
 from joulebox.operators.cleaning import (
     all_present,
     cast_readings,
-    drop_missing,
     normalize_categories,
     rename_columns,
     valid_numbers,
     valid_temperatures,
 )
-from joulebox.operators.dedup import dedup_rows, dedup_rows_counted
+from joulebox.operators.dedup import dedup_rows_counted
 from joulebox.operators.quantiles import iqr_bounds, iqr_condition
 from joulebox.operators.topk import top_k
 from joulebox.schema import NUMERIC_COLUMNS, OUTLIER_COLUMNS, REQUIRED_COLUMNS
 from joulebox.session import stage_table
 
 RENAMES = {"Outside Temperature": "OutsideTemperature"}
+COPIES = "_copies"
 
 
 def prepare_readings(raw: DataFrame, null_tokens=("",)) -> DataFrame:
@@ -37,12 +37,22 @@ def prepare_readings(raw: DataFrame, null_tokens=("",)) -> DataFrame:
     return normalize_categories(df, null_tokens=null_tokens)
 
 
-def before_outliers(raw: DataFrame, null_tokens=("",)) -> DataFrame:
+def counted_readings(raw: DataFrame, null_tokens=("",)) -> DataFrame:
+    """Prepared distinct rows with their multiplicity (``_copies``): the one
+    dedup aggregation both the cleaned rows and the stage report come from."""
+    return dedup_rows_counted(prepare_readings(raw, null_tokens), COPIES)
+
+
+def passes_rules() -> F.Column:
+    """Complete, valid numbers, temperatures in range (everything before the IQR rule)."""
+    return all_present(REQUIRED_COLUMNS) & valid_numbers() & valid_temperatures()
+
+
+def before_outliers(raw: DataFrame, null_tokens=("",), counted: DataFrame | None = None) -> DataFrame:
     """Everything up to the IQR rule: prepare, full-row dedup, drop missing,
     numeric rules, temperature ranges."""
-    df = dedup_rows(prepare_readings(raw, null_tokens))
-    df = drop_missing(df, REQUIRED_COLUMNS)
-    return df.filter(valid_numbers() & valid_temperatures())
+    counted = counted_readings(raw, null_tokens) if counted is None else counted
+    return counted.filter(passes_rules()).drop(COPIES)
 
 
 def outlier_bounds(
@@ -60,20 +70,24 @@ def clean_readings(
     null_tokens=("",),
     bounds: dict | None = None,
     stage: bool = True,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """The full cleaning order: prepare, full-row dedup, drop missing, numeric
     rules, temperature ranges, then the IQR rule on area, appliances and energy
     (bounds from the rows that passed everything before it; pass ``bounds`` to
     reuse ones already computed for the same input).
 
-    With ``stage`` the rows that reach the IQR rule are written once under the
-    shared checkpoint folder, so the quantile pass and the final filter read
-    them instead of recomputing the scan, join and dedup shuffle.
+    With ``stage`` the deduped rows are written once under the shared
+    checkpoint folder, so the quantile pass and the final filter read them
+    instead of recomputing the scan, join and dedup shuffle. ``counted`` (from
+    ``counted_readings``, possibly staged) skips that step altogether.
     """
-    df = before_outliers(raw, null_tokens)
+    if counted is None:
+        counted = counted_readings(raw, null_tokens)
+        if stage and bounds is None:
+            counted = stage_table(counted, "counted-readings")
+    df = before_outliers(raw, null_tokens, counted)
     if bounds is None:
-        if stage:
-            df = stage_table(df, "before-outliers")
         bounds = iqr_bounds(df, OUTLIER_COLUMNS, iqr_factor, iqr_mode, rel_error)
     cond = iqr_condition(bounds)
     return df if cond is None else df.filter(cond)
@@ -85,18 +99,22 @@ def stage_report(
     iqr_factor: float = 3.0,
     rel_error: float = 0.01,
     null_tokens=("",),
+    counted: DataFrame | None = None,
+    bounds: dict | None = None,
 ) -> DataFrame:
     """One row of rows-removed-per-stage in a single tagged pass.
 
     The dedup keeps each distinct row's multiplicity, so raw and duplicate
     counts come from the same aggregation as the rule counts (the original
-    ran ten separate counts, each re-reading the input).
+    ran ten separate counts, each re-reading the input). Pass the ``counted``
+    frame and ``bounds`` used for ``clean_readings`` to share their work.
     """
-    counted = stage_table(dedup_rows_counted(prepare_readings(raw, null_tokens), "_copies"), "stage-counts")
+    if counted is None:
+        counted = stage_table(counted_readings(raw, null_tokens), "stage-counts")
+    if bounds is None:
+        bounds = iqr_bounds(before_outliers(raw, null_tokens, counted), OUTLIER_COLUMNS, iqr_factor, iqr_mode, rel_error)
     complete = all_present(REQUIRED_COLUMNS)
-    in_range = valid_numbers() & valid_temperatures()
-    before_iqr = counted.filter(complete & in_range)
-    keep = iqr_condition(iqr_bounds(before_iqr, OUTLIER_COLUMNS, iqr_factor, iqr_mode, rel_error))
+    keep = iqr_condition(bounds)
     keep = F.lit(True) if keep is None else keep
     reason = (
         F.when(~complete, F.lit("missing"))
@@ -106,7 +124,7 @@ def stage_report(
         .otherwise(F.lit("clean"))
     )
     tagged = counted.withColumn("_reason", reason)
-    raw_n = F.sum("_copies")
+    raw_n = F.sum(COPIES)
     clean_n = F.count_if(F.col("_reason") == "clean")
     return tagged.agg(
         raw_n.alias("raw_records"),
@@ -120,6 +138,16 @@ def stage_report(
     )
 
 
+def clean_with_report(
+    raw: DataFrame, iqr_mode: str = "approx", iqr_factor: float = 3.0, rel_error: float = 0.01, null_tokens=("",)
+) -> tuple[DataFrame, DataFrame]:
+    """(cleaned rows, stage report) from one staged dedup and one set of bounds."""
+    counted = stage_table(counted_readings(raw, null_tokens), "counted-readings")
+    bounds = iqr_bounds(before_outliers(raw, null_tokens, counted), OUTLIER_COLUMNS, iqr_factor, iqr_mode, rel_error)
+    clean = clean_readings(raw, bounds=bounds, counted=counted)
+    return clean, stage_report(raw, counted=counted, bounds=bounds)
+
+
 def add_features(df: DataFrame) -> DataFrame:
     """EnergyPerArea = round(E / area, 4); TemperatureDifference = round(avg - outside, 4)."""
     return df.withColumns(

@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 
 from joulebox.plans import readings as R
 from joulebox.queries import sql as S
-from joulebox.operators.quantiles import iqr_bounds, iqr_condition
+from joulebox.operators.quantiles import iqr_bounds
 from joulebox.registry import memo, register
 from joulebox.schema import OUTLIER_COLUMNS
 from joulebox.session import stage_table
@@ -16,23 +16,26 @@ from joulebox.sources import testdata
 IQR_MODE = "exact"
 
 
-def staged(spark: SparkSession, sf: str):
-    """Rows that reach the IQR rule, stored once per session under the checkpoint folder."""
+def counted(spark: SparkSession, sf: str):
+    """Distinct prepared readings with multiplicity, stored once per session under the checkpoint folder."""
     return memo(
-        spark, ("before-iqr", sf), lambda: stage_table(R.before_outliers(testdata.loose_readings(spark, sf)), "before-outliers")
+        spark, ("counted", sf), lambda: stage_table(R.counted_readings(testdata.loose_readings(spark, sf)), "counted-readings")
     )
 
 
+def staged(spark: SparkSession, sf: str):
+    """Rows that reach the IQR rule."""
+    return R.before_outliers(None, counted=counted(spark, sf))
+
+
 def bounds(spark: SparkSession, sf: str) -> dict:
     """IQR bounds for the readings of ``sf`` (a handful of literals, memoised per session)."""
     return memo(spark, ("iqr", sf), lambda: iqr_bounds(staged(spark, sf), OUTLIER_COLUMNS, mode=IQR_MODE))
 
 
 def clean(spark: SparkSession, sf: str):
-    """clean_readings over the staged rows with the memoised bounds (same plan as the library call)."""
-    cond = iqr_condition(bounds(spark, sf))
-    rows = staged(spark, sf)
-    return rows if cond is None else rows.filter(cond)
+    """clean_readings over the staged counted rows with the memoised bounds."""
+    return R.clean_readings(None, bounds=bounds(spark, sf), counted=counted(spark, sf))
 
 
 def features(spark: SparkSession, sf: str):
@@ -306,7 +309,7 @@ SELECT (SELECT count(*) FROM prep) AS raw_records,
        {S.rnd('(SELECT count(*) FROM clean) / (SELECT count(*) FROM prep)', 6)} AS retention_rate""",
 )
 def q_stage_counts(spark, sf):
-    return R.stage_report(testdata.loose_readings(spark, sf), iqr_mode=IQR_MODE)
+    return R.stage_report(None, counted=counted(spark, sf), bounds=bounds(spark, sf))
 
 
 @register(
