@@ -50,7 +50,7 @@ def regression_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
     return df.agg(
         F.sqrt(F.avg(err * err)).alias("rmse"),
         F.avg(F.abs(err)).alias("mae"),
-        (F.lit(1.0) - F.sum(err * err) / ss_tot).alias("r2"),
+        (F.lit(1.0) - F.try_divide(F.sum(err * err), ss_tot)).alias("r2"),
     )
 
 
@@ -69,5 +69,5 @@ def accuracy_report(df: DataFrame, actual: str = "actual", predicted: str = "pre
         F.coalesce(F.avg(F.abs(err)), F.lit(0.0)).alias("mae"),
         F.coalesce(F.sqrt(F.avg(err * err)), F.lit(0.0)).alias("rmse"),
         F.coalesce(F.avg(F.abs(err / divisor)) * 100, F.lit(0.0)).alias("mape"),
-        F.when((n == 0) | (ss_tot == 0), F.lit(0.0)).otherwise(F.lit(1.0) - ss_res / ss_tot).alias("r2"),
+        F.when((n == 0) | (ss_tot == 0), F.lit(0.0)).otherwise(F.lit(1.0) - F.try_divide(ss_res, ss_tot)).alias("r2"),
     )

@@ -152,7 +152,7 @@ def add_features(df: DataFrame) -> DataFrame:
     """EnergyPerArea = round(E / area, 4); TemperatureDifference = round(avg - outside, 4)."""
     return df.withColumns(
         {
-            "EnergyPerArea": F.round(F.col("EnergyConsumption") / F.col("RoomArea"), 4),
+            "EnergyPerArea": F.round(F.try_divide(F.col("EnergyConsumption"), F.col("RoomArea")), 4),
             "TemperatureDifference": F.round(F.col("AverageTemperature") - F.col("OutsideTemperature"), 4),
         }
     )
