@@ -8,7 +8,7 @@ Two modes:
   is bounded whatever the row count.
 * ``exact``: interpolated quantiles (same definition as SQL
   ``percentile`` / DuckDB ``quantile_cont``) found by distributed selection.
-  Each round counts rows per ``width_bucket`` of the current value range for
+  Each round counts rows per equal-width bucket of the current value range for
   every open target in one aggregation (partial aggregation map-side, so a hot
   value costs one row per task), then narrows each target to the bucket that
   holds its rank. The driver only sees bucket histograms (at most
@@ -25,13 +25,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKETS = 1 << 16
-MAX_ROUNDS = 80
+MAX_ROUNDS = 200  # pathological spreads only; real data needs 2-3
 
 
 def _interpolate(lo: float, hi: float, frac: float) -> float:
     return lo + (hi - lo) * frac
 
 
+def _bucket(x: Column, lo: float, hi: float, buckets: int) -> Column:
+    """Monotone bucket in [0, buckets] of x in [lo, hi]; hi alone is bucket ``buckets``.
+
+    The fraction is formed before scaling up, and both ends are halved when
+    hi - lo overflows, so no intermediate leaves the double range (SQL
+    ``width_bucket`` multiplies first and breaks on such ranges).
+    """
+    scale = 0.5 if math.isinf(hi - lo) else 1.0
+    frac = (x * scale - F.lit(lo * scale)) / F.lit(hi * scale - lo * scale)
+    return F.least(F.floor(frac * buckets), F.lit(buckets)).cast("long")
+
+
 def _select_round(narrow: DataFrame, open_: dict, buckets: int) -> dict:
     """One refinement round: for each open target, the bucket holding its rank.
 
@@ -46,8 +58,7 @@ def _select_round(narrow: DataFrame, open_: dict, buckets: int) -> dict:
     entries = []
     for i, (c, lo, hi) in enumerate(probes):
         x = F.col(c)
-        scale = 0.5 if math.isinf(hi - lo) else 1.0
-        b = F.width_bucket(x * scale, F.lit(lo * scale), F.lit(hi * scale), F.lit(buckets))
+        b = _bucket(x, lo, hi, buckets)
         entries.append(F.when(x.between(lo, hi), F.struct(F.lit(i).alias("p"), b.alias("b"), x.alias("v"))))
     hist = (
         narrow.select(F.explode(F.array(*entries)).alias("e"))

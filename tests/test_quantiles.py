@@ -52,3 +52,16 @@ def test_approx_within_error(spark):
     df = spark.range(20000).select((F.col("id") * 1.0).alias("x"))
     row = Q.approx_quantile_row(df, ["x"], [0.25, 0.75], 0.01).first()
     assert abs(row["x"][0] - 5000) <= 0.01 * 20000 and abs(row["x"][1] - 15000) <= 0.01 * 20000
+
+
+def test_exact_quantiles_extreme_range(spark):
+    vals = [-1.7e308, 1.7e308, 0.0, 1.0, 2.0, 5e-324, -5e-324, 3.5]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    probs = [0.0, 0.3, 0.5, 0.7, 1.0]
+    got = Q.exact_quantiles(df, ["x"], probs, buckets=16)
+    srt = sorted(vals)
+    for p in probs:
+        h = (len(vals) - 1) * p
+        lo, hi = srt[int(h)], srt[min(int(h) + 1, len(vals) - 1)]
+        want = lo if h == int(h) else lo + (hi - lo) * (h - int(h))
+        assert got[("x", p)] == want
