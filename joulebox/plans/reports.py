@@ -107,10 +107,22 @@ def health_distribution(health: DataFrame, building_type=None, hvac_system=None)
 
 
 def health_share(health: DataFrame, building_type=None, hvac_system=None) -> DataFrame:
-    """Distribution plus each class's rounded percent of the total (half up)."""
-    dist = health_distribution(health, building_type, hvac_system)
-    total = F.sum("value").over(Window.partitionBy())  # bounded: at most three class rows
-    return dist.withColumn("percent", F.round(F.col("value") * 100.0 / total, 0).cast("int"))
+    """(name, value, percent): class counts and each class's rounded share (half up).
+
+    One conditional aggregation (partial per task) gives the three counts and
+    the total; ``stack`` turns the row into classes, absent classes dropped.
+    """
+    level = risk_level()
+    counts = scoped(health, building_type, hvac_system).agg(
+        *[F.count_if(level == F.lit(c)).alias(c) for c in ("Critical", "Warning", "Healthy")],
+        F.count(F.lit(1)).alias("_total"),
+    )
+    long = counts.select(
+        F.expr("stack(3, 'Critical', Critical, 'Warning', Warning, 'Healthy', Healthy) AS (name, value)"), "_total"
+    )
+    return long.filter(F.col("value") > 0).select(
+        "name", "value", F.round(F.col("value") * 100.0 / F.col("_total"), 0).cast("int").alias("percent")
+    )
 
 
 def energy_vs_area(readings: DataFrame, building_type=None, hvac_system=None, n: int = 200) -> DataFrame:
