@@ -118,15 +118,33 @@ def exact_order_statistics(
     return done
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], buckets: int = DEFAULT_BUCKETS) -> dict:
+def extreme_metrics(cols: list[str], where: Column | None = None) -> dict:
+    """Aggregates giving ``exact_quantiles`` its (count, min, max) per column, for
+    ``DataFrame.observe`` on a write of the same rows (``where`` selects them)."""
+    out = {}
+    for c in cols:
+        x = F.col(c).cast("double")
+        x = x if where is None else F.when(where, x)
+        out.update({f"{c}__n": F.count(x), f"{c}__min": F.min(x), f"{c}__max": F.max(x)})
+    return out
+
+
+def exact_quantiles(
+    df: DataFrame, cols: list[str], probs: list[float], buckets: int = DEFAULT_BUCKETS, extremes: dict | None = None
+) -> dict:
     """{(col, p): value or None}; linear interpolation between order statistics.
 
     The projection of the wanted columns is persisted (memory and disk; lost
     blocks are recomputed from lineage) for the few selection rounds.
+    ``extremes`` (the values of ``extreme_metrics``, e.g. observed while the
+    rows were written) saves the first pass over the data.
     """
     narrow = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        first = narrow.agg(*[F.struct(F.count(c), F.min(c), F.max(c)).alias(c) for c in cols]).first()
+        if extremes is not None:
+            first = {c: (extremes[f"{c}__n"], extremes[f"{c}__min"], extremes[f"{c}__max"]) for c in cols}
+        else:
+            first = narrow.agg(*[F.struct(F.count(c), F.min(c), F.max(c)).alias(c) for c in cols]).first()
         targets: dict[str, set[int]] = {}
         plan = {}
         for c in cols:
@@ -139,8 +157,8 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], buckets:
                 lo_r, hi_r = math.floor(h), math.ceil(h)
                 targets.setdefault(c, set()).update((lo_r, hi_r))
                 plan[(c, p)] = (lo_r, hi_r, h - lo_r)
-        extremes = {c: (first[c][1], first[c][2]) for c in cols}
-        stats = exact_order_statistics(narrow, targets, extremes, buckets) if targets else {}
+        ranges = {c: (first[c][1], first[c][2]) for c in cols}
+        stats = exact_order_statistics(narrow, targets, ranges, buckets) if targets else {}
     finally:
         narrow.unpersist()
     out = {}
@@ -178,7 +196,12 @@ def quantile_table(
 
 
 def iqr_bounds(
-    df: DataFrame, cols: list[str], factor: float = 3.0, mode: str = "approx", rel_error: float = 0.01
+    df: DataFrame,
+    cols: list[str],
+    factor: float = 3.0,
+    mode: str = "approx",
+    rel_error: float = 0.01,
+    extremes: dict | None = None,
 ) -> dict[str, tuple[Column, Column] | None]:
     """Per column (lower, upper) = (Q1 - factor*IQR, Q3 + factor*IQR) as literals.
 
@@ -189,7 +212,7 @@ def iqr_bounds(
     re-planned once per reference).
     """
     if mode == "exact":
-        q = exact_quantiles(df, cols, [0.25, 0.75])
+        q = exact_quantiles(df, cols, [0.25, 0.75], extremes=extremes)
         quart = {c: (q[(c, 0.25)], q[(c, 0.75)]) for c in cols}
     else:
         row = approx_quantile_row(df, cols, [0.25, 0.75], rel_error).first()

@@ -21,10 +21,10 @@ from joulebox.operators.cleaning import (
     valid_temperatures,
 )
 from joulebox.operators.dedup import dedup_rows_counted
-from joulebox.operators.quantiles import iqr_bounds, iqr_condition
+from joulebox.operators.quantiles import extreme_metrics, iqr_bounds, iqr_condition
 from joulebox.operators.topk import top_k
 from joulebox.schema import NUMERIC_COLUMNS, OUTLIER_COLUMNS, REQUIRED_COLUMNS
-from joulebox.session import stage_table
+from joulebox.session import stage_table, stage_table_observed
 
 RENAMES = {"Outside Temperature": "OutsideTemperature"}
 COPIES = "_copies"
@@ -48,6 +48,14 @@ def passes_rules() -> F.Column:
     return all_present(REQUIRED_COLUMNS) & valid_numbers() & valid_temperatures()
 
 
+def stage_counted(counted: DataFrame) -> tuple[DataFrame, dict]:
+    """Write the counted rows once under the checkpoint folder; the same write
+    observes count/min/max of the IQR columns over the rule-passing rows, which
+    the exact quantile selection would otherwise spend a pass on."""
+    staged, metrics = stage_table_observed(counted, "counted-readings", extreme_metrics(OUTLIER_COLUMNS, passes_rules()))
+    return staged, metrics
+
+
 def before_outliers(raw: DataFrame, null_tokens=("",), counted: DataFrame | None = None) -> DataFrame:
     """Everything up to the IQR rule: prepare, full-row dedup, drop missing,
     numeric rules, temperature ranges."""
@@ -82,13 +90,14 @@ def clean_readings(
     instead of recomputing the scan, join and dedup shuffle. ``counted`` (from
     ``counted_readings``, possibly staged) skips that step altogether.
     """
+    extremes = None
     if counted is None:
         counted = counted_readings(raw, null_tokens)
         if stage and bounds is None:
-            counted = stage_table(counted, "counted-readings")
+            counted, extremes = stage_counted(counted)
     df = before_outliers(raw, null_tokens, counted)
     if bounds is None:
-        bounds = iqr_bounds(df, OUTLIER_COLUMNS, iqr_factor, iqr_mode, rel_error)
+        bounds = iqr_bounds(df, OUTLIER_COLUMNS, iqr_factor, iqr_mode, rel_error, extremes if iqr_mode == "exact" else None)
     cond = iqr_condition(bounds)
     return df if cond is None else df.filter(cond)
 
@@ -142,8 +151,9 @@ def clean_with_report(
     raw: DataFrame, iqr_mode: str = "approx", iqr_factor: float = 3.0, rel_error: float = 0.01, null_tokens=("",)
 ) -> tuple[DataFrame, DataFrame]:
     """(cleaned rows, stage report) from one staged dedup and one set of bounds."""
-    counted = stage_table(counted_readings(raw, null_tokens), "counted-readings")
-    bounds = iqr_bounds(before_outliers(raw, null_tokens, counted), OUTLIER_COLUMNS, iqr_factor, iqr_mode, rel_error)
+    counted, extremes = stage_counted(counted_readings(raw, null_tokens))
+    pre = before_outliers(raw, null_tokens, counted)
+    bounds = iqr_bounds(pre, OUTLIER_COLUMNS, iqr_factor, iqr_mode, rel_error, extremes if iqr_mode == "exact" else None)
     clean = clean_readings(raw, bounds=bounds, counted=counted)
     return clean, stage_report(raw, counted=counted, bounds=bounds)
 

@@ -16,11 +16,13 @@ from joulebox.sources import testdata
 IQR_MODE = "exact"
 
 
+def _counted_and_extremes(spark: SparkSession, sf: str):
+    return memo(spark, ("counted", sf), lambda: R.stage_counted(R.counted_readings(testdata.loose_readings(spark, sf))))
+
+
 def counted(spark: SparkSession, sf: str):
     """Distinct prepared readings with multiplicity, stored once per session under the checkpoint folder."""
-    return memo(
-        spark, ("counted", sf), lambda: stage_table(R.counted_readings(testdata.loose_readings(spark, sf)), "counted-readings")
-    )
+    return _counted_and_extremes(spark, sf)[0]
 
 
 def staged(spark: SparkSession, sf: str):
@@ -30,7 +32,8 @@ def staged(spark: SparkSession, sf: str):
 
 def bounds(spark: SparkSession, sf: str) -> dict:
     """IQR bounds for the readings of ``sf`` (a handful of literals, memoised per session)."""
-    return memo(spark, ("iqr", sf), lambda: iqr_bounds(staged(spark, sf), OUTLIER_COLUMNS, mode=IQR_MODE))
+    extremes = _counted_and_extremes(spark, sf)[1]
+    return memo(spark, ("iqr", sf), lambda: iqr_bounds(staged(spark, sf), OUTLIER_COLUMNS, mode=IQR_MODE, extremes=extremes))
 
 
 def clean(spark: SparkSession, sf: str):

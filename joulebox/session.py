@@ -66,3 +66,14 @@ def stage_table(df, name: str):
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}")
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def stage_table_observed(df, name: str, metrics: dict):
+    """``stage_table`` that also returns aggregate ``metrics`` ({alias: Column})
+    computed by the same write through ``DataFrame.observe`` (no extra pass)."""
+    from pyspark.sql import Observation
+
+    obs = Observation(name)
+    observed = df.observe(obs, *[m.alias(k) for k, m in metrics.items()])
+    out = stage_table(observed, name)
+    return out, obs.get
