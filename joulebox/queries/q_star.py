@@ -220,14 +220,12 @@ def q_dim_append_new(spark, sf):
 
 
 MERGE_SQL = S.with_silver(
-    f"""target AS (SELECT f.* FROM fact f JOIN silver s USING (RecordID) WHERE s.ReadingDate < DATE '{CUTOFF}'),
+    """SELECT * FROM target WHERE RecordID NOT IN (SELECT RecordID FROM source WHERE RecordID IS NOT NULL)
+UNION ALL SELECT * FROM source""",
+    ctes=f"""target AS (SELECT f.* FROM fact f JOIN silver s USING (RecordID) WHERE s.ReadingDate < DATE '{CUTOFF}'),
 source AS (SELECT f.* REPLACE (f.EnergyConsumption + 1 AS EnergyConsumption) FROM fact f JOIN silver s USING (RecordID)
-           WHERE s.ReadingDate >= DATE '{OVERLAP}')
-SELECT * FROM target WHERE RecordID NOT IN (SELECT RecordID FROM source WHERE RecordID IS NOT NULL)
-UNION ALL SELECT * FROM source""".replace("target AS", ", target AS", 1)
+           WHERE s.ReadingDate >= DATE '{OVERLAP}')""",
 )
-# the with_silver prefix ends a CTE list; continue it
-MERGE_SQL = MERGE_SQL.replace("\n, target AS", ",\ntarget AS")
 
 
 def merge_sides(spark, sf):

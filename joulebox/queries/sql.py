@@ -229,8 +229,10 @@ fact AS (
 SILVER_CHAIN = ",".join([RAW, SILVER])
 
 
-def with_silver(select: str) -> str:
-    return f"WITH {SILVER_CHAIN}\n{select}"
+def with_silver(select: str, ctes: str | None = None) -> str:
+    """The silver chain, optionally followed by more CTEs, then the select."""
+    more = f",\n{ctes}" if ctes else ""
+    return f"WITH {SILVER_CHAIN}{more}\n{select}"
 
 
 def calendar_sql(source: str) -> str:
