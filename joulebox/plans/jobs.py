@@ -22,37 +22,48 @@ from joulebox.session import stage_table
 from joulebox.sources.files import read_json_inferred
 
 
-def etl_job(spark: SparkSession, raw_path: str, out_base: str, iqr_mode: str = "approx") -> dict:
+def _write(df, path: str, fmt: str) -> None:
+    df.write.mode("overwrite").format(fmt).save(path)
+
+
+def etl_job(spark: SparkSession, raw_path: str, out_base: str, iqr_mode: str = "approx", fmt: str = "json") -> dict:
+    """``fmt`` is the format of the processed and analytics layers: JSON as the
+    original wrote them, or parquet (columnar, pushdown) for large volumes."""
     raw = read_json_inferred(spark, raw_path)
     clean, report_df = R.clean_with_report(raw, iqr_mode=iqr_mode)
     feats = R.add_features(clean)
     fail_if_empty(feats, "ETL stopped because no records remained after cleaning.")
     processed = f"{out_base}/processed/energy"
-    L.write_json(feats, processed)
-    feats = spark.read.json(processed)  # later steps read the stored rows, not the cleaning plan
-    L.write_json(R.statistics(feats), f"{out_base}/analytics/energy_statistics")
-    L.write_json(R.by_building(feats), f"{out_base}/analytics/energy_by_building")
-    L.write_json(R.by_hvac(feats), f"{out_base}/analytics/energy_by_hvac")
+    _write(feats, processed, fmt)
+    feats = spark.read.format(fmt).load(processed)  # later steps read the stored rows, not the cleaning plan
+    _write(R.statistics(feats), f"{out_base}/analytics/energy_statistics", fmt)
+    _write(R.by_building(feats), f"{out_base}/analytics/energy_by_building", fmt)
+    _write(R.by_hvac(feats), f"{out_base}/analytics/energy_by_hvac", fmt)
     L.write_parquet(M.ml_feature_table(feats), f"{out_base}/analytics/ml_features")
     return report_df.first().asDict()
 
 
 def model_job(
-    spark: SparkSession, processed_path: str, out_base: str, split: str = "stable", health_mode: str = "approx"
+    spark: SparkSession,
+    processed_path: str,
+    out_base: str,
+    split: str = "stable",
+    health_mode: str = "approx",
+    fmt: str = "json",
 ) -> dict:
-    base = M.model_input(spark.read.json(processed_path))
+    base = M.model_input(spark.read.format(fmt).load(processed_path))
     fail_if_empty(base, "No valid records available for ML.")
     train, test = M.stable_split(base) if split == "stable" else M.random_split(base)
     model = M.fit_energy_model(train)
     pred = M.predictions(model, test)
-    L.write_json(pred, f"{out_base}/analytics/ml_predictions")
-    pred = spark.read.json(f"{out_base}/analytics/ml_predictions")
+    _write(pred, f"{out_base}/analytics/ml_predictions", fmt)
+    pred = spark.read.format(fmt).load(f"{out_base}/analytics/ml_predictions")
     health = M.building_health(pred, mode=health_mode)
-    L.write_json(health, f"{out_base}/analytics/building_health")
+    _write(health, f"{out_base}/analytics/building_health", fmt)
     M.save_model(model, f"{out_base}/models/energy_linear_regression")
     out = M.evaluate(pred)
     share = (
-        spark.read.json(f"{out_base}/analytics/building_health")
+        spark.read.format(fmt).load(f"{out_base}/analytics/building_health")
         .agg(F.count_if(F.col("EfficiencyStatus") != "Normal Range").alias("flagged"), F.count(F.lit(1)).alias("total"))
         .first()
     )
@@ -60,7 +71,7 @@ def model_job(
     return out
 
 
-def publish_job(spark: SparkSession, out_base: str, prefix: str = "") -> list[str]:
+def publish_job(spark: SparkSession, out_base: str, prefix: str = "", fmt: str = "json") -> list[str]:
     datasets = {
         f"{out_base}/processed/energy": f"{prefix}processed_energy",
         f"{out_base}/analytics/energy_by_building": f"{prefix}energy_by_building",
@@ -69,7 +80,7 @@ def publish_job(spark: SparkSession, out_base: str, prefix: str = "") -> list[st
         f"{out_base}/analytics/building_health": f"{prefix}building_health",
         f"{out_base}/analytics/ml_predictions": f"{prefix}ml_predictions",
     }
-    return L.publish_tables(spark, datasets, fmt="json")
+    return L.publish_tables(spark, datasets, fmt=fmt)
 
 
 def extract_job(spark: SparkSession, batch_path: str, bronze_path: str, quarantine_path: str | None = None) -> dict:
@@ -80,11 +91,14 @@ def extract_job(spark: SparkSession, batch_path: str, bronze_path: str, quaranti
     return {"written": wrote}
 
 
-def transform_job(spark: SparkSession, bronze_path: str, lake: str, ledger_path: str | None = None) -> dict:
+def transform_job(
+    spark: SparkSession, bronze_path: str, lake: str, ledger_path: str | None = None, partition_by: list[str] | None = None
+) -> dict:
     """Silver append, dims (calendar once, SCD0 category dims), fact staging overwrite.
 
     With a ledger only bronze batches not processed before are taken, and their
-    ids are recorded afterwards (re-runs add nothing).
+    ids are recorded afterwards (re-runs add nothing). ``partition_by`` (e.g.
+    ``["date_key"]``) partitions the silver and fact files so date filters prune.
     """
     bronze = spark.read.parquet(bronze_path)
     if ledger_path and L.path_exists(spark, ledger_path):
@@ -94,11 +108,11 @@ def transform_job(spark: SparkSession, bronze_path: str, lake: str, ledger_path:
     silver = G.to_silver(bronze)
     silver_path = f"{lake}/silver/power_consumption"
     staged_silver = stage_table(silver, "silver")  # one computation feeds silver, dims and fact
-    L.append_if_rows(staged_silver, silver_path)
+    L.append_if_rows(staged_silver, silver_path, partition_by=partition_by)
     L.load_once(spark, G.calendar(spark), f"{lake}/gold/dim_date")
     L.dim_append_new(spark, G.dim_building_type(staged_silver), f"{lake}/gold/dim_building_type", "building_type_key")
     L.dim_append_new(spark, G.dim_hvac_system(staged_silver), f"{lake}/gold/dim_hvac_system", "hvac_key")
-    L.write_parquet(G.fact_energy(staged_silver), f"{lake}/gold/fact_energy_consumption")
+    L.write_parquet(G.fact_energy(staged_silver), f"{lake}/gold/fact_energy_consumption", partition_by=partition_by)
     if ledger_path and batch is not None:
         L.record_batches(spark, batch, ledger_path)
     return {"silver_rows": staged_silver.count()}

@@ -82,3 +82,20 @@ def test_stamp_batches_format(spark):
     assert out[0]["RecordID"] == "REC-000000" and out[49]["batch_id"] == "POWER-BATCH-0001"
     assert out[50]["batch_id"] == "POWER-BATCH-0002" and out[119]["RecordID"] == "REC-000119"
     assert {r["source"] for r in out.values()} == {"power_consumption_sensor"}
+
+
+def test_parquet_layers_and_partitioned_lake(spark, sf_small, tmp_path):
+    raw = str(tmp_path / "raw")
+    testdata.loose_readings(spark, sf_small).write.json(raw)
+    out = str(tmp_path / "out")
+    rep = jobs.etl_job(spark, raw, out, fmt="parquet")
+    assert spark.read.parquet(f"{out}/processed/energy").count() == rep["clean_records"]
+    m = jobs.model_job(spark, f"{out}/processed/energy", out, fmt="parquet")
+    assert m["total"] == spark.read.parquet(f"{out}/analytics/building_health").count()
+    bronze = str(tmp_path / "bronze")
+    testdata.raw_readings(spark, sf_small).write.parquet(bronze)
+    lake = str(tmp_path / "lake")
+    jobs.transform_job(spark, bronze, lake, partition_by=["date_key"])
+    fact = spark.read.parquet(f"{lake}/gold/fact_energy_consumption")
+    one_day = fact.filter(F.col("date_key") == 19960101)
+    assert "PartitionFilters: [isnotnull(date_key" in one_day._jdf.queryExecution().executedPlan().toString()
