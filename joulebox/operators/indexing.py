@@ -1,10 +1,10 @@
 """Stable row numbering over a total order without a single-partition window.
 
 The frame is range-partitioned and sorted on the order keys; each row gets
-its partition id and in-partition position; that tagging is frozen with a
-reliable ``checkpoint()`` (in ``spark.checkpoint.dir``) so retries and lost
-executors see the same numbering; per-partition counts (one row per
-partition, a bounded table) give each partition's offset.
+its partition id and in-partition position; that tagging is frozen by
+writing it once as parquet under ``spark.checkpoint.dir`` (columnar, lineage
+cut) so retries and lost executors see the same numbering; per-partition
+counts (one row per partition, a bounded table) give each partition's offset.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from joulebox.session import ensure_checkpoint_dir
+from joulebox.session import stage_table
 
 
 def global_index(df: DataFrame, order: list[Column | str], index_col: str = "row_index", partitions: int | None = None) -> DataFrame:
@@ -22,12 +22,11 @@ def global_index(df: DataFrame, order: list[Column | str], index_col: str = "row
     value that repeats a third of all rows does not land in one task.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c) if isinstance(c, str) else c for c in order] + [F.rand(17)]
     ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     tagged = ranged.withColumns({"_pid": F.spark_partition_id(), "_mid": F.monotonically_increasing_id()})
-    tagged = tagged.checkpoint(eager=True)
+    tagged = stage_table(tagged, "row-index")
     sizes = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
     offsets = sizes.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
