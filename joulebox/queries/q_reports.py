@@ -67,7 +67,8 @@ def q_agg_count_distinct(spark, sf):
 @register(
     "agg_conditional",
     S.with_model(
-        f"""SELECT sum(CASE WHEN EfficiencyStatus = {ABOVE} THEN 1 ELSE 0 END) AS at_risk_count FROM health WHERE {S.SCOPE}"""
+        f"""SELECT CAST(sum(CASE WHEN EfficiencyStatus = {ABOVE} THEN 1 ELSE 0 END) AS BIGINT) AS at_risk_count
+FROM health WHERE {S.SCOPE}"""
     ),
 )
 def q_agg_conditional(spark, sf):
@@ -204,7 +205,7 @@ def q_report_epa_by_type(spark, sf):
 
 
 SERIES = S.with_model(
-    f"""SELECT row_number() OVER (ORDER BY actual, predicted) AS index, actual, predicted FROM
+    f"""SELECT CAST(row_number() OVER (ORDER BY actual, predicted) AS INTEGER) AS index, actual, predicted FROM
  (SELECT EnergyConsumption AS actual, prediction AS predicted FROM pred WHERE {S.SCOPE}
   ORDER BY actual, predicted LIMIT 100)"""
 )

@@ -112,9 +112,7 @@ def q_fn_date_key(spark, sf):
 @register(
     "fn_date_parts",
     f"""WITH {S.RAW.strip()}
-SELECT DISTINCT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS date, year(d) AS year, month(d) AS month,
-       day(d) AS day, dayname(d) AS day_name, dayofweek(d) + 1 AS day_of_week, weekofyear(d) AS week_of_year,
-       quarter(d) AS quarter, dayofweek(d) IN (0, 6) AS is_weekend
+SELECT DISTINCT {S.DATE_PARTS}
 FROM (SELECT CAST(ReadingDate AS DATE) AS d FROM raw)""",
 )
 def q_fn_date_parts(spark, sf):

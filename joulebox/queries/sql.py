@@ -235,8 +235,12 @@ def with_silver(select: str, ctes: str | None = None) -> str:
     return f"WITH {SILVER_CHAIN}{more}\n{select}"
 
 
+DATE_PARTS = """CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS date, CAST(year(d) AS INTEGER) AS year,
+       CAST(month(d) AS INTEGER) AS month, CAST(day(d) AS INTEGER) AS day, dayname(d) AS day_name,
+       CAST(dayofweek(d) + 1 AS INTEGER) AS day_of_week, CAST(weekofyear(d) AS INTEGER) AS week_of_year,
+       CAST(quarter(d) AS INTEGER) AS quarter, dayofweek(d) IN (0, 6) AS is_weekend"""
+
+
 def calendar_sql(source: str) -> str:
-    return f"""SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS date, year(d) AS year, month(d) AS month,
-       day(d) AS day, dayname(d) AS day_name, dayofweek(d) + 1 AS day_of_week, weekofyear(d) AS week_of_year,
-       quarter(d) AS quarter, dayofweek(d) IN (0, 6) AS is_weekend
+    return f"""SELECT {DATE_PARTS}
 FROM (SELECT CAST(unnest(generate_series(min(ReadingDate), max(ReadingDate), INTERVAL 1 DAY)) AS DATE) AS d FROM {source})"""
