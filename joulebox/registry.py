@@ -37,6 +37,11 @@ def memo(spark: SparkSession, key, compute):
     return _MEMO[full]
 
 
+def clear_memo() -> None:
+    """Forget memoised values (the bench measures each query from scratch)."""
+    _MEMO.clear()
+
+
 def load_all() -> None:
     """Import the modules that register queries (idempotent)."""
     from joulebox.queries import (  # noqa: F401
