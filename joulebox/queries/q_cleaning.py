@@ -9,7 +9,6 @@ from joulebox.queries import sql as S
 from joulebox.operators.quantiles import iqr_bounds
 from joulebox.registry import memo, register
 from joulebox.schema import OUTLIER_COLUMNS
-from joulebox.session import stage_table
 from joulebox.sources import testdata
 
 # Oracle-checked queries use exact quartiles so DuckDB's quantile_cont can match.

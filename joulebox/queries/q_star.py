@@ -17,7 +17,6 @@ from joulebox.plans import loading as L
 from joulebox.plans import medallion as G
 from joulebox.queries import sql as S
 from joulebox.registry import memo, register
-from joulebox.schema import RAW_READING
 from joulebox.session import scratch_path
 from joulebox.sources import files, testdata
 

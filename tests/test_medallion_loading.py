@@ -1,7 +1,6 @@
 import json
 import os
 
-import pytest
 from pyspark.sql import functions as F
 
 from joulebox.plans import loading as L

@@ -1,6 +1,5 @@
 import json
 
-from pyspark.sql import functions as F
 
 from joulebox.plans import readings as R
 from joulebox.sources import files
