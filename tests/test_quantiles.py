@@ -65,3 +65,17 @@ def test_exact_quantiles_extreme_range(spark):
         lo, hi = srt[int(h)], srt[min(int(h) + 1, len(vals) - 1)]
         want = lo if h == int(h) else lo + (hi - lo) * (h - int(h))
         assert got[("x", p)] == want
+
+
+def test_approx_rank_error_vs_exact(spark, sf_small):
+    """T11: approximate quartiles differ from exact ones but stay within rel_error * n in rank."""
+    from joulebox.sources import testdata
+
+    e = testdata.table(spark, sf_small, "lineitem").select(F.col("l_extendedprice").alias("x"))
+    n = e.count()
+    approx = Q.approx_quantile_row(e, ["x"], [0.25, 0.75], 0.01).first()["x"]
+    exact = Q.exact_quantiles(e, ["x"], [0.25, 0.75])
+    for v, p in zip(approx, (0.25, 0.75)):
+        rank = e.filter(F.col("x") <= v).count()
+        assert abs(rank - p * n) <= 0.01 * n + 1
+        assert abs(v - exact[("x", p)]) / exact[("x", p)] < 0.05
