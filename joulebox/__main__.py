@@ -1,8 +1,8 @@
 """Command line: python -m joulebox <job> [args]
 
-  etl       RAW_JSON OUT_BASE [approx|exact]
-  model     PROCESSED_JSON OUT_BASE
-  publish   OUT_BASE
+  etl       RAW_JSON OUT_BASE [approx|exact] [json|parquet]
+  model     PROCESSED_JSON OUT_BASE [stable|random] [approx|exact] [json|parquet]
+  publish   OUT_BASE [TABLE_PREFIX] [json|parquet]
   extract   BATCH_JSON BRONZE [QUARANTINE]
   transform BRONZE LAKE [LEDGER]
   load      LAKE
