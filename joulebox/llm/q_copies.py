@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import substrings
+from . import near_copies, substrings
 from .registry import register
 from .tables import read
 
@@ -25,3 +25,8 @@ SELECT a.doc_id, len(w) AS n_words, n_removed, sha256(coalesce(kept, '')) AS kep
 def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return substrings.remove_repeats(docs, digest=True)
+
+
+@register("op6_near_copies")
+def op6_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies.label(read(spark, sf_dir, "documents").select("doc_id", "text"))
