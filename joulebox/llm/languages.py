@@ -33,6 +33,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .tables import stage
 from .textblock import LOWER, U64, Spans, blocks, mix, ranges
@@ -307,27 +308,33 @@ def word_languages(text: str, model: Model) -> list[tuple[str, str, float]]:
     ]
 
 
-def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns (the id only, if not given), lang_pred and score of every row."""
+def identify(
+    docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None,
+    pred_col: str = "lang_pred", score_col: str = "score",
+) -> DataFrame:
+    """``keep`` columns (the id only, if not given), the language and the score of every row."""
     keep = keep or [id_col]
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    clash = {pred_col, score_col} & set(keep)
+    if clash:
+        raise ValueError(f"the kept columns include {sorted(clash)}; name the results otherwise")
     if model is None:
-        return docs.select(*keep, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+        return docs.select(*keep, F.lit(UNKNOWN).alias(pred_col), F.lit(0.0).alias(score_col))
     names = np.array([*model.languages, UNKNOWN], object)
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    where = len(keep)
+    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(pred_col, T.StringType()), T.StructField(score_col, T.DoubleType())])
+    sent = [F.col(c) for c in keep]
+    if text_col not in keep:
+        sent.append(F.col(text_col))
+    where, n = keep.index(text_col) if text_col in keep else len(keep), len(sent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            letter = batch.column(where + 1).to_numpy(zero_copy_only=False).astype(bool)
+            letter = batch.column(n).to_numpy(zero_copy_only=False).astype(bool)
             for lo, hi, data, offs in blocks(batch.column(where)):
                 pred, score = document_languages(Spans(data, offs, LETTERS, LOWER), model)
                 none = ~letter[lo:hi] | (pred < 0)
                 pred[none], score[none] = len(names) - 1, 0.0
-                yield pa.record_batch(
-                    [*[batch.column(i).slice(lo, hi - lo) for i in range(where)], pa.array(names[pred], pa.string()), pa.array(score)],
-                    [*keep, "lang_pred", "score"],
-                )
+                own = [batch.column(i).slice(lo, hi - lo) for i in range(len(keep))]
+                yield pa.record_batch([*own, pa.array(names[pred], pa.string()), pa.array(score)], schema.fieldNames())
 
-    rows = docs.select(*keep, text.alias("__text"), text.rlike(r"\p{L}").alias("__letter"))
-    return rows.mapInArrow(run, f"{schema}, lang_pred string, score double")
+    letter = F.coalesce(F.col(text_col), F.lit("")).rlike(r"\p{L}")
+    return docs.select(*sent, letter.alias("__letter")).mapInArrow(run, schema)

@@ -39,6 +39,7 @@ from pyspark.sql import types as T
 
 from .textblock import Spans, blocks, bytes_column, list_column, ranges
 
+MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁".encode()
 UNKNOWN_PENALTY = 10.0
 BLOCK_BYTES = 4 << 20

@@ -1,11 +1,11 @@
-"""Queries of the list and search operators: op4, op10, op2."""
+"""Queries of the list and search operators: op2, op3, op4, op10."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, url_lists
+from . import decontaminate, identifiers, topk, url_lists
 from .registry import register
 from .tables import read
 
@@ -69,3 +69,30 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         "contaminated",
     )
+
+
+OP2_SQL = """
+WITH e AS (SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings WHERE embedding IS NOT NULL),
+bad AS (SELECT DISTINCT vec_id FROM e WHERE x IS NULL OR NOT isfinite(x)),
+v AS (SELECT vec_id, i, CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) AS c FROM e WHERE vec_id NOT IN (SELECT vec_id FROM bad)),
+s AS (SELECT q.vec_id AS query_id, d.vec_id, CAST(sum(q.c * d.c) AS BIGINT) AS score
+      FROM v q JOIN v d ON q.i = d.i WHERE q.vec_id % 100 = 0 AND q.vec_id <> d.vec_id GROUP BY q.vec_id, d.vec_id)
+SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM s) WHERE r <= 10
+"""
+
+
+@register("op2_topk", OP2_SQL)
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 100 == 0)
+
+
+@register("op3_identifiers")
+def op3_identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = identifiers.spans(read(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"])
+    return found.select(
+        "doc_id",
+        *[identifiers.count_of("base", k).alias(f"n_{k}") for k in identifiers.KINDS],
+        F.sha2(identifiers.span_text("base"), 256).alias("base_sha256"),
+        identifiers.span_text("spans").alias("spans"),
+    )

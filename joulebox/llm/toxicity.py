@@ -34,7 +34,7 @@ from .quality import TOKENS
 from .textblock import LOWER, U64, Spans, blocks
 
 BITS = 18
-EPOCHS = 6
+EPOCHS = 8
 #: Bound on the labelled rows that the voters' lists come from.
 MAX_LABELLED_ROWS = 30_000
 #: Bound on the documents that the classifier is fitted on.
@@ -262,7 +262,7 @@ def fit(
 
     kind = docs.schema[id_col].dataType.simpleString()
     soft = chosen.select(id_col, F.coalesce("text", F.lit("")).alias("text")).mapInArrow(soften, f"doc {kind}, text string, y double")
-    return train_ftrl(featurise(soft, features, BITS, ["doc", "y"]), BITS, EPOCHS, alpha=0.1, l1=0.5, l2=1.0)
+    return train_ftrl(featurise(soft, features, BITS, ["doc", "y"]), BITS, EPOCHS, alpha=1.0, l1=4.0, l2=0.01)
 
 
 def toxicity_scores(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
