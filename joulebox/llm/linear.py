@@ -108,16 +108,22 @@ def train_ftrl(
                 g = np.bincount(at, weights=(p - y[lo:hi])[own] * x, minlength=len(used))
                 z[used] += g - (np.sqrt(n[used] + g * g) - np.sqrt(n[used])) / alpha * w
                 n[used] += g * g
-            return pd.DataFrame({"z": [z.astype(np.float32).tobytes()], "n": [n.astype(np.float32).tobytes()]})
+            at = np.flatnonzero(n)  # slots that no row has had stay at zero
+            state = (at.astype(np.int32), z[at].astype(np.float32), n[at].astype(np.float32))
+            return pd.DataFrame({c: [v.tobytes()] for c, v in zip(("at", "z", "n"), state, strict=True)})
 
         return run
 
     for _ in range(epochs):
-        got = rows.groupBy("shard").applyInPandas(epoch(z, n), "z binary, n binary").collect()
+        got = rows.groupBy("shard").applyInPandas(epoch(z, n), "at binary, z binary, n binary").orderBy("at").collect()
         if not got:
             return np.zeros(size)
-        z = np.mean([np.frombuffer(r["z"], np.float32) for r in got], axis=0, dtype=np.float64).astype(np.float32)
-        n = np.mean([np.frombuffer(r["n"], np.float32) for r in got], axis=0, dtype=np.float64).astype(np.float32)
+        sums = np.zeros((2, size))
+        for r in got:
+            at = np.frombuffer(r["at"], np.int32)
+            sums[0, at] += np.frombuffer(r["z"], np.float32)
+            sums[1, at] += np.frombuffer(r["n"], np.float32)
+        z, n = (sums / len(got)).astype(np.float32)
     return ftrl_weights(z.astype(np.float64), n.astype(np.float64), alpha, beta, l1, l2)
 
 

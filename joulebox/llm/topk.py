@@ -13,7 +13,7 @@ Vectors are packed in shards, queries in blocks; each block meets each shard onc
 are dealt to groups by a hash, blocks are copied to the groups.
 
 Components become floor(scale * x), whole numbers; scores are exact (float64 while
-all sums stay below 2**53, Python integers beyond).
+all sums stay below 2**52, Python integers beyond) and end at the range of a long.
 
 Edge cases: vectors that are null or empty of finite numbers (a null, NaN or infinite component) take
 no part, as do rows with a null id. A query does not meet rows with its own id. Missing
@@ -132,6 +132,8 @@ def max_score(queries: np.ndarray, shard: np.ndarray, ids: np.ndarray, best: Bes
                 fit = score >= over
                 alive, score = alive[fit], score[fit]
             if len(alive):
+                if kind is object:  # a long's range bounds what can be returned
+                    score = np.array([min(max(int(x), -(1 << 63)), (1 << 63) - 1) for x in score])
                 best.add(i, score.astype(np.int64), ids[alive])
 
 

@@ -33,7 +33,7 @@ from .linear import distinct_features, featurise, labelled_sample, score, train_
 from .quality import TOKENS
 from .textblock import LOWER, U64, Spans, blocks
 
-BITS = 18
+BITS = 20
 EPOCHS = 8
 #: Bound on the labelled rows that the voters' lists come from.
 MAX_LABELLED_ROWS = 30_000
@@ -42,7 +42,9 @@ MAX_TRAINING_ROWS = 12_000
 #: Bytes of the word beginnings.
 BEGINNINGS = (4, 5, 6)
 #: A slot is listed if this many toxic texts have it, at this many times the clean texts' rate.
-LEAST_TEXTS, LEAST_RATIO = 4, 25.0
+LEAST_TEXTS, LEAST_RATIO = 3, 25.0
+#: L1 strength for each root of the number of rows: noise in a sum of gradients grows as that root.
+L1_PER_ROOT_ROW = 0.04
 LISTS_PER_KIND = 2
 #: Common insults.
 INSULTS = (
@@ -262,7 +264,8 @@ def fit(
 
     kind = docs.schema[id_col].dataType.simpleString()
     soft = chosen.select(id_col, F.coalesce("text", F.lit("")).alias("text")).mapInArrow(soften, f"doc {kind}, text string, y double")
-    return train_ftrl(featurise(soft, features, BITS, ["doc", "y"]), BITS, EPOCHS, alpha=1.0, l1=4.0, l2=0.01)
+    l1 = L1_PER_ROOT_ROW * float(min(max_rows, counts.sum())) ** 0.5
+    return train_ftrl(featurise(soft, features, BITS, ["doc", "y"]), BITS, EPOCHS, alpha=1.0, l1=l1, l2=0.01)
 
 
 def toxicity_scores(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
