@@ -3,6 +3,7 @@
   etl       RAW_JSON OUT_BASE [approx|exact] [json|parquet]
   model     PROCESSED_JSON OUT_BASE [stable|random] [approx|exact] [json|parquet]
   publish   OUT_BASE [TABLE_PREFIX] [json|parquet]
+  report    NAME [TABLE_PREFIX] [BUILDING_TYPE] [HVAC_SYSTEM]   (over the published tables; prints JSON rows)
   extract   BATCH_JSON BRONZE [QUARANTINE]
   transform BRONZE LAKE [LEDGER]
   load      LAKE
@@ -36,6 +37,8 @@ def main(argv: list[str]) -> int:
         out = jobs.model_job(spark, *args)
     elif job == "publish":
         out = jobs.publish_job(spark, *args)
+    elif job == "report":
+        out = [json.loads(r) for r in jobs.report(spark, *args).toJSON().collect()]  # a report has few rows
     elif job == "extract":
         out = jobs.extract_job(spark, *args)
     elif job == "transform":

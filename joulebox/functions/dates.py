@@ -41,15 +41,3 @@ def md5_bucket(key: Column | str, buckets: int) -> Column:
     """Stable bucket in [0, buckets) from the first 7 hex digits of md5(key)."""
     h = F.conv(F.substring(F.md5(_c(key).cast("string")), 1, 7), 16, 10).cast("bigint")
     return F.pmod(h, F.lit(buckets))
-
-
-def reading_date_from_hash(key: Column | str, start: str, end: str) -> Column:
-    """start + (stable hash of key mod span+1) days, as yyyy-MM-dd text.
-
-    Stands in for the per-row seeded random date of the batch simulator: the
-    same key always gets the same date regardless of partitioning.
-    """
-    span = F.datediff(F.to_date(F.lit(end)), F.to_date(F.lit(start)))
-    h = F.conv(F.substring(F.md5(_c(key).cast("string")), 1, 7), 16, 10).cast("bigint")
-    offset = F.pmod(h, span + 1).cast("int")
-    return F.date_format(F.date_add(F.to_date(F.lit(start)), offset), "yyyy-MM-dd")

@@ -36,11 +36,6 @@ def safe_divide(num: Column | str, den: Column | str) -> Column:
     return _c(num) / F.when(d != 0, d)
 
 
-def round_decimal(col: Column | str, scale: int) -> Column:
-    """Round half-up on the decimal value (engine-independent tie handling)."""
-    return F.round(_c(col).cast("decimal(38,10)"), scale).cast("double")
-
-
 def clamp_health_score(deviation: Column | str) -> Column:
     """100 - max(dev, 0) clamped to [0, 100]; NULL when the deviation is NULL.
 

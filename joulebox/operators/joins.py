@@ -1,30 +1,19 @@
-"""Join helpers with an explicit size check before any broadcast."""
+"""Join helpers. The planner picks the strategy from file statistics; nothing is broadcast by hint."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows above which a derived (statistics-free) side is never broadcast.
-DEFAULT_BROADCAST_ROWS = 1_000_000
 
+def lookup_keys(fact: DataFrame, dim: DataFrame, on: str) -> DataFrame:
+    """fact LEFT JOIN dim USING (on): fetch surrogate keys by natural value.
 
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """broadcast(df) when it has at most ``max_rows`` rows, else df unchanged.
-
-    The check reads at most ``max_rows + 1`` rows. Beyond the bound the join
-    stays a shuffle join (and AQE may still switch it at run time).
+    The planner broadcasts the dimension while its files are under the broadcast
+    threshold (read it from stored files, which have real statistics) and
+    sorts and merges beyond it; AQE splits a natural value that many rows share.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
-def lookup_keys(
-    fact: DataFrame, dim: DataFrame, on: str, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS
-) -> DataFrame:
-    """fact LEFT JOIN dim USING (on): fetch surrogate keys by natural value."""
-    return fact.join(sized_broadcast(dim, max_broadcast_rows), on=on, how="left")
+    return fact.join(dim, on=on, how="left")
 
 
 def new_keys(batch: DataFrame, existing: DataFrame, key: str) -> DataFrame:

@@ -7,25 +7,29 @@ Two modes:
   (accuracy = 1 / rel_error). Partial sketches are merged, so memory per task
   is bounded whatever the row count.
 * ``exact``: interpolated quantiles (same definition as SQL
-  ``percentile`` / DuckDB ``quantile_cont``) found by distributed selection.
-  Each round counts rows per equal-width bucket of the current value range for
-  every open target in one aggregation (partial aggregation map-side, so a hot
-  value costs one row per task), then narrows each target to the bucket that
-  holds its rank. The driver only sees bucket histograms (at most
-  ``buckets + 2`` rows per target); no task ever holds the values of a group.
-  Rounds needed: about log(range / resolution) / log(buckets), usually 2-3.
+  ``percentile`` / DuckDB ``quantile_cont``) found by distributed selection. One
+  sketch aggregation brackets every wanted rank between two values; a second
+  aggregation counts the rows below each bracket and, inside it only, rows per
+  equal-width bucket (map-side combined, so a hot value costs one row per task;
+  what is shuffled follows the bracket's share of the rows, not tasks times buckets).
+  A rank whose bucket holds several values is narrowed to it and looked at again. The
+  driver sees one row per rank and round; no task ever holds the values of a group.
+
+NULL, NaN and the infinities are no values: both modes leave them out.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 1 << 16
-MAX_ROUNDS = 200  # pathological spreads only; real data needs 2-3
+from joulebox.functions.numeric import finite_or_null
+
+DEFAULT_BUCKETS = 1 << 12
+#: Accuracy of the sketch that brackets the ranks: off by at most 1 / ACCURACY of the rows.
+ACCURACY = 2_000
 
 
 def _interpolate(lo: float, hi: float, frac: float) -> float:
@@ -61,8 +65,7 @@ def _select_round(narrow: DataFrame, open_: dict, buckets: int) -> dict:
         b = _bucket(x, lo, hi, buckets)
         entries.append(F.when(x.between(lo, hi), F.struct(F.lit(i).alias("p"), b.alias("b"), x.alias("v"))))
     hist = (
-        narrow.select(F.explode(F.array(*entries)).alias("e"))
-        .filter(F.col("e").isNotNull())
+        narrow.select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
         .groupBy(F.col("e.p").alias("p"), F.col("e.b").alias("b"))
         .agg(F.count(F.lit(1)).alias("n"), F.min("e.v").alias("mn"), F.max("e.v").alias("mx"))
     )
@@ -83,30 +86,46 @@ def _select_round(narrow: DataFrame, open_: dict, buckets: int) -> dict:
     return {keys[row["t"]]: row for row in found}
 
 
+def _brackets(narrow: DataFrame, targets: dict[str, set[int]], sizes: dict[str, int]) -> dict:
+    """(column, rank) -> (low, high): values of the sketch at least one error below and above the rank."""
+    wanted = {c: sorted(r) for c, r in targets.items()}
+    exprs = []
+    for c, ranks in wanted.items():
+        ends = [min(1.0, max(0.0, r / sizes[c] + side * 2 / ACCURACY)) for r in ranks for side in (-1, 1)]
+        exprs.append(F.percentile_approx(c, F.array(*[F.lit(p) for p in ends]), ACCURACY).alias(c))
+    row = narrow.agg(*exprs).first()
+    return {(c, r): (row[c][2 * i], row[c][2 * i + 1]) for c, ranks in wanted.items() for i, r in enumerate(ranks)}
+
+
 def exact_order_statistics(
-    narrow: DataFrame, targets: dict[str, set[int]], extremes: dict[str, tuple], buckets: int = DEFAULT_BUCKETS
+    narrow: DataFrame, targets: dict[str, set[int]], extremes: dict[str, tuple], sizes: dict[str, int], buckets: int = DEFAULT_BUCKETS
 ) -> dict[tuple[str, int], float]:
-    """Values at 0-based ranks among the non-null values of each column.
+    """Values at 0-based ranks among the non-null values of each column (finite ones only).
 
     ``targets`` maps a column to the ranks wanted (each < the column's
-    non-null count); ``extremes`` gives each column's (min, max).
+    non-null count, ``sizes``); ``extremes`` gives each column's (min, max).
     """
-    open_: dict[tuple[str, int], list] = {}  # (col, rank) -> [lo, hi, rows below lo]
     done: dict[tuple[str, int], float] = {}
-    for c, ranks in targets.items():
-        lo, hi = extremes[c]
-        for r in ranks:
-            if lo == hi:
-                done[(c, r)] = lo
-            else:
-                open_[(c, r)] = [lo, hi, 0]
-    rounds = 0
+    open_: dict[tuple[str, int], list] = {}  # (col, rank) -> [lo, hi, rows below lo]
+    asked = {c: r for c, r in targets.items() if extremes[c][0] != extremes[c][1]}
+    done.update({(c, r): extremes[c][0] for c, ranks in targets.items() if c not in asked for r in ranks})
+    if not asked:
+        return done
+    brackets = _brackets(narrow, asked, sizes)
+    below = narrow.agg(
+        *[F.count_if(F.col(c) < lo).alias(f"lo{i}") for i, ((c, _), (lo, _)) in enumerate(brackets.items())],
+        *[F.count_if(F.col(c) <= hi).alias(f"hi{i}") for i, ((c, _), (_, hi)) in enumerate(brackets.items())],
+    ).first()
+    for i, ((c, r), (lo, hi)) in enumerate(brackets.items()):
+        inside = below[f"lo{i}"] <= r < below[f"hi{i}"]
+        open_[(c, r)] = [lo, hi, below[f"lo{i}"]] if inside else [*extremes[c], 0]
+        if inside and lo == hi:
+            done[(c, r)] = lo
+            del open_[(c, r)]
+    # every round divides a range by the number of buckets, down to one value: it ends for any doubles
     while open_:
-        rounds += 1
-        if rounds > MAX_ROUNDS:
-            raise RuntimeError("exact quantile selection did not converge")
         found = _select_round(narrow, open_, buckets)
-        for key, (lo, hi, offset) in list(open_.items()):
+        for key, (_, _, offset) in list(open_.items()):
             row = found.get(key)
             if row is None:
                 raise RuntimeError(f"rank {key[1]} not found for column {key[0]}")
@@ -123,7 +142,7 @@ def extreme_metrics(cols: list[str], where: Column | None = None) -> dict:
     ``DataFrame.observe`` on a write of the same rows (``where`` selects them)."""
     out = {}
     for c in cols:
-        x = F.col(c).cast("double")
+        x = finite_or_null(F.col(c).cast("double"))
         x = x if where is None else F.when(where, x)
         out.update({f"{c}__n": F.count(x), f"{c}__min": F.min(x), f"{c}__max": F.max(x)})
     return out
@@ -134,33 +153,29 @@ def exact_quantiles(
 ) -> dict:
     """{(col, p): value or None}; linear interpolation between order statistics.
 
-    The projection of the wanted columns is persisted (memory and disk; lost
-    blocks are recomputed from lineage) for the few selection rounds.
+    The input is read a few times (only the wanted columns of it), so hand in a stored table.
     ``extremes`` (the values of ``extreme_metrics``, e.g. observed while the
     rows were written) saves the first pass over the data.
     """
-    narrow = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if extremes is not None:
-            first = {c: (extremes[f"{c}__n"], extremes[f"{c}__min"], extremes[f"{c}__max"]) for c in cols}
-        else:
-            first = narrow.agg(*[F.struct(F.count(c), F.min(c), F.max(c)).alias(c) for c in cols]).first()
-        targets: dict[str, set[int]] = {}
-        plan = {}
-        for c in cols:
-            n, lo, hi = first[c][0], first[c][1], first[c][2]
-            for p in probs:
-                if n == 0:
-                    plan[(c, p)] = None
-                    continue
-                h = (n - 1) * p
-                lo_r, hi_r = math.floor(h), math.ceil(h)
-                targets.setdefault(c, set()).update((lo_r, hi_r))
-                plan[(c, p)] = (lo_r, hi_r, h - lo_r)
-        ranges = {c: (first[c][1], first[c][2]) for c in cols}
-        stats = exact_order_statistics(narrow, targets, ranges, buckets) if targets else {}
-    finally:
-        narrow.unpersist()
+    narrow = df.select(*[finite_or_null(F.col(c).cast("double")).alias(c) for c in cols])
+    if extremes is not None:
+        first = {c: (extremes[f"{c}__n"], extremes[f"{c}__min"], extremes[f"{c}__max"]) for c in cols}
+    else:
+        first = narrow.agg(*[F.struct(F.count(c), F.min(c), F.max(c)).alias(c) for c in cols]).first()
+    targets: dict[str, set[int]] = {}
+    plan = {}
+    for c in cols:
+        n = first[c][0]
+        for p in probs:
+            if n == 0:
+                plan[(c, p)] = None
+                continue
+            h = (n - 1) * p
+            lo_r, hi_r = math.floor(h), math.ceil(h)
+            targets.setdefault(c, set()).update((lo_r, hi_r))
+            plan[(c, p)] = (lo_r, hi_r, h - lo_r)
+    ranges = {c: (first[c][1], first[c][2]) for c in cols}
+    stats = exact_order_statistics(narrow, targets, ranges, {c: first[c][0] for c in cols}, buckets) if targets else {}
     out = {}
     for key, spec in plan.items():
         if spec is None:
@@ -177,7 +192,7 @@ def approx_quantile_row(df: DataFrame, cols: list[str], probs: list[float], rel_
     """One row, one array column per input column (NULL when the column has no values)."""
     accuracy = max(1, int(round(1.0 / rel_error)))
     return df.agg(
-        *[F.percentile_approx(F.col(c).cast("double"), F.array(*[F.lit(p) for p in probs]), accuracy).alias(c) for c in cols]
+        *[F.percentile_approx(finite_or_null(F.col(c).cast("double")), F.array(*[F.lit(p) for p in probs]), accuracy).alias(c) for c in cols]
     )
 
 

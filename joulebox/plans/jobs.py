@@ -3,6 +3,7 @@
 First pipeline:  ``etl_job`` (raw JSON -> processed readings, aggregates,
 ML feature table), ``model_job`` (processed -> predictions, health, model),
 ``publish_job`` (datasets -> catalog tables).
+Reports:         ``report`` (one dashboard query over the published tables).
 Medallion:       ``extract_job`` (raw batch -> bronze), ``transform_job``
 (new bronze batches -> silver, dims, fact), ``load_job`` (gold -> catalog
 tables with MERGE of the fact).
@@ -10,7 +11,9 @@ tables with MERGE of the fact).
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import hashlib
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from joulebox.operators.cleaning import fail_if_empty
@@ -18,29 +21,36 @@ from joulebox.plans import loading as L
 from joulebox.plans import medallion as G
 from joulebox.plans import model as M
 from joulebox.plans import readings as R
-from joulebox.session import stage_table
-from joulebox.sources.files import read_json_inferred
+from joulebox.plans import reports as P
+from joulebox.schema import RAW_READING_LOOSE
+from joulebox.session import stage_table, staging
+from joulebox.sources.files import read_json_inferred, read_json_schema
 
 
 def _write(df, path: str, fmt: str) -> None:
     df.write.mode("overwrite").format(fmt).save(path)
 
 
-def etl_job(spark: SparkSession, raw_path: str, out_base: str, iqr_mode: str = "approx", fmt: str = "json") -> dict:
+def etl_job(
+    spark: SparkSession, raw_path: str, out_base: str, iqr_mode: str = "approx", fmt: str = "json", declared: bool = False
+) -> dict:
     """``fmt`` is the format of the processed and analytics layers: JSON as the
-    original wrote them, or parquet (columnar, pushdown) for large volumes."""
-    raw = read_json_inferred(spark, raw_path)
-    clean, report_df = R.clean_with_report(raw, iqr_mode=iqr_mode)
-    feats = R.add_features(clean)
-    fail_if_empty(feats, "ETL stopped because no records remained after cleaning.")
-    processed = f"{out_base}/processed/energy"
-    _write(feats, processed, fmt)
-    feats = spark.read.format(fmt).load(processed)  # later steps read the stored rows, not the cleaning plan
-    _write(R.statistics(feats), f"{out_base}/analytics/energy_statistics", fmt)
-    _write(R.by_building(feats), f"{out_base}/analytics/energy_by_building", fmt)
-    _write(R.by_hvac(feats), f"{out_base}/analytics/energy_by_hvac", fmt)
-    L.write_parquet(M.ml_feature_table(feats), f"{out_base}/analytics/ml_features")
-    return report_df.first().asDict()
+    original wrote them, or parquet (columnar, pushdown) for large volumes.
+    ``declared`` reads the raw JSON by its declared schema instead of inferring one
+    (which costs a pass over the files)."""
+    with staging(spark):
+        raw = read_json_schema(spark, raw_path, RAW_READING_LOOSE) if declared else read_json_inferred(spark, raw_path)
+        clean, report_df = R.clean_with_report(raw, iqr_mode=iqr_mode)
+        feats = R.add_features(clean)
+        fail_if_empty(feats, f"cleaning left none of the readings in {raw_path}")
+        processed = f"{out_base}/processed/energy"
+        _write(feats, processed, fmt)
+        feats = spark.read.format(fmt).load(processed)  # later steps read the stored rows, not the cleaning plan
+        _write(R.statistics(feats), f"{out_base}/analytics/energy_statistics", fmt)
+        _write(R.by_building(feats), f"{out_base}/analytics/energy_by_building", fmt)
+        _write(R.by_hvac(feats), f"{out_base}/analytics/energy_by_hvac", fmt)
+        L.write_parquet(M.ml_feature_table(feats), f"{out_base}/analytics/ml_features")
+        return report_df.first().asDict()
 
 
 def model_job(
@@ -52,8 +62,9 @@ def model_job(
     fmt: str = "json",
 ) -> dict:
     base = M.model_input(spark.read.format(fmt).load(processed_path))
-    fail_if_empty(base, "No valid records available for ML.")
+    fail_if_empty(base, f"no reading in {processed_path} is complete enough for the model")
     train, test = M.stable_split(base) if split == "stable" else M.random_split(base)
+    fail_if_empty(test, f"the test split of {processed_path} has no readings")
     model = M.fit_energy_model(train)
     pred = M.predictions(model, test)
     _write(pred, f"{out_base}/analytics/ml_predictions", fmt)
@@ -83,46 +94,88 @@ def publish_job(spark: SparkSession, out_base: str, prefix: str = "", fmt: str =
     return L.publish_tables(spark, datasets, fmt=fmt)
 
 
+#: Columns that the jobs add to tell their own output apart.
+EXTRACT_ID, RUN_ID = "extract_id", "run_id"
+
+
 def extract_job(spark: SparkSession, batch_path: str, bronze_path: str, quarantine_path: str | None = None) -> dict:
+    """Raw batch -> bronze. Each source folder has its own bronze folder, so extracting it again replaces what it gave before."""
     good, bad = G.read_raw_batch(spark, batch_path)
-    wrote = L.append_if_rows(good, bronze_path)
-    if quarantine_path:
-        L.append_if_rows(bad, quarantine_path, fmt="json")
+    own = hashlib.md5(batch_path.rstrip("/").encode()).hexdigest()[:16]
+    with staging(spark):
+        staged = stage_table(good, "extract")
+        wrote = not staged.isEmpty()
+        if wrote:
+            L.write_parquet(staged, f"{bronze_path}/{EXTRACT_ID}={own}")
+        if quarantine_path:
+            L.write_json(bad, f"{quarantine_path}/{EXTRACT_ID}={own}")
     return {"written": wrote}
 
 
 def transform_job(
     spark: SparkSession, bronze_path: str, lake: str, ledger_path: str | None = None, partition_by: list[str] | None = None
 ) -> dict:
-    """Silver append, dims (calendar once, SCD0 category dims), fact staging overwrite.
+    """Silver, dims (calendar once, SCD0 category dims), fact staging overwrite.
 
-    With a ledger only bronze batches not processed before are taken, and their
-    ids are recorded afterwards (re-runs add nothing). ``partition_by`` (e.g.
-    ``["date_key"]``) partitions the silver and fact files so date filters prune.
+    With a ledger only bronze batches that no run has taken are processed (or those of a run
+    that broke off, again). A run's silver rows have a folder of their own, which is
+    overwritten, so a run that is done over replaces its output. Without a ledger
+    all of bronze is one run. ``partition_by`` (e.g. ``["date_key"]``) partitions the
+    silver and fact files so date filters prune.
     """
-    bronze = spark.read.parquet(bronze_path)
-    if ledger_path and L.path_exists(spark, ledger_path):
-        bronze = L.unprocessed_batches(bronze, spark.read.parquet(ledger_path))
-    # batch ids are stored first: the ledger is appended below and must not be read by the same job
-    batch = stage_table(bronze.select("batch_id").distinct(), "batch-ids") if ledger_path else None
-    silver = G.to_silver(bronze)
-    silver_path = f"{lake}/silver/power_consumption"
-    staged_silver = stage_table(silver, "silver")  # one computation feeds silver, dims and fact
-    L.append_if_rows(staged_silver, silver_path, partition_by=partition_by)
-    L.load_once(spark, G.calendar(spark), f"{lake}/gold/dim_date")
-    L.dim_append_new(spark, G.dim_building_type(staged_silver), f"{lake}/gold/dim_building_type", "building_type_key")
-    L.dim_append_new(spark, G.dim_hvac_system(staged_silver), f"{lake}/gold/dim_hvac_system", "hvac_key")
-    L.write_parquet(G.fact_energy(staged_silver), f"{lake}/gold/fact_energy_consumption", partition_by=partition_by)
-    if ledger_path and batch is not None:
-        L.record_batches(spark, batch, ledger_path)
-    return {"silver_rows": staged_silver.count()}
+    bronze = spark.read.parquet(bronze_path).drop(EXTRACT_ID)
+    run_id = "all"
+    with staging(spark):
+        if ledger_path:
+            claimed = L.claim_run(spark, bronze, ledger_path)
+            run_id, bronze = claimed or (None, bronze.limit(0))
+        silver = stage_table(G.to_silver(bronze), "silver")  # one computation feeds silver, dims and fact
+        rows = silver.count()
+        if rows:
+            L.write_parquet(silver, f"{lake}/silver/power_consumption/{RUN_ID}={run_id}", partition_by=partition_by)
+        L.load_once(spark, G.calendar(spark), f"{lake}/gold/dim_date")
+        L.dim_append_new(spark, G.dim_building_type(silver), f"{lake}/gold/dim_building_type", "building_type_key")
+        L.dim_append_new(spark, G.dim_hvac_system(silver), f"{lake}/gold/dim_hvac_system", "hvac_key")
+        L.write_parquet(G.fact_energy(silver), f"{lake}/gold/fact_energy_consumption", partition_by=partition_by)
+        if ledger_path and run_id:
+            L.finish_run(spark, ledger_path, run_id)
+    return {"silver_rows": rows}
 
 
 def load_job(spark: SparkSession, lake: str, prefix: str = "") -> dict:
+    """Gold -> catalog tables; the dimensions stay as they are where gold has no rows for them."""
     gold = f"{lake}/gold"
     if not spark.catalog.tableExists(f"{prefix}dim_date") or spark.table(f"{prefix}dim_date").isEmpty():
         L.replace_table(spark.read.parquet(f"{gold}/dim_date"), f"{prefix}dim_date")
-    L.replace_table(spark.read.parquet(f"{gold}/dim_building_type"), f"{prefix}dim_building_type")
-    L.replace_table(spark.read.parquet(f"{gold}/dim_hvac_system"), f"{prefix}dim_hvac_system")
-    how = L.merge_into_table(spark, spark.read.parquet(f"{gold}/fact_energy_consumption"), f"{prefix}fact_energy_consumption", "RecordID")
+    L.replace_unless_empty(spark.read.parquet(f"{gold}/dim_building_type"), f"{prefix}dim_building_type")
+    L.replace_unless_empty(spark.read.parquet(f"{gold}/dim_hvac_system"), f"{prefix}dim_hvac_system")
+    fact = spark.read.parquet(f"{gold}/fact_energy_consumption")
+    how = L.merge_into_table(spark, fact, f"{prefix}fact_energy_consumption", "RecordID", partition="date_key")
     return {"fact": how}
+
+
+REPORTS = ("filters", "kpis", "energy_by_type", "energy_by_hvac", "stats", "health_distribution", "health_share", "energy_vs_area", "epa_by_type", "predictions", "accuracy", "top_types", "alerts")
+
+
+def report(spark: SparkSession, name: str, prefix: str = "", building_type: str | None = None, hvac_system: str | None = None) -> DataFrame:
+    """One report from the six published tables, with the two optional filters."""
+    table = lambda t: spark.table(f"{prefix}{t}")
+    f = {"building_type": building_type, "hvac_system": hvac_system}
+    makers = {
+        "filters": lambda: P.filters(table("processed_energy")),
+        "kpis": lambda: P.kpis(table("processed_energy"), table("building_health"), **f),
+        "energy_by_type": lambda: P.energy_by_type(table("processed_energy"), table("energy_by_building"), **f),
+        "energy_by_hvac": lambda: P.energy_by_hvac(table("processed_energy"), table("energy_by_hvac"), **f),
+        "stats": lambda: P.stats_summary(table("energy_statistics")),
+        "health_distribution": lambda: P.health_distribution(table("building_health"), **f),
+        "health_share": lambda: P.health_share(table("building_health"), **f),
+        "energy_vs_area": lambda: P.energy_vs_area(table("processed_energy"), **f),
+        "epa_by_type": lambda: P.epa_by_type(table("processed_energy"), **f),
+        "predictions": lambda: P.prediction_series(table("ml_predictions"), **f),
+        "accuracy": lambda: P.prediction_accuracy(table("ml_predictions"), **f),
+        "top_types": lambda: P.top_types(table("processed_energy"), table("building_health"), **f),
+        "alerts": lambda: P.alerts(table("building_health"), **f),
+    }
+    if name not in makers:
+        raise ValueError(f"no report {name!r}; there are {', '.join(REPORTS)}")
+    return makers[name]()

@@ -7,11 +7,14 @@ catalog. Nothing here collects data to the driver.
 
 from __future__ import annotations
 
+import uuid
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from joulebox.operators.joins import new_keys
-from joulebox.session import stage_table
+from joulebox.session import delete_path, stage_table, staging
 
 
 # ---------------------------------------------------------------- paths
@@ -27,8 +30,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def _clustered(df: DataFrame, partition_by: list[str] | None) -> DataFrame:
+    """Rows of one partition value together, so a write makes few files per value and none per task and value.
+
+    ``rebalance`` splits values with many rows and joins small ones to the session's advisory size.
+    """
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
-    w = df.write.mode(mode)
+    w = _clustered(df, partition_by).write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -39,13 +50,15 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def append_if_rows(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> bool:
-    """Append unless the frame is empty (stops at the first row found)."""
-    if df.isEmpty():
-        return False
-    w = df.write.mode("append").format(fmt)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.save(path)
+    """Append unless the frame is empty; its plan runs once (the emptiness test reads the staged rows)."""
+    with staging(df.sparkSession):
+        staged = stage_table(df, "append")
+        if staged.isEmpty():
+            return False
+        w = _clustered(staged, partition_by).write.mode("append").format(fmt)
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.save(path)
     return True
 
 
@@ -68,7 +81,7 @@ def dim_append_new(spark: SparkSession, df: DataFrame, path: str, key: str) -> D
         write_parquet(batch, path)
         return spark.read.parquet(path)
     fresh = new_keys(batch, spark.read.parquet(path), key)
-    # materialise before appending: the anti-join reads the same path
+    # materialise before appending: the anti-join reads the same path (and the rows are returned, so they outlive the job)
     staged = stage_table(fresh, "dim-new")
     if not staged.isEmpty():
         staged.write.mode("append").parquet(path)
@@ -77,14 +90,23 @@ def dim_append_new(spark: SparkSession, df: DataFrame, path: str, key: str) -> D
 
 # ---------------------------------------------------------------- merge
 
+def unique_keys(source: DataFrame, key: str) -> DataFrame:
+    """The distinct non-NULL keys of a MERGE source; the job fails where a key occurs twice."""
+    keys = source.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    message = F.concat(F.lit("MERGE source has more than one row for key "), F.col(key).cast("string"))
+    return keys.filter(F.assert_true(F.col("_n") == 1, message).isNull()).select(key)
+
+
 def merge_upsert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """MERGE ON key: matched -> source row, not matched -> insert, others kept.
 
     NULL keys never match, so target rows with a NULL key stay and source rows
-    with a NULL key are inserted, as in SQL MERGE. One shuffle join on the key.
+    with a NULL key are inserted, as in SQL MERGE; two source rows with the same key are an
+    error, as there. One shuffle join on the key; NULL keys stay out of it.
     """
-    kept = target.join(source.select(key).filter(F.col(key).isNotNull()).distinct(), on=key, how="left_anti")
-    return kept.unionByName(source.select(*target.columns))
+    nulls = target.filter(F.col(key).isNull())
+    kept = target.filter(F.col(key).isNotNull()).join(unique_keys(source, key), on=key, how="left_anti")
+    return kept.select(*target.columns).unionByName(nulls).unionByName(source.select(*target.columns))
 
 
 def merge_counts(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
@@ -96,27 +118,93 @@ def merge_counts(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     )
 
 
-def swap_in(spark: SparkSession, df: DataFrame, table: str) -> None:
-    """Atomic-swap style replace: write a staging table, then drop and rename.
+def _location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").collect()
+    return rows[0]["data_type"]
+
+
+def _versioned(spark: SparkSession, table: str) -> str:
+    """A new folder for a version of ``table``, beside its other ones in the warehouse."""
+    root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    return f"{root}/{table.replace('.', '/')}__versions/{uuid.uuid4().hex[:12]}"
 
-    The old table stays readable until the new one is completely written.
-    """
-    staging = f"{table}__staging"
-    spark.sql(f"DROP TABLE IF EXISTS {staging}")
-    df.write.mode("overwrite").saveAsTable(staging)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
 
+def swap_in(spark: SparkSession, df: DataFrame, table: str) -> None:
+    """Replace a table's rows in one step.
 
-def merge_into_table(spark: SparkSession, source: DataFrame, table: str, key: str, row_level: bool = False) -> str:
-    """Upsert ``source`` into a catalog table; returns 'created' or 'merged'.
+    The rows are written to a folder of their own, then the catalog's location of the table is
+    switched to it (one call). Readers see the old version until then; a failure before
+    leaves it as it was. The old version's folder goes afterwards. Runs at the same time
+    have folders of their own.
+    """
+    path = _versioned(spark, table)
+    df.write.parquet(path)
+    if not spark.catalog.tableExists(table):
+        spark.catalog.createTable(table, path=path, source="parquet")
+        return
+    old = _location(spark, table)
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+    spark.catalog.refreshTable(table)
+    if "__versions/" in old:
+        delete_path(spark, old)
+
+
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession):
+    """Overwriting replaces only the partitions that have new rows (a writer's option does not reach ``insertInto``)."""
+    name = "spark.sql.sources.partitionOverwriteMode"
+    was = spark.conf.get(name)
+    spark.conf.set(name, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, was)
+
+
+def merge_partitions(spark: SparkSession, source: DataFrame, table: str, key: str, part: str) -> list:
+    """MERGE into a table partitioned by ``part``, rewriting the touched partitions only; returns them.
+
+    Touched are the partitions of the source's rows and those that hold a target row with a source
+    key (a row whose partition moved must leave its old one). Only the key and partition
+    columns of the target are read to find them. The partition values (days) are few.
+    """
+    target = spark.table(table)
+    with staging(spark):
+        source = stage_table(source, "merge-source")
+        if source.isEmpty():
+            return []
+        hit = target.select(key, part).join(unique_keys(source, key), on=key, how="left_semi").select(part)
+        touched = sorted((r[0] for r in hit.union(source.select(part)).distinct().collect()), key=str)
+        here = F.col(part).isin([v for v in touched if v is not None])
+        here = here | F.col(part).isNull() if None in touched else here
+        merged = stage_table(merge_upsert(target.filter(here), source, key), "merged")
+        left = {r[0] for r in merged.select(part).distinct().collect()}
+        ordered = merged.select(*[c for c in target.columns if c != part], part)
+        with _dynamic_overwrite(spark):
+            _clustered(ordered, [part]).write.insertInto(table, overwrite=True)
+        for v in touched:
+            if v not in left and v is not None:  # all of its rows have moved
+                value = f"'{v}'" if isinstance(v, str) else f"DATE '{v}'" if hasattr(v, "year") else str(v)
+                spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({part} = {value})")
+    spark.catalog.refreshTable(table)
+    return touched
+
+
+def merge_into_table(
+    spark: SparkSession, source: DataFrame, table: str, key: str, row_level: bool = False, partition: str | None = None
+) -> str:
+    """Upsert ``source`` into a catalog table; returns 'created', 'merged' or 'skipped' (no source rows).
 
     First run creates the table. With ``row_level`` (a catalog that supports
-    MERGE, e.g. Delta or Iceberg) the DataFrame ``mergeInto`` API is used;
-    otherwise the merged rows are written to a staging table and swapped in.
+    MERGE, e.g. Delta or Iceberg) the DataFrame ``mergeInto`` API is used. A table
+    partitioned by ``partition`` has its touched partitions rewritten; any other is
+    rewritten as a new version and switched to.
     """
     if not spark.catalog.tableExists(table):
-        source.write.saveAsTable(table)
+        if partition:
+            _clustered(source, [partition]).write.partitionBy(partition).saveAsTable(table)
+        else:
+            swap_in(spark, source, table)
         return "created"
     if row_level:
         (
@@ -128,13 +216,26 @@ def merge_into_table(spark: SparkSession, source: DataFrame, table: str, key: st
             .merge()
         )
         return "merged"
-    merged = merge_upsert(spark.table(table), source, key)
-    swap_in(spark, merged, table)
+    if partition:
+        return "merged" if merge_partitions(spark, source, table, key, partition) else "skipped"
+    if source.isEmpty():
+        return "skipped"
+    swap_in(spark, merge_upsert(spark.table(table), source, key), table)
     return "merged"
 
 
-def replace_table(df: DataFrame, table: str) -> None:
-    df.write.mode("overwrite").saveAsTable(table)
+def replace_table(df: DataFrame, table: str, options: dict[str, str] | None = None, fmt: str | None = None) -> None:
+    """Overwrite a catalog table; ``options`` and ``fmt`` go to the writer (e.g. for a warehouse connector)."""
+    w = df.write.mode("overwrite").options(**(options or {}))
+    (w.format(fmt) if fmt else w).saveAsTable(table)
+
+
+def replace_unless_empty(df: DataFrame, table: str) -> bool:
+    """Overwrite a table, but keep it as it is if there are no rows for it."""
+    if df.isEmpty():
+        return False
+    replace_table(df, table)
+    return True
 
 
 def publish_tables(spark: SparkSession, datasets: dict[str, str], fmt: str = "json") -> list[str]:
@@ -149,11 +250,50 @@ def publish_tables(spark: SparkSession, datasets: dict[str, str], fmt: str = "js
 # ---------------------------------------------------------------- batches
 
 def unprocessed_batches(bronze: DataFrame, ledger: DataFrame, batch_col: str = "batch_id") -> DataFrame:
-    """Bronze rows whose batch id is not yet in the ledger (replaces moving files to archive/)."""
-    return bronze.join(ledger.select(batch_col).distinct(), on=batch_col, how="left_anti")
+    """Bronze rows whose batch id is not yet in the ledger (replaces moving files to archive/).
+
+    A NULL batch id equals a NULL one in the ledger, so such rows are taken once too.
+    """
+    seen = ledger.select(F.col(batch_col).alias("_seen")).distinct()
+    return bronze.join(seen, F.col(batch_col).eqNullSafe(F.col("_seen")), "left_anti")
 
 
-def record_batches(spark: SparkSession, processed: DataFrame, ledger_path: str, batch_col: str = "batch_id") -> None:
-    """Append the processed batch ids to the ledger."""
-    ids = processed.select(batch_col).distinct().withColumn("processed_at", F.current_timestamp())
+def record_batches(spark: SparkSession, processed: DataFrame, ledger_path: str, batch_col: str = "batch_id", run_id: str = "") -> None:
+    """Append the batch ids, and the run that takes them, to the ledger."""
+    ids = processed.select(batch_col).distinct().withColumns({"run_id": F.lit(run_id), "processed_at": F.current_timestamp()})
     append_if_rows(ids, ledger_path)
+
+
+def claim_run(spark: SparkSession, bronze: DataFrame, ledger_path: str) -> tuple[str, DataFrame] | None:
+    """(run id, its bronze rows): an earlier run that did not finish, or a new one over the batches that none has taken.
+
+    The ledger's ``claims`` say which run takes a batch, ``done`` which runs have finished. A
+    run that broke off is done over with the same batches and the same id, so its
+    output replaces what it may have left. None if there is nothing to do.
+    """
+    claims, done = f"{ledger_path}/claims", f"{ledger_path}/done"
+    if path_exists(spark, claims):
+        taken = spark.read.parquet(claims)
+        open_runs = taken.select("run_id").distinct()
+        if path_exists(spark, done):
+            open_runs = open_runs.join(spark.read.parquet(done).select("run_id"), "run_id", "left_anti")
+        broken = open_runs.orderBy("run_id").first()
+        if broken is not None:
+            own = taken.filter(F.col("run_id") == broken["run_id"]).select(F.col("batch_id").alias("_own")).distinct()
+            return broken["run_id"], bronze.join(own, F.col("batch_id").eqNullSafe(F.col("_own")), "left_semi")
+        bronze = unprocessed_batches(bronze, taken)
+    run_id = uuid.uuid4().hex[:16]
+    batches = bronze.select("batch_id").distinct()
+    with staging(spark):
+        staged = stage_table(batches, "batch-ids")
+        if staged.isEmpty():
+            return None
+        record_batches(spark, staged, claims, run_id=run_id)
+    own = spark.read.parquet(claims).filter(F.col("run_id") == run_id).select(F.col("batch_id").alias("_own"))
+    return run_id, bronze.join(own, F.col("batch_id").eqNullSafe(F.col("_own")), "left_semi")
+
+
+def finish_run(spark: SparkSession, ledger_path: str, run_id: str) -> None:
+    """Mark a run as finished."""
+    done = spark.range(1).select(F.lit(run_id).alias("run_id"), F.current_timestamp().alias("finished_at"))
+    done.write.mode("append").parquet(f"{ledger_path}/done")

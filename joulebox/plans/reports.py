@@ -33,9 +33,9 @@ def _above() -> F.Column:
 
 def filters(readings: DataFrame) -> DataFrame:
     """(kind, value): distinct building types and HVAC systems without 'Nan', ordered."""
-    types = readings.select(F.lit("buildingType").alias("kind"), F.col(B).alias("value")).filter(F.col("value") != "Nan")
-    hvacs = readings.select(F.lit("hvacSystem").alias("kind"), F.col(H).alias("value")).filter(F.col("value") != "Nan")
-    return types.distinct().unionByName(hvacs.distinct()).orderBy("kind", "value")
+    entry = lambda kind, c: F.struct(F.lit(kind).alias("kind"), F.col(c).alias("value"))
+    both = readings.select(F.explode(F.array(entry("buildingType", B), entry("hvacSystem", H))).alias("e")).select("e.*")
+    return both.filter(F.col("value") != "Nan").distinct().orderBy("kind", "value")
 
 
 def kpis(readings: DataFrame, health: DataFrame, building_type=None, hvac_system=None) -> DataFrame:
@@ -196,9 +196,7 @@ def top_energy_types(readings: DataFrame, building_type=None, hvac_system=None,
 def top_types(readings: DataFrame, health: DataFrame, building_type=None, hvac_system=None, k: int = 5) -> DataFrame:
     """Top k types by energy with score (default 75, also for a 0 score) and risk level."""
     top = top_energy_types(readings, building_type, hvac_system, k)
-    # only the <= k top types are looked up: semi-join the health groups to them first
-    th = type_health(health, building_type, hvac_system).join(F.broadcast(top.select(B)), B, "left_semi")
-    j = top.join(th, B, "left")
+    j = top.join(type_health(health, building_type, hvac_system), B, "left")  # one row per type on either side
     score = F.col("health_score")
     score = F.when(score.isNull() | (score == 0), F.lit(75.0)).otherwise(score)
     risk = (
@@ -206,7 +204,7 @@ def top_types(readings: DataFrame, health: DataFrame, building_type=None, hvac_s
         .when(F.coalesce(F.col("warning_cnt"), F.lit(0)) > 0, F.lit("Medium"))
         .otherwise(F.lit("Low"))
     )
-    return j.select(
+    return j.orderBy(F.desc("total_energy"), F.asc(B)).select(  # the join has lost the top's order
         F.col(B).alias("buildingType"),
         F.round("total_energy", 0).cast("bigint").alias("totalEnergy"),
         F.round("avg_epa", 1).alias("energyPerArea"),

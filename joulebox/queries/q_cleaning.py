@@ -112,8 +112,8 @@ def q_cast_numeric(spark, sf):
     return p.select(
         "RoomArea",
         "NumberofAppliances",
-        F.lit("DOUBLE").alias("area_type"),
-        F.lit("INTEGER").alias("count_type"),
+        F.upper(F.typeof("RoomArea")).alias("area_type"),
+        F.regexp_replace(F.upper(F.typeof("NumberofAppliances")), "^INT$", "INTEGER").alias("count_type"),
     )
 
 
@@ -231,9 +231,10 @@ def q_filter_in(spark, sf):
     from pyspark.sql import functions as F
 
     from joulebox.functions.dates import parse_date
+    from joulebox.operators.cleaning import filter_in
 
-    raw = testdata.raw_readings(spark, sf)
-    return raw.filter(F.dayofweek(parse_date("ReadingDate")).isin(1, 7)).select("RecordID", "ReadingDate")
+    raw = testdata.raw_readings(spark, sf).withColumn("weekday", F.dayofweek(parse_date("ReadingDate")))
+    return filter_in(raw, "weekday", [1, 7]).select("RecordID", "ReadingDate")
 
 
 SCOPE_COLS = "BuildingType, HVACSystem, RoomArea, EnergyConsumption, EnergyPerArea"
@@ -296,6 +297,35 @@ def q_quantiles(spark, sf):
     return quantile_table(features(spark, sf), ["RoomArea", "NumberofAppliances", "EnergyConsumption"], [0.1, 0.25, 0.75, 0.9], mode="exact")
 
 
+APPROX_COLUMNS, APPROX_PROBS = ["RoomArea", "NumberofAppliances", "EnergyConsumption"], [0.1, 0.25, 0.75, 0.9]
+
+
+@register(
+    "quantiles_approx",
+    S.with_features(
+        " UNION ALL ".join(
+            f"""SELECT '{c}' AS "column", CAST({p} AS DOUBLE) AS probability, count({c}) AS n, TRUE AS within FROM features"""
+            for c in APPROX_COLUMNS
+            for p in APPROX_PROBS
+        )
+    ),
+)
+def q_quantiles_approx(spark, sf):
+    """The default mode: whether each approximate quantile's rank is within the relative error of 0.01."""
+    from pyspark.sql import functions as F
+
+    from joulebox.operators.quantiles import quantile_table
+
+    feats = features(spark, sf)
+    got = quantile_table(feats, APPROX_COLUMNS, APPROX_PROBS, rel_error=0.01)
+    ranks = feats.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in APPROX_COLUMNS])).alias("e")).select("e.*")
+    counted = ranks.join(got, "column").groupBy("column", "probability").agg(
+        F.count("x").alias("n"), F.count_if(F.col("x") < F.col("value")).alias("below"), F.count_if(F.col("x") <= F.col("value")).alias("upto")
+    )
+    wanted, slack = F.col("probability") * F.col("n"), F.col("n") * 0.01 + 1
+    return counted.select("column", "probability", "n", ((F.col("below") <= wanted + slack) & (F.col("upto") >= wanted - slack)).alias("within"))
+
+
 @register(
     "stage_counts",
     "WITH "

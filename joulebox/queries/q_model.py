@@ -1,8 +1,8 @@
 """Queries for the model operators and the building-health table.
 
-Oracle-checked health queries use a one-variable least-squares line fitted
-on a stable md5 split (reproducible in SQL); the MLlib pipeline queries are
-row-checked.
+Health queries use a one-variable least-squares line fitted on a stable md5 split; the MLlib
+ridge is checked on two inputs, for which SQL can write its solution out; the
+encoding stages of the whole model are checked vector by vector.
 """
 
 from __future__ import annotations
@@ -40,72 +40,116 @@ def split(spark: SparkSession, sf: str):
     return M.stable_split(model_base(spark, sf))
 
 
-def line_coefficients(spark: SparkSession, sf: str) -> tuple:
-    def fit():
-        train, _ = split(spark, sf)
-        row = train.agg(
-            F.regr_slope("EnergyConsumption", "RoomArea").alias("b"), F.regr_intercept("EnergyConsumption", "RoomArea").alias("a")
-        ).first()
-        return row["a"], row["b"]
-
-    return memo(spark, ("line", sf), fit)
-
-
 def predictions(spark: SparkSession, sf: str):
-    a, b = line_coefficients(spark, sf)
-    _, test = split(spark, sf)
-    return test.withColumn("prediction", F.lit(a) + F.lit(b) * F.col("RoomArea")).select(*M.PREDICTION_COLUMNS)
+    """The line's predictions for the test rows, stored as the model job stores them."""
+    return memo(spark, ("predictions", sf), lambda: stage_table(M.line_predictions(*split(spark, sf)), "predictions"))
 
 
 def health(spark: SparkSession, sf: str):
-    """building_health over the line predictions with exact decile cuts (cuts memoised)."""
-    pred = predictions(spark, sf)
+    """building_health over the line's predictions with exact decile cuts, stored: the reports read this table."""
+    return memo(spark, ("health", sf), lambda: stage_table(M.building_health(predictions(spark, sf), mode="exact"), "health"))
 
-    def cuts():
-        from joulebox.operators.quantiles import exact_quantiles
 
-        q = exact_quantiles(pred.withColumn("DeviationPercent", M.deviation_percent()), ["DeviationPercent"], [0.1, 0.9])
-        return q[("DeviationPercent", 0.1)], q[("DeviationPercent", 0.9)]
+RIDGE_INPUTS = ["RoomArea", "NumberofAppliances"]
+
+
+def ridge(spark: SparkSession, sf: str):
+    """(model, test rows): the ridge regression on two inputs, whose solution SQL can write out."""
+    train, test = split(spark, sf)
+    return memo(spark, ("ridge", sf), lambda: M.fit_numeric_model(train, RIDGE_INPUTS)), test
 
-    lo, hi = memo(spark, ("cuts", sf), cuts)
-    return M.health_from_cuts(pred, lo, hi)
 
+def encoder(spark: SparkSession, sf: str):
+    """(fitted encoding stages, test rows)."""
+    from pyspark.ml import Pipeline
 
-def mllib_fit(spark: SparkSession, sf: str):
     train, test = split(spark, sf)
-    return memo(spark, ("mllib", sf), lambda: M.fit_energy_model(train)), test
+    return memo(spark, ("encoder", sf), lambda: Pipeline(stages=M.encoding_stages()).fit(train)), test
+
+
+#: Indexes of the categories of a table: by falling frequency, then name.
+def ranks(table: str) -> str:
+    one = """{c}_rank AS (SELECT {c}, row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS i, count(*) OVER () AS n FROM {t} GROUP BY {c})"""
+    return ", ".join(one.format(c=c, t=table) for c in M.CATEGORIES)
+
+
+def hot(c: str) -> str:
+    """A category's one-hot vector as text: n places, the last index ('keep') has none."""
+    r = f"{c}_rank"
+    return f"repeat('0,', CAST({r}.i AS INTEGER)) || '1' || repeat(',0', CAST({r}.n - 1 - {r}.i AS INTEGER))"
+
+
+BY_RANK = "JOIN BuildingType_rank USING (BuildingType) JOIN HVACSystem_rank USING (HVACSystem)"
+
+
+def vector_text(col):
+    """A vector of zeros and ones as text."""
+    return F.array_join(F.transform(col, lambda x: x.cast("int").cast("string")), ",")
 
 
 @register(
     "ml_index",
     S.with_features(
-        """SELECT BuildingType, CAST(row_number() OVER (ORDER BY cnt DESC, BuildingType) - 1 AS DOUBLE) AS BuildingType_index
-FROM (SELECT BuildingType, count(*) AS cnt FROM features GROUP BY BuildingType)"""
-    ),
+        f"""SELECT BuildingType, 'no such system' AS HVACSystem, CAST(i AS DOUBLE) AS BuildingType_index,
+       CAST((SELECT max(n) FROM HVACSystem_rank) AS DOUBLE) AS HVACSystem_index FROM BuildingType_rank
+UNION ALL SELECT NULL, HVACSystem, CAST((SELECT max(n) FROM BuildingType_rank) AS DOUBLE), CAST(i AS DOUBLE) FROM HVACSystem_rank"""
+    ).replace("\nSELECT BuildingType, 'no such", f", {ranks('features')}\nSELECT BuildingType, 'no such"),
 )
 def q_ml_index(spark, sf):
-    from pyspark.ml.feature import StringIndexer
+    """Indexes of all types (with an unseen system) and of all systems (with a NULL type)."""
+    feats = processed(spark, sf)
+    probes = feats.select("BuildingType", F.lit("no such system").alias("HVACSystem")).distinct()
+    probes = probes.union(feats.select(F.lit(None).cast("string").alias("BuildingType"), "HVACSystem").distinct())
+    return M.category_indexer().fit(feats).transform(probes)
 
-    feats = q_cleaning.features(spark, sf)
-    model = StringIndexer(inputCol="BuildingType", outputCol="BuildingType_index", handleInvalid="keep").fit(feats)
-    return model.transform(feats.select("BuildingType").distinct())
 
-
-@register("ml_onehot")
+@register(
+    "ml_onehot",
+    S.with_model(
+        f"""SELECT BuildingType, HVACSystem, {hot('BuildingType')} AS type_hot, {hot('HVACSystem')} AS system_hot, count(*) AS rows
+FROM test {BY_RANK} GROUP BY ALL"""
+    ).replace("\nSELECT BuildingType, HVACSystem, repeat", f", {ranks('train')}\nSELECT BuildingType, HVACSystem, repeat"),
+)
 def q_ml_onehot(spark, sf):
-    model, test = mllib_fit(spark, sf)
-    return model.transform(test).select("BuildingType", "BuildingType_index", "BuildingType_ohe", "HVACSystem", "HVACSystem_ohe")
+    from pyspark.ml.functions import vector_to_array
+
+    model, test = encoder(spark, sf)
+    hot_text = lambda c: vector_text(vector_to_array(f"{c}_ohe"))
+    coded = model.transform(test).select("BuildingType", "HVACSystem", hot_text("BuildingType").alias("type_hot"), hot_text("HVACSystem").alias("system_hot"))
+    return coded.groupBy(*coded.columns).agg(F.count(F.lit(1)).alias("rows"))
 
 
-@register("ml_assemble_etl")
+@register(
+    "ml_assemble_etl",
+    S.with_features(
+        f"""SELECT AverageTemperature AS f0, OutsideTemperature AS f1, InsulationThickness AS f2, CAST(NumberofAppliances AS DOUBLE) AS f3,
+       RoomArea AS f4, CAST(BuildingType_rank.i AS DOUBLE) AS f5, CAST(HVACSystem_rank.i AS DOUBLE) AS f6, EnergyConsumption
+FROM features {BY_RANK}"""
+    ).replace("\nSELECT AverageTemperature AS f0", f", {ranks('features')}\nSELECT AverageTemperature AS f0"),
+)
 def q_ml_assemble_etl(spark, sf):
-    return M.ml_feature_table(q_cleaning.features(spark, sf))
+    from pyspark.ml.functions import vector_to_array
 
+    v = vector_to_array("features")
+    table = M.ml_feature_table(processed(spark, sf))
+    return table.select(*[F.get(v, F.lit(i)).alias(f"f{i}") for i in range(len(M.ASSEMBLED) + len(M.CATEGORIES))], M.LABEL)
 
-@register("ml_assemble_model")
+
+@register(
+    "ml_assemble_model",
+    S.with_model(
+        f"""SELECT AverageTemperature AS f0, OutsideTemperature AS f1, InsulationThickness AS f2, CAST(NumberofAppliances AS DOUBLE) AS f3,
+       RoomArea AS f4, TemperatureDifference AS f5, {hot('BuildingType')} || ',' || {hot('HVACSystem')} AS hot, EnergyConsumption
+FROM test {BY_RANK}"""
+    ).replace("\nSELECT AverageTemperature AS f0", f", {ranks('train')}\nSELECT AverageTemperature AS f0"),
+)
 def q_ml_assemble_model(spark, sf):
-    model, test = mllib_fit(spark, sf)
-    return model.transform(test).select("features", "EnergyConsumption")
+    from pyspark.ml.functions import vector_to_array
+
+    model, test = encoder(spark, sf)
+    n = len(M.ASSEMBLED) + 1
+    v = model.transform(test).select(vector_to_array("features").alias("v"), M.LABEL)
+    return v.select(*[F.get("v", F.lit(i)).alias(f"f{i}") for i in range(n)], vector_text(F.slice("v", n + 1, F.size("v"))).alias("hot"), M.LABEL)
 
 
 @register(
@@ -116,26 +160,65 @@ def q_ml_split(spark, sf):
     return model_base(spark, sf).groupBy(M.train_flag().alias("is_train")).agg(F.count(F.lit(1)).alias("rows"))
 
 
-@register("ml_linear_regression")
+# Ridge on two inputs in closed form. Inputs and label are scaled to unit (population) deviation, the penalty of
+# 0.1 is divided by the label's deviation, and the normal equations of the two scaled inputs are solved by Cramer's rule.
+RIDGE = """m AS (
+  SELECT avg(RoomArea) AS m1, avg(NumberofAppliances) AS m2, avg(EnergyConsumption) AS my, stddev_pop(RoomArea) AS s1,
+         stddev_pop(NumberofAppliances) AS s2, stddev_pop(EnergyConsumption) AS sy, corr(RoomArea, NumberofAppliances) AS r12,
+         corr(RoomArea, EnergyConsumption) AS r1, corr(NumberofAppliances, EnergyConsumption) AS r2 FROM train),
+d AS (SELECT *, 1 + 0.1 / sy AS p FROM m),
+c AS (SELECT *, (p * r1 - r12 * r2) / (p * p - r12 * r12) * sy / s1 AS b1, (p * r2 - r12 * r1) / (p * p - r12 * r12) * sy / s2 AS b2 FROM d),
+ridge AS (SELECT b1, b2, my - b1 * m1 - b2 * m2 AS b0 FROM c),
+scored AS (SELECT test.*, b0 + b1 * RoomArea + b2 * NumberofAppliances AS guess FROM test, ridge)
+"""
+
+
+def with_ridge(select: str) -> str:
+    return S.with_model("SELECT 0").replace("\nSELECT 0", f", {RIDGE}{select}")
+
+
+RIDGE_ROWS = with_ridge(
+    """SELECT EnergyConsumption, round(guess, 4) AS prediction, BuildingType, HVACSystem, RoomArea, NumberofAppliances,
+       InsulationThickness, EnergyPerArea FROM scored"""
+)
+
+
+def ridge_predictions(model, test):
+    return M.predictions(model, test).withColumn("prediction", F.round("prediction", 4))
+
+
+@register(
+    "ml_linear_regression",
+    with_ridge(
+        """SELECT 'RoomArea' AS term, round(b1, 6) AS coefficient FROM ridge UNION ALL SELECT 'NumberofAppliances', round(b2, 6) FROM ridge
+UNION ALL SELECT 'intercept', round(b0, 6) FROM ridge"""
+    ),
+)
 def q_ml_linear_regression(spark, sf):
-    model, _ = mllib_fit(spark, sf)
+    model, _ = ridge(spark, sf)
     lr = model.stages[-1]
-    coef = [float(x) for x in lr.coefficients.toArray()]
-    return spark.createDataFrame(
-        [(i, c) for i, c in enumerate(coef)] + [(-1, float(lr.intercept))], "term int, coefficient double"
-    )
+    terms = [*zip(RIDGE_INPUTS, lr.coefficients.toArray().tolist(), strict=True), ("intercept", float(lr.intercept))]
+    return spark.createDataFrame(terms, "term string, coefficient double").withColumn("coefficient", F.round("coefficient", 6))
 
 
-@register("ml_predict")
+@register("ml_predict", RIDGE_ROWS)
 def q_ml_predict(spark, sf):
-    model, test = mllib_fit(spark, sf)
-    return M.predictions(model, test)
+    return ridge_predictions(*ridge(spark, sf))
 
 
-@register("ml_evaluate")
+@register(
+    "ml_evaluate",
+    with_ridge(
+        """SELECT round(sqrt(avg((EnergyConsumption - guess) * (EnergyConsumption - guess))), 4) AS rmse,
+       round(avg(abs(EnergyConsumption - guess)), 4) AS mae,
+       round(1 - sum((EnergyConsumption - guess) * (EnergyConsumption - guess)) / (var_pop(EnergyConsumption) * count(*)), 6) AS r2
+FROM scored"""
+    ),
+)
 def q_ml_evaluate(spark, sf):
-    model, test = mllib_fit(spark, sf)
-    return regression_metrics(M.predictions(model, test), "EnergyConsumption", "prediction")
+    got = M.evaluate(M.predictions(*ridge(spark, sf)))
+    one = spark.createDataFrame([(got["rmse"], got["mae"], got["r2"])], "rmse double, mae double, r2 double")
+    return one.select(F.round("rmse", 4).alias("rmse"), F.round("mae", 4).alias("mae"), F.round("r2", 6).alias("r2"))
 
 
 @register(
@@ -188,34 +271,47 @@ def q_topk_deviation(spark, sf):
     return top_k(h, [F.col("DeviationPercent").desc_nulls_last()], 10, [c for c in h.columns if c != "DeviationPercent"])
 
 
-@register("sink_model")
+@register("sink_model", RIDGE_ROWS)
 def q_sink_model(spark, sf):
-    """Save the fitted pipeline (replacing any old one), load it back, score the test rows."""
+    """Save the fitted pipeline over an older one, load it back, score the test rows."""
     from joulebox.queries.q_star import fresh
 
-    model, test = mllib_fit(spark, sf)
+    model, test = ridge(spark, sf)
+    train, _ = split(spark, sf)
     path = fresh(spark, "model")
-    M.save_model(model, path)
-    M.save_model(model, path)  # overwrite of an existing model
-    return M.predictions(M.load_model(path), test)
+    M.save_model(M.fit_numeric_model(train, ["RoomArea"]), path)
+    M.save_model(model, path)  # replaces the other model
+    return ridge_predictions(M.load_model(path), test)
+
+
+def raised(error, work) -> bool:
+    try:
+        work()
+    except error:
+        return True
+    return False
 
 
 @register(
     "require_columns",
     S.with_features(
         "SELECT AverageTemperature, OutsideTemperature, InsulationThickness, NumberofAppliances, RoomArea, "
-        "TemperatureDifference, BuildingType, HVACSystem, EnergyConsumption, EnergyPerArea FROM features"
+        "TemperatureDifference, BuildingType, HVACSystem, EnergyConsumption, EnergyPerArea, TRUE AS lack_is_an_error FROM features"
     ),
 )
 def q_require_columns(spark, sf):
-    from joulebox.operators.cleaning import require_columns
+    from joulebox.operators.cleaning import MissingColumnsError, require_columns
     from joulebox.schema import ML_REQUIRED_COLUMNS
 
-    return require_columns(processed(spark, sf), ML_REQUIRED_COLUMNS).select(*ML_REQUIRED_COLUMNS)
+    table = processed(spark, sf)
+    lacks = all(raised(MissingColumnsError, lambda: require_columns(table.drop(c), ML_REQUIRED_COLUMNS)) for c in ML_REQUIRED_COLUMNS)  # noqa: B023
+    return require_columns(table, ML_REQUIRED_COLUMNS).select(*ML_REQUIRED_COLUMNS, F.lit(lacks).alias("lack_is_an_error"))
 
 
-@register("fail_if_empty", S.with_features("SELECT * FROM features"))
+@register("fail_if_empty", S.with_features("SELECT *, TRUE AS empty_is_an_error FROM features"))
 def q_fail_if_empty(spark, sf):
-    from joulebox.operators.cleaning import fail_if_empty
+    from joulebox.operators.cleaning import EmptyResultError, fail_if_empty
 
-    return fail_if_empty(processed(spark, sf), "ETL stopped because no records remained after cleaning.")
+    table = processed(spark, sf)
+    empty = raised(EmptyResultError, lambda: fail_if_empty(table.filter(F.col("RoomArea") < 0), "no such rooms"))
+    return fail_if_empty(table, "no readings left").withColumn("empty_is_an_error", F.lit(empty))

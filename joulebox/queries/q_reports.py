@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from joulebox.operators.joins import lookup_with_default
 from joulebox.plans import readings as R
 from joulebox.plans import reports as P
 from joulebox.queries import q_cleaning, q_model
 from joulebox.queries import sql as S
-from joulebox.registry import register
+from joulebox.registry import ORACLES, register
+from joulebox.schema import STATUS_ABOVE
 
 ABOVE = "'Inefficient (Above Expected)'"
 
@@ -267,9 +269,20 @@ def q_report_top_types(spark, sf):
     return P.top_types(feats(spark, sf), health(spark, sf))
 
 
-@register("join_lookup_default", TOP_TYPES)
+@register(
+    "join_lookup_default",
+    S.with_model(
+        f"""SELECT b.BuildingType, b.RecordCount, coalesce(h.critical_cnt, 0) AS critical_cnt
+FROM by_building b LEFT JOIN (SELECT BuildingType, count(*) AS critical_cnt FROM health
+  WHERE EfficiencyStatus = {ABOVE} AND DeviationPercent > 400 GROUP BY BuildingType) h ON b.BuildingType = h.BuildingType"""
+    ),
+)
 def q_join_lookup_default(spark, sf):
-    return P.top_types(feats(spark, sf), health(spark, sf))
+    """Types with their number of extreme deviations, 0 where the lookup has no row."""
+    extreme = health(spark, sf).filter((F.col("EfficiencyStatus") == STATUS_ABOVE) & (F.col("DeviationPercent") > 400))
+    found = extreme.groupBy("BuildingType").agg(F.count(F.lit(1)).alias("critical_cnt"))
+    types = R.by_building(feats(spark, sf)).select("BuildingType", "RecordCount")
+    return lookup_with_default(types, found, "BuildingType", {"critical_cnt": 0})
 
 
 TOP_ABS = f"""SELECT BuildingType, HVACSystem, DeviationPercent, EfficiencyStatus FROM health WHERE {S.SCOPE}
@@ -295,3 +308,35 @@ FROM ({TOP_ABS})"""
 )
 def q_report_alerts(spark, sf):
     return P.alerts(health(spark, sf))
+
+
+# The filtered routes: each report by type, by system, and by both. The oracle is the unfiltered one with the
+# filter added to every scope.
+FILTERS = {
+    "type": {"building_type": "Promo"},
+    "hvac": {"hvac_system": "VRF"},
+    "both": {"building_type": "Promo", "hvac_system": "VRF"},
+}
+ROUTES = {
+    "report_kpis": lambda spark, sf, **f: P.kpis(feats(spark, sf), health(spark, sf), **f),
+    "report_health_distribution": lambda spark, sf, **f: P.health_distribution(health(spark, sf), **f),
+    "report_health_share": lambda spark, sf, **f: P.health_share(health(spark, sf), **f),
+    "report_energy_vs_area": lambda spark, sf, **f: P.energy_vs_area(feats(spark, sf), **f),
+    "report_epa_by_type": lambda spark, sf, **f: P.epa_by_type(feats(spark, sf), **f),
+    "report_predictions": lambda spark, sf, **f: P.prediction_series(q_model.predictions(spark, sf), **f),
+    "accuracy_report": lambda spark, sf, **f: P.prediction_accuracy(q_model.predictions(spark, sf), **f),
+    "report_top_types": lambda spark, sf, **f: P.top_types(feats(spark, sf), health(spark, sf), **f),
+    "report_alerts": lambda spark, sf, **f: P.alerts(health(spark, sf), **f),
+}
+
+
+def _filtered_scope(values: dict[str, str]) -> str:
+    columns = {"building_type": "BuildingType", "hvac_system": "HVACSystem"}
+    return " AND ".join([S.SCOPE, *[f"{columns[k]} = '{v}'" for k, v in values.items()]])
+
+
+for _route, _make in ROUTES.items():
+    for _suffix, _values in FILTERS.items():
+        register(f"{_route}__{_suffix}", ORACLES[_route].replace(S.SCOPE, _filtered_scope(_values)))(
+            lambda spark, sf, _make=_make, _values=_values: _make(spark, sf, **_values)
+        )

@@ -122,20 +122,20 @@ def q_fn_date_parts(spark, sf):
 
 @register(
     "fn_coalesce_zero",
-    S.with_features(
-        """SELECT BuildingType, coalesce(sum(CASE WHEN HVACSystem = 'Split AC' THEN EnergyConsumption END), 0) AS split_ac_energy,
-       coalesce(sum(CASE WHEN HVACSystem = 'VRF' THEN EnergyConsumption END), 0) AS vrf_energy
-FROM features GROUP BY BuildingType"""
+    S.with_model(
+        f"""SELECT BuildingType, RoomArea, coalesce(sum(CASE WHEN HVACSystem = 'VRF' THEN ActualEnergy END), 0) AS vrf_energy,
+       CASE WHEN avg({S.clamp_score()}) IS NULL OR avg({S.clamp_score()}) = 0 THEN 75.0 ELSE avg({S.clamp_score()}) END AS score
+FROM health GROUP BY BuildingType, RoomArea"""
     ),
 )
 def q_fn_coalesce_zero(spark, sf):
-    from joulebox.queries.q_cleaning import features
+    """A missing sum is 0, and a score of 0 (or none) is the default of 75."""
+    from joulebox.queries.q_model import health
 
-    h = F.col("HVACSystem")
-    e = F.col("EnergyConsumption")
-    return features(spark, sf).groupBy("BuildingType").agg(
-        F.coalesce(F.sum(F.when(h == "Split AC", e)), F.lit(0.0)).alias("split_ac_energy"),
-        F.coalesce(F.sum(F.when(h == "VRF", e)), F.lit(0.0)).alias("vrf_energy"),
+    score = F.avg(J.clamp_health_score("DeviationPercent"))
+    return health(spark, sf).groupBy("BuildingType", "RoomArea").agg(
+        F.coalesce(F.sum(F.when(F.col("HVACSystem") == "VRF", F.col("ActualEnergy"))), F.lit(0.0)).alias("vrf_energy"),
+        F.when(score.isNull() | (score == 0), F.lit(75.0)).otherwise(score).alias("score"),
     )
 
 
@@ -146,16 +146,3 @@ def q_fn_coalesce_zero(spark, sf):
 )
 def q_fn_message(spark, sf):
     return testdata.events(spark, sf).select("event_id", J.deviation_message(F.round(F.col("value") - 50, 2)).alias("message"))
-
-
-START, END = "2024-01-01", "2026-08-16"
-
-
-@register(
-    "fn_parse_row_dates",
-    f"""WITH {S.RAW.strip()}
-SELECT RecordID, strftime(DATE '{START}' + CAST({S.md5_bucket('RecordID', "(DATE '" + END + "' - DATE '" + START + "' + 1)")} AS INTEGER),
-                 '%Y-%m-%d') AS ReadingDate FROM raw""",
-)
-def q_fn_parse_row_dates(spark, sf):
-    return testdata.raw_readings(spark, sf).select("RecordID", J.reading_date_from_hash("RecordID", START, END).alias("ReadingDate"))

@@ -13,11 +13,13 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from joulebox.operators.joins import new_keys
+from joulebox.plans import jobs
 from joulebox.plans import loading as L
 from joulebox.plans import medallion as G
+from joulebox.plans import readings as R
 from joulebox.queries import sql as S
 from joulebox.registry import memo, register
-from joulebox.session import scratch_path
+from joulebox.session import scratch_path, stage_table
 from joulebox.sources import files, testdata
 
 CUTOFF = "1998-01-01"  # target / existing side of the incremental-load queries: earlier dates
@@ -32,6 +34,11 @@ def silver(spark: SparkSession, sf: str):
     return G.to_silver(testdata.raw_readings(spark, sf))
 
 
+def stored_silver(spark: SparkSession, sf: str):
+    """The silver rows, written once per session: what reads silver reads the stored table, as the jobs do."""
+    return memo(spark, ("silver", sf), lambda: stage_table(silver(spark, sf), "silver"))
+
+
 def raw_json_path(spark: SparkSession, sf: str) -> str:
     """Raw readings written once per session as JSON lines (the landing-zone format)."""
 
@@ -106,10 +113,10 @@ def q_scan_table_query(spark, sf):
 
 @register("to_bronze", S.with_silver("SELECT * FROM raw"))
 def q_to_bronze(spark, sf):
-    good, _ = G.read_raw_batch(spark, raw_json_path(spark, sf))
     path = fresh(spark, "bronze")
-    L.append_if_rows(good, path)
-    return spark.read.parquet(path)
+    for _ in range(2):  # extracting the same batch again replaces what it gave before
+        jobs.extract_job(spark, raw_json_path(spark, sf), path)
+    return spark.read.parquet(path).drop(jobs.EXTRACT_ID)
 
 
 @register("to_silver", S.with_silver("SELECT * FROM silver"))
@@ -137,12 +144,12 @@ def q_drop_columns(spark, sf):
 
 @register("dim_date", S.with_silver(S.calendar_sql("silver")))
 def q_dim_date(spark, sf):
-    return G.calendar_for(silver(spark, sf), "ReadingDate")
+    return G.calendar_for(stored_silver(spark, sf), "ReadingDate")
 
 
 @register("fn_sequence_explode", S.with_silver(S.calendar_sql("silver")))
 def q_fn_sequence_explode(spark, sf):
-    return G.calendar_for(silver(spark, sf), "ReadingDate")
+    return G.calendar_for(stored_silver(spark, sf), "ReadingDate")
 
 
 @register(
@@ -151,7 +158,7 @@ def q_fn_sequence_explode(spark, sf):
 )
 def q_load_once(spark, sf):
     path = fresh(spark, "dim-date")
-    cal = G.calendar_for(silver(spark, sf), "ReadingDate")
+    cal = G.calendar_for(stored_silver(spark, sf), "ReadingDate")
     first = L.load_once(spark, cal, path)
     second = L.load_once(spark, cal.limit(0), path)  # already populated: skipped
     assert first and not second
@@ -164,28 +171,29 @@ DIM_H = "SELECT DISTINCT md5(HVACSystem) AS hvac_key, HVACSystem FROM silver"
 
 @register("dim_building_type", S.with_silver(DIM_B))
 def q_dim_building_type(spark, sf):
-    return G.dim_building_type(silver(spark, sf))
+    return G.dim_building_type(stored_silver(spark, sf))
 
 
 @register("dim_hvac_system", S.with_silver(DIM_H))
 def q_dim_hvac_system(spark, sf):
-    return G.dim_hvac_system(silver(spark, sf))
+    return G.dim_hvac_system(stored_silver(spark, sf))
 
 
-@register("fn_md5_key", S.with_silver(DIM_B))
+@register("fn_md5_key", S.with_silver("SELECT RecordID, md5(RecordID || '/' || HVACSystem) AS record_key FROM silver"))
 def q_fn_md5_key(spark, sf):
-    return silver(spark, sf).select(F.md5("BuildingType").alias("building_type_key"), "BuildingType").distinct()
+    return stored_silver(spark, sf).select("RecordID", F.md5(F.concat_ws("/", "RecordID", "HVACSystem")).alias("record_key"))
 
 
 @register("fact_energy", S.with_silver("SELECT * FROM fact"))
 def q_fact_energy(spark, sf):
-    return G.fact_energy(silver(spark, sf))
+    return G.fact_energy(stored_silver(spark, sf))
 
 
 @register("join_left_equi", S.with_silver("SELECT * FROM fact"))
 def q_join_left_equi(spark, sf):
-    s = silver(spark, sf)
-    return G.fact_energy_via_dims(s, G.dim_building_type(s), G.dim_hvac_system(s))
+    s = stored_silver(spark, sf)
+    types, systems = (stage_table(d, "dim") for d in (G.dim_building_type(s), G.dim_hvac_system(s)))
+    return G.fact_energy_via_dims(s, types, systems)
 
 
 COMBO = "md5(BuildingType || '/' || HVACSystem || '/' || CAST(RoomArea AS VARCHAR))"
@@ -204,7 +212,7 @@ def combos(df):
 
 @register("join_left_anti", NEW_COMBOS)
 def q_join_left_anti(spark, sf):
-    s = silver(spark, sf)
+    s = stored_silver(spark, sf)
     existing = combos(s.filter((F.col("ReadingDate") < F.lit(CUTOFF).cast("date")) & (F.col("RoomArea") <= 25)))
     batch = combos(s.filter(F.col("ReadingDate") >= F.lit(OVERLAP).cast("date"))).distinct()
     return new_keys(batch, existing, "combo_key")
@@ -212,7 +220,7 @@ def q_join_left_anti(spark, sf):
 
 @register("dim_append_new", NEW_COMBOS)
 def q_dim_append_new(spark, sf):
-    s = silver(spark, sf)
+    s = stored_silver(spark, sf)
     path = fresh(spark, "dim-combo")
     L.dim_append_new(spark, combos(s.filter((F.col("ReadingDate") < F.lit(CUTOFF).cast("date")) & (F.col("RoomArea") <= 25))), path, "combo_key")
     return L.dim_append_new(spark, combos(s.filter(F.col("ReadingDate") >= F.lit(OVERLAP).cast("date"))), path, "combo_key")
@@ -228,7 +236,7 @@ source AS (SELECT f.* REPLACE (f.EnergyConsumption + 1 AS EnergyConsumption) FRO
 
 
 def merge_sides(spark, sf):
-    s = silver(spark, sf)
+    s = stored_silver(spark, sf)
     # fact rows carrying their reading date, so target and source split without a self-join
     f = G.fact_energy(s, extra=["ReadingDate"])
     target = f.filter(F.col("ReadingDate") < F.lit(CUTOFF).cast("date")).drop("ReadingDate")
@@ -288,16 +296,16 @@ def q_process_new_batches(spark, sf):
 @register("sink_parquet_overwrite", S.with_silver("SELECT * FROM fact"))
 def q_sink_parquet_overwrite(spark, sf):
     path = fresh(spark, "fact")
-    fact = G.fact_energy(silver(spark, sf))
-    L.write_parquet(fact.limit(0), path)
-    L.write_parquet(fact, path)  # replaces the empty first write
+    fact = G.fact_energy(stored_silver(spark, sf))
+    L.write_parquet(fact.filter(F.col("RoomArea") > 20), path)
+    L.write_parquet(fact, path)  # replaces the rows of the first write
     return spark.read.parquet(path)
 
 
 @register("sink_parquet_append", S.with_silver("SELECT * FROM silver"))
 def q_sink_parquet_append(spark, sf):
     path = fresh(spark, "silver")
-    s = silver(spark, sf)
+    s = stored_silver(spark, sf)
     early = F.col("ReadingDate") < F.lit(CUTOFF).cast("date")
     L.append_if_rows(s.filter(early), path)
     L.append_if_rows(s.filter(~early | F.col("ReadingDate").isNull()), path)
@@ -307,7 +315,7 @@ def q_sink_parquet_append(spark, sf):
 @register("skip_if_empty", S.with_silver("SELECT * FROM fact"))
 def q_skip_if_empty(spark, sf):
     path = fresh(spark, "skip")
-    fact = G.fact_energy(silver(spark, sf))
+    fact = G.fact_energy(stored_silver(spark, sf))
     wrote_empty = L.append_if_rows(fact.filter(F.lit(False)), path)
     assert not wrote_empty and not L.path_exists(spark, path)
     L.append_if_rows(fact, path)
@@ -320,24 +328,62 @@ def q_skip_if_empty(spark, sf):
 )
 def q_sink_json_overwrite(spark, sf):
     path = fresh(spark, "silver-json")
-    s = silver(spark, sf).drop("ReadingDate")
-    L.write_json(s, path)
+    s = stored_silver(spark, sf).drop("ReadingDate")
+    L.write_json(s.filter(F.col("RoomArea") > 20), path)
+    L.write_json(s, path)  # replaces the rows of the first write
     return spark.read.schema(s.schema).json(path)
 
 
 @register("sink_table_overwrite", S.with_silver("SELECT * FROM fact"))
 def q_sink_table_overwrite(spark, sf):
     table = f"fact_{uuid.uuid4().hex[:8]}"
-    L.replace_table(G.fact_energy(silver(spark, sf)), table)
+    fact = G.fact_energy(stored_silver(spark, sf))
+    L.replace_table(fact.filter(F.col("RoomArea") > 20), table)
+    L.replace_table(fact, table, options={"compression": "zstd"})  # replaces the rows of the first write
     return spark.table(table)
 
 
-@register("publish_tables", S.with_silver("SELECT * EXCLUDE (ReadingDate) FROM silver"))
+PUBLISHED = {  # dataset -> (table of the oracle, energy column)
+    "processed_energy": ("features", "EnergyConsumption"),
+    "energy_by_building": ("(SELECT BuildingType, sum(EnergyConsumption) AS TotalEnergy FROM features GROUP BY 1)", "TotalEnergy"),
+    "energy_by_hvac": ("(SELECT HVACSystem, sum(EnergyConsumption) AS TotalEnergy FROM features GROUP BY 1)", "TotalEnergy"),
+    "energy_statistics": ("(SELECT sum(EnergyConsumption) AS TotalEnergy FROM features)", "TotalEnergy"),
+    "building_health": ("health", "ActualEnergy"),
+    "ml_predictions": ("pred", "EnergyConsumption"),
+}
+
+
+@register(
+    "publish_tables",
+    S.with_model(
+        " UNION ALL ".join(
+            f"SELECT '{name}' AS dataset, count(*) AS rows, CAST(round(sum({energy})) AS BIGINT) AS energy FROM {table} AS t"
+            for name, (table, energy) in PUBLISHED.items()
+        )
+    ),
+)
 def q_publish_tables(spark, sf):
-    s = silver(spark, sf).drop("ReadingDate")
-    p1, p2 = fresh(spark, "pub-silver"), fresh(spark, "pub-dim")
-    L.write_parquet(s, p1)
-    L.write_parquet(G.dim_building_type(s), p2)
-    t1, t2 = f"silver_{uuid.uuid4().hex[:8]}", f"dimb_{uuid.uuid4().hex[:8]}"
-    L.publish_tables(spark, {p1: t1, p2: t2}, fmt="parquet")
-    return spark.table(t1)
+    """All six datasets written, published and read back: rows and energy of each table."""
+    from joulebox.queries import q_cleaning, q_model
+
+    feats = q_cleaning.features(spark, sf)
+    frames = {
+        "processed_energy": feats,
+        "energy_by_building": R.by_building(feats),
+        "energy_by_hvac": R.by_hvac(feats),
+        "energy_statistics": R.statistics(feats),
+        "building_health": q_model.health(spark, sf),
+        "ml_predictions": q_model.predictions(spark, sf),
+    }
+    prefix = f"pub_{uuid.uuid4().hex[:8]}_"
+    paths = {name: fresh(spark, f"pub-{name}") for name in frames}
+    for name, frame in frames.items():
+        L.write_parquet(frame, paths[name])
+    L.publish_tables(spark, {paths[name]: prefix + name for name in frames}, fmt="parquet")
+    out = None
+    for name, (_, energy) in PUBLISHED.items():
+        row = spark.table(prefix + name).agg(
+            F.lit(name).alias("dataset"), F.count(F.lit(1)).alias("rows"), F.round(F.sum(energy), 0).cast("bigint").alias("energy")
+        )
+        out = row if out is None else out.union(row)
+    return out

@@ -33,7 +33,7 @@ INGESTED_AT = "2024-01-01 00:00:00"
 @register("stream_ingest", S.with_silver("SELECT * FROM raw"))
 def q_stream_ingest(spark, sf):
     target, ckpt = fresh(spark, "raw-stream"), fresh(spark, "raw-stream-ckpt")
-    ingest_files(spark, raw_json_path(spark, sf), RAW_READING, target, ckpt, max_files_per_trigger=2)
+    ingest_files(spark, raw_json_path(spark, sf), RAW_READING, target, ckpt)
     return spark.read.parquet(target)
 
 

@@ -136,6 +136,8 @@ SPLIT_KEY = (
 
 MODEL = f"""
 keyed AS (SELECT *, {md5_bucket(SPLIT_KEY)} < 80 AS is_train FROM features),
+train AS (SELECT * EXCLUDE (is_train) FROM keyed WHERE is_train),
+test AS (SELECT * EXCLUDE (is_train) FROM keyed WHERE NOT is_train),
 coef AS (
   SELECT regr_slope(EnergyConsumption, RoomArea) AS b, regr_intercept(EnergyConsumption, RoomArea) AS a
   FROM keyed WHERE is_train

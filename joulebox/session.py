@@ -1,16 +1,19 @@
 """Session helpers.
 
 Library functions never create sessions; jobs, tests and the bench do. The
-checkpoint directory is read from ``spark.checkpoint.dir`` when the cluster
-names one and only set by us when it is missing (tests, local runs).
+checkpoint directory is read from ``spark.checkpoint.dir``; only a local session
+(tests, the bench) may go without and gets a scratch folder.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str = "joulebox") -> SparkSession:
@@ -33,25 +36,61 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint directory, setting a scratch one only if unset."""
+    """The shared checkpoint folder that the session names.
+
+    Only a ``local`` session may go without one: all its tasks see the same
+    disk, so it gets a scratch folder. On a cluster every executor would write its
+    parts to its own disk, so a missing setting is an error there.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # only reached when nothing is configured (tests, local runs)
-        configured = tempfile.mkdtemp(prefix="joulebox-ckpt-")
+        configured = scratch_folder(sc.master)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def scratch_folder(master: str) -> str:
+    """A new temporary folder for a local master; an error for any other."""
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise RuntimeError(f"spark.checkpoint.dir is not set and the master is {master}: name a folder that all executors share")
+    return tempfile.mkdtemp(prefix="joulebox-ckpt-")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint directory for intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, name) if "://" not in base else base.rstrip("/") + "/" + name
 
 
+#: Folders staged by the scopes that are open now, the innermost last.
+_SCOPES: list[list[str]] = []
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder of whatever file system it is on."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def staging(spark: SparkSession):
+    """Own the copies that ``stage_table`` makes inside: they are deleted when the block ends.
+
+    A job wraps its whole work in it; what the job returns or has written must not read them.
+    """
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            delete_path(spark, path)
+
+
 def stage_table(df, name: str):
     """Write ``df`` as parquet to a fresh folder under the shared checkpoint
     directory and return a frame reading it back.
@@ -59,20 +98,19 @@ def stage_table(df, name: str):
     Used where a plan would otherwise be computed twice (statistics first,
     then the rows): the second use scans stored columns, with pruning and
     filter pushdown, and the lineage is cut, so a lost executor only costs a
-    re-read.
+    re-read. The innermost open ``staging`` block owns the folder; without one
+    it lasts as long as the checkpoint folder.
     """
-    import uuid
-
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}")
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def stage_table_observed(df, name: str, metrics: dict):
     """``stage_table`` that also returns aggregate ``metrics`` ({alias: Column})
     computed by the same write through ``DataFrame.observe`` (no extra pass)."""
-    from pyspark.sql import Observation
-
     obs = Observation(name)
     observed = df.observe(obs, *[m.alias(k) for k, m in metrics.items()])
     out = stage_table(observed, name)

@@ -16,7 +16,7 @@ def kafka_stream(
     spark: SparkSession,
     bootstrap_servers: str,
     topic: str,
-    max_offsets_per_trigger: int | None = 100,
+    max_offsets_per_trigger: int | None = None,
     starting_offsets: str = "earliest",
 ) -> DataFrame:
     """readStream over a topic from the earliest offset; offsets live in the query checkpoint."""

@@ -27,12 +27,3 @@ def stamp_batches(
         stamp.alias("ingested_at"),
         batch_id(F.floor(F.col("_row") / batch_size) + 1).alias("batch_id"),
     )
-
-
-def write_batches(stamped: DataFrame, landing: str) -> None:
-    """One JSON-lines folder per batch under ``landing`` (``batch=<id>``).
-
-    The folder column is a copy, so every file still carries its ``batch_id``
-    (a partition column is otherwise dropped from the data files).
-    """
-    stamped.withColumn("batch", F.col("batch_id")).write.mode("overwrite").partitionBy("batch").json(landing)

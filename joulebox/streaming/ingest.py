@@ -3,8 +3,8 @@
 Replaces the poll-buffer-write loop of the original collector: the source
 offsets and the sink's file log live in the checkpoint, so a restart neither
 re-numbers nor overwrites earlier output and each input file is written
-exactly once; ``availableNow`` drains what is there in bounded micro-batches
-and stops.
+exactly once; ``availableNow`` drains what is there and stops; micro-batches are bounded by
+bytes where asked for.
 """
 
 from __future__ import annotations
@@ -16,14 +16,12 @@ from pyspark.sql.streaming import StreamingQuery
 from joulebox.sources.kafka import decode_values, kafka_stream
 
 
-def file_stream(spark: SparkSession, landing: str, schema: T.StructType, max_files_per_trigger: int = 1, fmt: str = "json") -> DataFrame:
-    return (
-        spark.readStream.format(fmt)
-        .schema(schema)
-        .option("maxFilesPerTrigger", str(max_files_per_trigger))
-        .option("allowNonNumericNumbers", "true")
-        .load(landing)
-    )
+def file_stream(spark: SparkSession, landing: str, schema: T.StructType, max_bytes_per_trigger: str | None = None, fmt: str = "json") -> DataFrame:
+    """Stream of a folder's files; a micro-batch takes all new files, or about ``max_bytes_per_trigger`` (e.g. "500g")."""
+    reader = spark.readStream.format(fmt).schema(schema).option("allowNonNumericNumbers", "true")
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
+    return reader.load(landing)
 
 
 def write_raw(stream: DataFrame, target: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
@@ -33,10 +31,10 @@ def write_raw(stream: DataFrame, target: str, checkpoint: str, available_now: bo
 
 
 def ingest_files(
-    spark: SparkSession, landing: str, schema: T.StructType, target: str, checkpoint: str, max_files_per_trigger: int = 1
+    spark: SparkSession, landing: str, schema: T.StructType, target: str, checkpoint: str, max_bytes_per_trigger: str | None = None
 ) -> StreamingQuery:
     """Drain the landing folder into ``target`` and wait for it (availableNow)."""
-    q = write_raw(file_stream(spark, landing, schema, max_files_per_trigger), target, checkpoint)
+    q = write_raw(file_stream(spark, landing, schema, max_bytes_per_trigger), target, checkpoint)
     q.awaitTermination()
     return q
 
@@ -48,7 +46,7 @@ def ingest_kafka(
     schema: T.StructType,
     target: str,
     checkpoint: str,
-    max_offsets_per_trigger: int = 100,
+    max_offsets_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Kafka topic of JSON values -> parquet (needs the spark-sql-kafka package)."""
     rows = decode_values(kafka_stream(spark, servers, topic, max_offsets_per_trigger), schema)

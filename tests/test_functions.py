@@ -70,14 +70,6 @@ def test_md5_key_and_ids(spark):
     assert one(spark, J.batch_id("x"), 7, "x long") == "POWER-BATCH-0007"
 
 
-def test_reading_date_from_hash_in_range(spark):
-    df = spark.range(500).select(J.reading_date_from_hash(F.col("id").cast("string"), "2024-01-01", "2026-08-16").alias("d"))
-    lo, hi = df.agg(F.min("d"), F.max("d")).first()
-    assert "2024-01-01" <= lo and hi <= "2026-08-16"
-    again = df.collect()
-    assert again == df.collect()  # stable
-
-
 def test_round_matches_decimal_half_up(spark):
     v = 22903.05 / 24
     got = one(spark, F.round("x", 4), v, "x double")

@@ -1,12 +1,13 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from joulebox.operators.indexing import global_index
 from joulebox.plans import jobs
 from joulebox.schema import RAW_READING
 from joulebox.sources import testdata
-from joulebox.streaming.batches import stamp_batches, write_batches
+from joulebox.streaming.batches import stamp_batches
 from joulebox.streaming.ingest import ingest_files
 
 
@@ -31,7 +32,7 @@ def test_medallion_end_to_end_idempotent(spark, sf_small, tmp_path):
     stamped = stamp_batches(testdata.loose_readings(spark, sf_small).withColumnRenamed("Outside Temperature", "OutsideTemperature")
                             .withColumn("ReadingDate", F.lit("2024-05-17")), ["RoomArea", "EnergyConsumption"], 500,
                             ingested_at="2024-05-17 00:00:00")
-    write_batches(stamped, landing)
+    stamped.withColumn("batch", F.col("batch_id")).write.partitionBy("batch").json(landing)
     bronze, lake, ledger = str(tmp_path / "bronze"), str(tmp_path / "lake"), str(tmp_path / "ledger")
     batches = sorted(d for d in os.listdir(landing) if d.startswith("batch="))
     assert len(batches) == (stamped.count() + 499) // 500
@@ -39,20 +40,49 @@ def test_medallion_end_to_end_idempotent(spark, sf_small, tmp_path):
         assert jobs.extract_job(spark, f"{landing}/{b}", bronze)["written"]
     first = jobs.transform_job(spark, bronze, lake, ledger)
     assert jobs.load_job(spark, lake, prefix="t2_")["fact"] == "created"
+    jobs.extract_job(spark, f"{landing}/{batches[0]}", bronze)  # extracting a batch again adds nothing
     again = jobs.transform_job(spark, bronze, lake, ledger)  # nothing new: ledger holds every batch
     assert first["silver_rows"] > 0 and again["silver_rows"] == 0
     assert spark.read.parquet(f"{lake}/silver/power_consumption").count() == first["silver_rows"]
-    assert jobs.load_job(spark, lake, prefix="t2_")["fact"] == "merged"  # empty staging merges nothing away
+    assert jobs.load_job(spark, lake, prefix="t2_")["fact"] == "skipped"  # empty staging leaves the table alone
     assert spark.table("t2_fact_energy_consumption").count() == first["silver_rows"]
 
 
+def test_transform_done_over_after_a_crash(spark, sf_small, tmp_path, monkeypatch):
+    bronze, lake, ledger = str(tmp_path / "bronze"), str(tmp_path / "lake"), str(tmp_path / "ledger")
+    raw = testdata.raw_readings(spark, sf_small).withColumn("batch_id", F.when(F.col("batch_id") != F.lit("x"), F.col("batch_id")))
+    raw = raw.withColumn("batch_id", F.when(F.col("RoomArea") != 7, F.col("batch_id")))  # some rows have no batch id
+    raw.write.parquet(bronze)
+    finish = jobs.L.finish_run
+    monkeypatch.setattr(jobs.L, "finish_run", lambda *a: (_ for _ in ()).throw(RuntimeError("crash")))
+    with pytest.raises(RuntimeError):
+        jobs.transform_job(spark, bronze, lake, ledger)
+    monkeypatch.setattr(jobs.L, "finish_run", finish)
+    rows = raw.select("RecordID").distinct().count()
+    assert jobs.transform_job(spark, bronze, lake, ledger)["silver_rows"] == rows  # the same run again
+    assert spark.read.parquet(f"{lake}/silver/power_consumption").count() == rows
+    assert jobs.transform_job(spark, bronze, lake, ledger)["silver_rows"] == 0  # rows without a batch id neither
+
+
+def test_jobs_leave_no_staged_copies(spark, sf_small, tmp_path):
+    from joulebox.session import ensure_checkpoint_dir
+
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    testdata.loose_readings(spark, sf_small).limit(500).write.json(raw)
+    jobs.etl_job(spark, raw, out, declared=True)
+    jobs.extract_job(spark, raw, f"{out}/bronze", f"{out}/bad")
+    assert set(os.listdir(folder)) == before
+
+
 def test_stream_ingest_restart_adds_nothing(spark, tmp_path):
     landing = str(tmp_path / "landing")
     rows = spark.createDataFrame([(f"REC-{i:06d}", i, f"POWER-BATCH-{i // 10 + 1:04d}") for i in range(40)],
                                  "RecordID string, RoomArea int, batch_id string")
     rows.repartition(4).write.json(landing)
     target, ckpt = str(tmp_path / "raw"), str(tmp_path / "ckpt")
-    ingest_files(spark, landing, RAW_READING, target, ckpt, max_files_per_trigger=1)
+    ingest_files(spark, landing, RAW_READING, target, ckpt)
     assert spark.read.parquet(target).count() == 40
     ingest_files(spark, landing, RAW_READING, target, ckpt)  # restart, same checkpoint
     assert spark.read.parquet(target).count() == 40

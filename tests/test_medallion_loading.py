@@ -1,3 +1,5 @@
+import pytest
+import uuid
 import json
 import os
 
@@ -107,3 +109,64 @@ def test_publish_tables(spark, tmp_path):
     L.write_json(spark.createDataFrame([(1.0, 2)], "AverageEnergy double, TotalRecords long"), p)
     assert L.publish_tables(spark, {p: "pub_stats_test"}) == ["pub_stats_test"]
     assert spark.table("pub_stats_test").first()["TotalRecords"] == 2
+
+
+def test_merge_rejects_duplicate_source_keys_and_keeps_null_ones(spark):
+    target = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, v int")
+    with pytest.raises(Exception, match="more than one row for key a"):
+        L.merge_upsert(target, spark.createDataFrame([("a", 5), ("a", 6)], "k string, v int"), "k").collect()
+    got = L.merge_upsert(target, spark.createDataFrame([("a", 5), (None, 6), (None, 7)], "k string, v int"), "k")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([("a", 5), ("b", 2), (None, 3), (None, 6), (None, 7)], key=str)
+
+
+def test_merge_rewrites_touched_partitions_only(spark):
+    table = f"fact_parts_{uuid.uuid4().hex[:8]}"
+    rows = [(f"r{i}", i % 4, float(i)) for i in range(40)]
+    target = spark.createDataFrame(rows, "RecordID string, date_key int, e double")
+    assert L.merge_into_table(spark, target, table, "RecordID", partition="date_key") == "created"
+    before = {f: f.split("date_key=")[1][0] for f in spark.table(table).inputFiles()}
+    source = spark.createDataFrame([("r1", 1, -1.0), ("r5", 2, -5.0), ("new", 2, 9.0)], "RecordID string, date_key int, e double")
+    assert L.merge_into_table(spark, source, table, "RecordID", partition="date_key") == "merged"
+    after = set(spark.table(table).inputFiles())
+    assert {f for f, part in before.items() if part in "03"} <= after  # untouched files keep their names
+    assert not {f for f, part in before.items() if part in "12"} & after
+    got = {r.RecordID: (r.date_key, r.e) for r in spark.table(table).collect()}
+    want = {**{k: (d, e) for k, d, e in rows}, "r1": (1, -1.0), "r5": (2, -5.0), "new": (2, 9.0)}
+    assert got == want and spark.table(table).count() == 41
+    assert L.merge_into_table(spark, source.limit(0), table, "RecordID", partition="date_key") == "skipped"
+    everything = spark.createDataFrame([(k, 7, e) for k, (d, e) in want.items() if d == 3], "RecordID string, date_key int, e double")
+    L.merge_into_table(spark, everything, table, "RecordID", partition="date_key")  # day 3 loses all of its rows
+    assert spark.table(table).filter("date_key = 3").count() == 0 and spark.table(table).count() == 41
+    spark.sql(f"DROP TABLE {table}")
+
+
+def test_swap_keeps_the_old_version_until_the_new_one_is_written(spark):
+    table = f"swapped_{uuid.uuid4().hex[:8]}"
+    L.swap_in(spark, spark.range(3).toDF("x"), table)
+    broken = spark.range(5).select(F.raise_error(F.lit("broken")).cast("bigint").alias("x"))
+    with pytest.raises(Exception, match="broken"):
+        L.swap_in(spark, broken, table)
+    assert spark.table(table).count() == 3
+    L.swap_in(spark, spark.range(9).toDF("x"), table)
+    assert spark.table(table).count() == 9
+    spark.sql(f"DROP TABLE {table}")
+
+
+def test_null_batches_are_taken_once(spark, tmp_path):
+    raw = spark.createDataFrame([("b1", 1), (None, 2)], "batch_id string, x int")
+    L.record_batches(spark, raw, str(tmp_path / "l"))
+    assert L.unprocessed_batches(raw, spark.read.parquet(str(tmp_path / "l"))).count() == 0
+
+
+def test_empty_dimensions_leave_the_loaded_ones(spark):
+    table = f"dim_{uuid.uuid4().hex[:8]}"
+    L.replace_table(spark.range(2), table)
+    assert not L.replace_unless_empty(spark.range(0), table) and spark.table(table).count() == 2
+
+
+def test_a_cluster_needs_a_shared_checkpoint_folder():
+    from joulebox.session import scratch_folder
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_folder("spark://host:7077")
+    assert os.path.isdir(scratch_folder("local[4]"))

@@ -8,7 +8,8 @@ from tools.oracle_check import TABLES, rows_key
 NAMES = [
     "clean_readings", "stage_counts", "energy_by_building", "topk_efficiency", "iqr_filter", "quantiles",
     "to_silver", "fact_energy", "dim_date", "merge_upsert", "dedup_key", "stamp_batches", "building_health",
-    "report_top_types", "report_alerts", "fn_parse_row_dates", "normalize_category",
+    "report_top_types", "report_alerts", "normalize_category", "ml_index", "ml_onehot", "ml_assemble_etl", "ml_assemble_model",
+    "ml_linear_regression", "ml_predict", "ml_evaluate", "sink_model", "publish_tables", "report_kpis__both",
 ]
 
 

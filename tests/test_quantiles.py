@@ -79,3 +79,20 @@ def test_approx_rank_error_vs_exact(spark, sf_small):
         rank = e.filter(F.col("x") <= v).count()
         assert abs(rank - p * n) <= 0.01 * n + 1
         assert abs(v - exact[("x", p)]) / exact[("x", p)] < 0.05
+
+
+def test_nan_and_infinities_are_no_values(spark):
+    vals = [1.0, 2.0, 3.0, float("nan"), float("inf"), float("-inf"), None] + [2.0] * 50
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    finite = [v for v in vals if v is not None and np.isfinite(v)]
+    got = Q.exact_quantiles(df, ["x"], [0.0, 0.01, 0.5, 1.0], buckets=4)
+    assert [got[("x", p)] for p in (0.0, 0.01, 0.5, 1.0)] == [np_quantile(finite, p) for p in (0.0, 0.01, 0.5, 1.0)]
+    assert Q.approx_quantile_row(df, ["x"], [1.0]).first()["x"] == [3.0]
+
+
+def test_exact_quantiles_beyond_the_sketch(spark):
+    vals = [float(i * i % 9973) + i / 1e6 for i in range(40_000)]  # more distinct values than the sketch keeps
+    df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(6)
+    probs = [0.001, 0.25, 0.4999, 0.9, 0.9999]
+    got = Q.exact_quantiles(df, ["x"], probs)
+    assert all(abs(got[("x", p)] - np_quantile(vals, p)) < 1e-9 for p in probs)
