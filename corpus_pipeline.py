@@ -19,13 +19,15 @@ table stays empty.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from joulebox.llm import decontaminate, identifiers, languages, near_copies, pieces
-from joulebox.llm.tables import held_out, read, stage
+from joulebox.llm.tables import held_out, read
+from joulebox.session import delete_path, scratch_path, staging
 
 #: Mean probability of a document's language below which it is rejected.
 LEAST_SCORE = 0.4
@@ -82,7 +84,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
+    docs, last = read(spark, sf_dir, "documents"), None
     for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+        path = scratch_path(spark, f"pipeline-{name}-{uuid.uuid4().hex[:12]}")
+        with staging(spark):  # what the stage has staged goes as soon as its result is written
+            step(spark, docs, sf_dir).write.parquet(path)
+        if last:
+            delete_path(spark, last)
+        docs, last = spark.read.parquet(path), path
     return docs

@@ -2,32 +2,16 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from joulebox.session import scratch_path
+from joulebox.session import stage_table as stage  # noqa: F401
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` to a fresh Parquet folder in the shared checkpoint folder and read it back.
-
-    Cuts lineage (a lost executor costs a re-read) and lets several consumers
-    share one computation.
-    """
-    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}")
-    w = df.write
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def held_out(doc_id, modulus: int, remainder: int):
     """The contract's split: crc32 of the id as text, modulo ``modulus``, is ``remainder``."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % modulus == remainder, F.lit(False))

@@ -4,6 +4,7 @@ import __spark_entry__
 import corpus_pipeline
 from joulebox.llm import near_copies, pieces
 from joulebox.llm.queries import ORACLES, QUERIES
+from joulebox.llm.tables import stage
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, c0 int, row int, `found` string"
 
@@ -29,7 +30,7 @@ def test_stages_take_effect(spark, tmp_path):
     here = spark.read.parquet(f"{tmp_path}/documents.parquet")
     names = here.columns
     for name, step in corpus_pipeline.STAGES[:-1]:
-        here = corpus_pipeline.stage(step(spark, here, str(tmp_path)), f"test-{name}")
+        here = stage(step(spark, here, str(tmp_path)), f"test-{name}")
         assert here.columns == names
     got = here.collect()
     want = {i for i, _, _ in docs} - {100, 101, 102, 104, 105, 106}
