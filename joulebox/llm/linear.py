@@ -52,8 +52,9 @@ def distinct_features(row: np.ndarray, slot: np.ndarray, value: np.ndarray, bits
     return key >> bits, key & ((1 << bits) - 1), np.bincount(back, weights=value, minlength=len(key))
 
 
-def featurise(rows: DataFrame, features: Features, bits: int, keep: list[str]) -> DataFrame:
-    """Stored training rows: ``keep`` columns, shard, place, slots, values."""
+def featurise(rows: DataFrame, features: Features, bits: int) -> DataFrame:
+    """Stored training data of rows (doc, y, text), packed by shard."""
+    keep = ["doc", "y"]
     schema = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -72,8 +73,28 @@ def featurise(rows: DataFrame, features: Features, bits: int, keep: list[str]) -
                 )
 
     made = rows.select(*keep, "text").mapInArrow(run, f"{schema}, slots array<int>, weights array<float>")
-    place = F.xxhash64(F.col(keep[0]), F.lit(11))
-    return stage(made.withColumn("place", place).withColumn("shard", F.pmod("place", F.lit(SHARDS)).cast("int")), "training-rows")
+    place = F.xxhash64("doc", F.lit(11))
+    return stage(pack_shards(made.withColumn("place", place).withColumn("shard", F.pmod("place", F.lit(SHARDS)).cast("int"))), "training-shards")
+
+
+def pack_shards(rows: DataFrame) -> DataFrame:
+    """One row per shard of rows (shard, place, y, slots, weights): its labels, slot counts, slots and values as binary, in order.
+
+    The training rows are bounded, and so is a shard. Epochs read the packed shards without shuffling them again.
+    """
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["place", "y"], kind="stable")
+        slots = pdf["slots"].tolist()
+        body = {
+            "y": pdf["y"].to_numpy(np.float64),
+            "counts": np.array([len(x) for x in slots], np.int64),
+            "slots": np.concatenate([*slots, []]).astype(np.int32),
+            "weights": np.concatenate([*pdf["weights"].tolist(), []]).astype(np.float32),
+        }
+        return pd.DataFrame({"shard": [int(pdf["shard"].iloc[0])], **{c: [v.tobytes()] for c, v in body.items()}})
+
+    return rows.select("shard", "place", "y", "slots", "weights").groupBy("shard").applyInPandas(run, "shard int, y binary, counts binary, slots binary, weights binary")
 
 
 def ftrl_weights(z: np.ndarray, n: np.ndarray, alpha: float, beta: float, l1: float, l2: float) -> np.ndarray:
@@ -85,23 +106,20 @@ def ftrl_weights(z: np.ndarray, n: np.ndarray, alpha: float, beta: float, l1: fl
 def train_ftrl(
     rows: DataFrame, bits: int, epochs: int, alpha: float = 0.3, beta: float = 1.0, l1: float = 0.02, l2: float = 0.5
 ) -> np.ndarray:
-    """Weights (2 ** bits and the bias last) from rows (shard, place, y, slots, weights); y may be a probability."""
+    """Weights (2 ** bits and the bias last) from packed shards; labels may be probabilities."""
     size = (1 << bits) + 1
     z, n = np.zeros(size, np.float32), np.zeros(size, np.float32)
 
-    def epoch(z0: np.ndarray, n0: np.ndarray) -> Callable[[pd.DataFrame], pd.DataFrame]:
-        def run(pdf: pd.DataFrame) -> pd.DataFrame:
+    def epoch(z0: np.ndarray, n0: np.ndarray) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+        def one(y: np.ndarray, counts: np.ndarray, slots: np.ndarray, weights: np.ndarray) -> dict[str, bytes]:
             z, n = z0.astype(np.float64), n0.astype(np.float64)
-            pdf = pdf.sort_values(["place", "y"], kind="stable")
-            y = pdf["y"].to_numpy()
-            slots, weights = pdf["slots"].tolist(), pdf["weights"].tolist()
+            edge = np.concatenate([[0], np.cumsum(counts)])
             for lo in range(0, len(y), BATCH):
                 hi = min(len(y), lo + BATCH)
-                counts = [len(s) for s in slots[lo:hi]]
-                own = np.repeat(np.arange(hi - lo), counts)
-                slot = np.concatenate([*slots[lo:hi], np.full(hi - lo, size - 1)]).astype(np.int64)
-                x = np.concatenate([*weights[lo:hi], np.ones(hi - lo)])
-                own = np.concatenate([own, np.arange(hi - lo)])
+                mine = slice(edge[lo], edge[hi])
+                own = np.concatenate([np.repeat(np.arange(hi - lo), counts[lo:hi]), np.arange(hi - lo)])
+                slot = np.concatenate([slots[mine], np.full(hi - lo, size - 1)]).astype(np.int64)
+                x = np.concatenate([weights[mine], np.ones(hi - lo)])
                 used, at = np.unique(slot, return_inverse=True)
                 w = ftrl_weights(z[used], n[used], alpha, beta, l1, l2)
                 p = 1 / (1 + np.exp(-np.clip(np.bincount(own, weights=w[at] * x, minlength=hi - lo), -30, 30)))
@@ -109,15 +127,21 @@ def train_ftrl(
                 z[used] += g - (np.sqrt(n[used] + g * g) - np.sqrt(n[used])) / alpha * w
                 n[used] += g * g
             at = np.flatnonzero(n)  # slots that no row has had stay at zero
-            state = (at.astype(np.int32), z[at].astype(np.float32), n[at].astype(np.float32))
-            return pd.DataFrame({c: [v.tobytes()] for c, v in zip(("at", "z", "n"), state, strict=True)})
+            return {"at": at.astype(np.int32).tobytes(), "z": z[at].astype(np.float32).tobytes(), "n": n[at].astype(np.float32).tobytes()}
+
+        def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in parts:
+                for r in pdf.itertuples():
+                    body = (np.frombuffer(r.y), np.frombuffer(r.counts, np.int64), np.frombuffer(r.slots, np.int32), np.frombuffer(r.weights, np.float32))
+                    yield pd.DataFrame([{"shard": r.shard, **one(*body)}])
 
         return run
 
     for _ in range(epochs):
-        got = rows.groupBy("shard").applyInPandas(epoch(z, n), "at binary, z binary, n binary").orderBy("at").collect()
+        got = rows.mapInPandas(epoch(z, n), "shard int, at binary, z binary, n binary").collect()
         if not got:
             return np.zeros(size)
+        got.sort(key=lambda r: r["shard"])
         sums = np.zeros((2, size))
         for r in got:
             at = np.frombuffer(r["at"], np.int32)

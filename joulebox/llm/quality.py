@@ -57,7 +57,7 @@ def features(data: np.ndarray, offs: np.ndarray, bits: int = BITS) -> tuple[np.n
 
 def fit(docs: DataFrame, labels: DataFrame, allowed, max_rows: int = MAX_TRAINING_ROWS, label: str = "quality", id_col: str = "doc_id") -> np.ndarray:
     """Weights from the labels of the ids that ``allowed`` admits."""
-    rows = featurise(labelled_sample(docs, labels, label, allowed, max_rows, id_col), features, BITS, ["doc", "y"])
+    rows = featurise(labelled_sample(docs, labels, label, allowed, max_rows, id_col), features, BITS)
     return train_ftrl(rows, BITS, EPOCHS)
 
 

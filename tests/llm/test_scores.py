@@ -115,5 +115,5 @@ def test_ftrl_learns_and_ignores_row_order(spark):
     rng = np.random.default_rng(0)
     rows = [(int(i % 8), int(i), float(y), [int(y), 2 + int(rng.integers(0, 6))], [1.0, 1.0]) for i, y in enumerate(rng.integers(0, 2, 400))]
     df = spark.createDataFrame(rows, "shard int, place long, y double, slots array<int>, weights array<float>")
-    w = linear.train_ftrl(df, 4, 5)
-    assert w[1] > 0.5 and w[0] < -0.5 and np.array_equal(w, linear.train_ftrl(df.repartition(7), 4, 5))
+    w = linear.train_ftrl(linear.pack_shards(df), 4, 5)
+    assert w[1] > 0.5 and w[0] < -0.5 and np.array_equal(w, linear.train_ftrl(linear.pack_shards(df.repartition(7)), 4, 5))
