@@ -15,6 +15,16 @@ from pyspark.sql import functions as F
 from joulebox.session import stage_table
 
 
+#: Estimated bytes that a partition of the range shuffle should hold.
+PARTITION_BYTES = 256 << 20
+
+
+def _by_size(df: DataFrame) -> int:
+    """Partitions for the optimizer's estimate of the frame's size."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return max(1, min(size // PARTITION_BYTES, 1_000_000))
+
+
 def global_index(df: DataFrame, order: list[Column | str], index_col: str = "row_index", partitions: int | None = None) -> DataFrame:
     """0-based position of every row in ``order`` (make it a total order for a deterministic result).
 
@@ -22,7 +32,7 @@ def global_index(df: DataFrame, order: list[Column | str], index_col: str = "row
     value that repeats a third of all rows does not land in one task.
     """
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), _by_size(df))
     keys = [F.col(c) if isinstance(c, str) else c for c in order] + [F.rand(17)]
     ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     tagged = ranged.withColumns({"_pid": F.spark_partition_id(), "_mid": F.monotonically_increasing_id()})

@@ -23,6 +23,7 @@ from joulebox.operators.joins import lookup_keys
 from joulebox.schema import FACT_COLUMNS, INGEST_METADATA, RAW_READING
 from joulebox.sources.files import read_json_schema, split_corrupt
 
+# What silver puts in place of missing values, and its types.
 NUMERIC_DEFAULTS = {
     "RoomArea": 0,
     "NumberofAppliances": 0,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Column-name groups used across the cleaning and model steps.
+# The column-name groups of the data contract, in its order.
 NUMERIC_COLUMNS = [
     "RoomArea",
     "NumberofAppliances",
@@ -49,7 +49,7 @@ ML_NUMERIC_COLUMNS = [
 ]
 INGEST_METADATA = ["source", "batch_id", "ingested_at"]
 
-# loose raw reading (pipeline A). Types are what JSON inference yields for
+# F1, loose raw reading (pipeline A). Types are what JSON inference yields for
 # well-formed input; a reader may still pass strings, which the cleaner casts.
 RAW_READING_LOOSE = T.StructType(
     [
@@ -64,7 +64,7 @@ RAW_READING_LOOSE = T.StructType(
     ]
 )
 
-# strict raw reading (pipeline B bronze).
+# F2, strict raw reading (pipeline B bronze).
 RAW_READING = T.StructType(
     [
         T.StructField("RecordID", T.StringType()),
@@ -83,6 +83,7 @@ RAW_READING = T.StructType(
     ]
 )
 
+# Columns of the fact, prediction and health tables.
 FACT_COLUMNS = [
     "RecordID",
     "building_type_key",

@@ -13,12 +13,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from joulebox.sources.files import CORRUPT_COLUMN
 from joulebox.sources.kafka import decode_values, kafka_stream
 
 
-def file_stream(spark: SparkSession, landing: str, schema: T.StructType, max_bytes_per_trigger: str | None = None, fmt: str = "json") -> DataFrame:
-    """Stream of a folder's files; a micro-batch takes all new files, or about ``max_bytes_per_trigger`` (e.g. "500g")."""
-    reader = spark.readStream.format(fmt).schema(schema).option("allowNonNumericNumbers", "true")
+def file_stream(
+    spark: SparkSession, landing: str, schema: T.StructType, max_bytes_per_trigger: str | None = None, fmt: str = "json", keep_corrupt: bool = False
+) -> DataFrame:
+    """Stream of a folder's files; a micro-batch takes all new files, or about ``max_bytes_per_trigger`` (e.g. "500g").
+
+    With ``keep_corrupt`` a line that is not JSON keeps its text in the corrupt-record column, which
+    ``split_corrupt`` tells apart when the raw layer is read; without it such a line is a row of NULLs.
+    """
+    if keep_corrupt:
+        schema = T.StructType([*schema.fields, T.StructField(CORRUPT_COLUMN, T.StringType())])
+    reader = spark.readStream.format(fmt).schema(schema).option("allowNonNumericNumbers", "true").option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
     if max_bytes_per_trigger:
         reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     return reader.load(landing)
@@ -31,10 +40,11 @@ def write_raw(stream: DataFrame, target: str, checkpoint: str, available_now: bo
 
 
 def ingest_files(
-    spark: SparkSession, landing: str, schema: T.StructType, target: str, checkpoint: str, max_bytes_per_trigger: str | None = None
+    spark: SparkSession, landing: str, schema: T.StructType, target: str, checkpoint: str,
+    max_bytes_per_trigger: str | None = None, keep_corrupt: bool = False,
 ) -> StreamingQuery:
     """Drain the landing folder into ``target`` and wait for it (availableNow)."""
-    q = write_raw(file_stream(spark, landing, schema, max_bytes_per_trigger), target, checkpoint)
+    q = write_raw(file_stream(spark, landing, schema, max_bytes_per_trigger, keep_corrupt=keep_corrupt), target, checkpoint)
     q.awaitTermination()
     return q
 

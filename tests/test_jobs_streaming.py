@@ -91,6 +91,17 @@ def test_stream_ingest_restart_adds_nothing(spark, tmp_path):
     assert spark.read.parquet(target).count() == 45
 
 
+def test_stream_keeps_lines_that_are_not_json(spark, tmp_path):
+    from joulebox.sources.files import split_corrupt
+
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    (landing / "a.json").write_text('{"RecordID": "REC-000001", "RoomArea": 5}\nnot json\n')
+    ingest_files(spark, str(landing), RAW_READING, str(tmp_path / "raw"), str(tmp_path / "ckpt"), keep_corrupt=True)
+    good, bad = split_corrupt(spark.read.parquet(str(tmp_path / "raw")))
+    assert [r["RecordID"] for r in good.collect()] == ["REC-000001"] and [r[0] for r in bad.collect()] == ["not json"]
+
+
 def test_global_index_contiguous_and_ordered(spark):
     df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k"), F.lit(1).alias("dup")).repartition(7)
     df = df.unionByName(df.limit(0))
