@@ -10,7 +10,8 @@ class and one other voter, its parent in a tree. EM with independent voters give
 first accuracies; the tree is the maximum spanning tree of the voters' conditional mutual
 information, which is where voters are correlated; EM with the tree gives the
 final accuracies and the posterior of every vote pattern. Its input is the number of
-documents of each vote pattern over the whole corpus (at most 2 ** voters rows).
+documents of each vote pattern over the whole corpus (at most 2 ** voters rows), and how
+many of them have an allowed label of either kind, which anchors the classes.
 
 Classifier: logistic regression on hashed words and word beginnings, present or not,
 fitted to the posteriors of a bounded number of documents, and applied to all.
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 
 from .linear import distinct_features, featurise, labelled_sample, score, train_ftrl
 from .quality import TOKENS
+from .tables import stage
 from .textblock import LOWER, U64, Spans, blocks
 
 BITS = 20
@@ -165,35 +167,34 @@ class LabelModel:
         return 1 / (1 + np.exp(np.clip(logs[:, 0] - logs[:, 1], -50, 50)))
 
 
-def _tables(votes: np.ndarray, weight: np.ndarray, post: np.ndarray, parent: list[int]) -> np.ndarray:
+def _tables(votes: np.ndarray, mass: tuple[np.ndarray, np.ndarray], parent: list[int]) -> np.ndarray:
     out = np.empty((votes.shape[1], 2, 2))
     for v, q in enumerate(parent):
-        for y, p in ((0, 1 - post), (1, post)):
+        for y in (0, 1):
             for u in (0, 1):
-                here = weight * p * ((votes[:, q] == u) if q >= 0 else 1)
+                here = mass[y] * ((votes[:, q] == u) if q >= 0 else 1)
                 # a prior of two documents: toxic voters vote toxic more often on toxic texts
                 out[v][y, u] = ((here * votes[:, v]).sum() + (0.2, 0.8)[y] * 2) / (here.sum() + 2)
     return np.clip(out, 1e-6, 1 - 1e-6)
 
 
-def _dependence(votes: np.ndarray, weight: np.ndarray, post: np.ndarray) -> np.ndarray:
+def _dependence(votes: np.ndarray, mass: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """Mutual information of each two voters given the class."""
     n = votes.shape[1]
     out = np.zeros((n, n))
-    total = weight.sum()
-    for p in (1 - post, post):
-        own = weight * p
-        mass = own.sum()
-        if mass <= 0:
+    total = mass[0].sum() + mass[1].sum()
+    for own in mass:
+        whole = own.sum()
+        if whole <= 0:
             continue
         for i in range(n):
             for j in range(i):
                 for a in (0, 1):
                     for b in (0, 1):
-                        ab = own[(votes[:, i] == a) & (votes[:, j] == b)].sum() / mass
-                        a_, b_ = own[votes[:, i] == a].sum() / mass, own[votes[:, j] == b].sum() / mass
+                        ab = own[(votes[:, i] == a) & (votes[:, j] == b)].sum() / whole
+                        a_, b_ = own[votes[:, i] == a].sum() / whole, own[votes[:, j] == b].sum() / whole
                         if ab > 0:
-                            out[i, j] += mass / total * ab * np.log(ab / (a_ * b_))
+                            out[i, j] += whole / total * ab * np.log(ab / (a_ * b_))
                 out[j, i] = out[i, j]
     return out
 
@@ -209,23 +210,42 @@ def _tree(dependence: np.ndarray) -> list[int]:
     return parent
 
 
-def fit_label_model(patterns: np.ndarray, counts: np.ndarray, number: int, rounds: int = 60) -> LabelModel:
-    """EM over the distinct vote patterns and how many documents have each."""
+def fit_label_model(
+    patterns: np.ndarray, counts: np.ndarray, number: int, toxic: np.ndarray | None = None, clean: np.ndarray | None = None, rounds: int = 60
+) -> LabelModel:
+    """EM over the distinct vote patterns and how many documents have each.
+
+    ``toxic`` and ``clean`` are how many of them have an allowed label: those are of their
+    class with certainty, which keeps the latent class from settling on one language's voters.
+    """
     votes = (patterns[:, None] >> np.arange(number)) & 1
-    weight = counts.astype(float)
+    toxic = np.zeros(len(counts)) if toxic is None else toxic.astype(float)
+    clean = np.zeros(len(counts)) if clean is None else clean.astype(float)
+    open_ = np.maximum(0.0, counts - toxic - clean)
     post = np.where(votes[:, : number - 2].any(axis=1), 0.9, 0.02)
     parent = [-1] * number
     model = None
     for stage_ in range(2):
         for _ in range(rounds):
-            prior = float(np.clip((weight * post).sum() / max(1.0, weight.sum()), 1e-6, 1 - 1e-6))
-            model = LabelModel(prior, parent, _tables(votes, weight, post, parent))
+            mass = (open_ * (1 - post) + clean, open_ * post + toxic)
+            prior = float(np.clip(mass[1].sum() / max(1.0, mass[0].sum() + mass[1].sum()), 1e-6, 1 - 1e-6))
+            model = LabelModel(prior, parent, _tables(votes, mass, parent))
             post = model.posterior(votes)
         if stage_ == 0:
-            parent = _tree(_dependence(votes, weight, post))
+            parent = _tree(_dependence(votes, mass))
     return model
 
 
+def labelled_patterns(rows: DataFrame, voters: Voters, patterns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(toxic, clean): how many rows (y, text) of either label have each of ``patterns``."""
+    out = []
+    for condition in ("y > 0.5", "y <= 0.5"):
+        seen, n = vote_patterns(rows.where(condition), voters, "text")
+        by = dict(zip(seen.tolist(), n.tolist(), strict=True))
+        out.append(np.array([by.get(x, 0) for x in patterns.tolist()], np.int64))
+    return out[0], out[1]
+
+
 def vote_patterns(docs: DataFrame, voters: Voters, text_col: str) -> tuple[np.ndarray, np.ndarray]:
     """Distinct vote patterns of all documents, and their numbers."""
 
@@ -248,11 +268,12 @@ def fit(
 ) -> np.ndarray:
     """The classifier's weights; labels are read for the ids that ``allowed`` admits only."""
     own = docs.select(F.col(id_col), F.col(text_col).alias("text"))
-    voters = learn_voters(labelled_sample(own, labels, label, allowed, max_labelled, id_col))
+    known = stage(labelled_sample(own, labels, label, allowed, max_labelled, id_col), "labelled-texts")
+    voters = learn_voters(known)
     patterns, counts = vote_patterns(docs, voters, text_col)
     if not len(patterns):
         return np.zeros((1 << BITS) + 1)
-    model = fit_label_model(patterns, counts, voters.number)
+    model = fit_label_model(patterns, counts, voters.number, *labelled_patterns(known, voters, patterns))
     share = min(1 << 20, (max_rows << 20) // int(counts.sum()))
     chosen = own.where(F.pmod(F.xxhash64(id_col, F.lit(13)), F.lit(1 << 20)) < share)
 
@@ -265,7 +286,7 @@ def fit(
     kind = docs.schema[id_col].dataType.simpleString()
     soft = chosen.select(id_col, F.coalesce("text", F.lit("")).alias("text")).mapInArrow(soften, f"doc {kind}, text string, y double")
     l1 = L1_PER_ROOT_ROW * float(min(max_rows, counts.sum())) ** 0.5
-    return train_ftrl(featurise(soft, features, BITS, ["doc", "y"]), BITS, EPOCHS, alpha=1.0, l1=l1, l2=0.01)
+    return train_ftrl(featurise(soft, features, BITS), BITS, EPOCHS, alpha=1.0, l1=l1, l2=0.01)
 
 
 def toxicity_scores(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
