@@ -168,7 +168,7 @@ def discover(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     each = found.select(F.explode("found").alias("o")).select("o.kind", "o.identifier", F.explode("o.patterns").alias("pattern"))
     edges = stage(each.groupBy("pattern", "identifier").agg(F.max("kind").alias("kind")), "pattern-identifiers")
     seeds = edges.where("kind >= 0").select("identifier", "kind", F.lit(1.0).alias("score")).distinct()
-    total = stage(edges.groupBy("pattern").agg(F.countDistinct("identifier").alias("n")).where(F.col("n") >= LEAST_SUPPORT), "patterns")
+    total = stage(edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST_SUPPORT), "patterns")
     free = edges.select("identifier").distinct().join(seeds, "identifier", "left_anti")
     scores = seeds
     known = None
