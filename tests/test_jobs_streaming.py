@@ -22,6 +22,14 @@ def test_first_pipeline_end_to_end(spark, sf_small, tmp_path):
     assert metrics["rmse"] > 0 and metrics["total"] > 0 and 0 < metrics["flagged"] < metrics["total"]
     tables = jobs.publish_job(spark, out, prefix="t1_")
     assert len(tables) == 6 and spark.table("t1_building_health").count() == metrics["total"]
+    for name in jobs.REPORTS:  # the dashboard reads the published tables
+        assert jobs.report(spark, name, "t1_").count() > 0, name
+    everything, some = (jobs.report(spark, "kpis", "t1_", *f).first() for f in ((), ("Promo", "VRF")))
+    assert 0 < some["total_energy"] < everything["total_energy"] and some["building_types"] == 1
+    tops = [r["totalEnergy"] for r in jobs.report(spark, "top_types", "t1_").collect()]
+    assert tops == sorted(tops, reverse=True)
+    with pytest.raises(ValueError, match="no report"):
+        jobs.report(spark, "nothing")
     from joulebox.plans.model import load_model
 
     assert load_model(f"{out}/models/energy_linear_regression").stages[-1].getRegParam() == 0.1
