@@ -15,14 +15,16 @@ every component's present time, so a document costs about one point for each
 shingle and a few hundred more.
 
 Search: documents with equal bags collapse to the smallest id. ``BANDS`` bands of
-``ROWS`` components put the others in buckets. In every bucket that still holds
-two unconnected documents, leaders (the smallest ids of a growing number of hash
-slots) are compared with the rest, and then leave the bucket. A bucket is done
-when its rest is connected, or has one document. So all pairs are settled, while
-a large group of near copies needs a few leaders and not all its pairs. Candidate
-pairs whose signatures agree on less than ``LEAST_AGREEING`` are passed over, the
-others are verified on their texts. Components of the verified links are the
-classes.
+``ROWS`` components put the others in buckets. Bags whose sizes differ by more than the
+threshold can't be similar, so a bucket falls into classes of size (each document is in its
+own class and the next, so that no similar two are kept apart), and of buckets with the same
+documents one is kept. First every bucket's smallest id is compared with all of it, which
+connects most of a group of near copies. In a bucket that still holds several components, all pairs left to
+test have a document outside the largest one: those are compared, by signature, with all
+documents of other components. The few that agree best are verified first; new links make new
+components, and so on; when the best bring no more, all the others are verified, until no pair that could be similar is untested. Candidate pairs whose
+signatures agree on less than ``LEAST_AGREEING`` components are passed over. Components of the verified
+links are the classes.
 
 Chance to miss a pair of similarity 0.8: (1 - 0.8**4)**24 < 4e-6 by the bands, about
 5e-5 by the agreement test (four standard deviations).
@@ -30,7 +32,7 @@ Chance to miss a pair of similarity 0.8: (1 - 0.8**4)**24 < 4e-6 by the bands, a
 Edge cases: documents without words, or with a null id, are in no group (class
 id: their own id). Texts of fewer than five words are one shingle. Repeated rows
 are equal bags, so they are one class. Rows that share an id but not a text are
-one node: what either is linked with is one class. Extra columns are ignored by
+one node, which has one of their signatures. Extra columns are ignored by
 ``classes`` and kept by ``keep_one``.
 """
 
@@ -45,15 +47,20 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .tables import stage
-from .textblock import U64, Spans, blocks, gram_hash, list_column, mix
+from .textblock import U64, Spans, blocks, gram_hash, list_column, mix, ranges
 
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 4
-SIZE = BANDS * ROWS
+#: Components of a signature: the bands take the first BANDS * ROWS, the agreement test takes all.
+SIZE = 352
 #: Of SIZE components; 0.8 less four standard deviations of the estimate.
 LEAST_AGREEING = int(SIZE * 0.8 - 4 * (SIZE * 0.8 * 0.2) ** 0.5)
-BLOCK_BYTES = 2 << 20
+#: Candidates that a node outside its bucket's large component brings at first.
+FEW = 2
+#: Nodes of a bucket that one group of rows holds at most, or about.
+CHUNK = 20_000
+BLOCK_BYTES = 1 << 20
 
 
 def bags(words: Spans, shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -117,7 +124,7 @@ def signatures(row: np.ndarray, value: np.ndarray, count: np.ndarray, rows: int,
 
 
 def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Per row with words and an id: doc, fingerprint of its bag (f1, f2), band keys, 16 bits of each component."""
+    """Per row with words and an id: doc, fingerprint of its bag (f1, f2), band keys, 8 bits of each component."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -137,21 +144,22 @@ def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     for j in range(ROWS):
                         k = mix(k * U64(0x9E3779B97F4A7C15) + sig[:, b * ROWS + j])
                     keys[:, b] = k
-                small = mix(sig.astype(U64)).astype(np.uint16)[full]
+                small = mix(sig.astype(U64)).astype(np.uint8)[full]
                 m = int(full.sum())
                 yield pa.record_batch(
                     [
                         batch.column(0).slice(lo, n).filter(pa.array(full)),
                         pa.array(f1[full].view(np.int64)),
                         pa.array(f2[full].view(np.int64)),
+                        pa.array(np.bincount(row, weights=count, minlength=n).astype(np.int64)[full]),
                         list_column(keys[full].view(np.int64).ravel(), np.full(m, BANDS), pa.int64()),
-                        list_column(small.view(np.int16).ravel(), np.full(m, SIZE), pa.int16()),
+                        list_column(small.view(np.int8).ravel(), np.full(m, SIZE), pa.int8()),
                     ],
-                    ["doc", "f1", "f2", "keys", "sig"],
+                    ["doc", "f1", "f2", "size", "keys", "sig"],
                 )
 
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return rows.mapInArrow(run, "doc long, f1 long, f2 long, keys array<long>, sig array<smallint>")
+    return rows.mapInArrow(run, "doc long, f1 long, f2 long, size long, keys array<long>, sig array<tinyint>")
 
 
 def _similar(pairs: DataFrame, threshold: float) -> DataFrame:
@@ -183,66 +191,165 @@ def _similar(pairs: DataFrame, threshold: float) -> DataFrame:
     return pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
-def _bucket_links(buckets: DataFrame, sigs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame | None:
-    """Verified links (a, b) that connect whatever the buckets (key, node) hold."""
-    nodes = sigs.select("node", F.col("node").alias("comp"))
-    links, tested, slots = None, None, 1
-    live = buckets
+def _different(buckets: DataFrame) -> DataFrame:
+    """Of the buckets (key, node) those with two nodes or more, and only one of those with the same nodes.
+
+    A group of near copies fills many bands' buckets with the very same nodes.
+    """
+    sets = buckets.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(2))).alias("y")
+    )
+    one = sets.where("n > 1").groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key")
+    return buckets.join(one, "key")
+
+
+def _agreeing(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
+    """The (a, b) whose signatures agree on LEAST_AGREEING components."""
+    side = {c: sigs.select(F.col("node").alias(c), F.col("sig").alias(f"sig_{c}")) for c in "ab"}
+    agree = F.aggregate(F.zip_with("sig_a", "sig_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
+    return pairs.join(side["a"], "a").join(side["b"], "b").where(agree >= LEAST_AGREEING).select("a", "b")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """The similar ones of (a, b), stored."""
+    text = {c: texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab"}
+    return stage(_similar(pairs.join(text["a"], "a").join(text["b"], "b"), threshold).distinct(), "links")
+
+
+def _leader_links(buckets: DataFrame, sigs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Links of each bucket's smallest node: one pair per node and bucket, whatever the bucket's size."""
+    leaders = buckets.groupBy("key").agg(F.min("node").alias("a"))
+    pairs = buckets.join(leaders, "key").where("node != a").select("a", F.col("node").alias("b")).distinct()
+    return _verified(_agreeing(pairs, sigs), texts, threshold)
+
+
+def _open_buckets(buckets: DataFrame, comps: DataFrame) -> DataFrame:
+    """(key, node, comp, big): rows of buckets with two components or more; big is the one with most nodes."""
+    placed = buckets.join(comps, "node")
+    sizes = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
+    big = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("comps"), F.max(F.struct("n", "comp")).alias("m"), F.sum("n").alias("rows"))
+    big = big.where("comps > 1").select("key", F.col("m.comp").alias("big"), F.ceil(F.col("rows") / CHUNK).cast("int").alias("chunks"))
+    return placed.join(big, "key")
+
+
+def _candidates(open_: DataFrame, sigs: DataFrame, most: int | None) -> DataFrame:
+    """(a, b): for each node outside its bucket's big component, the ``most`` nodes (None: all) of other components
+    whose signatures agree best, and at least on LEAST_AGREEING.
+
+    Pairs inside the big component need no test, so all pairs that are left have a node outside it. Buckets are cut into
+    chunks of about CHUNK nodes, which the nodes outside visit one by one. A pair that shares several
+    buckets is brought by the one with the smallest key.
+    """
+    own = open_.groupBy("node").agg(F.sort_array(F.collect_set("key")).alias("keys"))  # two for each band at most
+    rows = open_.join(sigs, "node").join(own, "node")
+    home = F.pmod(F.xxhash64("node"), F.col("chunks").cast("long")).cast("int")
+    sat = rows.select("key", home.alias("chunk"), F.lit(False).alias("asks"), "node", "comp", "sig", "keys")
+    asks = rows.where("comp != big").select("key", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(True).alias("asks"), "node", "comp", "sig", "keys")
+    parts = int(open_.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = sat.union(asks).repartition(parts, "key", "chunk").sortWithinPartitions("key", "chunk", "asks", "node")
+
+    def met_before(key: int, keys: np.ndarray, edge: np.ndarray, i: int, others: np.ndarray) -> np.ndarray:
+        """Whether i and each of the others share a bucket with a smaller key: their pair belongs there."""
+        mine = keys[edge[i] : edge[i + 1]]
+        mine = mine[mine < key]
+        if not len(mine):
+            return np.zeros(len(others), bool)
+        n = edge[others + 1] - edge[others]
+        theirs = keys[ranges(edge[others], n)]
+        shared = mine[np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)] == theirs
+        return np.bincount(np.repeat(np.arange(len(others)), n)[shared], minlength=len(others)) > 0
+
+    def best(lo: int, hi: int, key, asks, node, comp, sig, keys, edge) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        sat = lo + np.flatnonzero(~asks[lo:hi])
+        for i in (lo + np.flatnonzero(asks[lo:hi])).tolist():
+            same = (sig[sat] == sig[i]).sum(axis=1)
+            fit = np.flatnonzero((same >= LEAST_AGREEING) & (comp[sat] != comp[i]))
+            fit = fit[~met_before(key[i], keys, edge, i, sat[fit])]
+            if len(fit):
+                pick = sat[fit[np.lexsort((node[sat[fit]], -same[fit]))][:most]]
+                yield np.minimum(node[i], node[pick]), np.maximum(node[i], node[pick])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def settle(last: bool) -> Iterator[pa.RecordBatch]:
+            table = pa.Table.from_batches(held).combine_chunks()
+            held.clear()
+            key, chunk, asks, node, comp = (table.column(i).to_numpy() for i in range(5))
+            sig = table.column(5).combine_chunks().flatten().to_numpy().reshape(len(key), SIZE)
+            lists = table.column(6).combine_chunks()
+            keys, bounds = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+            edge = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (chunk[1:] != chunk[:-1]))).tolist()
+            ends = [*edge[1:], len(key)]
+            if not last:  # the last group may go on in the next batch
+                held.extend(table.slice(edge[-1]).to_batches())
+                edge, ends = edge[:-1], ends[:-1]
+            found = [x for lo, hi in zip(edge, ends, strict=True) for x in best(lo, hi, key, asks, node, comp, sig, keys, bounds)]
+            if found:
+                yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], ["a", "b"])
+
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                yield from settle(False)
+        if held:
+            yield from settle(True)
+
+    return dealt.mapInArrow(run, "a long, b long").distinct()
+
+
+def _joined(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, comp) after ``links``: the components that they connect become one, with the smallest name."""
+    edges = links.select(F.col("a").alias("node"), F.col("b").alias("other")).join(comps, "node").select("other", F.col("comp").alias("a"))
+    edges = edges.join(comps, F.col("other") == F.col("node")).select("a", F.col("comp").alias("b")).where("a != b").distinct()
+    roots = components(edges).withColumnRenamed("node", "comp")
+    return stage(comps.join(roots, "comp", "left").select("node", F.coalesce("root", "comp").alias("comp")), "comps")
+
+
+def _bucket_components(buckets: DataFrame, sigs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """(node, comp): components of the verified links of all nodes that share a bucket (key, node)."""
+    comps = _joined(sigs.select("node", F.col("node").alias("comp")), _leader_links(buckets, sigs, texts, threshold))
+    tested, most = None, FEW
     while True:
-        # buckets whose rest isn't connected yet
-        placed = live.join(nodes, "node")
-        open_ = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("key")
-        live = stage(placed.join(open_, "key"), "buckets")
-        if live.isEmpty():
-            return links
-        slot = F.pmod(F.xxhash64("node", F.lit(slots)), F.lit(slots))
-        leaders = live.groupBy("key", slot.alias("slot")).agg(F.min(F.struct("node", "comp")).alias("l")).select(
-            "key", F.col("l.node").alias("l"), F.col("l.comp").alias("lc")
-        )
-        pairs = (
-            live.join(leaders, "key")
-            .where("comp != lc and node != l")
-            .select(F.least("node", "l").alias("a"), F.greatest("node", "l").alias("b"))
-            .distinct()
-        )
+        open_ = stage(_open_buckets(buckets, comps), "open-buckets")
+        if open_.isEmpty():
+            return comps
+        buckets = open_.select("key", "node")  # a connected bucket stays connected
+        fresh = _candidates(open_, sigs, most)
         if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stage(pairs, "pairs")
-        tested = pairs if tested is None else tested.union(pairs)
-        side = {c: sigs.select(F.col("node").alias(c), F.col("sig").alias(f"sig_{c}")) for c in "ab"}
-        agree = F.aggregate(F.zip_with("sig_a", "sig_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-        close = stage(pairs.join(side["a"], "a").join(side["b"], "b").where(agree >= LEAST_AGREEING).select("a", "b"), "close-pairs")
-        text = {c: texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab"}
-        found = stage(_similar(close.join(text["a"], "a").join(text["b"], "b"), threshold).distinct(), "links")
-        if not found.isEmpty():
-            links = found if links is None else links.union(found)
-            nodes_all = sigs.select("node")
-            roots = components(links)
-            nodes = nodes_all.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("comp"))
-        gone = leaders.select("key", F.col("l").alias("node"))
-        live = live.join(gone, ["key", "node"], "left_anti").select("key", "node")
-        slots *= 2
+            fresh = fresh.join(tested, ["a", "b"], "left_anti")
+        fresh = stage(fresh, "candidates")
+        tested = fresh if tested is None else tested.union(fresh)
+        good = _verified(fresh, texts, threshold)
+        if not good.isEmpty():
+            comps, most = _joined(comps, good), FEW  # look again with the new components
+        elif most is None:
+            return comps
+        else:
+            most = None  # the best few bring no more: now all that are left
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc, class_id) for each row with an id and words; class_id is the class's smallest id."""
-    rows = stage(sketch(docs, id_col, text_col), "sketches")
-    kept = stage(rows.groupBy("f1", "f2").agg(F.min("doc").alias("node")), "equal-bags")
-    # one row per node and bag; a node's repeated rows have the same sketch
-    first = rows.join(kept, ["f1", "f2"]).where("doc = node").dropDuplicates(["node", "f1", "f2"])
-    banded = first.select("node", F.explode("keys").alias("key")).distinct()
+    rows = stage(sketch(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "sketches")
+    kept = rows.groupBy("f1", "f2").agg(F.min(F.struct("doc", "row")).alias("m")).select("f1", "f2", F.col("m.doc").alias("node"), F.col("m.row").alias("row"))
+    kept = stage(kept, "equal-bags")
+    first = rows.join(kept.select("row"), "row", "left_semi").withColumnRenamed("doc", "node")
+    banded = first.select("node", F.explode("keys").alias("key"))
     shared = banded.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo != hi").select("key")
-    buckets = stage(banded.join(shared, "key"), "buckets")
+    met = stage(banded.join(shared, "key").distinct(), "shared-bands")
+    grade = F.floor(F.log(F.col("size").cast("double")) / F.lit(float(np.log(1 / threshold))))
+    sizes = first.select("node", "size").distinct()
+    graded = _different(met).join(sizes, "node").select("node", F.explode(F.array(grade, grade + 1)).alias("grade"), "key")
+    buckets = stage(_different(graded.select(F.xxhash64("key", "grade").alias("key"), "node").distinct()), "buckets")
     wanted = buckets.select("node").distinct()
-    sigs = stage(first.join(wanted, "node", "left_semi").select("node", "sig"), "signatures")
+    sigs = stage(first.join(wanted, "node", "left_semi").select("node", "sig").dropDuplicates(["node"]), "signatures")
     texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
-    texts = stage(texts.join(wanted, "node", "left_semi"), "bucket-texts")
-    links = _bucket_links(buckets, sigs, texts, threshold)
-    out = rows.select("doc", "f1", "f2").join(kept, ["f1", "f2"])
-    if links is None:
-        return out.select("doc", F.col("node").alias("class_id"))
-    roots = components(links)
-    return out.join(roots, "node", "left").select("doc", F.coalesce("root", "node").alias("class_id"))
+    # one plan at every size: a broadcast below some size would make the growth of small runs say nothing
+    texts = stage(texts.join(wanted.hint("merge"), "node", "left_semi"), "bucket-texts")
+    comps = _bucket_components(buckets, sigs, texts, threshold)
+    out = rows.select("doc", "f1", "f2").join(kept.select("f1", "f2", "node"), ["f1", "f2"])
+    return out.join(comps, "node", "left").select("doc", F.coalesce("comp", "node").alias("class_id"))
 
 
 def label(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -260,6 +367,8 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_i
     found = classes(docs, threshold, id_col, text_col).groupBy("doc").agg(F.min("class_id").alias("class_id"))
     names = docs.columns
     own = docs.join(found.withColumnsRenamed({"doc": "__doc", "class_id": "__class"}), docs[id_col].cast("long") == F.col("__doc"), "left")
-    order = Window.partitionBy(id_col).orderBy(F.xxhash64(F.col(text_col)), F.col(text_col))
+    # rows without a class all stay: their hash keeps them from meeting in one group
+    apart = F.when(F.col("__class").isNull(), F.xxhash64(F.col(text_col)))
+    order = Window.partitionBy(id_col, apart).orderBy(F.xxhash64(F.col(text_col)), F.col(text_col))
     kept = own.where("__class is null or __class = __doc").withColumn("__n", F.when(F.col("__class").isNull(), 1).otherwise(F.row_number().over(order)))
     return kept.where("__n = 1").select(*names)
