@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .tables import stage
-from .textblock import LOWER, U64, Spans, blocks, mix, ranges
+from .textblock import LOWER, U64, Spans, blocks, ranges
 
 BITS = 16
 SHARDS = 8

@@ -42,9 +42,9 @@ from .textblock import Spans, blocks, bytes_column, list_column, ranges
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁".encode()
 UNKNOWN_PENALTY = 10.0
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 #: Positions of distinct segments that go through the trie side by side.
-TRIE_POSITIONS = 1 << 20
+TRIE_POSITIONS = 1 << 18
 
 
 @dataclass

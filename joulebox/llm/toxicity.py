@@ -2,7 +2,7 @@
 
 Voters: a fixed list of insults, and lists of words and of word beginnings that
 labelled texts show to go with toxic ones (document counts by hashed slot, from the
-allowed labels only), each kind dealt to several voters by hash; and two patterns.
+allowed labels only), dealt to several voters by hash; and two patterns.
 Every voter votes toxic or clean on every document.
 
 Label model: a latent class and, for each voter, a probability table given the
@@ -16,6 +16,10 @@ many of them have an allowed label of either kind, which anchors the classes.
 Classifier: logistic regression on hashed words and word beginnings, present or not,
 fitted to the posteriors of a bounded number of documents, and applied to all.
 
+Lists and weights are learned by hashed slot. What then counts is the words and beginnings
+themselves, by 64-bit hash, that the learning texts have in the chosen slots and that go
+with the same class there: so a clean word that happens to share a slot with an insult neither votes nor scores.
+
 Edge cases: null and empty texts have no features and get the bias. If labels hold no toxic text, the lists
 are empty and the fixed list alone speaks. Labels that contradict each other for one id count as toxic.
 """
@@ -30,12 +34,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .linear import distinct_features, featurise, labelled_sample, score, train_ftrl
+from .linear import distinct_features, featurise, labelled_sample, train_ftrl
 from .quality import TOKENS
 from .tables import stage
 from .textblock import LOWER, U64, Spans, blocks
 
-BITS = 20
+BITS = 19
 EPOCHS = 8
 #: Bound on the labelled rows that the voters' lists come from.
 MAX_LABELLED_ROWS = 30_000
@@ -47,7 +51,8 @@ BEGINNINGS = (4, 5, 6)
 LEAST_TEXTS, LEAST_RATIO = 3, 25.0
 #: L1 strength for each root of the number of rows: noise in a sum of gradients grows as that root.
 L1_PER_ROOT_ROW = 0.04
-LISTS_PER_KIND = 2
+#: Voters that the learned terms are dealt to.
+LISTS = 8
 #: Common insults.
 INSULTS = (
     "asshole bastard bitch clown creep cretin disgusting dumb dumbass fool garbage idiot idiotic imbecile jerk liar loser moron"
@@ -58,70 +63,118 @@ INSULTS = (
 ).split()
 
 
-def features(data: np.ndarray, offs: np.ndarray, bits: int = BITS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, slot, 1.0): the words and word beginnings that each row of a block has."""
-    row, slot = _slots(data, offs, bits)
-    row, slot, value = distinct_features(row, slot, np.ones(len(row)), bits)
-    return row, slot, np.ones(len(row))
-
-
-def _slots(data: np.ndarray, offs: np.ndarray, bits: int, kinds: bool = False):
+def _terms(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, 64-bit hash) of all words and word beginnings of a block."""
     t = Spans(data, offs, TOKENS, LOWER)
     word = t.kind == 1
     begin, end, row = t.begin[word], t.end[word], t.row[word]
-    mask = U64((1 << bits) - 1)
-    rows, slots, kind = [row], [t.span_hash(begin, end, 1) & mask], [np.zeros(len(row), np.int8)]
-    for k, size in enumerate(BEGINNINGS):
+    rows, terms = [row], [t.span_hash(begin, end, 1)]
+    for size in BEGINNINGS:
         long = end - begin > size
         rows.append(row[long])
-        slots.append(t.span_hash(begin[long], begin[long] + size, 2 + size) & mask)
-        kind.append(np.full(int(long.sum()), k + 1, np.int8))
-    out = np.concatenate(rows), np.concatenate(slots).astype(np.int64)
-    return (*out, np.concatenate(kind)) if kinds else out
+        terms.append(t.span_hash(begin[long], begin[long] + size, 2 + size))
+    return np.concatenate(rows), np.concatenate(terms)
+
+
+def _slot(terms: np.ndarray) -> np.ndarray:
+    return (terms & U64((1 << BITS) - 1)).astype(np.int64)
+
+
+def features(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, slot, 1.0): the slots of the words and word beginnings that each row of a block has."""
+    row, term = _terms(data, offs)
+    row, slot, _ = distinct_features(row, _slot(term), np.ones(len(row)), BITS)
+    return row, slot, np.ones(len(row))
+
+
+@dataclass
+class Terms:
+    """Known words and beginnings: their hashes in order, a value for each, and the slots that have any."""
+
+    keys: np.ndarray
+    values: np.ndarray
+    slots: np.ndarray
+
+    @staticmethod
+    def of(keys: np.ndarray, values: np.ndarray) -> Terms:
+        order = np.argsort(keys)
+        slots = np.zeros(1 << BITS, bool)
+        slots[_slot(keys)] = True
+        return Terms(keys[order], values[order], slots)
+
+    def found(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, place in keys) of every occurrence of a known one."""
+        row, term = _terms(data, offs)
+        maybe = self.slots[_slot(term)]
+        row, term = row[maybe], term[maybe]
+        at = np.minimum(np.searchsorted(self.keys, term), max(0, len(self.keys) - 1))
+        known = self.keys[at] == term if len(self.keys) else np.zeros(0, bool)
+        return row[known], at[known]
+
+
+def _term_counts(rows: DataFrame, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, toxic, clean): the terms of rows (y, text) in the given slots, and how many texts of either class have them.
+
+    The slots are a few hundred, so the terms are a few thousand.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            y = batch.column(0).to_numpy(zero_copy_only=False) > 0.5
+            for lo, hi, data, offs in blocks(batch.column(1)):
+                row, term = _terms(data, offs)
+                here = slots[_slot(term)]
+                pair = np.unique(np.rec.fromarrays([row[here], term[here]], names="row,term"))
+                toxic = y[lo:hi][pair.row]
+                yield pa.record_batch([pa.array(pair.term.view(np.int64)), pa.array(toxic.astype(np.int64)), pa.array(1 - toxic.astype(np.int64))], ["term", "toxic", "clean"])
+
+    each = rows.select("y", "text").mapInArrow(run, "term long, toxic long, clean long")
+    got = each.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).orderBy("term").collect()
+    return tuple(np.array([r[c] for r in got], np.int64) for c in ("term", "toxic", "clean"))
 
 
-def _slot_counts(rows: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Texts that have each slot, toxic and clean (arrays of 2 ** bits)."""
+def _slot_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Texts that have each slot, toxic and clean (arrays of 2 ** BITS)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((2, 1 << bits), np.int64)
+        counts = np.zeros((2, 1 << BITS), np.int64)
         for batch in batches:
             y = batch.column(0).to_numpy(zero_copy_only=False) > 0.5
             for lo, hi, data, offs in blocks(batch.column(1)):
-                row, slot, _ = features(data, offs, bits)
+                row, slot, _ = features(data, offs)
                 toxic = y[lo:hi][row]
-                counts[1] += np.bincount(slot[toxic], minlength=1 << bits)
-                counts[0] += np.bincount(slot[~toxic], minlength=1 << bits)
-        full = np.flatnonzero(counts.sum(axis=0))
+                counts[1] += np.bincount(slot[toxic], minlength=1 << BITS)
+                counts[0] += np.bincount(slot[~toxic], minlength=1 << BITS)
+        full = np.flatnonzero(counts[1])
         yield pa.record_batch([pa.array(full), pa.array(counts[1][full]), pa.array(counts[0][full])], ["slot", "toxic", "clean"])
+        rest = np.flatnonzero((counts[1] == 0) & (counts[0] > 0))
+        yield pa.record_batch([pa.array(rest), pa.array(counts[1][rest]), pa.array(counts[0][rest])], ["slot", "toxic", "clean"])
 
     parts = rows.select("y", "text").mapInArrow(run, "slot long, toxic long, clean long")
-    toxic, clean = np.zeros(1 << bits, np.int64), np.zeros(1 << bits, np.int64)
+    toxic, clean = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS, np.int64)
     listed = parts.groupBy("slot").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).where(F.col("toxic") >= LEAST_TEXTS)
-    for r in listed.collect():
+    for r in listed.toLocalIterator():
         toxic[r["slot"]], clean[r["slot"]] = r["toxic"], r["clean"]
     return toxic, clean
 
 
 @dataclass
 class Voters:
-    """lists[s] is 0, or 1 + the number of the list that has slot s, by kind of slot."""
+    """Term lists (a term's value is its list's number), and two patterns as the last voters."""
 
-    lists: np.ndarray
+    terms: Terms
     number: int
 
     def votes(self, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
         """Each row's votes as bits: bit v is 1 if voter v votes toxic."""
         rows = len(offs) - 1
-        row, slot, kind = _slots(data, offs, BITS, kinds=True)
-        voter = self.lists[kind, slot].astype(np.int64)
-        hit = voter > 0
+        row, at = self.terms.found(data, offs)
         out = np.zeros(rows, np.int64)
-        np.bitwise_or.at(out, row[hit], np.left_shift(1, voter[hit] - 1))
+        np.bitwise_or.at(out, row, np.left_shift(1, self.terms.values[at]))
         t = Spans(data, offs, TOKENS, LOWER)
-        marks = np.add.reduceat(np.append(data == 33, 0), np.minimum(offs[:-1], len(data))) if rows else np.zeros(0, int)
-        marks[np.diff(offs) == 0] = 0
-        you = np.isin(t.hashes(9), _hashes(["you", "your", "youre", "du", "tu", "toi", "vous"], 9))
+        marks = np.diff(np.concatenate([[0], np.cumsum(data == 33)])[offs])
+        short = np.flatnonzero(t.end - t.begin <= 5)
+        you = short[np.isin(t.span_hash(t.begin[short], t.end[short], 9), _hashes(["you", "your", "youre", "du", "tu", "toi", "vous"], 9))]
         out |= (marks >= 3).astype(np.int64) << (self.number - 2)
         out |= (np.bincount(t.row[you], minlength=rows) >= 2).astype(np.int64) << (self.number - 1)
         return out
@@ -135,18 +188,22 @@ def _hashes(words: list[str], salt: int) -> np.ndarray:
 
 def learn_voters(rows: DataFrame) -> Voters:
     """Voters from labelled rows (y, text)."""
-    toxic, clean = _slot_counts(rows, BITS)
     n = rows.agg(F.sum("y").alias("t"), F.count(F.lit(1)).alias("n")).first()
     n_toxic, n_clean = float(n["t"] or 0), float(n["n"] - (n["t"] or 0))
-    odds = (toxic + 0.5) / max(1.0, n_toxic) / ((clean + 0.5) / max(1.0, n_clean))
-    good = np.flatnonzero((toxic >= LEAST_TEXTS) & (odds >= LEAST_RATIO))
-    kinds = 1 + len(BEGINNINGS)
-    lists = np.zeros((kinds, 1 << BITS), np.int8)
-    for k in range(kinds):
-        lists[k, good] = 2 + k * LISTS_PER_KIND + good % LISTS_PER_KIND
-    own = (_hashes(INSULTS, 1) & U64((1 << BITS) - 1)).astype(np.int64)
-    lists[0, own] = 1
-    return Voters(lists, 1 + kinds * LISTS_PER_KIND + 2)
+
+    def telling(toxic: np.ndarray, clean: np.ndarray) -> np.ndarray:
+        odds = (toxic + 0.5) / max(1.0, n_toxic) / ((clean + 0.5) / max(1.0, n_clean))
+        return (toxic >= LEAST_TEXTS) & (odds >= LEAST_RATIO)
+
+    # a slot may hold a telling term beside common ones, so slots are chosen by their toxic texts alone
+    toxic, _ = _slot_counts(rows)
+    term, toxic, clean = _term_counts(rows, toxic >= LEAST_TEXTS)
+    good = telling(toxic, clean)
+    keys = np.concatenate([term[good].view(U64), _hashes(INSULTS, 1)])
+    lists = np.concatenate([1 + term[good] % LISTS, np.zeros(len(INSULTS), np.int64)])
+    # a term of the fixed list keeps its place there
+    keys, first = np.unique(keys[::-1], return_index=True)
+    return Voters(Terms.of(keys, lists[::-1][first]), 1 + LISTS + 2)
 
 
 @dataclass
@@ -262,17 +319,25 @@ def vote_patterns(docs: DataFrame, voters: Voters, text_col: str) -> tuple[np.nd
     return np.array([r["pattern"] for r in got], np.int64), np.array([r["n"] for r in got], np.int64)
 
 
+@dataclass
+class Classifier:
+    """Weights by term, and a bias."""
+
+    terms: Terms
+    bias: float
+
+
 def fit(
     docs: DataFrame, labels: DataFrame, allowed, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text",
     max_labelled: int = MAX_LABELLED_ROWS, max_rows: int = MAX_TRAINING_ROWS,
-) -> np.ndarray:
-    """The classifier's weights; labels are read for the ids that ``allowed`` admits only."""
+) -> Classifier:
+    """The classifier; labels are read for the ids that ``allowed`` admits only."""
     own = docs.select(F.col(id_col), F.col(text_col).alias("text"))
     known = stage(labelled_sample(own, labels, label, allowed, max_labelled, id_col), "labelled-texts")
     voters = learn_voters(known)
     patterns, counts = vote_patterns(docs, voters, text_col)
     if not len(patterns):
-        return np.zeros((1 << BITS) + 1)
+        return Classifier(Terms.of(np.zeros(0, U64), np.zeros(0)), 0.0)
     model = fit_label_model(patterns, counts, voters.number, *labelled_patterns(known, voters, patterns))
     share = min(1 << 20, (max_rows << 20) // int(counts.sum()))
     chosen = own.where(F.pmod(F.xxhash64(id_col, F.lit(13)), F.lit(1 << 20)) < share)
@@ -285,10 +350,28 @@ def fit(
 
     kind = docs.schema[id_col].dataType.simpleString()
     soft = chosen.select(id_col, F.coalesce("text", F.lit("")).alias("text")).mapInArrow(soften, f"doc {kind}, text string, y double")
+    soft = stage(soft, "soft-labels")
     l1 = L1_PER_ROOT_ROW * float(min(max_rows, counts.sum())) ** 0.5
-    return train_ftrl(featurise(soft, features, BITS), BITS, EPOCHS, alpha=1.0, l1=l1, l2=0.01)
+    w = train_ftrl(featurise(soft, features, BITS), BITS, EPOCHS, alpha=1.0, l1=l1, l2=0.01)
+    term, toxic, clean = _term_counts(soft, w[:-1] != 0)
+    weight = w[_slot(term.view(U64))]
+    agree = np.where(weight > 0, toxic >= clean, clean >= toxic)
+    return Classifier(Terms.of(term[agree].view(U64), weight[agree]), float(w[-1]))
 
 
-def toxicity_scores(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, score) of every row, score in 0 to 1."""
-    return score(docs, features, weights, id_col, text_col)
+def toxicity_scores(docs: DataFrame, model: Classifier, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, score) of every row, score in 0 to 1: the logistic function of the weights of the terms that a text has."""
+    kind = docs.schema[id_col].dataType.simpleString()
+    terms, bias = model.terms, model.bias
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, data, offs in blocks(batch.column(1)):
+                row, at = terms.found(data, offs)
+                pair = np.unique(row * max(1, len(terms.keys)) + at)
+                row, at = np.divmod(pair, max(1, len(terms.keys)))
+                total = bias + np.bincount(row, weights=terms.values[at], minlength=hi - lo)
+                yield pa.record_batch([batch.column(0).slice(lo, hi - lo), pa.array(1 / (1 + np.exp(-np.clip(total, -30, 30))))], [id_col, "score"])
+
+    rows = docs.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return rows.mapInArrow(run, f"{id_col} {kind}, score double")
