@@ -12,8 +12,17 @@ Before anything is shuffled, a task collapses equal packed strings of its rows:
 only the one with the smallest id goes on, as the others are then known to be
 repeats. So a passage that a third of all documents share arrives once per block
 of rows, not once per document. Blocks of strings for one bucket are compressed.
-Buckets are small (``BUCKETS_PER_PARTITION`` per shuffle partition) and are worked
-off one after the other. The repeats found then meet the texts, dealt by document and packed
+
+A phrase that many documents hold amid different words gives as many different strings
+with one minimiser, which would all meet in one bucket. Such hot minimisers (by reckoning
+more than ``HOT_STRINGS`` different strings) are found beforehand from every ``SAMPLE``-th
+document. Their strings are cut up into windows, equal ones collapse within the task, and
+each window goes to the bucket of its own hash. Equal windows have equal minimisers and
+equal hashes, so they meet in one bucket whichever minimisers are taken for hot: the sample
+decides on the way only, never on the result.
+
+Buckets (``BUCKETS_PER_PARTITION`` per shuffle partition) are worked off one after the
+other; one holds its share of the strings and no minimiser's crowd. The repeats found then meet the texts, dealt by document and packed
 the same way.
 
 Edge cases: null or empty texts have no words; texts shorter than the window are
@@ -43,6 +52,9 @@ PACK_BYTES = 24 << 20
 BLOCK_BYTES = 1 << 20
 
 LEVEL = 6
+#: Different strings of a minimiser from which on it is split, as reckoned from every SAMPLE-th document.
+HOT_STRINGS = 1 << 15
+SAMPLE = 64
 
 _SENT = "part int, bucket int, body binary"
 #: A super-k-mer on its way: minimiser, document, hash of its text, first word, windows, bytes.
@@ -107,8 +119,10 @@ def _unpack(body: bytes) -> bytes:
 class _Packer:
     """Super-k-mers of one task's rows, equal ones collapsed to the smallest id."""
 
-    def __init__(self, width: int, gram: int, buckets: int, parts: int):
+    def __init__(self, width: int, gram: int, buckets: int, parts: int, hot: np.ndarray | None = None):
         self.width, self.gram, self.buckets, self.parts = width, gram, buckets, parts
+        #: Minimisers whose strings go window by window.
+        self.hot = np.zeros(0, U64) if hot is None else hot
         self.clear()
 
     def clear(self) -> None:
@@ -144,12 +158,8 @@ class _Packer:
             source[again[~wrong]] = head[again[~wrong]]
         return order, source
 
-    def flush(self) -> Iterator[pa.RecordBatch]:
-        if not self.runs:
-            return self.clear()
-        raw = np.concatenate(self.raw)
-        key, content, doc, text, at, windows, begin, size = (np.concatenate(c) for c in zip(*self.runs, strict=True))
-        self.clear()
+    def _collapsed(self, raw, key, content, doc, text, at, windows, begin, size) -> tuple[np.ndarray, np.ndarray]:
+        """(rows that go on, rows known to be repeats)."""
         order, source = self._repeated(raw, key, content, doc, begin, size)
         has = source >= 0
         own, held = order[has], order[source[has]]
@@ -157,9 +167,45 @@ class _Packer:
         twice = (doc[own] == doc[held]) & (text[own] == text[held]) & (at[own] == at[held])
         stay = np.ones(len(order), bool)
         stay[np.flatnonzero(has)[repeat | twice]] = False
-        cut = own[repeat]
+        return order[stay], own[repeat]
+
+    def _cut_up(self, raw, doc, text, at, windows, begin, size) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
+        """(bytes, columns as in ``runs``): the windows of the strings, each with its own hash as its key."""
+        length = size.astype(np.int64)
+        words = Spans(raw[ranges(begin, length)], np.concatenate([[0], np.cumsum(length)]))
+        many = windows.astype(np.int64)
+        first = ranges(words.first[:-1], many)
+        b, e = words.begin[first], words.end[first + self.width - 1]
+        content, own = words.span_hash(b, e), np.repeat(np.arange(len(many)), many)
+        place = (at[own] + first - words.first[own]).astype(np.int32)
+        return words.data, (content, content, doc[own], text[own], place, np.ones(len(own), np.int32), b, (e - b).astype(np.int32))
+
+    def strings(self) -> tuple[np.ndarray, np.ndarray]:
+        """(minimiser, hash) of the different strings so far."""
+        if not self.runs:
+            return np.zeros(0, U64), np.zeros(0, U64)
+        key, content = (np.concatenate([r[k] for r in self.runs]) for k in (0, 1))
+        order = np.lexsort((content, key))
+        key, content = key[order], content[order]
+        new = np.append(True, (key[1:] != key[:-1]) | (content[1:] != content[:-1]))
+        return key[new], content[new]
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        if not self.runs:
+            return self.clear()
+        raw = np.concatenate(self.raw)
+        runs = tuple(np.concatenate(c) for c in zip(*self.runs, strict=True))
+        self.clear()
+        order, cut = self._collapsed(raw, *runs)
+        crowd = np.isin(runs[0][order], self.hot)
+        if crowd.any():
+            more, split = self._cut_up(raw, *(c[order[crowd]] for c in runs[2:]))
+            stay, again = self._collapsed(more, *split)
+            order, cut = np.concatenate([order[~crowd], stay + len(runs[0])]), np.concatenate([cut, again + len(runs[0])])
+            split = (*split[:6], split[6] + len(raw), split[7])
+            runs, raw = tuple(np.concatenate(c) for c in zip(runs, split, strict=True)), np.concatenate([raw, more])
+        key, _, doc, text, at, windows, begin, size = runs
         part, bucket, body = [], [], []
-        order = order[stay]
         to = ((key[order] >> U64(33)) % U64(self.buckets)).astype(np.int64)
         by = np.argsort(to, kind="stable")
         order, to = order[by], to[by]
@@ -265,12 +311,39 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc"), F.hash(F.col(text_col)).alias("text_hash"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def hot_minimisers(rows: DataFrame, width: int, gram: int) -> np.ndarray:
+    """Minimisers that by reckoning have more than HOT_STRINGS different strings in rows (doc, text_hash, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = _Packer(width, gram, 1, 1)
+
+        def flush() -> pa.RecordBatch:
+            columns = [pa.array(c.view(np.int64)) for c in packer.strings()]
+            packer.clear()
+            return pa.record_batch(columns, ["key", "content"])
+
+        for batch in batches:
+            doc, text = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for lo, hi, data, offs in blocks(batch.column(2), BLOCK_BYTES):
+                packer.add(data, offs, doc[lo:hi], text[lo:hi])
+                if packer.size >= PACK_BYTES:
+                    yield flush()
+        yield flush()
+
+    some = rows.where(F.pmod(F.xxhash64("doc", "text"), F.lit(SAMPLE)) == 0)
+    strings = some.mapInArrow(run, "key long, content long")
+    crowds = strings.groupBy("key").agg(F.count_distinct("content").alias("n")).where(F.col("n") * SAMPLE > HOT_STRINGS)
+    return np.sort(np.array([r["key"] for r in crowds.select("key").collect()], np.int64).view(U64))
+
+
 def _stretches(docs: DataFrame, width: int, gram: int, id_col: str, text_col: str, parts: int) -> DataFrame:
     """Packed repeats (part, kind, body), dealt by document."""
     buckets = parts * BUCKETS_PER_PARTITION
+    rows = _rows(docs.where(F.col(id_col).isNotNull()), id_col, text_col)
+    hot = hot_minimisers(rows, width, gram)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = _Packer(width, gram, buckets, parts)
+        packer = _Packer(width, gram, buckets, parts, hot)
         for batch in batches:
             doc, text = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for lo, hi, data, offs in blocks(batch.column(2), BLOCK_BYTES):
@@ -295,7 +368,6 @@ def _stretches(docs: DataFrame, width: int, gram: int, id_col: str, text_col: st
         if held:
             yield _sent_cuts(_repeats(held, width), parts)
 
-    rows = _rows(docs.where(F.col(id_col).isNotNull()), id_col, text_col)
     sent = rows.mapInArrow(pack, _SENT).repartition(parts, "part").sortWithinPartitions("bucket")
     return sent.mapInArrow(count, "part int, kind int, body binary")
 

@@ -75,6 +75,37 @@ def test_substrings_texts_and_empty_table(spark):
     assert substrings.remove_repeats(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("width,gram", [(13, 3), (4, 1), (1, 1)])
+def test_substrings_of_split_minimisers_against_brute_force(spark, monkeypatch, width, gram):
+    monkeypatch.setattr(substrings, "SAMPLE", 1)
+    monkeypatch.setattr(substrings, "HOT_STRINGS", 3)
+    docs = corpus(width)
+    df = spark.createDataFrame(rows(docs), DOCS).repartition(5)
+    got = substrings.remove_repeats(df, width, gram, digest=True).collect()
+    assert sorted(map(tuple, got), key=str) == brute_removed(docs, width)
+
+
+def test_a_common_phrase_amid_different_words_is_dealt_to_many_buckets(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "SAMPLE", 1)
+    monkeypatch.setattr(substrings, "HOT_STRINGS", 100)
+    texts = [" ".join([*(f"a{i}x{k}" for k in range(20)), "all rights reserved by the owner of this page and its", *(f"b{i}x{k}" for k in range(20))]) for i in range(600)]
+    df = spark.createDataFrame(rows(list(enumerate(texts))), DOCS)
+    most = {}
+
+    def largest(bodies):
+        return max(len(substrings._columns(substrings._unpack(b), [k for _, k in substrings._FIELDS])[0][0]) for b in bodies)
+
+    hot = substrings.hot_minimisers(substrings._rows(df, "doc_id", "text"), 13, 3)
+    assert len(hot)
+    for name, split in (("whole", None), ("split", hot)):
+        packer = substrings._Packer(13, 3, 256, 8, split)
+        data, offs = text_buffer(pa.array(texts))
+        packer.add(data, offs, np.arange(len(texts)), np.zeros(len(texts), np.int32))
+        most[name] = largest([b.as_py() for batch in packer.flush() for b in batch.column(2)])
+    assert most["whole"] > 500 and most["split"] < 200
+    assert {r.n_removed for r in substrings.remove_repeats(df).collect()} == {0}
+
+
 def bag(text):
     w = words(text)
     return collections.Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else collections.Counter()
