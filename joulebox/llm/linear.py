@@ -97,16 +97,17 @@ def pack_shards(rows: DataFrame) -> DataFrame:
     return rows.select("shard", "place", "y", "slots", "weights").groupBy("shard").applyInPandas(run, "shard int, y binary, counts binary, slots binary, weights binary")
 
 
-def ftrl_weights(z: np.ndarray, n: np.ndarray, alpha: float, beta: float, l1: float, l2: float) -> np.ndarray:
+def ftrl_weights(z: np.ndarray, n: np.ndarray, alpha: float, beta: float, l1: float | np.ndarray, l2: float) -> np.ndarray:
     w = -(z - np.sign(z) * l1) / ((beta + np.sqrt(n)) / alpha + l2)
     w[np.abs(z) <= l1] = 0
     return w
 
 
 def train_ftrl(
-    rows: DataFrame, bits: int, epochs: int, alpha: float = 0.3, beta: float = 1.0, l1: float = 0.02, l2: float = 0.5
-) -> np.ndarray:
-    """Weights (2 ** bits and the bias last) from packed shards; labels may be probabilities."""
+    rows: DataFrame, bits: int, epochs: int, alpha: float = 0.3, beta: float = 1.0, l1: float = 0.02, l2: float = 0.5,
+    free: np.ndarray | None = None,
+) -> np.ndarray:
+    """Weights (2 ** bits and the bias last) from packed shards; labels may be probabilities. ``free``: slots without L1."""
     size = (1 << bits) + 1
     z, n = np.zeros(size, np.float32), np.zeros(size, np.float32)
 
@@ -121,7 +122,7 @@ def train_ftrl(
                 slot = np.concatenate([slots[mine], np.full(hi - lo, size - 1)]).astype(np.int64)
                 x = np.concatenate([weights[mine], np.ones(hi - lo)])
                 used, at = np.unique(slot, return_inverse=True)
-                w = ftrl_weights(z[used], n[used], alpha, beta, l1, l2)
+                w = ftrl_weights(z[used], n[used], alpha, beta, l1 if free is None else np.where(np.isin(used, free), 0.0, l1), l2)
                 p = 1 / (1 + np.exp(-np.clip(np.bincount(own, weights=w[at] * x, minlength=hi - lo), -30, 30)))
                 g = np.bincount(at, weights=(p - y[lo:hi])[own] * x, minlength=len(used))
                 z[used] += g - (np.sqrt(n[used] + g * g) - np.sqrt(n[used])) / alpha * w
@@ -148,7 +149,9 @@ def train_ftrl(
             sums[0, at] += np.frombuffer(r["z"], np.float32)
             sums[1, at] += np.frombuffer(r["n"], np.float32)
         z, n = (sums / len(got)).astype(np.float32)
-    return ftrl_weights(z.astype(np.float64), n.astype(np.float64), alpha, beta, l1, l2)
+        del got, r  # not held beside the next epoch's
+    every = l1 if free is None else np.where(np.isin(np.arange(size), free), 0.0, l1)
+    return ftrl_weights(z.astype(np.float64), n.astype(np.float64), alpha, beta, every, l2)
 
 
 def score(docs: DataFrame, features: Features, w: np.ndarray, id_col: str, text_col: str) -> DataFrame:

@@ -13,8 +13,13 @@ final accuracies and the posterior of every vote pattern. Its input is the numbe
 documents of each vote pattern over the whole corpus (at most 2 ** voters rows), and how
 many of them have an allowed label of either kind, which anchors the classes.
 
-Classifier: logistic regression on hashed words and word beginnings, present or not,
-fitted to the posteriors of a bounded number of documents, and applied to all.
+Classifier: logistic regression on hashed words and word beginnings, present or not, and on
+the votes, fitted to the posteriors of a bounded number of documents, and applied to all.
+The documents are chosen by stratum: those that the label model takes for toxic, others with
+a list's vote, and the rest get equal shares of the bound, and a stratum within its share is
+taken whole. The posterior depends on the votes alone, which are inputs, so choosing by votes
+leaves it unbiased given the inputs and rows need no weights. L1 applies neither to the votes nor to
+the slots of listed terms: a listed term too rare for a weight of its own counts by its list's vote.
 
 Lists and weights are learned by hashed slot. What then counts is the words and beginnings
 themselves, by 64-bit hash, that the learning texts have in the chosen slots and that go
@@ -63,9 +68,12 @@ INSULTS = (
 ).split()
 
 
-def _terms(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _tokens(data: np.ndarray, offs: np.ndarray) -> Spans:
+    return Spans(data, offs, TOKENS, LOWER)
+
+
+def _terms(t: Spans) -> tuple[np.ndarray, np.ndarray]:
     """(row, 64-bit hash) of all words and word beginnings of a block."""
-    t = Spans(data, offs, TOKENS, LOWER)
     word = t.kind == 1
     begin, end, row = t.begin[word], t.end[word], t.row[word]
     rows, terms = [row], [t.span_hash(begin, end, 1)]
@@ -82,7 +90,7 @@ def _slot(terms: np.ndarray) -> np.ndarray:
 
 def features(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, slot, 1.0): the slots of the words and word beginnings that each row of a block has."""
-    row, term = _terms(data, offs)
+    row, term = _terms(_tokens(data, offs))
     row, slot, _ = distinct_features(row, _slot(term), np.ones(len(row)), BITS)
     return row, slot, np.ones(len(row))
 
@@ -102,9 +110,8 @@ class Terms:
         slots[_slot(keys)] = True
         return Terms(keys[order], values[order], slots)
 
-    def found(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, place in keys) of every occurrence of a known one."""
-        row, term = _terms(data, offs)
+    def found(self, row: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, place in keys) of every occurrence of a known one among a block's terms."""
         maybe = self.slots[_slot(term)]
         row, term = row[maybe], term[maybe]
         at = np.minimum(np.searchsorted(self.keys, term), max(0, len(self.keys) - 1))
@@ -122,7 +129,7 @@ def _term_counts(rows: DataFrame, slots: np.ndarray) -> tuple[np.ndarray, np.nda
         for batch in batches:
             y = batch.column(0).to_numpy(zero_copy_only=False) > 0.5
             for lo, hi, data, offs in blocks(batch.column(1)):
-                row, term = _terms(data, offs)
+                row, term = _terms(_tokens(data, offs))
                 here = slots[_slot(term)]
                 pair = np.unique(np.rec.fromarrays([row[here], term[here]], names="row,term"))
                 toxic = y[lo:hi][pair.row]
@@ -167,11 +174,15 @@ class Voters:
 
     def votes(self, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
         """Each row's votes as bits: bit v is 1 if voter v votes toxic."""
-        rows = len(offs) - 1
-        row, at = self.terms.found(data, offs)
+        t = _tokens(data, offs)
+        return self.votes_of(t, *_terms(t))
+
+    def votes_of(self, t: Spans, row: np.ndarray, term: np.ndarray) -> np.ndarray:
+        """``votes`` of a block whose tokens and terms are at hand."""
+        data, offs, rows = t.data, t.offs, t.rows
+        row, at = self.terms.found(row, term)
         out = np.zeros(rows, np.int64)
         np.bitwise_or.at(out, row, np.left_shift(1, self.terms.values[at]))
-        t = Spans(data, offs, TOKENS, LOWER)
         marks = np.diff(np.concatenate([[0], np.cumsum(data == 33)])[offs])
         short = np.flatnonzero(t.end - t.begin <= 5)
         you = short[np.isin(t.span_hash(t.begin[short], t.end[short], 9), _hashes(["you", "your", "youre", "du", "tu", "toi", "vous"], 9))]
@@ -321,10 +332,23 @@ def vote_patterns(docs: DataFrame, voters: Voters, text_col: str) -> tuple[np.nd
 
 @dataclass
 class Classifier:
-    """Weights by term, and a bias."""
+    """Weights by term, a bias, and the voters with a weight for each."""
 
     terms: Terms
     bias: float
+    voters: Voters
+    vote_weights: np.ndarray
+
+
+def stratum_rates(counts: np.ndarray, stratum: np.ndarray, max_rows: int) -> np.ndarray:
+    """The share of documents to take of each vote pattern: equal shares of ``max_rows`` by stratum, what one leaves goes to larger ones."""
+    sizes = np.bincount(stratum, weights=counts)
+    rate, left = np.zeros(len(sizes)), float(max_rows)
+    order = np.argsort(sizes, kind="stable")
+    for i, k in enumerate(order.tolist()):
+        rate[k] = min(1.0, left / (len(order) - i) / max(1.0, sizes[k]))
+        left -= rate[k] * sizes[k]
+    return rate[stratum]
 
 
 def fit(
@@ -337,40 +361,61 @@ def fit(
     voters = learn_voters(known)
     patterns, counts = vote_patterns(docs, voters, text_col)
     if not len(patterns):
-        return Classifier(Terms.of(np.zeros(0, U64), np.zeros(0)), 0.0)
+        return Classifier(Terms.of(np.zeros(0, U64), np.zeros(0)), 0.0, voters, np.zeros(voters.number))
     model = fit_label_model(patterns, counts, voters.number, *labelled_patterns(known, voters, patterns))
-    share = min(1 << 20, (max_rows << 20) // int(counts.sum()))
-    chosen = own.where(F.pmod(F.xxhash64(id_col, F.lit(13)), F.lit(1 << 20)) < share)
+    posterior = model.posterior((patterns[:, None] >> np.arange(voters.number)) & 1)
+    listed = patterns & ((1 << voters.number - 2) - 1) > 0
+    least = np.zeros(1 << voters.number)
+    least[patterns] = stratum_rates(counts, np.where(posterior >= 0.5, 2, listed.astype(np.int64)), max_rows) * (1 << 20)
+    place = F.pmod(F.xxhash64(id_col, F.lit(13)), F.lit(1 << 20))
+    chosen = own.select(id_col, F.coalesce("text", F.lit("")).alias("text"), place.alias("place")).where(F.col("place") < float(least.max()))
 
     def soften(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, offs in blocks(batch.column(1)):
-                votes = (voters.votes(data, offs)[:, None] >> np.arange(voters.number)) & 1
-                yield pa.record_batch([batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), pa.array(model.posterior(votes))], ["doc", "text", "y"])
+                votes = voters.votes(data, offs)
+                here = batch.column(2).slice(lo, hi - lo).to_numpy() < least[votes]
+                post = model.posterior((votes[here, None] >> np.arange(voters.number)) & 1)
+                doc, text = (batch.column(i).slice(lo, hi - lo).filter(pa.array(here)) for i in (0, 1))
+                yield pa.record_batch([doc, text, pa.array(post)], ["doc", "text", "y"])
+
+    first = (1 << BITS) - voters.number  # the last slots are the votes'; terms that fall there have no weight
+
+    def with_votes(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        row, slot, _ = features(data, offs)
+        below = slot < first
+        voted, voter = np.nonzero((voters.votes(data, offs)[:, None] >> np.arange(voters.number)) & 1)
+        row, slot = np.concatenate([row[below], voted]), np.concatenate([slot[below], first + voter])
+        return row, slot, np.ones(len(row))
 
     kind = docs.schema[id_col].dataType.simpleString()
-    soft = chosen.select(id_col, F.coalesce("text", F.lit("")).alias("text")).mapInArrow(soften, f"doc {kind}, text string, y double")
-    soft = stage(soft, "soft-labels")
+    soft = stage(chosen.mapInArrow(soften, f"doc {kind}, text string, y double"), "soft-labels")
     l1 = L1_PER_ROOT_ROW * float(min(max_rows, counts.sum())) ** 0.5
-    w = train_ftrl(featurise(soft, features, BITS), BITS, EPOCHS, alpha=1.0, l1=l1, l2=0.01)
-    term, toxic, clean = _term_counts(soft, w[:-1] != 0)
+    free = np.union1d(_slot(voters.terms.keys), np.arange(first, 1 << BITS))
+    w = train_ftrl(featurise(soft, with_votes, BITS), BITS, EPOCHS, alpha=1.0, l1=l1, l2=0.01, free=free)
+    bias, votes, w = float(w[-1]), w[first:-1].copy(), w[:-1]
+    w[first:] = 0
+    term, toxic, clean = _term_counts(soft, w != 0)
     weight = w[_slot(term.view(U64))]
     agree = np.where(weight > 0, toxic >= clean, clean >= toxic)
-    return Classifier(Terms.of(term[agree].view(U64), weight[agree]), float(w[-1]))
+    return Classifier(Terms.of(term[agree].view(U64), weight[agree]), bias, voters, votes)
 
 
 def toxicity_scores(docs: DataFrame, model: Classifier, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, score) of every row, score in 0 to 1: the logistic function of the weights of the terms that a text has."""
+    """(id, score) of every row, score in 0 to 1: the logistic function of the weights of the terms and votes that a text has."""
     kind = docs.schema[id_col].dataType.simpleString()
-    terms, bias = model.terms, model.bias
+    terms, bias, voters = model.terms, model.bias, model.voters
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, offs in blocks(batch.column(1)):
-                row, at = terms.found(data, offs)
+                t = _tokens(data, offs)
+                row, term = _terms(t)
+                votes = (voters.votes_of(t, row, term)[:, None] >> np.arange(voters.number)) & 1
+                row, at = terms.found(row, term)
                 pair = np.unique(row * max(1, len(terms.keys)) + at)
                 row, at = np.divmod(pair, max(1, len(terms.keys)))
-                total = bias + np.bincount(row, weights=terms.values[at], minlength=hi - lo)
+                total = bias + votes @ model.vote_weights + np.bincount(row, weights=terms.values[at], minlength=hi - lo)
                 yield pa.record_batch([batch.column(0).slice(lo, hi - lo), pa.array(1 / (1 + np.exp(-np.clip(total, -30, 30))))], [id_col, "score"])
 
     rows = docs.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("text"))

@@ -27,6 +27,30 @@ def test_held_out_accuracy(spark, query, label, least):
     assert len(share) == 2 and all(r.a >= least[r[label]] for r in share)
 
 
+def test_most_held_out_toxic_texts_are_found_from_few_labels(spark):
+    got = QUERIES["op5_toxicity"](spark, SF_LABELS).where("held_out")
+    known = got.join(spark.read.parquet(f"{SF_LABELS}/labels.parquet"), "doc_id")
+    share = {r.toxic: r.a for r in known.groupBy("toxic").agg(F.avg((F.col("predicted") == F.col("toxic")).cast("int")).alias("a")).collect()}
+    assert share[0] >= 0.98 and share[1] >= 0.9
+
+
+def test_listed_terms_outside_the_training_sample_score_as_toxic(spark):
+    insults = toxicity.INSULTS[:30]
+    clean = [f"river stone house number{i % 50} garden" for i in range(3000)]
+    docs = list(enumerate([f"{t} you {insults[i % 30]}" if i % 100 == 0 else t for i, t in enumerate(clean)]))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 100 == 0)) for i, _ in docs if i < 1500], "doc_id long, toxic int")
+    scores = toxicity.toxicity_scores(df, toxicity.fit(df, labels, F.lit(True), max_rows=200)).collect()
+    assert all((r.score >= 0.5) == (r.doc_id % 100 == 0) for r in scores)
+
+
+def test_strata_share_the_bound():
+    counts, stratum = np.array([9000, 500, 30, 100_000]), np.array([1, 2, 2, 0])
+    rate = toxicity.stratum_rates(counts, stratum, 3000)
+    assert rate[1] == rate[2] == 1.0 and abs((rate * counts).sum() - 3000) < 1 and abs(rate[0] * 9000 - 1235) < 1
+    assert (toxicity.stratum_rates(counts, stratum, 1_000_000) == 1).all()
+
+
 def test_languages_of_held_out_documents(spark):
     got = QUERIES["op8_languages"](spark, SF).join(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang"), "doc_id")
     assert got.where("held_out").agg(F.avg((F.col("lang_pred") == F.col("lang")).cast("int"))).first()[0] > 0.97
