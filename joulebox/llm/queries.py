@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from . import q_copies, q_lists, q_pieces, q_scores  # noqa: F401
+from . import q_bundles, q_copies, q_lists, q_pieces, q_scores  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401
