@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import centroids
+from . import centroids, divergence
 from .registry import register
 from .tables import read
 
@@ -42,3 +42,37 @@ FROM a{rounds} JOIN h USING (c)
 @register("op11_centroids", op11_sql())
 def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+           FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+t AS (SELECT id, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS total FROM t GROUP BY lang, term HAVING count(DISTINCT id) >= 3),
+v AS (SELECT lang, count(*) AS v, sum(total) AS n FROM k GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS c FROM t JOIN k USING (lang, term) GROUP BY lang, source, term),
+n AS (SELECT lang, source, sum(c) AS n FROM c GROUP BY lang, source),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c,
+             1 + (CAST(1000000000 AS HUGEINT) * (coalesce(c.c, 0) + 1)) // (coalesce(n.n, 0) + v.v) AS p,
+             1 + (CAST(1000000000 AS HUGEINT) * (k.total + 1)) // (v.n + v.v) AS q
+      FROM g JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN n ON n.lang = g.lang AND n.source = g.source
+      LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+s AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+r AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(s.value, 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // q AS BIGINT) FROM p WHERE c > 0 AND p > q)
+SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM r)
+WHERE part = 'pair' OR rank <= 200
+"""
+
+
+@register("op13_divergence", OP13_SQL)
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read(spark, sf_dir, "documents").select("lang", "source", "text"))

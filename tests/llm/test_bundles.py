@@ -3,10 +3,12 @@
 import hashlib
 import math
 import random
+import re
+from collections import Counter, defaultdict
 
 import numpy as np
 
-from joulebox.llm import centroids
+from joulebox.llm import centroids, divergence
 
 
 def brute_clusters(rows, k, rounds, width, scale):
@@ -66,3 +68,67 @@ def test_search_rejects_most_centroids_and_stays_exact():
     all_far = ((m[:, None, :] - own[None, :, :]) ** 2).sum(axis=2)
     assert (far == all_far.min(axis=1)).all() and (who == all_far.argmin(axis=1)).all()
     assert count["exact"] < 0.1 * all_far.size
+
+
+def brute_audit(rows, least, top):
+    """All sums over all kept terms of (lang, source, text) rows, term by term."""
+    docs = [(lang or "", source or "", Counter(re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")))) for lang, source, text in rows]
+    out = set()
+    for lang in {d[0] for d in docs}:
+        own = [d for d in docs if d[0] == lang]
+        df = Counter(t for d in own for t in d[2])
+        kept = [t for t in df if df[t] >= least]
+        count = defaultdict(Counter)
+        for _, source, words in own:
+            count[source].update({t: words[t] for t in kept if words[t]})
+        whole = sum(count.values(), Counter())
+
+        def share(c, t):
+            return 1 + 10**9 * (c[t] + 1) // (sum(c.values()) + len(kept))
+
+        def ranked(source, part, values):
+            best = sorted(values, key=lambda x: (-x[1], x[0].encode()))
+            out.update((lang, source, part, item, v, r) for r, (item, v) in enumerate(best, 1) if part == "pair" or r <= top)
+
+        for g in list(count):
+            p = {t: share(count[g], t) for t in kept}
+            others = {h: {t: share(count[h], t) for t in kept} for h in count if h != g}
+            ranked(g, "pair", [(h, sum((p[t] - q[t]) ** 2 // q[t] for t in kept)) for h, q in others.items()])
+            q = {t: share(whole, t) for t in kept}
+            ranked(g, "term", [(t, (p[t] - q[t]) ** 2 // q[t]) for t in kept if count[g][t] and p[t] > q[t]])
+    return out
+
+
+def test_audit_against_brute_force(spark):
+    rng = random.Random(3)
+    words = ["Alpha", "beta", "GAMMA", "délta", "Étà", "日本", "x", "rare"] + [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(120)]
+    rows = []
+    for i in range(400):
+        source = f"s{rng.choice([0, 0, 0, 1, 2, 3, 4])}"
+        rows.append((rng.choice(["en", "en", "de"]), source, " ".join(rng.choice(words[: 20 + 20 * int(source[1])]) + rng.choice(["", ".", "_", "9"]) for _ in range(rng.randrange(40)))))
+    rows += [("en", "s0", "one copy of many")] * 150 + [(None, None, None), ("", "", "a b"), ("fr", "only", "seul"), ("xx", "a", ""), ("xx", "b", None), ("xx", "c", "12 _ -")]
+    rows += [("en", "long", "beta " * 60000 + "y" * 100000), ("en", "s9\n", "Alpha\x00beta\nGAMMA\x7fdélta")]
+    df = spark.createDataFrame([(*r, 1, 2) for r in rows], "lang string, source string, text string, c long, rank int").repartition(5)
+    for entries in (50, divergence.BLOCK_ENTRIES):  # many runs, or one a task
+        got = divergence.audit(df, top=7, block_entries=entries)
+        assert got.columns == ["lang", "source", "part", "item", "value", "rank"]
+        found = [tuple(r) for r in got.collect()]
+        assert len(found) == len(set(found)) and set(found) == brute_audit(rows, 3, 7)
+    assert divergence.audit(df.limit(0)).count() == 0
+    one = [("en", "s", "w w w")] * 3
+    assert {tuple(r) for r in divergence.audit(spark.createDataFrame(one, "lang string, source string, text string")).collect()} == brute_audit(one, 3, 200)
+
+
+def test_pieces_round_trip_and_merge_in_order():
+    rng = random.Random(4)
+    entries = sorted({(rng.choice(["", "a", "b"]), rng.choice([b"", b"x", "é".encode(), b"z" * 50]), str(rng.randrange(9))) for _ in range(80)})
+    runs = [sorted((k, rng.randrange(1 << 50), rng.randrange(9)) for k in rng.sample(entries, 30)) for _ in range(5)]
+    assert list(divergence.unpack_piece(*divergence.pack_piece(runs[0]))) == runs[0]
+    pieces = sorted((part[0][0], n, part) for n, r in enumerate(runs) for part in (r[i : i + 7] for i in range(0, 30, 7)))
+    merged = list(divergence.merge_pieces((key, iter(part)) for key, _, part in pieces))
+    assert sorted(merged) == sorted(e for r in runs for e in r) and [m[0] for m in merged] == sorted(m[0] for m in merged)
+
+
+def test_large_counts_stay_exact():
+    count, of = np.array([0, 10**12, 9 * 10**9]), np.array([10**13, 10**13, 10**11])
+    assert divergence.shares(count, of).tolist() == [1 + 10**9 * (c + 1) // n for c, n in zip(count.tolist(), of.tolist(), strict=True)]
