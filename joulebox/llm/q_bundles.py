@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import centroids, divergence
+from . import bundles, centroids, divergence
 from .registry import register
 from .tables import read
 
@@ -44,6 +44,21 @@ def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
 
+OP12_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+k AS (SELECT payload, max(page_id) AS kept FROM p WHERE strlen(payload) >= 1000 GROUP BY payload),
+r AS (SELECT page_id, p.payload, CASE WHEN page_id IS DISTINCT FROM kept THEN kept END AS refers_to FROM p LEFT JOIN k USING (payload))
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, sha1(payload) AS payload_digest,
+       CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to
+FROM r
+"""
+
+
+@register("op12_bundles", OP12_SQL)
+def op12_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bundles.archive(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 OP13_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w

@@ -1,14 +1,18 @@
 """Centroid clustering, archives and the divergence audit against brute force."""
 
 import hashlib
+import io
 import math
 import random
 import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
+import zstandard
 
-from joulebox.llm import centroids, divergence
+from joulebox.llm import bundles, centroids, divergence
+from joulebox.session import scratch_path
 
 
 def brute_clusters(rows, k, rounds, width, scale):
@@ -132,3 +136,63 @@ def test_pieces_round_trip_and_merge_in_order():
 def test_large_counts_stay_exact():
     count, of = np.array([0, 10**12, 9 * 10**9]), np.array([10**13, 10**13, 10**11])
     assert divergence.shares(count, of).tolist() == [1 + 10**9 * (c + 1) // n for c, n in zip(count.tolist(), of.tolist(), strict=True)]
+
+
+def brute_archive(rows, least=1000):
+    groups = defaultdict(list)
+    for number, _, html in rows:
+        groups[html or ""].append(number)
+    out = []
+    for number, _, html in rows:
+        body = (html or "").encode()
+        known = [n for n in groups[html or ""] if n is not None]
+        to = max(known) if len(body) >= least and known and number != max(known) else None
+        out.append((number, len(body), hashlib.sha1(body).hexdigest(), "response" if to is None else "revisit", to))
+    return sorted(out, key=str)
+
+
+def test_archive_against_brute_force(spark):
+    rng = random.Random(9)
+    rows = [(i, f"http://h{i}/", "<p>" + "".join(rng.choices("abé 日\r\n", k=rng.randrange(2500)))) for i in range(150)]
+    rows += [(1000 + i, "http://hot/", "same page " * 200) for i in range(300)] + [(2000 + i, None, "pair" * 400 + str(i // 2)) for i in range(40)]
+    rows += [(5, None, None), (6, "x\r\nWARC-Type: revisit", ""), (7, "u", "a" * 999), (8, "u", "a" * 999), (9, "u", "é" * 500), (10, "u", "é" * 500)]
+    rows += [(None, "u", "same page " * 200), (None, None, "nobody" * 300), (None, None, "nobody" * 300), (3000, "r", "twice" * 300), (3000, "r", "twice" * 300)]
+    rows += [(4000, "long", "WARC/1.1\r\n\r\n" * 200000)]
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], "page_id long, url string, html string, kept string, n long").repartition(3)
+    path = scratch_path(spark, "warc-test")
+    index = bundles.write_bundles(df, path, frame_bytes=5000, bundle_bytes=60000)
+    assert index.count() == len(rows) and index.select("archive").distinct().count() > 3
+    got = bundles.digests(bundles.read_records(spark, path))
+    assert sorted(map(tuple, got.collect()), key=str) == brute_archive(rows)
+    whole = {(r.id, bytes(r.payload).decode(), r.url) for r in bundles.read_records(spark, path, payloads=True).where("payload is not null").collect()}
+    answers = {r[0]: r for r in brute_archive(rows)}
+    assert {w[0] for w in whole} == {r[0] for r in brute_archive(rows) if r[3] == "response"} and (6, "", "x%0D%0AWARC-Type: revisit") in whole
+    # by id: revisits are resolved, only named frames are read
+    some = [1000, 1007, 2000, 2001, 5, 3000, 4000, 77, 123456]
+    found = {r.id: bytes(r.payload).decode() for r in bundles.fetch(spark, path, spark.createDataFrame([(i,) for i in some], "page_id long")).collect()}
+    assert found == {n: h or "" for n, _, h in rows if n in some} and answers[1000][4] == 1299
+    # any Zstandard reader sees plain WARC
+    name = index.select("archive").first()[0].removeprefix("file:")
+    plain = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(open("/" + name.lstrip("/"), "rb").read()), read_across_frames=True).read()
+    assert plain.startswith(b"WARC/1.1\r\n") and plain.endswith(b"\r\n\r\n")
+    empty = bundles.archive(df.limit(0))
+    assert empty.count() == 0 and empty.columns == ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+
+
+def test_files_of_failed_attempts_are_not_part_of_the_archive(spark):
+    df = spark.createDataFrame([(i, "u", "x" * i) for i in range(20)], "page_id long, url string, html string")
+    path = scratch_path(spark, "warc-orphans")
+    local = "/" + path.removeprefix("file:").lstrip("/") + "/bundles"
+    import os
+
+    os.makedirs(local)
+    with open(f"{local}/part-000000-lost.warc.zst", "wb") as f:
+        f.write(b"half a fra")
+    bundles.write_bundles(df, path)
+    assert not os.path.exists(f"{local}/part-000000-lost.warc.zst") and bundles.read_records(spark, path).count() == 20
+    victim = next(f"{local}/{n}" for n in sorted(os.listdir(local)) if n.endswith(".zst"))
+    data = bytearray(open(victim, "rb").read())
+    data[len(data) // 2 if len(data) < 200 else 60] ^= 0xFF
+    open(victim, "wb").write(data)
+    with pytest.raises(Exception, match="damaged|decompress|digest|record"):
+        bundles.read_records(spark, path).collect()
