@@ -5,18 +5,17 @@ ML feature table), ``model_job`` (processed -> predictions, health, model),
 ``publish_job`` (datasets -> catalog tables).
 Reports:         ``report`` (one dashboard query over the published tables).
 Medallion:       ``extract_job`` (raw batch -> bronze), ``transform_job``
-(new bronze batches -> silver, dims, fact), ``load_job`` (gold -> catalog
-tables with MERGE of the fact).
+(new bronze files -> silver, dims, the run's fact rows), ``load_job`` (gold -> catalog
+tables with MERGE of the fact rows of all runs not loaded yet).
 """
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from joulebox.operators.cleaning import fail_if_empty
+from joulebox.plans import ledger as ledgers
 from joulebox.plans import loading as L
 from joulebox.plans import medallion as G
 from joulebox.plans import model as M
@@ -24,7 +23,7 @@ from joulebox.plans import readings as R
 from joulebox.plans import reports as P
 from joulebox.schema import RAW_READING_LOOSE
 from joulebox.session import stage_table, staging
-from joulebox.sources.files import read_json_inferred, read_json_schema
+from joulebox.sources.files import read_json_inferred, read_json_schema, split_corrupt
 
 
 def _write(df, path: str, fmt: str) -> None:
@@ -94,64 +93,88 @@ def publish_job(spark: SparkSession, out_base: str, prefix: str = "", fmt: str =
     return L.publish_tables(spark, datasets, fmt=fmt)
 
 
-#: Columns that the jobs add to tell their own output apart.
-EXTRACT_ID, RUN_ID = "extract_id", "run_id"
+#: Column that the jobs add to tell the output of their runs apart.
+RUN_ID = "run_id"
+#: The run of a transform without a ledger, which takes all of bronze each time.
+WHOLE = "all"
+
 
+def extract_job(spark: SparkSession, batch_path: str, bronze_path: str, quarantine_path: str | None = None, ledger_path: str | None = None) -> dict:
+    """Raw files -> bronze: those of the folder that no run has taken, by the ledger (beside bronze unless named).
 
-def extract_job(spark: SparkSession, batch_path: str, bronze_path: str, quarantine_path: str | None = None) -> dict:
-    """Raw batch -> bronze. Each source folder has its own bronze folder, so extracting it again replaces what it gave before."""
-    good, bad = G.read_raw_batch(spark, batch_path)
-    own = hashlib.md5(batch_path.rstrip("/").encode()).hexdigest()[:16]
+    Each run has a folder of its own, which a run that is done over replaces, so a file's rows
+    are in bronze once, whenever it arrived; bronze keeps them when the file goes.
+    """
+    ledger = ledger_path or f"{bronze_path.rstrip('/')}__extracted"
+    run = ledgers.claim(spark, batch_path, ledger)
+    if run is None:
+        return {"written": False}
+    good, bad = split_corrupt(ledgers.read_run(spark, run, batch_path, "json", G.raw_schema(), **G.RAW_OPTIONS))
     with staging(spark):
         staged = stage_table(good, "extract")
         wrote = not staged.isEmpty()
         if wrote:
-            L.write_parquet(staged, f"{bronze_path}/{EXTRACT_ID}={own}")
+            L.write_parquet(staged, f"{bronze_path}/{RUN_ID}={run.run_id}")
         if quarantine_path:
-            L.write_json(bad, f"{quarantine_path}/{EXTRACT_ID}={own}")
+            L.write_json(bad, f"{quarantine_path}/{RUN_ID}={run.run_id}")
+    ledgers.finish(spark, ledger, run.run_id)
     return {"written": wrote}
 
 
 def transform_job(
     spark: SparkSession, bronze_path: str, lake: str, ledger_path: str | None = None, partition_by: list[str] | None = None
 ) -> dict:
-    """Silver, dims (calendar once, SCD0 category dims), fact staging overwrite.
+    """Silver, dims (calendar once, SCD0 category dims) and the run's fact rows.
 
-    With a ledger only bronze batches that no run has taken are processed (or those of a run
-    that broke off, again). A run's silver rows have a folder of their own, which is
-    overwritten, so a run that is done over replaces its output. Without a ledger
-    all of bronze is one run. ``partition_by`` (e.g. ``["date_key"]``) partitions the
-    silver and fact files so date filters prune.
+    With a ledger only bronze files that no run has taken are read (or those of a run that
+    broke off, again): rows that arrive late for a batch are new files like any other. A run's silver
+    and fact rows have folders of their own, which are overwritten, so a run that is done over replaces its output, and a
+    run without rows leaves what earlier runs wrote. Without a ledger all of bronze is one
+    run. ``partition_by`` (e.g. ``["date_key"]``) partitions the silver and fact files so date filters prune.
     """
-    bronze = spark.read.parquet(bronze_path).drop(EXTRACT_ID)
-    run_id = "all"
+    run_id = WHOLE
+    if ledger_path:
+        run = ledgers.claim(spark, bronze_path, ledger_path)
+        if run is None:
+            return {"silver_rows": 0}
+        run_id, bronze = run.run_id, ledgers.read_run(spark, run, bronze_path)
+    else:
+        bronze = spark.read.parquet(bronze_path)
     with staging(spark):
-        if ledger_path:
-            claimed = L.claim_run(spark, bronze, ledger_path)
-            run_id, bronze = claimed or (None, bronze.limit(0))
-        silver = stage_table(G.to_silver(bronze), "silver")  # one computation feeds silver, dims and fact
+        silver = stage_table(G.to_silver(bronze.drop(RUN_ID)), "silver")  # one computation feeds silver, dims and fact
         rows = silver.count()
         if rows:
             L.write_parquet(silver, f"{lake}/silver/power_consumption/{RUN_ID}={run_id}", partition_by=partition_by)
+            L.write_parquet(G.fact_energy(silver), f"{lake}/gold/fact_energy_consumption/{RUN_ID}={run_id}", partition_by=partition_by)
         L.load_once(spark, G.calendar(spark), f"{lake}/gold/dim_date")
         L.dim_append_new(spark, G.dim_building_type(silver), f"{lake}/gold/dim_building_type", "building_type_key")
         L.dim_append_new(spark, G.dim_hvac_system(silver), f"{lake}/gold/dim_hvac_system", "hvac_key")
-        L.write_parquet(G.fact_energy(silver), f"{lake}/gold/fact_energy_consumption", partition_by=partition_by)
-        if ledger_path and run_id:
-            L.finish_run(spark, ledger_path, run_id)
+    if ledger_path:
+        ledgers.finish(spark, ledger_path, run_id)
     return {"silver_rows": rows}
 
 
 def load_job(spark: SparkSession, lake: str, prefix: str = "") -> dict:
-    """Gold -> catalog tables; the dimensions stay as they are where gold has no rows for them."""
+    """Gold -> catalog tables; the dimensions stay as they are where gold has no rows for them.
+
+    The fact rows of every run that has not been loaded are merged, run by run in the order of their
+    claims, so a later run's row of a key replaces an earlier one's; then the run is marked. A load that broke off merges a
+    run again, which changes nothing.
+    """
     gold = f"{lake}/gold"
     if not spark.catalog.tableExists(f"{prefix}dim_date") or spark.table(f"{prefix}dim_date").isEmpty():
         L.replace_table(spark.read.parquet(f"{gold}/dim_date"), f"{prefix}dim_date")
     L.replace_unless_empty(spark.read.parquet(f"{gold}/dim_building_type"), f"{prefix}dim_building_type")
     L.replace_unless_empty(spark.read.parquet(f"{gold}/dim_hvac_system"), f"{prefix}dim_hvac_system")
-    fact = spark.read.parquet(f"{gold}/fact_energy_consumption")
-    how = L.merge_into_table(spark, fact, f"{prefix}fact_energy_consumption", "RecordID", partition="date_key")
-    return {"fact": how}
+    facts, loaded = f"{gold}/fact_energy_consumption", f"{gold}/loaded/{prefix or 'default'}"
+    todo = sorted(set(L.runs_of(spark, facts, RUN_ID)) - ledgers.finished(spark, loaded))
+    done = []
+    for run_id in todo:
+        rows = spark.read.parquet(f"{facts}/{RUN_ID}={run_id}")
+        done.append(L.merge_into_table(spark, rows, f"{prefix}fact_energy_consumption", "RecordID", partition="date_key"))
+        if run_id != WHOLE:
+            ledgers.finish(spark, loaded, run_id)
+    return {"fact": next((how for how in ("created", "merged") if how in done), "skipped"), "runs": len(done)}
 
 
 REPORTS = ("filters", "kpis", "energy_by_type", "energy_by_hvac", "stats", "health_distribution", "health_share", "energy_vs_area", "epa_by_type", "predictions", "accuracy", "top_types", "alerts")

@@ -30,6 +30,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def runs_of(spark: SparkSession, folder: str, column: str) -> list[str]:
+    """Values of ``column`` that have a folder of their own (``column=value``) in ``folder``."""
+    fs, p = _fs_path(spark, folder)
+    names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+    return [n.removeprefix(f"{column}=") for n in names if n.startswith(f"{column}=")]
+
+
 def _clustered(df: DataFrame, partition_by: list[str] | None) -> DataFrame:
     """Rows of one partition value together, so a write makes few files per value and none per task and value.
 
@@ -245,55 +252,3 @@ def publish_tables(spark: SparkSession, datasets: dict[str, str], fmt: str = "js
         replace_table(spark.read.format(fmt).load(path), table)
         done.append(table)
     return done
-
-
-# ---------------------------------------------------------------- batches
-
-def unprocessed_batches(bronze: DataFrame, ledger: DataFrame, batch_col: str = "batch_id") -> DataFrame:
-    """Bronze rows whose batch id is not yet in the ledger (replaces moving files to archive/).
-
-    A NULL batch id equals a NULL one in the ledger, so such rows are taken once too.
-    """
-    seen = ledger.select(F.col(batch_col).alias("_seen")).distinct()
-    return bronze.join(seen, F.col(batch_col).eqNullSafe(F.col("_seen")), "left_anti")
-
-
-def record_batches(spark: SparkSession, processed: DataFrame, ledger_path: str, batch_col: str = "batch_id", run_id: str = "") -> None:
-    """Append the batch ids, and the run that takes them, to the ledger."""
-    ids = processed.select(batch_col).distinct().withColumns({"run_id": F.lit(run_id), "processed_at": F.current_timestamp()})
-    append_if_rows(ids, ledger_path)
-
-
-def claim_run(spark: SparkSession, bronze: DataFrame, ledger_path: str) -> tuple[str, DataFrame] | None:
-    """(run id, its bronze rows): an earlier run that did not finish, or a new one over the batches that none has taken.
-
-    The ledger's ``claims`` say which run takes a batch, ``done`` which runs have finished. A
-    run that broke off is done over with the same batches and the same id, so its
-    output replaces what it may have left. None if there is nothing to do.
-    """
-    claims, done = f"{ledger_path}/claims", f"{ledger_path}/done"
-    if path_exists(spark, claims):
-        taken = spark.read.parquet(claims)
-        open_runs = taken.select("run_id").distinct()
-        if path_exists(spark, done):
-            open_runs = open_runs.join(spark.read.parquet(done).select("run_id"), "run_id", "left_anti")
-        broken = open_runs.orderBy("run_id").first()
-        if broken is not None:
-            own = taken.filter(F.col("run_id") == broken["run_id"]).select(F.col("batch_id").alias("_own")).distinct()
-            return broken["run_id"], bronze.join(own, F.col("batch_id").eqNullSafe(F.col("_own")), "left_semi")
-        bronze = unprocessed_batches(bronze, taken)
-    run_id = uuid.uuid4().hex[:16]
-    batches = bronze.select("batch_id").distinct()
-    with staging(spark):
-        staged = stage_table(batches, "batch-ids")
-        if staged.isEmpty():
-            return None
-        record_batches(spark, staged, claims, run_id=run_id)
-    own = spark.read.parquet(claims).filter(F.col("run_id") == run_id).select(F.col("batch_id").alias("_own"))
-    return run_id, bronze.join(own, F.col("batch_id").eqNullSafe(F.col("_own")), "left_semi")
-
-
-def finish_run(spark: SparkSession, ledger_path: str, run_id: str) -> None:
-    """Mark a run as finished."""
-    done = spark.range(1).select(F.lit(run_id).alias("run_id"), F.current_timestamp().alias("finished_at"))
-    done.write.mode("append").parquet(f"{ledger_path}/done")

@@ -15,13 +15,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from joulebox.functions.dates import date_key, date_parts, parse_date
 from joulebox.operators.cleaning import fill_missing
 from joulebox.operators.dedup import dedup_key
 from joulebox.operators.joins import lookup_keys
 from joulebox.schema import FACT_COLUMNS, INGEST_METADATA, RAW_READING
-from joulebox.sources.files import read_json_schema, split_corrupt
+from joulebox.sources.files import CORRUPT_COLUMN, read_json_schema, split_corrupt
 
 # What silver puts in place of missing values, and its types.
 NUMERIC_DEFAULTS = {
@@ -43,6 +44,14 @@ SILVER_TYPES = {
 }
 
 
+#: How raw JSON lines are read: not-a-number values are allowed, unparsable lines keep their text.
+RAW_OPTIONS = {"allowNonNumericNumbers": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
+
+
+def raw_schema() -> T.StructType:
+    return T.StructType([*RAW_READING.fields, T.StructField(CORRUPT_COLUMN, T.StringType())])
+
+
 def read_raw_batch(spark: SparkSession, path: str, quarantine: bool = True) -> tuple[DataFrame, DataFrame]:
     """Fixed-schema read of raw JSON lines: (valid rows, corrupt raw lines).
 

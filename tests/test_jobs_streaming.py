@@ -61,17 +61,53 @@ def test_transform_done_over_after_a_crash(spark, sf_small, tmp_path, monkeypatc
     raw = testdata.raw_readings(spark, sf_small).withColumn("batch_id", F.when(F.col("batch_id") != F.lit("x"), F.col("batch_id")))
     raw = raw.withColumn("batch_id", F.when(F.col("RoomArea") != 7, F.col("batch_id")))  # some rows have no batch id
     raw.write.parquet(bronze)
-    finish = jobs.L.finish_run
-    monkeypatch.setattr(jobs.L, "finish_run", lambda *a: (_ for _ in ()).throw(RuntimeError("crash")))
+    finish = jobs.ledgers.finish
+    monkeypatch.setattr(jobs.ledgers, "finish", lambda *a: (_ for _ in ()).throw(RuntimeError("crash")))
     with pytest.raises(RuntimeError):
         jobs.transform_job(spark, bronze, lake, ledger)
-    monkeypatch.setattr(jobs.L, "finish_run", finish)
+    monkeypatch.setattr(jobs.ledgers, "finish", finish)
     rows = raw.select("RecordID").distinct().count()
     assert jobs.transform_job(spark, bronze, lake, ledger)["silver_rows"] == rows  # the same run again
     assert spark.read.parquet(f"{lake}/silver/power_consumption").count() == rows
     assert jobs.transform_job(spark, bronze, lake, ledger)["silver_rows"] == 0  # rows without a batch id neither
 
 
+def _batch(spark, folder, rows):
+    frame = spark.createDataFrame(rows, "RecordID string, EnergyConsumption double, batch_id string")
+    frame.withColumn("ReadingDate", F.lit("2024-05-17")).coalesce(1).write.mode("append").json(folder)
+
+
+def test_late_files_empty_runs_and_loads_lose_no_fact(spark, tmp_path):
+    landing, bronze, lake, ledger = (str(tmp_path / n) for n in ("landing", "bronze", "lake", "ledger"))
+    stored = lambda: dict(map(tuple, spark.table("t5_fact_energy_consumption").select("RecordID", "EnergyConsumption").collect()))
+    step = lambda: (jobs.extract_job(spark, landing, bronze)["written"], jobs.transform_job(spark, bronze, lake, ledger)["silver_rows"])
+    _batch(spark, landing, [("r1", 1.0, "B1"), ("r2", 2.0, "B1")])
+    assert step() == (True, 2)
+    assert step() == (False, 0)  # an empty run leaves the fact rows that wait for a load
+    assert spark.read.parquet(f"{lake}/gold/fact_energy_consumption").count() == 2
+    _batch(spark, landing, [("r3", 3.0, "B1"), ("r1", 9.0, "B1")])  # late rows of a batch that was taken
+    assert step() == (True, 2)
+    assert jobs.load_job(spark, lake, prefix="t5_") == {"fact": "created", "runs": 2}  # two runs before a load
+    assert stored() == {"r1": 9.0, "r2": 2.0, "r3": 3.0}
+    assert jobs.load_job(spark, lake, prefix="t5_") == {"fact": "skipped", "runs": 0}
+    _batch(spark, landing, [("r4", 4.0, None)])
+    assert step() == (True, 1) and jobs.load_job(spark, lake, prefix="t5_") == {"fact": "merged", "runs": 1}
+    assert stored() == {"r1": 9.0, "r2": 2.0, "r3": 3.0, "r4": 4.0}
+
+
+def test_extract_done_over_after_a_crash(spark, tmp_path, monkeypatch):
+    landing, bronze = str(tmp_path / "landing"), str(tmp_path / "bronze")
+    _batch(spark, landing, [("r1", 1.0, "B1")])
+    finish = jobs.ledgers.finish
+    monkeypatch.setattr(jobs.ledgers, "finish", lambda *a: (_ for _ in ()).throw(RuntimeError("crash")))
+    with pytest.raises(RuntimeError):
+        jobs.extract_job(spark, landing, bronze)
+    monkeypatch.setattr(jobs.ledgers, "finish", finish)
+    _batch(spark, landing, [("r2", 2.0, "B1")])
+    assert jobs.extract_job(spark, landing, bronze)["written"] and jobs.extract_job(spark, landing, bronze)["written"]
+    assert sorted(r.RecordID for r in spark.read.parquet(bronze).collect()) == ["r1", "r2"]
+
+
 def test_jobs_leave_no_staged_copies(spark, sf_small, tmp_path):
     from joulebox.session import ensure_checkpoint_dir
 

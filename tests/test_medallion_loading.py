@@ -5,6 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from joulebox.plans import ledger as ledgers
 from joulebox.plans import loading as L
 from joulebox.plans import medallion as G
 
@@ -93,15 +94,28 @@ def test_dim_append_new_twice_adds_nothing(spark, tmp_path):
     assert stored == {"k1": "A", "k2": "B", "k3": "C"}  # SCD0: existing keys never updated
 
 
-def test_load_once_and_ledger(spark, tmp_path):
+def test_load_once(spark, tmp_path):
     path = str(tmp_path / "dim_date")
     cal = G.calendar(spark, "2024-01-01", "2024-01-10")
     assert L.load_once(spark, cal, path) is True and L.load_once(spark, cal, path) is False
-    raw = spark.createDataFrame([("b1", 1), ("b1", 2), ("b2", 3)], "batch_id string, x int")
-    ledger = str(tmp_path / "ledger")
-    L.record_batches(spark, raw.filter(F.col("batch_id") == "b1"), ledger)
-    todo = L.unprocessed_batches(raw, spark.read.parquet(ledger))
-    assert [r["x"] for r in todo.collect()] == [3]
+
+
+def test_ledger_takes_each_file_once(spark, tmp_path):
+    folder, ledger = str(tmp_path / "in [a]%20 b"), str(tmp_path / "ledger {1}")  # a path that readers must not expand
+    put = lambda rows: spark.createDataFrame(rows, "batch_id string, x int").coalesce(1).write.mode("append").partitionBy("batch_id").parquet(folder)
+    put([("b1", 1), ("b1", 2), (None, 3)])
+    run = ledgers.claim(spark, folder, ledger)
+    assert sorted(r.x for r in ledgers.read_run(spark, run, folder).collect()) == [1, 2, 3]
+    put([("b1", 4), ("b2", 5)])
+    assert ledgers.claim(spark, folder, ledger) == run  # it did not finish: the same files, not the new ones
+    ledgers.finish(spark, ledger, run.run_id)
+    late = ledgers.claim(spark, folder, ledger)  # a file of a batch that was taken, and a new batch
+    assert late.run_id > run.run_id and sorted(map(tuple, ledgers.read_run(spark, late, folder).collect())) == [(4, "b1"), (5, "b2")]
+    ledgers.finish(spark, ledger, late.run_id)
+    assert ledgers.claim(spark, folder, ledger) is None and ledgers.finished(spark, ledger) == {run.run_id, late.run_id}
+    victim = sorted(late.paths)[0].removeprefix("file:")
+    os.utime(victim, (1, 1))  # replaced by a file of another time
+    assert [p.removeprefix("file:") for p in ledgers.claim(spark, folder, ledger).paths] == [victim]
 
 
 def test_publish_tables(spark, tmp_path):
@@ -152,12 +166,6 @@ def test_swap_keeps_the_old_version_until_the_new_one_is_written(spark):
     spark.sql(f"DROP TABLE {table}")
 
 
-def test_null_batches_are_taken_once(spark, tmp_path):
-    raw = spark.createDataFrame([("b1", 1), (None, 2)], "batch_id string, x int")
-    L.record_batches(spark, raw, str(tmp_path / "l"))
-    assert L.unprocessed_batches(raw, spark.read.parquet(str(tmp_path / "l"))).count() == 0
-
-
 def test_empty_dimensions_leave_the_loaded_ones(spark):
     table = f"dim_{uuid.uuid4().hex[:8]}"
     L.replace_table(spark.range(2), table)
