@@ -4,7 +4,7 @@ Single-pass in-memory indexing. A task reads its documents once and adds each on
 terms to block postings, one dictionary per (lang, source). When the block holds
 BLOCK_ENTRIES entries it is spilled as a run sorted by (lang, term, source), cut into packed
 pieces by hash shard of (lang, term). In a shard the pieces arrive by their first
-entry, so a heap merges all runs as a stream: it holds the pieces that overlap the present
+term, so a heap merges all runs as a stream: it holds the pieces that overlap the present
 term, never the shard. Each kept term comes out as one row with its sources and counts.
 
 A language keeps the V terms that are in at least ``least`` of its documents. A
@@ -35,7 +35,7 @@ import heapq
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from itertools import groupby
+from itertools import groupby, islice
 
 import numpy as np
 import pyarrow as pa
@@ -50,15 +50,16 @@ BLOCK_ENTRIES = 400_000
 PIECE_ENTRIES = 8192
 PAIR_ENTRIES = 500_000
 PAIR_STEP = 1 << 20
-ROWS_OUT = 4096
-_DF = 1 << 40
-_PIECE = "shard int, lang string, term binary, source string, langs array<string>, sources array<string>, body binary"
+PIECES_OUT = 64
+POSTINGS_OUT = 1 << 16
+_PIECE = "shard int, lang string, term binary, sources array<string>, body binary"
 _POSTINGS = "lang string, term string, total long, sources array<string>, counts array<long>"
 
 #: Bytes of terms to themselves, A-Z lower-cased; all others to a space.
 _TABLE = bytes(b if b >= 0x80 or 0x61 <= b <= 0x7A else b + 0x20 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
 
-Entry = tuple[tuple[str, bytes, str], int, int]
+#: A term's postings in one run: (source, occurrences, documents).
+Postings = list[tuple[str, int, int]]
 
 
 def terms(text: str) -> list[bytes]:
@@ -67,100 +68,107 @@ def terms(text: str) -> list[bytes]:
 
 
 class Block:
-    """Block postings: (lang, source) -> term -> occurrences and documents."""
+    """Block postings: (lang, source) -> occurrences and documents of each term."""
 
     def __init__(self) -> None:
-        self.groups: dict[tuple[str, str], dict[bytes, int]] = {}
+        self.groups: dict[tuple[str, str], tuple[Counter, Counter]] = {}
         self.entries = 0
 
     def add(self, lang: str, source: str, text: str) -> None:
         own = self.groups.get((lang, source))
         if own is None:
-            own = self.groups[lang, source] = {b"": 0}  # the empty term says that the group occurs
+            own = self.groups[lang, source] = Counter({b"": 0}), Counter()  # the empty term says that the group occurs
             self.entries += 1
-        before, get = len(own), own.get
-        for term, n in Counter(terms(text)).items():
-            own[term] = get(term, 0) + n + _DF
-        self.entries += len(own) - before
-
-    def run(self) -> list[Entry]:
-        """All entries ((lang, term, source), occurrences, documents) in order."""
-        return sorted(((lang, term, source), v % _DF, v // _DF) for (lang, source), own in self.groups.items() for term, v in own.items())
-
-
-def pack_piece(entries: list[Entry]) -> tuple[list[str], list[str], bytes]:
-    """(langs, sources, body): the piece's groups, and its terms, groups and counts, compressed."""
-    groups = {g: i for i, g in enumerate(dict.fromkeys((k[0], k[2]) for k, _, _ in entries))}
-    numbers = np.array([(groups[k[0], k[2]], n, m) for k, n, m in entries], np.int64)
-    body = b"\n".join(k[1] for k, _, _ in entries) + b"\n" + numbers.T.tobytes()
-    return [g[0] for g in groups], [g[1] for g in groups], zstandard.compress(len(entries).to_bytes(8, "little") + body)
-
-
-def unpack_piece(langs: list[str], sources: list[str], body: bytes) -> Iterator[Entry]:
+        before, words = len(own[0]), terms(text)
+        own[0].update(words)
+        own[1].update(set(words))
+        self.entries += len(own[0]) - before
+
+    def pieces(self, shards: int) -> Iterator[tuple]:
+        """The block as a run sorted by (lang, term, source), cut by shard: (shard, lang, first term, sources, body)."""
+        for lang in sorted({g[0] for g in self.groups}):
+            sources = sorted(s for x, s in self.groups if x == lang)
+            groups = [self.groups[lang, s] for s in sources]
+            words = sorted(set().union(*(g[0] for g in groups)))
+            place = dict(zip(words, range(len(words)), strict=True))
+            seed = zlib.crc32(lang.encode() + b"\0")
+            shard = np.fromiter((zlib.crc32(w, seed) % shards for w in words), np.int64, len(words))
+            word = np.concatenate([np.fromiter(map(place.__getitem__, g[0]), np.int64, len(g[0])) for g in groups])
+            source = np.repeat(np.arange(len(groups)), [len(g[0]) for g in groups])
+            count = np.concatenate([np.fromiter(g[0].values(), np.int64, len(g[0])) for g in groups])
+            docs = np.concatenate([np.fromiter(map(g[1].__getitem__, g[0]), np.int64, len(g[0])) for g in groups])
+            order = np.lexsort((source, word, shard[word]))
+            edges = np.flatnonzero(np.diff(shard[word[order]])) + 1
+            for part in np.split(order, edges):
+                for lo in range(0, len(part), PIECE_ENTRIES):
+                    at = part[lo : lo + PIECE_ENTRIES]
+                    own, first = np.unique(word[at], return_index=True)
+                    held = [words[w] for w in own.tolist()]
+                    used, number = np.unique(source[at], return_inverse=True)
+                    body = pack_piece(held, np.diff(np.append(first, len(at))), number, count[at], docs[at])
+                    yield int(shard[own[0]]), lang, held[0], [sources[i] for i in used.tolist()], body
+
+
+def pack_piece(held: list[bytes], entries: np.ndarray, source: np.ndarray, count: np.ndarray, docs: np.ndarray) -> bytes:
+    """Terms in order, entries of each, and the entries' sources and counts, compressed."""
+    head = np.array([len(held), len(source)], np.int64).tobytes()
+    numbers = [entries.astype(np.int32), source.astype(np.int32), count.astype(np.int64), docs.astype(np.int64)]
+    return zstandard.compress(head + b"".join(n.tobytes() for n in numbers) + b"\n".join(held))
+
+
+def unpack_piece(sources: list[str], body: bytes) -> Iterator[tuple[bytes, Postings]]:
     raw = zstandard.decompress(body)
-    n = int.from_bytes(raw[:8], "little")
-    words = raw[8 : len(raw) - 24 * n - 1].split(b"\n")
-    group, count, docs = np.frombuffer(raw[len(raw) - 24 * n :], np.int64).reshape(3, n).tolist()
-    for i in range(n):
-        yield (langs[group[i]], words[i], sources[group[i]]), count[i], docs[i]
-
-
-def spill(entries: list[Entry], shards: int) -> Iterator[pa.RecordBatch]:
-    """A run's pieces, each of one shard."""
-    held: dict[int, list[Entry]] = {}
-
-    def batch(shard: int, part: list[Entry]) -> pa.RecordBatch:
-        langs, sources, body = pack_piece(part)
-        (lang, term, source), _, _ = part[0]
-        row = {"shard": shard, "lang": lang, "term": term, "source": source, "langs": langs, "sources": sources, "body": body}
-        kinds = [pa.int32(), pa.string(), pa.binary(), pa.string(), pa.list_(pa.string()), pa.list_(pa.string()), pa.binary()]
-        return pa.record_batch([pa.array([v], t) for v, t in zip(row.values(), kinds, strict=True)], list(row))
-
-    for e in entries:
-        shard = zlib.crc32(e[0][1], zlib.crc32(e[0][0].encode() + b"\0")) % shards
-        part = held.setdefault(shard, [])
-        part.append(e)
-        if len(part) == PIECE_ENTRIES:
-            yield batch(shard, held.pop(shard))
-    for shard, part in held.items():
-        yield batch(shard, part)
+    n, m = np.frombuffer(raw, np.int64, 2).tolist()
+    entries = np.frombuffer(raw, np.int32, n, 16).tolist()
+    source = np.frombuffer(raw, np.int32, m, 16 + 4 * n).tolist()
+    count, docs = np.frombuffer(raw, np.int64, 2 * m, 16 + 4 * (n + m)).reshape(2, m).tolist()
+    postings = list(zip(map(sources.__getitem__, source), count, docs, strict=True))
+    at = 0
+    for word, size in zip(raw[16 + 4 * n + 20 * m :].split(b"\n"), entries, strict=True):
+        yield word, postings[at : at + size]
+        at += size
 
 
 def index_runs(docs: DataFrame, shards: int, block_entries: int = BLOCK_ENTRIES) -> DataFrame:
     """Sorted runs of the block postings of (lang, source, text), in pieces."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def spill(block: Block) -> Iterator[pa.RecordBatch]:
+            kinds = {"shard": pa.int32(), "lang": pa.string(), "term": pa.binary(), "sources": pa.list_(pa.string()), "body": pa.binary()}
+            pieces = block.pieces(shards)
+            while some := list(islice(pieces, PIECES_OUT)):
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*some, strict=True), kinds.values(), strict=True)], list(kinds))
+
         block = Block()
         for batch in batches:
-            columns = [batch.column(i) for i in range(3)]
+            lang, source, text = (batch.column(i) for i in range(3))
             for i in range(batch.num_rows):
-                block.add(*(c[i].as_py() for c in columns))
+                block.add(lang[i].as_py(), source[i].as_py(), text[i].as_py())
                 if block.entries >= block_entries:
-                    yield from spill(block.run(), shards)
+                    yield from spill(block)
                     block = Block()
-        yield from spill(block.run(), shards)
+        yield from spill(block)
 
     return docs.mapInArrow(run, _PIECE)
 
 
-def merge_pieces(pieces: Iterable[tuple[tuple[str, bytes, str], Iterator[Entry]]]) -> Iterator[Entry]:
-    """All entries in order, from pieces given by their first entry."""
-    heap: list[tuple[tuple[str, bytes, str], int, int, int, Iterator[Entry]]] = []
+def merge_pieces(pieces: Iterable[tuple[tuple[str, bytes], Iterator[tuple[bytes, Postings]]]]) -> Iterator[tuple[tuple[str, bytes], Postings]]:
+    """((lang, term), postings) in order, from pieces given by their language and first term."""
+    heap: list[tuple[tuple[str, bytes], int, Postings, Iterator]] = []
 
-    def pop() -> Entry:
-        key, n, count, docs, rest = heap[0]
+    def pop() -> tuple[tuple[str, bytes], Postings]:
+        key, n, postings, rest = heap[0]
         after = next(rest, None)
         if after is None:
             heapq.heappop(heap)
         else:
-            heapq.heapreplace(heap, (after[0], n, after[1], after[2], rest))
-        return key, count, docs
+            heapq.heapreplace(heap, ((key[0], after[0]), n, after[1], rest))
+        return key, postings
 
-    for n, (first, entries) in enumerate(pieces):
+    for n, (first, words) in enumerate(pieces):
         while heap and heap[0][0] < first:
             yield pop()
-        key, count, docs = next(entries)
-        heapq.heappush(heap, (key, n, count, docs, entries))
+        heapq.heappush(heap, (first, n, next(words)[1], words))
     while heap:
         yield pop()
 
@@ -169,21 +177,16 @@ def merge_runs(pieces: DataFrame, shards: int, least: int) -> DataFrame:
     """(lang, term, total, sources, counts) of the kept terms; the empty term lists a language's sources."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        stored = ([batch.column(c)[i].as_py() for c in range(7)] for batch in batches for i in range(batch.num_rows))
-        for _, pieces in groupby(stored, key=lambda r: r[0]):
-            yield from kept(((r[1], r[2], r[3]), unpack_piece(r[4], r[5], r[6])) for r in pieces)
-
-    def kept(pieces: Iterator) -> Iterator[tuple]:
-        now, docs, found = None, 0, {}
-        for (lang, term, source), n, m in merge_pieces(pieces):
-            if (lang, term) != now:
-                if now is not None and (docs >= least or not now[1]):
-                    yield *now, found
-                now, docs, found = (lang, term), 0, {}
-            docs += m
-            found[source] = found.get(source, 0) + n
-        if now is not None and (docs >= least or not now[1]):
-            yield *now, found
+        stored = ([batch.column(c)[i].as_py() for c in range(5)] for batch in batches for i in range(batch.num_rows))
+        for _, own in groupby(stored, key=lambda r: r[0]):
+            merged = merge_pieces(((r[1], r[2]), unpack_piece(r[3], r[4])) for r in own)
+            for key, same in groupby(merged, key=lambda m: m[0]):
+                postings = [p for _, held in same for p in held]
+                if sum(p[2] for p in postings) >= least or not key[1]:
+                    found: dict[str, int] = {}
+                    for source, n, _ in postings:
+                        found[source] = found.get(source, 0) + n
+                    yield *key, found
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
@@ -197,13 +200,13 @@ def merge_runs(pieces: DataFrame, shards: int, least: int) -> DataFrame:
         for r in rows(batches):
             out.append(r)
             size += 1 + len(r[2])
-            if size >= ROWS_OUT * 16:
+            if size >= POSTINGS_OUT:
                 yield emit()
                 out, size = [], 0
         if out:
             yield emit()
 
-    return pieces.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "lang", "term", "source").mapInArrow(run, _POSTINGS)
+    return pieces.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "lang", "term").mapInArrow(run, _POSTINGS)
 
 
 def share(count: Column, of: Column) -> Column:

@@ -123,14 +123,32 @@ def test_audit_against_brute_force(spark):
     assert {tuple(r) for r in divergence.audit(spark.createDataFrame(one, "lang string, source string, text string")).collect()} == brute_audit(one, 3, 200)
 
 
-def test_pieces_round_trip_and_merge_in_order():
+def test_runs_are_sorted_and_merge_in_order():
     rng = random.Random(4)
-    entries = sorted({(rng.choice(["", "a", "b"]), rng.choice([b"", b"x", "é".encode(), b"z" * 50]), str(rng.randrange(9))) for _ in range(80)})
-    runs = [sorted((k, rng.randrange(1 << 50), rng.randrange(9)) for k in rng.sample(entries, 30)) for _ in range(5)]
-    assert list(divergence.unpack_piece(*divergence.pack_piece(runs[0]))) == runs[0]
-    pieces = sorted((part[0][0], n, part) for n, r in enumerate(runs) for part in (r[i : i + 7] for i in range(0, 30, 7)))
-    merged = list(divergence.merge_pieces((key, iter(part)) for key, _, part in pieces))
-    assert sorted(merged) == sorted(e for r in runs for e in r) and [m[0] for m in merged] == sorted(m[0] for m in merged)
+    words = ["", "b", "é", "zz" * 30, "A", "a"]
+    docs = [(rng.choice("xy"), rng.choice("pqr"), " ".join(rng.choices(words, k=5))) for _ in range(200)]
+    pieces = []
+    for lo in range(0, 200, 23):
+        block = divergence.Block()
+        for d in docs[lo : lo + 23]:
+            block.add(*d)
+        pieces += [p for p in block.pieces(3)]
+    want = defaultdict(lambda: [0, 0])
+    for lang, source, text in docs:
+        for t, n in Counter(divergence.terms(text)).items():
+            want[lang, t, source][0] += n
+            want[lang, t, source][1] += 1
+    got = defaultdict(lambda: [0, 0])
+    for shard in range(3):
+        own = sorted((p for p in pieces if p[0] == shard), key=lambda p: (p[1], p[2]))
+        keys = []
+        for (lang, term), postings in divergence.merge_pieces(((p[1], p[2]), divergence.unpack_piece(p[3], p[4])) for p in own):
+            keys.append((lang, term))
+            for source, n, m in postings:
+                got[lang, term, source][0] += n
+                got[lang, term, source][1] += m
+        assert keys == sorted(keys)
+    assert {k: v for k, v in got.items() if k[1]} == want
 
 
 def test_large_counts_stay_exact():
