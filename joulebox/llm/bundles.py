@@ -40,7 +40,7 @@ import xxhash
 import zstandard
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from joulebox.session import delete_path, scratch_path
@@ -286,6 +286,12 @@ def _read(units: DataFrame, payloads: bool) -> DataFrame:
     return units.mapInArrow(run, _FOUND)
 
 
+def _apart(*columns: str) -> Column:
+    """A key to deal units of work by: the units are few and small, so a shuffle on their own
+    columns would be merged with the one that made them, and its partitions joined to one."""
+    return F.xxhash64(*columns, F.lit(3))
+
+
 def read_records(spark: SparkSession, path: str, payloads: bool = False) -> DataFrame:
     """All records of an archive: (id, record_type, refers_to, payload_bytes, payload_digest, url, payload).
 
@@ -295,8 +301,7 @@ def read_records(spark: SparkSession, path: str, payloads: bool = False) -> Data
     index = read_index(spark, path)
     chunk = F.floor(F.col("frame") / CHUNK_FRAMES)
     units = index.groupBy("archive", chunk.alias("chunk")).agg(F.sort_array(F.collect_set("frame")).alias("frames"))
-    # a number of its own, for the rows are few but what they name is much
-    dealt = units.repartition(parts_for(index, READ_BYTES // 100), "archive", "chunk")
+    dealt = units.repartition(parts_for(index, READ_BYTES // 100), _apart("archive", "chunk"))
     return _read(dealt.select("archive", "frames", F.lit(None).cast("array<long>").alias("at")), payloads)
 
 
@@ -309,7 +314,7 @@ def fetch(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
     asked = wanted.toDF("id").distinct().join(index, "id").select("id", F.coalesce("refers_to", "id").alias("holder")).distinct()
     places = asked.select(F.col("holder").alias("id")).distinct().join(index.where("record_type = 'response'"), "id")
     units = places.groupBy("archive", "frame").agg(F.sort_array(F.collect_set("at")).alias("at"))
-    dealt = units.repartition(parts_for(index, READ_BYTES // 100), "archive", "frame").select("archive", F.array("frame").alias("frames"), "at")
+    dealt = units.repartition(parts_for(index, READ_BYTES // 100), _apart("archive", "frame")).select("archive", F.array("frame").alias("frames"), "at")
     held = _read(dealt, True).select(F.col("id").alias("holder"), "payload").distinct()
     return asked.join(held, "holder").select("id", "payload")
 
