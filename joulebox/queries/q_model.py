@@ -1,8 +1,8 @@
 """Queries for the model operators and the building-health table.
 
-Health queries use a one-variable least-squares line fitted on a stable md5 split; the MLlib
-ridge is checked on two inputs, for which SQL can write its solution out; the
-encoding stages of the whole model are checked vector by vector.
+Health queries use a one-variable least-squares line fitted on a stable md5 split; the whole
+energy model (six numbers, two one-hot categories) is checked against a solution in SQL, both as
+the closed form and as MLlib's saved pipeline; the encoding stages are checked vector by vector.
 """
 
 from __future__ import annotations
@@ -50,13 +50,10 @@ def health(spark: SparkSession, sf: str):
     return memo(spark, ("health", sf), lambda: stage_table(M.building_health(predictions(spark, sf), mode="exact"), "health"))
 
 
-RIDGE_INPUTS = ["RoomArea", "NumberofAppliances"]
-
-
 def ridge(spark: SparkSession, sf: str):
-    """(model, test rows): the ridge regression on two inputs, whose solution SQL can write out."""
+    """(the whole energy model in closed form, test rows)."""
     train, test = split(spark, sf)
-    return memo(spark, ("ridge", sf), lambda: M.fit_numeric_model(train, RIDGE_INPUTS)), test
+    return memo(spark, ("ridge", sf), lambda: M.fit_ridge(train)), test
 
 
 def encoder(spark: SparkSession, sf: str):
@@ -160,50 +157,71 @@ def q_ml_split(spark, sf):
     return model_base(spark, sf).groupBy(M.train_flag().alias("is_train")).agg(F.count(F.lit(1)).alias("rows"))
 
 
-# Ridge on two inputs in closed form. Inputs and label are scaled to unit (population) deviation, the penalty of
-# 0.1 is divided by the label's deviation, and the normal equations of the two scaled inputs are solved by Cramer's rule.
-RIDGE = """m AS (
-  SELECT avg(RoomArea) AS m1, avg(NumberofAppliances) AS m2, avg(EnergyConsumption) AS my, stddev_pop(RoomArea) AS s1,
-         stddev_pop(NumberofAppliances) AS s2, stddev_pop(EnergyConsumption) AS sy, corr(RoomArea, NumberofAppliances) AS r12,
-         corr(RoomArea, EnergyConsumption) AS r1, corr(NumberofAppliances, EnergyConsumption) AS r2 FROM train),
-d AS (SELECT *, 1 + 0.1 / sy AS p FROM m),
-c AS (SELECT *, (p * r1 - r12 * r2) / (p * p - r12 * r12) * sy / s1 AS b1, (p * r2 - r12 * r1) / (p * p - r12 * r12) * sy / s2 AS b2 FROM d),
-ridge AS (SELECT b1, b2, my - b1 * m1 - b2 * m2 AS b0 FROM c),
-scored AS (SELECT test.*, b0 + b1 * RoomArea + b2 * NumberofAppliances AS guess FROM test, ridge)
+# The ridge of all inputs, solved in SQL. A training row is its six numbers (less their means), a one for its type and one for its system. Inputs
+# and label are scaled to unit (population) deviation, the penalty of 0.1 is divided by the label's, and the normal
+# equations (positive definite, so without pivoting) are solved by Gauss-Jordan elimination, a column each step.
+RIDGE = f"""mu AS ({" UNION ALL ".join(f"SELECT '{c}' AS term, avg({c}) AS mu FROM train" for c in M.NUMBERS)}),
+x AS (
+  SELECT row_number() OVER () AS id, EnergyConsumption AS y, {", ".join(f"{c} - avg({c}) OVER () AS n{i}" for i, c in enumerate(M.NUMBERS))},
+         {", ".join(f"'{c}=' || {c} AS t{i}" for i, c in enumerate(M.CATEGORIES))} FROM train),
+w AS ({" UNION ALL ".join([f"SELECT id, '{c}' AS term, n{i} AS v FROM x" for i, c in enumerate(M.NUMBERS)] + [f"SELECT id, t{i}, 1.0 FROM x" for i in range(len(M.CATEGORIES))])}),
+y AS (SELECT avg(y) AS my, stddev_pop(y) AS sy, count(*) AS n FROM x),
+p AS (SELECT a.term AS a, b.term AS b, sum(a.v * b.v) AS s FROM w a JOIN w b USING (id) GROUP BY ALL),
+f AS (SELECT term, row_number() OVER (ORDER BY term) AS i, m, sd, r FROM (
+  SELECT term, sum(v) / any_value(n) AS m, sqrt(any_value(p.s) / any_value(n) - (sum(v) / any_value(n)) ** 2) AS sd,
+         sum(v * (x.y - my)) / any_value(n) AS r
+  FROM w JOIN x USING (id) JOIN p ON p.a = term AND p.b = term, y GROUP BY term) WHERE sd > 0),
+g AS (SELECT a.i, list((coalesce(p.s, 0) / n - a.m * b.m) / (a.sd * b.sd) + CASE WHEN a.i = b.i THEN 0.1 / sy ELSE 0 END ORDER BY b.i) || [any_value(a.r / (a.sd * sy))] AS row
+      FROM f a CROSS JOIN f b CROSS JOIN y LEFT JOIN p ON p.a = a.term AND p.b = b.term GROUP BY a.i),
+e(k, m) AS (
+  SELECT 1, list(row ORDER BY i) FROM g
+  UNION ALL
+  SELECT k + 1, list_transform(m, lambda u, i: CASE WHEN i = k THEN list_transform(u, lambda c: c / m[k][k])
+                                               ELSE list_transform(u, lambda c, j: c - u[k] / m[k][k] * m[k][j]) END)
+  FROM e WHERE k <= len(m)),
+b AS (SELECT term, f.m AS mean, u.m[i][len(u.m) + 1] * sy / sd AS b FROM f, y, (SELECT m FROM e ORDER BY k DESC LIMIT 1) u),
+ridge AS (SELECT term, b FROM b UNION ALL SELECT 'intercept', any_value(my) - sum(b * (mean + coalesce(mu, 0))) FROM b LEFT JOIN mu USING (term), y),
+scored AS (SELECT test.*, {" + ".join(f"(SELECT b FROM ridge WHERE term = '{c}') * {c}" for c in M.NUMBERS)}
+             + coalesce(t.b, 0) + coalesce(h.b, 0) + (SELECT b FROM ridge WHERE term = 'intercept') AS guess
+           FROM test LEFT JOIN ridge t ON t.term = 'BuildingType=' || BuildingType LEFT JOIN ridge h ON h.term = 'HVACSystem=' || HVACSystem)
 """
 
 
 def with_ridge(select: str) -> str:
-    return S.with_model("SELECT 0").replace("\nSELECT 0", f", {RIDGE}{select}")
+    return S.with_model("SELECT 0").replace("WITH ", "WITH RECURSIVE ", 1).replace("\nSELECT 0", f", {RIDGE}{select}")
 
 
 RIDGE_ROWS = with_ridge(
-    """SELECT EnergyConsumption, round(guess, 4) AS prediction, BuildingType, HVACSystem, RoomArea, NumberofAppliances,
+    """SELECT EnergyConsumption, round(guess, 2) AS prediction, BuildingType, HVACSystem, RoomArea, NumberofAppliances,
        InsulationThickness, EnergyPerArea FROM scored"""
 )
 
 
-def ridge_predictions(model, test):
-    return M.predictions(model, test).withColumn("prediction", F.round("prediction", 4))
+def rounded(predicted):
+    return predicted.withColumn("prediction", F.round("prediction", 2))
 
 
-@register(
-    "ml_linear_regression",
-    with_ridge(
-        """SELECT 'RoomArea' AS term, round(b1, 6) AS coefficient FROM ridge UNION ALL SELECT 'NumberofAppliances', round(b2, 6) FROM ridge
-UNION ALL SELECT 'intercept', round(b0, 6) FROM ridge"""
-    ),
-)
+@register("ml_linear_regression", with_ridge("SELECT term, round(b, 1) AS coefficient, CAST(0 AS DOUBLE) AS gradient FROM ridge"))
 def q_ml_linear_regression(spark, sf):
+    """Every coefficient of the whole model (six numbers, all types and systems, the intercept), and the gradient of the
+    penalised loss there, which is 0.
+
+    The one-hot columns of a category add up to a constant, so what all of its effects share is held by the small
+    penalty alone: solvers agree on it to about four decimals.
+    """
     model, _ = ridge(spark, sf)
-    lr = model.stages[-1]
-    terms = [*zip(RIDGE_INPUTS, lr.coefficients.toArray().tolist(), strict=True), ("intercept", float(lr.intercept))]
-    return spark.createDataFrame(terms, "term string, coefficient double").withColumn("coefficient", F.round("coefficient", 6))
+    train, _ = split(spark, sf)
+    gradient = dict(M.optimality(model, train))
+    rows = [(t, b, gradient[t]) for t, b in model.terms()]
+    return spark.createDataFrame(rows, "term string, b double, g double").select(
+        "term", F.round("b", 1).alias("coefficient"), (F.round("g", 6) + 0.0).alias("gradient")
+    )
 
 
 @register("ml_predict", RIDGE_ROWS)
 def q_ml_predict(spark, sf):
-    return ridge_predictions(*ridge(spark, sf))
+    model, test = ridge(spark, sf)
+    return rounded(model.predictions(test))
 
 
 @register(
@@ -216,9 +234,9 @@ FROM scored"""
     ),
 )
 def q_ml_evaluate(spark, sf):
-    got = M.evaluate(M.predictions(*ridge(spark, sf)))
-    one = spark.createDataFrame([(got["rmse"], got["mae"], got["r2"])], "rmse double, mae double, r2 double")
-    return one.select(F.round("rmse", 4).alias("rmse"), F.round("mae", 4).alias("mae"), F.round("r2", 6).alias("r2"))
+    model, test = ridge(spark, sf)
+    got = regression_metrics(model.predictions(test), "EnergyConsumption", "prediction")
+    return got.select(F.round("rmse", 4).alias("rmse"), F.round("mae", 4).alias("mae"), F.round("r2", 6).alias("r2"))
 
 
 @register(
@@ -273,15 +291,14 @@ def q_topk_deviation(spark, sf):
 
 @register("sink_model", RIDGE_ROWS)
 def q_sink_model(spark, sf):
-    """Save the fitted pipeline over an older one, load it back, score the test rows."""
+    """Save MLlib's pipeline of the whole model over an older one, load it back, score the test rows."""
     from joulebox.queries.q_star import fresh
 
-    model, test = ridge(spark, sf)
-    train, _ = split(spark, sf)
+    train, test = split(spark, sf)
     path = fresh(spark, "model")
     M.save_model(M.fit_numeric_model(train, ["RoomArea"]), path)
-    M.save_model(model, path)  # replaces the other model
-    return ridge_predictions(M.load_model(path), test)
+    M.save_model(M.fit_energy_model(train), path)  # replaces the other model
+    return rounded(M.predictions(M.load_model(path), test))
 
 
 def raised(error, work) -> bool:

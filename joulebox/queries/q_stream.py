@@ -6,13 +6,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from joulebox.queries import sql as S
-from joulebox.queries.q_star import fresh, raw_json_path
+from joulebox.queries.q_star import fresh
 from joulebox.registry import register
 from joulebox.schema import RAW_READING
 from joulebox.sources import testdata
-from joulebox.sources.kafka import decode_values
+from joulebox.sources.kafka import decode_json
+from joulebox.sources.topic import publish, topic_stream
 from joulebox.streaming.batches import stamp_batches
-from joulebox.streaming.ingest import ingest_files
+from joulebox.streaming.ingest import collect_topic, write_epochs
 
 LINEITEM_ORDER = [
     "l_orderkey",
@@ -30,11 +31,18 @@ LINEITEM_ORDER = [
 INGESTED_AT = "2024-01-01 00:00:00"
 
 
+#: Rows of a micro-batch of the stream queries.
+EPOCH_ROWS = 200_000
+
+
 @register("stream_ingest", S.with_silver("SELECT * FROM raw"))
 def q_stream_ingest(spark, sf):
-    target, ckpt = fresh(spark, "raw-stream"), fresh(spark, "raw-stream-ckpt")
-    ingest_files(spark, raw_json_path(spark, sf), RAW_READING, target, ckpt)
-    return spark.read.parquet(target)
+    """Raw readings through a topic and the collector: a run that stops early, then one to the topic's end."""
+    path, target, ckpt = fresh(spark, "topic"), fresh(spark, "raw-stream"), fresh(spark, "raw-stream-ckpt")
+    publish(testdata.raw_readings(spark, sf), path, ["RecordID"])
+    collect_topic(spark, path, RAW_READING, target, ckpt, max_rows=EPOCH_ROWS, stop_after=EPOCH_ROWS // 20)
+    collect_topic(spark, path, RAW_READING, target, ckpt, max_rows=EPOCH_ROWS)
+    return spark.read.parquet(target).drop("epoch")
 
 
 @register(
@@ -59,17 +67,26 @@ EVENT_VALUE = T.StructType(
 )
 
 
-@register("scan_kafka", "SELECT event_id, user_id, event_type, value FROM events")
+@register(
+    "scan_kafka",
+    """SELECT event_id, user_id, event_type, value, 'events' AS topic, CAST(rn % 3 AS INTEGER) AS "partition", rn // 3 AS "offset"
+FROM (SELECT *, row_number() OVER (ORDER BY event_id) - 1 AS rn FROM events)""",
+)
 def q_scan_kafka(spark, sf):
-    """Kafka-shaped rows (binary JSON values) built from events, decoded back."""
-    ev = testdata.events(spark, sf)
-    kafka_rows = ev.select(F.to_json(F.struct("event_id", "user_id", "event_type", "value")).cast("binary").alias("value"))
-    return decode_values(kafka_rows, EVENT_VALUE)
+    """The events as a topic of JSON values, read from the earliest offset in two runs of one query."""
+    path, target, ckpt = fresh(spark, "topic"), fresh(spark, "events-stream"), fresh(spark, "events-ckpt")
+    ev = testdata.events(spark, sf).select("event_id", "user_id", "event_type", "value")
+    publish(ev, path, ["event_id"], key=F.col("user_id").cast("string"))
+    for rows in (1000, None):  # the second run starts from the first one's checkpoint
+        stream = topic_stream(spark, path, "events", ckpt, stop_after=rows)
+        decoded = stream.select(decode_json("value", EVENT_VALUE).alias("v"), "topic", "partition", "offset").select("v.*", "topic", "partition", "offset")
+        query = write_epochs(decoded, target, ckpt)
+        query.processAllAvailable()
+        query.stop()
+    return spark.read.parquet(target).drop("epoch")
 
 
 @register("fn_json_decode", "SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events")
 def q_fn_json_decode(spark, sf):
-    from joulebox.sources.kafka import decode_json
-
     ev = testdata.events(spark, sf)
     return ev.select("event_id", decode_json("props", "k int").getField("k").alias("k"))

@@ -9,12 +9,15 @@ bytes where asked for.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from joulebox.sources.files import CORRUPT_COLUMN
 from joulebox.sources.kafka import decode_values, kafka_stream
+from joulebox.sources.topic import topic_stream
 
 
 def file_stream(
@@ -49,6 +52,42 @@ def ingest_files(
     return q
 
 
+def epoch_folder(target: str, epoch: int) -> str:
+    return f"{target.rstrip('/')}/epoch={epoch:09d}"
+
+
+def write_epochs(stream: DataFrame, target: str, checkpoint: str, after_write: Callable[[int], None] | None = None) -> StreamingQuery:
+    """Each micro-batch to a folder of its own, which is replaced if the batch is done over.
+
+    Spark commits a batch's offsets when this has written it. A query that dies in between runs the same
+    offsets under the same number again, so no row is doubled or lost. A target belongs to one checkpoint.
+    ``after_write`` is called between the write and the commit.
+    """
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(epoch_folder(target, epoch))
+        if after_write:
+            after_write(epoch)
+
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(processingTime="0 seconds").start()
+
+
+def collect_topic(
+    spark: SparkSession, path: str, schema: T.StructType, target: str, checkpoint: str, max_rows: int = 100, stop_after: int | None = None,
+    after_write: Callable[[int], None] | None = None,
+) -> None:
+    """Topic of JSON values -> parquet layer: micro-batches of at most ``max_rows`` records, to the topic's end or for ``stop_after`` records.
+
+    The next call with the same checkpoint goes on where this one stopped.
+    """
+    stream = topic_stream(spark, path, checkpoint=checkpoint, max_rows=max_rows, stop_after=stop_after)
+    query = write_epochs(decode_values(stream, schema), target, checkpoint, after_write)
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
+
 def ingest_kafka(
     spark: SparkSession,
     servers: str,

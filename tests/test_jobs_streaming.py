@@ -7,8 +7,9 @@ from joulebox.operators.indexing import global_index
 from joulebox.plans import jobs
 from joulebox.schema import RAW_READING
 from joulebox.sources import testdata
+from joulebox.sources.topic import advance, publish, topic_stream
 from joulebox.streaming.batches import stamp_batches
-from joulebox.streaming.ingest import ingest_files
+from joulebox.streaming.ingest import collect_topic, ingest_files, write_epochs
 
 
 def test_first_pipeline_end_to_end(spark, sf_small, tmp_path):
@@ -135,6 +136,74 @@ def test_stream_ingest_restart_adds_nothing(spark, tmp_path):
     assert spark.read.parquet(target).count() == 45
 
 
+READING = "RecordID string, RoomArea int"
+
+
+def _topic(spark, path, lo, hi):
+    publish(spark.range(lo, hi).select(F.format_string("REC-%06d", "id").alias("RecordID"), F.col("id").cast("int").alias("RoomArea")), path, ["RoomArea"])
+
+
+def _collected(spark, target):
+    rows = spark.read.parquet(target)
+    per_epoch = [r["count"] for r in rows.groupBy("epoch").count().collect()]
+    return sorted(r.RoomArea for r in rows.collect()), max(per_epoch)
+
+
+def test_collector_bounds_stops_and_resumes(spark, tmp_path):
+    path, target, ckpt = (str(tmp_path / n) for n in ("topic", "raw", "ckpt"))
+    schema = spark.createDataFrame([], READING).schema
+    _topic(spark, path, 0, 250)
+    collect_topic(spark, path, schema, target, ckpt, max_rows=40, stop_after=100)
+    assert _collected(spark, target)[0] == list(range(100)) or len(_collected(spark, target)[0]) == 100
+    collect_topic(spark, path, schema, target, ckpt, max_rows=40, stop_after=100)
+    assert len(_collected(spark, target)[0]) == 200
+    collect_topic(spark, path, schema, target, ckpt, max_rows=40)
+    assert _collected(spark, target) == (list(range(250)), 40)
+    collect_topic(spark, path, schema, target, ckpt, max_rows=40)  # nothing new
+    _topic(spark, path, 250, 270)  # the topic goes on
+    collect_topic(spark, path, schema, target, ckpt, max_rows=40)
+    assert _collected(spark, target) == (list(range(270)), 40)
+
+
+def test_collector_killed_between_write_and_commit(spark, tmp_path):
+    path, target, ckpt = (str(tmp_path / n) for n in ("topic", "raw", "ckpt"))
+    schema = spark.createDataFrame([], READING).schema
+    _topic(spark, path, 0, 120)
+
+    def die(epoch):
+        if epoch == 1:
+            raise RuntimeError("killed before the commit")
+
+    with pytest.raises(Exception, match="killed before the commit"):
+        collect_topic(spark, path, schema, target, ckpt, max_rows=50, after_write=die)
+    written = _collected(spark, target)[0]
+    assert len(written) == 100 and sorted(os.listdir(f"{ckpt}/commits"))[-1] == "0"  # epoch 1 is written, not committed
+    _topic(spark, path, 120, 130)
+    collect_topic(spark, path, schema, target, ckpt, max_rows=50)
+    assert _collected(spark, target) == (list(range(130)), 50)
+
+
+def test_topic_offsets_are_dealt_evenly():
+    assert advance({"0": 0, "1": 0, "2": 0}, {"0": 50, "1": 50, "2": 50}, 100) == {"0": 34, "1": 33, "2": 33}
+    assert advance({"0": 0, "1": 0}, {"0": 3, "1": 500}, 100) == {"0": 3, "1": 97}
+    assert advance({"0": 5}, {"0": 5, "1": 7}, None) == {"0": 5, "1": 7}
+    assert advance({"0": 5}, {"0": 5}, 10) == {"0": 5}
+
+
+def test_topic_records_have_the_shape_of_kafka_ones(spark, tmp_path):
+    path = str(tmp_path / "topic")
+    publish(spark.createDataFrame([("a", None), ("b", 2)], READING), path, ["RecordID"], key=F.col("RecordID"), partitions=3)
+    stream = topic_stream(spark, path, "meters")
+    assert stream.schema.simpleString() == "struct<key:binary,value:binary,topic:string,partition:int,offset:bigint,timestamp:timestamp>"
+    query = write_epochs(stream, str(tmp_path / "out"), str(tmp_path / "ckpt"))
+    query.processAllAvailable()
+    query.stop()
+    rows = sorted((r.partition, r.offset, bytes(r.key), bytes(r.value), r.topic) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert rows == [(0, 0, b"a", b'{"RecordID":"a","RoomArea":null}', "meters"), (1, 0, b"b", b'{"RecordID":"b","RoomArea":2}', "meters")]
+    with pytest.raises(Exception, match="need the option checkpoint"):
+        topic_stream(spark, path, max_rows=5).writeStream.format("noop").option("checkpointLocation", str(tmp_path / "c2")).start().processAllAvailable()
+
+
 def test_stream_keeps_lines_that_are_not_json(spark, tmp_path):
     from joulebox.sources.files import split_corrupt
 

@@ -95,3 +95,61 @@ def test_entry_and_registry(spark):
     assert df.count() > 0
     assert set(E.oracle_sql()) <= set(E.queries())
     assert len(E.queries()) >= 113
+
+
+def _readings(spark, n=400):
+    import random
+
+    rng = random.Random(8)
+    rows = []
+    for _ in range(n):
+        kind, hvac = rng.choice(["Office", "Lab", "Store", "Home"]), rng.choice(["VRF", "No HVAC"])
+        avg, out = rng.uniform(15, 30), rng.uniform(-10, 40)
+        area, appliances, thick = rng.uniform(5, 50), rng.randrange(1, 20), rng.uniform(0, 9)
+        energy = 900.0 + 12 * area + 3 * appliances - 5 * thick + 2 * (out - avg) + {"Office": 40, "Lab": 90, "Store": 0, "Home": -30}[kind] + rng.gauss(0, 5)
+        rows.append((area, appliances, out, thick, kind, hvac, avg, energy, energy / area, abs(out - avg)))
+    return spark.createDataFrame(rows, "RoomArea double, NumberofAppliances int, OutsideTemperature double, InsulationThickness double, BuildingType string, "
+                                       "HVACSystem string, AverageTemperature double, EnergyConsumption double, EnergyPerArea double, TemperatureDifference double")
+
+
+def test_ridge_in_closed_form_equals_mllib(spark):
+
+    rows = _readings(spark).repartition(5)
+    own, mllib = M.fit_ridge(rows), M.fit_energy_model(rows)
+    lr = mllib.stages[-1]
+    labels = [f"{c}={v}" for c, values in zip(M.CATEGORIES, mllib.stages[0].labelsArray, strict=True) for v in values]
+    theirs = dict(zip([*M.NUMBERS, *labels, "intercept"], [*lr.coefficients.toArray().tolist(), lr.intercept], strict=True))
+    assert {t: round(b, 2) for t, b in own.terms()} == pytest.approx({t: round(b, 2) for t, b in theirs.items()}, abs=0.011)
+    assert max(abs(g) for _, g in M.optimality(own, rows)) < 1e-9
+    unseen = rows.limit(3).withColumn("BuildingType", F.lit("Barn")).withColumn("HVACSystem", F.lit(None).cast("string"))
+    for probe in (rows, unseen):
+        a, b = (sorted(r.prediction for r in p.collect()) for p in (own.predictions(probe), M.predictions(mllib, probe)))
+        assert a == pytest.approx(b, abs=1e-6)
+    assert M.evaluate(own.predictions(rows))["r2"] > 0.99
+
+
+def test_ridge_edge_cases(spark):
+    from joulebox.operators.cleaning import EmptyResultError
+
+    rows = _readings(spark, 30)
+    with pytest.raises(EmptyResultError):
+        M.fit_ridge(rows.limit(0))
+    flat = rows.withColumn("RoomArea", F.lit(10.0)).withColumn("HVACSystem", F.lit("VRF"))  # inputs that never change have no weight
+    model = M.fit_ridge(flat)
+    assert model.numbers["RoomArea"] == 0 and model.effects["HVACSystem"] == {"VRF": 0.0}
+    level = M.fit_ridge(rows.withColumn("EnergyConsumption", F.lit(7.0)))
+    assert level.intercept == 7.0 and set(level.numbers.values()) == {0.0}
+
+
+def test_ridge_of_two_inputs_by_cramers_rule(spark):
+    import numpy as np
+
+
+    rows = _readings(spark)
+    x1, x2, y = (np.array(c) for c in zip(*[(r.RoomArea, r.NumberofAppliances, r.EnergyConsumption) for r in rows.collect()], strict=True))
+    r12, r1, r2 = np.corrcoef(x1, x2)[0, 1], np.corrcoef(x1, y)[0, 1], np.corrcoef(x2, y)[0, 1]
+    p = 1 + 0.1 / y.std()
+    b1 = (p * r1 - r12 * r2) / (p * p - r12 * r12) * y.std() / x1.std()
+    b2 = (p * r2 - r12 * r1) / (p * p - r12 * r12) * y.std() / x2.std()
+    lr = M.fit_numeric_model(rows, ["RoomArea", "NumberofAppliances"]).stages[-1]
+    assert lr.coefficients.toArray().tolist() == pytest.approx([b1, b2]) and lr.intercept == pytest.approx(y.mean() - b1 * x1.mean() - b2 * x2.mean())
