@@ -37,6 +37,12 @@ def runs_of(spark: SparkSession, folder: str, column: str) -> list[str]:
     return [n.removeprefix(f"{column}=") for n in names if n.startswith(f"{column}=")]
 
 
+def without_rows(spark: SparkSession, path: str, column: str, values: list) -> None:
+    """Remove the folders of partitions that have no rows any more."""
+    for v in values:
+        delete_path(spark, f"{path.rstrip('/')}/{column}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}")
+
+
 def _clustered(df: DataFrame, partition_by: list[str] | None) -> DataFrame:
     """Rows of one partition value together, so a write makes few files per value and none per task and value.
 
@@ -136,12 +142,18 @@ def _versioned(spark: SparkSession, table: str) -> str:
     return f"{root}/{table.replace('.', '/')}__versions/{uuid.uuid4().hex[:12]}"
 
 
+def _replaced(spark: SparkSession, table: str) -> str:
+    """Where it is noted which versions of ``table`` were replaced, and when."""
+    root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    return f"{root}/{table.replace('.', '/')}__replaced"
+
+
 def swap_in(spark: SparkSession, df: DataFrame, table: str) -> None:
     """Replace a table's rows in one step.
 
     The rows are written to a folder of their own, then the catalog's location of the table is
     switched to it (one call). Readers see the old version until then; a failure before
-    leaves it as it was. The old version's folder goes afterwards. Runs at the same time
+    leaves it as it was. The old version stays, for those that read it now, until ``vacuum`` removes it. Runs at the same time
     have folders of their own.
     """
     path = _versioned(spark, table)
@@ -149,11 +161,37 @@ def swap_in(spark: SparkSession, df: DataFrame, table: str) -> None:
     if not spark.catalog.tableExists(table):
         spark.catalog.createTable(table, path=path, source="parquet")
         return
-    old = _location(spark, table)
+    note = spark.createDataFrame([(_location(spark, table),)], "version string").withColumn("replaced_at", F.current_timestamp())
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
     spark.catalog.refreshTable(table)
-    if "__versions/" in old:
-        delete_path(spark, old)
+    note.coalesce(1).write.mode("append").parquet(_replaced(spark, table))
+
+
+def vacuum(spark: SparkSession, table: str, retain_seconds: float = 7 * 86_400) -> list[str]:
+    """Remove the versions that were replaced more than ``retain_seconds`` ago; returns them.
+
+    Take more than the longest query runs: a frame planned before a swap reads its version until then. Folders
+    of swaps that failed before the switch are older than that, too, when they go.
+    """
+    gone, current = [], _location(spark, table)
+    notes = _replaced(spark, table)
+    if path_exists(spark, notes):
+        last = spark.read.parquet(notes).groupBy("version").agg(F.max("replaced_at").alias("at"))
+        old = last.where(F.col("at") <= F.current_timestamp() - F.make_dt_interval(secs=F.lit(float(retain_seconds))))
+        gone = [r["version"] for r in old.collect() if r["version"] != current and path_exists(spark, r["version"])]
+        known = {r["version"] for r in last.collect()}
+    else:
+        known = set()
+    fs, folder = _fs_path(spark, _versioned(spark, table).rsplit("/", 1)[0])
+    if fs.exists(folder):
+        now = spark.sql("SELECT unix_millis(current_timestamp())").first()[0]
+        named = {v.rsplit("/", 1)[1] for v in [*known, current]}
+        for s in fs.listStatus(folder):
+            if s.getPath().getName() not in named and now - s.getModificationTime() >= retain_seconds * 1000:
+                gone.append(s.getPath().toString())
+    for path in gone:
+        delete_path(spark, path)
+    return gone
 
 
 @contextmanager
@@ -197,18 +235,72 @@ def merge_partitions(spark: SparkSession, source: DataFrame, table: str, key: st
     return touched
 
 
+#: Column by which a bucketed table is partitioned; its value is the bucket that Spark's own bucketing gives the key.
+BUCKET = "key_bucket"
+
+
+def bucket_of(key: str, buckets: int):
+    return F.pmod(F.hash(F.col(key)), F.lit(buckets)).cast("int")
+
+
+def create_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
+    """A table bucketed by ``key``, each bucket in a partition of its own, so that joins on the key need no shuffle of it
+    and a bucket can be replaced by itself. Take at least as many buckets as the session has shuffle partitions."""
+    own = df.withColumn(BUCKET, bucket_of(key, buckets)).repartition(buckets, F.col(key))
+    own.write.partitionBy(BUCKET).bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+
+
+def buckets_of(spark: SparkSession, table: str) -> int:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Num Buckets'").collect()
+    return int(rows[0]["data_type"]) if rows else 0
+
+
+def merged_buckets(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
+    """Target rows, replaced by the source's of the same key, and the source's other rows: one outer join, where the bucketed
+    side is read bucket by bucket and only the source is shuffled."""
+    names = [c for c in target.columns if c != key]
+    new, old = source.select(F.col(key).alias("_key"), F.struct(*names).alias("_new")), target.select(key, F.struct(*names).alias("_old"))
+    both = old.join(new.hint("merge"), F.col(key) == F.col("_key"), "full_outer")
+    row = F.when(F.col("_new").isNotNull(), F.col("_new")).otherwise(F.col("_old"))
+    return both.select(F.coalesce(F.col(key), F.col("_key")).alias(key), row.alias("_row")).select(key, "_row.*").select(*target.columns)
+
+
+def merge_buckets(spark: SparkSession, source: DataFrame, table: str, key: str) -> list[int]:
+    """MERGE into a bucketed table: only the buckets of the source's keys are read and rewritten; returns them.
+
+    A key's bucket never changes, so one overwrite of the touched buckets is the whole change. NULL keys never match:
+    they are in one bucket, and are inserted as in SQL.
+    """
+    buckets = buckets_of(spark, table)
+    with staging(spark):
+        source = stage_table(source.withColumn(BUCKET, bucket_of(key, buckets)), "merge-source")
+        unique_keys(source, key).count()  # an error where a key occurs twice
+        touched = sorted(r[0] for r in source.select(BUCKET).distinct().collect())
+        if not touched:
+            return []
+        target = spark.table(table)
+        merged = merged_buckets(target.filter(F.col(BUCKET).isin(touched)), source, key)
+        # a task has one bucket's rows; new files replace the buckets' old ones when all are written, so reading them meanwhile is safe
+        with _dynamic_overwrite(spark):
+            merged.select(*[c for c in target.columns if c != BUCKET], BUCKET).write.insertInto(table, overwrite=True)
+    spark.catalog.refreshTable(table)
+    return touched
+
+
 def merge_into_table(
-    spark: SparkSession, source: DataFrame, table: str, key: str, row_level: bool = False, partition: str | None = None
+    spark: SparkSession, source: DataFrame, table: str, key: str, row_level: bool = False, partition: str | None = None, buckets: int | None = None
 ) -> str:
     """Upsert ``source`` into a catalog table; returns 'created', 'merged' or 'skipped' (no source rows).
 
     First run creates the table. With ``row_level`` (a catalog that supports
     MERGE, e.g. Delta or Iceberg) the DataFrame ``mergeInto`` API is used. A table
-    partitioned by ``partition`` has its touched partitions rewritten; any other is
-    rewritten as a new version and switched to.
+    partitioned by ``partition`` has its touched partitions rewritten, one made with
+    ``buckets`` its touched buckets; any other is rewritten as a new version and switched to.
     """
     if not spark.catalog.tableExists(table):
-        if partition:
+        if buckets:
+            create_bucketed(source, table, key, buckets)
+        elif partition:
             _clustered(source, [partition]).write.partitionBy(partition).saveAsTable(table)
         else:
             swap_in(spark, source, table)
@@ -223,6 +315,8 @@ def merge_into_table(
             .merge()
         )
         return "merged"
+    if buckets:
+        return "merged" if merge_buckets(spark, source, table, key) else "skipped"
     if partition:
         return "merged" if merge_partitions(spark, source, table, key, partition) else "skipped"
     if source.isEmpty():

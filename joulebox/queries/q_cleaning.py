@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from joulebox.plans import readings as R
+from joulebox.plans import states
 from joulebox.queries import sql as S
 from joulebox.operators.quantiles import iqr_bounds
-from joulebox.registry import memo, register
+from joulebox.registry import ORACLES, memo, register
 from joulebox.schema import OUTLIER_COLUMNS
+from joulebox.session import scratch_path, stage_table
 from joulebox.sources import testdata
 
 # Oracle-checked queries use exact quartiles so DuckDB's quantile_cont can match.
@@ -66,6 +71,40 @@ def q_energy_by_building(spark, sf):
     return R.by_building(features(spark, sf))
 
 
+#: What stands for the day of a reading, which the loose readings lack.
+PART_OF = F.col("NumberofAppliances")
+BATCHES = 3
+
+
+def stored_states(spark: SparkSession, sf: str):
+    """The energy states of the readings, added in three batches; then a batch is added again and a part replaced."""
+
+    def store() -> str:
+        feats = stage_table(features(spark, sf), "features")
+        path = scratch_path(spark, f"states-{uuid.uuid4().hex[:12]}")
+        batch = F.pmod(F.xxhash64("RoomArea"), F.lit(BATCHES))
+        for b in [*range(BATCHES), 0]:
+            states.add_batch(spark, path, states.energy_states(feats.where(batch == b), PART_OF), f"B{b}")
+        states.replace_parts(spark, path, states.energy_states(feats.where(PART_OF == 7), PART_OF), "again")
+        return path
+
+    return spark.read.parquet(memo(spark, ("energy-states", sf), store))
+
+
+def stored_sketches(spark: SparkSession, sf: str):
+    """Quantile sketches of the readings' numbers, added in three batches."""
+
+    def store() -> str:
+        feats = stage_table(features(spark, sf).select(*APPROX_COLUMNS), "features")
+        path = scratch_path(spark, f"sketches-{uuid.uuid4().hex[:12]}")
+        for b in range(BATCHES):
+            rows = feats.where(F.pmod(F.xxhash64("RoomArea"), F.lit(BATCHES)) == b)
+            states.add_batch(spark, path, states.sketches(rows, F.lit("all"), APPROX_COLUMNS), f"B{b}")
+        return path
+
+    return spark.read.parquet(memo(spark, ("sketches", sf), store))
+
+
 def prepared(spark: SparkSession, sf: str):
     return R.prepare_readings(testdata.loose_readings(spark, sf))
 
@@ -312,12 +351,14 @@ APPROX_COLUMNS, APPROX_PROBS = ["RoomArea", "NumberofAppliances", "EnergyConsump
 )
 def q_quantiles_approx(spark, sf):
     """The default mode: whether each approximate quantile's rank is within the relative error of 0.01."""
-    from pyspark.sql import functions as F
-
     from joulebox.operators.quantiles import quantile_table
 
     feats = features(spark, sf)
-    got = quantile_table(feats, APPROX_COLUMNS, APPROX_PROBS, rel_error=0.01)
+    return within(feats, quantile_table(feats, APPROX_COLUMNS, APPROX_PROBS, rel_error=0.01))
+
+
+def within(feats, got):
+    """Whether each quantile of ``got`` (column, probability, value) has a rank in ``feats`` within 0.01 of its probability."""
     ranks = feats.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in APPROX_COLUMNS])).alias("e")).select("e.*")
     counted = ranks.join(got, "column").groupBy("column", "probability").agg(
         F.count("x").alias("n"), F.count_if(F.col("x") < F.col("value")).alias("below"), F.count_if(F.col("x") <= F.col("value")).alias("upto")
@@ -326,6 +367,21 @@ def q_quantiles_approx(spark, sf):
     return counted.select("column", "probability", "n", ((F.col("below") <= wanted + slack) & (F.col("upto") >= wanted - slack)).alias("within"))
 
 
+@register(
+    "quantiles_sketched",
+    S.with_features(
+        " UNION ALL ".join(
+            f"""SELECT '{c}' AS "column", CAST({p} AS DOUBLE) AS probability, count({c}) AS n, TRUE AS within FROM features"""
+            for c in APPROX_COLUMNS
+            for p in APPROX_PROBS
+        )
+    ),
+)
+def q_quantiles_sketched(spark, sf):
+    """Quantiles from sketches that three batches left, merged without reading the readings again: their ranks, too."""
+    return within(features(spark, sf), states.sketched_quantiles(stored_sketches(spark, sf), APPROX_PROBS))
+
+
 @register(
     "stage_counts",
     "WITH "
@@ -365,3 +421,18 @@ def q_energy_by_hvac(spark, sf):
 )
 def q_topk_efficiency(spark, sf):
     return R.top_efficiency(features(spark, sf))
+
+
+@register("energy_by_building__states", ORACLES["energy_by_building"])
+def q_energy_by_building_states(spark, sf):
+    return states.energy_by(stored_states(spark, sf), "BuildingType")
+
+
+@register("energy_by_hvac__states", ORACLES["energy_by_hvac"])
+def q_energy_by_hvac_states(spark, sf):
+    return states.energy_by(stored_states(spark, sf), "HVACSystem")
+
+
+@register("energy_statistics__states", ORACLES["energy_statistics"])
+def q_energy_statistics_states(spark, sf):
+    return states.energy_statistics(stored_states(spark, sf))

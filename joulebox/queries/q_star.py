@@ -247,10 +247,26 @@ def merge_sides(spark, sf):
     return target, source
 
 
+def bucketed_target(spark, sf):
+    """(the name of a new bucketed table of the MERGE target, source)."""
+    target, source = merge_sides(spark, sf)
+    table = f"fact_buckets_{uuid.uuid4().hex[:8]}"
+    L.create_bucketed(target, table, "RecordID", max(16, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    return table, source
+
+
+def taken_out(spark, table: str, df):
+    """``df`` over a query's own table, stored, so that the table can go."""
+    out = stage_table(df, "query-rows")
+    spark.sql(f"DROP TABLE {table}")
+    return out
+
+
 @register("merge_upsert", MERGE_SQL)
 def q_merge_upsert(spark, sf):
-    target, source = merge_sides(spark, sf)
-    return L.merge_upsert(target, source, "RecordID")
+    table, source = bucketed_target(spark, sf)
+    L.merge_into_table(spark, source, table, "RecordID", buckets=L.buckets_of(spark, table))
+    return taken_out(spark, table, spark.table(table).drop(L.BUCKET))
 
 
 @register(
@@ -262,8 +278,8 @@ FROM silver s WHERE s.ReadingDate >= DATE '{OVERLAP}'"""
     ),
 )
 def q_join_merge_key(spark, sf):
-    target, source = merge_sides(spark, sf)
-    return L.merge_counts(target, source, "RecordID")
+    table, source = bucketed_target(spark, sf)
+    return taken_out(spark, table, L.merge_counts(spark.table(table), source, "RecordID"))
 
 
 @register(
@@ -275,7 +291,7 @@ def q_atomic_swap(spark, sf):
     table = f"fact_swap_{uuid.uuid4().hex[:8]}"
     L.merge_into_table(spark, target, table, "RecordID")  # first run: created
     L.merge_into_table(spark, source, table, "RecordID")  # merged + swapped in
-    return spark.table(table)
+    return taken_out(spark, table, spark.table(table))
 
 
 @register(
@@ -344,7 +360,7 @@ def q_sink_table_overwrite(spark, sf):
     fact = G.fact_energy(stored_silver(spark, sf))
     L.replace_table(fact.filter(F.col("RoomArea") > 20), table)
     L.replace_table(fact, table, options={"compression": "zstd"})  # replaces the rows of the first write
-    return spark.table(table)
+    return taken_out(spark, table, spark.table(table))
 
 
 PUBLISHED = {  # dataset -> (table of the oracle, energy column)
@@ -390,4 +406,7 @@ def q_publish_tables(spark, sf):
             F.lit(name).alias("dataset"), F.count(F.lit(1)).alias("rows"), F.round(F.sum(energy), 0).cast("bigint").alias("energy")
         )
         out = row if out is None else out.union(row)
-    return out
+    rows = stage_table(out, "query-rows")
+    for name in PUBLISHED:
+        spark.sql(f"DROP TABLE {prefix}{name}")
+    return rows

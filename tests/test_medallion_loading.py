@@ -154,6 +154,35 @@ def test_merge_rewrites_touched_partitions_only(spark):
     spark.sql(f"DROP TABLE {table}")
 
 
+def test_bucketed_merge_shuffles_no_target_and_rewrites_touched_buckets(spark):
+    table = f"fact_buckets_{uuid.uuid4().hex[:8]}"
+    schema = "RecordID string, v int"
+    rows = {f"r{i}": i for i in range(60)}
+    target = spark.createDataFrame([*rows.items(), (None, -1)], schema)
+    assert L.merge_into_table(spark, target, table, "RecordID", buckets=16) == "created" and L.buckets_of(spark, table) == 16
+    before = {f: int(f.split(f"{L.BUCKET}=")[1].split("/")[0]) for f in spark.table(table).inputFiles()}
+    assert len(before) == len(set(before.values()))  # a file for each bucket
+    source = spark.createDataFrame([("r1", 100), ("r2", 200), ("new", 300)], schema)
+    touched = {r[0] for r in source.select(L.bucket_of("RecordID", 16)).collect()}
+    staged = source.withColumn(L.BUCKET, L.bucket_of("RecordID", 16))
+    plan = L.merged_buckets(spark.table(table), staged, "RecordID")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Bucketed: true" in plan and plan.count("Exchange ") == 1  # the source's alone
+    assert L.merge_into_table(spark, source, table, "RecordID", buckets=16) == "merged"
+    after = set(spark.table(table).inputFiles())
+    assert {f for f, b in before.items() if b not in touched} <= after and not {f for f, b in before.items() if b in touched} & after
+    assert len(after) == len({f.split(f"{L.BUCKET}=")[1].split("/")[0] for f in after})  # still a file for each bucket
+    got = sorted(map(tuple, spark.table(table).drop(L.BUCKET).collect()), key=str)
+    assert got == sorted([*{**rows, "r1": 100, "r2": 200, "new": 300}.items(), (None, -1)], key=str)
+    nulls = spark.createDataFrame([(None, -2), (None, -3)], schema)
+    L.merge_into_table(spark, nulls, table, "RecordID", buckets=16)  # NULL keys never match
+    assert sorted(r.v for r in spark.table(table).where("RecordID is null").collect()) == [-3, -2, -1]
+    assert L.merge_into_table(spark, source.limit(0), table, "RecordID", buckets=16) == "skipped"
+    with pytest.raises(Exception, match="more than one row for key"):
+        L.merge_into_table(spark, source.union(source), table, "RecordID", buckets=16)
+    assert spark.table(table).count() == 64
+    spark.sql(f"DROP TABLE {table}")
+
+
 def test_swap_keeps_the_old_version_until_the_new_one_is_written(spark):
     table = f"swapped_{uuid.uuid4().hex[:8]}"
     L.swap_in(spark, spark.range(3).toDF("x"), table)
@@ -161,8 +190,23 @@ def test_swap_keeps_the_old_version_until_the_new_one_is_written(spark):
     with pytest.raises(Exception, match="broken"):
         L.swap_in(spark, broken, table)
     assert spark.table(table).count() == 3
+    planned = spark.table(table)  # before the swap
     L.swap_in(spark, spark.range(9).toDF("x"), table)
     assert spark.table(table).count() == 9
+    assert sorted(r.x for r in planned.collect()) == [0, 1, 2]  # it still reads its version
+    assert L.vacuum(spark, table, retain_seconds=3600) == [] and planned.count() == 3
+    assert len(L.vacuum(spark, table, retain_seconds=0)) == 2  # the replaced version, and what the broken swap left
+    assert spark.table(table).count() == 9 and L.vacuum(spark, table, retain_seconds=0) == []
+    spark.sql(f"DROP TABLE {table}")
+
+
+def test_vacuum_removes_a_first_version_made_by_other_means(spark):
+    table = f"swapped_{uuid.uuid4().hex[:8]}"
+    L.replace_table(spark.range(2).toDF("x"), table)
+    first = L._location(spark, table)
+    L.swap_in(spark, spark.range(4).toDF("x"), table)
+    assert L.vacuum(spark, table, retain_seconds=0) == [first] and not L.path_exists(spark, first)
+    assert spark.table(table).count() == 4
     spark.sql(f"DROP TABLE {table}")
 
 
