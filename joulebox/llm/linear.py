@@ -3,8 +3,8 @@
 The model is ``2 ** bits`` weights and a bias, whatever the data. Training rows are
 bounded by a parameter and dealt to ``SHARDS`` shards by a hash of their id. In each
 epoch every shard's task starts from the common state (z, n), goes through its
-rows in small batches with FTRL-Proximal updates, and returns its state; the
-common state becomes the mean. So training is a few short Spark jobs with a
+rows in small batches with FTRL-Proximal updates, and returns how far it moved the state; the
+common state becomes the mean. The state is a stored table between epochs. So training is a few short Spark jobs with a
 result that does not depend on how rows lie in files or on the number of executors.
 """
 
@@ -28,7 +28,9 @@ BATCH = 32
 Features = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, allowed, max_rows: int, id_col: str = "doc_id") -> DataFrame:
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label: str, allowed, max_rows: int, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
     """Texts and labels (doc, text, y) of about ``max_rows`` labelled rows, all if there are fewer.
 
     ``allowed`` is a condition on the id: no other row's label is read. Rows are chosen
@@ -42,7 +44,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, allowed, max
     n = known.count()
     part = F.pmod(F.xxhash64("doc", F.lit(7)), F.lit(1 << 20))
     chosen = known.where(part < F.lit(min(1 << 20, (max_rows << 20) // max(1, n))))
-    texts = docs.select(F.col(id_col).alias("doc"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    texts = docs.select(F.col(id_col).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     return texts.join(F.broadcast(chosen), "doc")
 
 
@@ -92,9 +94,9 @@ def pack_shards(rows: DataFrame) -> DataFrame:
             "slots": np.concatenate([*slots, []]).astype(np.int32),
             "weights": np.concatenate([*pdf["weights"].tolist(), []]).astype(np.float32),
         }
-        return pd.DataFrame({"shard": [int(pdf["shard"].iloc[0])], **{c: [v.tobytes()] for c, v in body.items()}})
+        return pd.DataFrame({"model": [0], "shard": [int(pdf["shard"].iloc[0])], **{c: [v.tobytes()] for c, v in body.items()}})
 
-    return rows.select("shard", "place", "y", "slots", "weights").groupBy("shard").applyInPandas(run, "shard int, y binary, counts binary, slots binary, weights binary")
+    return rows.select("shard", "place", "y", "slots", "weights").groupBy("shard").applyInPandas(run, "model int, shard int, y binary, counts binary, slots binary, weights binary")
 
 
 def ftrl_weights(z: np.ndarray, n: np.ndarray, alpha: float, beta: float, l1: float | np.ndarray, l2: float) -> np.ndarray:
@@ -103,55 +105,105 @@ def ftrl_weights(z: np.ndarray, n: np.ndarray, alpha: float, beta: float, l1: fl
     return w
 
 
+#: The common state: the slots that any row has had, in order, and their z and n. At most 2 ** bits slots.
+_STATE = "model int, at binary, z binary, n binary"
+
+
+def _slots(raw: bytes | None) -> np.ndarray:
+    return np.frombuffer(raw or b"", np.int32)
+
+
+def _numbers(raw: bytes | None) -> np.ndarray:
+    return np.frombuffer(raw or b"", np.float32)
+
+
+def _common(moved: DataFrame, state: DataFrame, shards: int) -> DataFrame:
+    """The state after an epoch: the mean of the shards', which ``moved`` says how far they went (model, shard, at, dz, dn).
+
+    A shard without a slot's rows leaves it as it is.
+    """
+
+    def merge(moved: pd.DataFrame, before: pd.DataFrame) -> pd.DataFrame:
+        moved = moved.sort_values("shard")
+        known = _slots(before["at"].iloc[0]) if len(before) else _slots(None)
+        every = np.unique(np.concatenate([known, *map(_slots, moved["at"])]))
+        z, n = np.zeros((2, len(every)))
+        if len(before):
+            place = np.searchsorted(every, known)
+            z[place], n[place] = _numbers(before["z"].iloc[0]), _numbers(before["n"].iloc[0])
+        for at, dz, dn in zip(moved["at"], moved["dz"], moved["dn"], strict=True):
+            place = np.searchsorted(every, _slots(at))
+            z[place] += _numbers(dz) / shards
+            n[place] += _numbers(dn) / shards
+        return pd.DataFrame({"model": [0], "at": [every.tobytes()], "z": [z.astype(np.float32).tobytes()], "n": [n.astype(np.float32).tobytes()]})
+
+    return stage(moved.groupBy("model").cogroup(state.groupBy("model")).applyInPandas(merge, _STATE), "ftrl-state")
+
+
 def train_ftrl(
     rows: DataFrame, bits: int, epochs: int, alpha: float = 0.3, beta: float = 1.0, l1: float = 0.02, l2: float = 0.5,
     free: np.ndarray | None = None,
 ) -> np.ndarray:
-    """Weights (2 ** bits and the bias last) from packed shards; labels may be probabilities. ``free``: slots without L1."""
+    """Weights (2 ** bits and the bias last) from packed shards; labels may be probabilities. ``free``: slots without L1.
+
+    The state is a stored table of one row, which is broadcast to the shards (2 ** bits slots of 12 bytes bound it); a shard
+    returns how far it moved the slots of its own rows. The driver gets the weights that are not 0, once.
+    """
     size = (1 << bits) + 1
-    z, n = np.zeros(size, np.float32), np.zeros(size, np.float32)
-
-    def epoch(z0: np.ndarray, n0: np.ndarray) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-        def one(y: np.ndarray, counts: np.ndarray, slots: np.ndarray, weights: np.ndarray) -> dict[str, bytes]:
-            z, n = z0.astype(np.float64), n0.astype(np.float64)
-            edge = np.concatenate([[0], np.cumsum(counts)])
-            for lo in range(0, len(y), BATCH):
-                hi = min(len(y), lo + BATCH)
-                mine = slice(edge[lo], edge[hi])
-                own = np.concatenate([np.repeat(np.arange(hi - lo), counts[lo:hi]), np.arange(hi - lo)])
-                slot = np.concatenate([slots[mine], np.full(hi - lo, size - 1)]).astype(np.int64)
-                x = np.concatenate([weights[mine], np.ones(hi - lo)])
-                used, at = np.unique(slot, return_inverse=True)
-                w = ftrl_weights(z[used], n[used], alpha, beta, l1 if free is None else np.where(np.isin(used, free), 0.0, l1), l2)
-                p = 1 / (1 + np.exp(-np.clip(np.bincount(own, weights=w[at] * x, minlength=hi - lo), -30, 30)))
-                g = np.bincount(at, weights=(p - y[lo:hi])[own] * x, minlength=len(used))
-                z[used] += g - (np.sqrt(n[used] + g * g) - np.sqrt(n[used])) / alpha * w
-                n[used] += g * g
-            at = np.flatnonzero(n)  # slots that no row has had stay at zero
-            return {"at": at.astype(np.int32).tobytes(), "z": z[at].astype(np.float32).tobytes(), "n": n[at].astype(np.float32).tobytes()}
-
-        def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in parts:
-                for r in pdf.itertuples():
-                    body = (np.frombuffer(r.y), np.frombuffer(r.counts, np.int64), np.frombuffer(r.slots, np.int32), np.frombuffer(r.weights, np.float32))
-                    yield pd.DataFrame([{"shard": r.shard, **one(*body)}])
-
-        return run
 
+    def penalty(slot: np.ndarray) -> np.ndarray:
+        return np.where(np.isin(slot, free), 0.0, l1) if free is not None else np.full(len(slot), l1)
+
+    def one(r) -> dict[str, bytes | int]:  # noqa: ANN001
+        y, counts, slots, weights = np.frombuffer(r.y), np.frombuffer(r.counts, np.int64), _slots(r.slots), _numbers(r.weights)
+        own_slots = np.unique(np.append(slots, np.int32(size - 1)))
+        z0, n0 = np.zeros((2, len(own_slots)))
+        known = _slots(r.at)
+        if len(known):
+            place = np.minimum(np.searchsorted(known, own_slots), len(known) - 1)
+            met = known[place] == own_slots
+            z0[met], n0[met] = _numbers(r.z)[place[met]], _numbers(r.n)[place[met]]
+        z, n, least = z0.copy(), n0.copy(), penalty(own_slots)
+        slots = np.searchsorted(own_slots, slots)
+        edge = np.concatenate([[0], np.cumsum(counts)])
+        for lo in range(0, len(y), BATCH):
+            hi = min(len(y), lo + BATCH)
+            here = slice(edge[lo], edge[hi])
+            own = np.concatenate([np.repeat(np.arange(hi - lo), counts[lo:hi]), np.arange(hi - lo)])
+            slot = np.concatenate([slots[here], np.full(hi - lo, len(own_slots) - 1)])
+            x = np.concatenate([weights[here], np.ones(hi - lo)])
+            used, at = np.unique(slot, return_inverse=True)
+            w = ftrl_weights(z[used], n[used], alpha, beta, least[used], l2)
+            p = 1 / (1 + np.exp(-np.clip(np.bincount(own, weights=w[at] * x, minlength=hi - lo), -30, 30)))
+            g = np.bincount(at, weights=(p - y[lo:hi])[own] * x, minlength=len(used))
+            z[used] += g - (np.sqrt(n[used] + g * g) - np.sqrt(n[used])) / alpha * w
+            n[used] += g * g
+        moved = [v.astype(np.float32).tobytes() for v in (z - z0, n - n0)]
+        return {"model": 0, "shard": r.shard, "at": own_slots.astype(np.int32).tobytes(), "dz": moved[0], "dn": moved[1]}
+
+    def epoch(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            for r in pdf.itertuples():
+                yield pd.DataFrame([one(r)])
+
+    def weigh(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            for r in pdf.itertuples():
+                at = _slots(r.at)
+                w = ftrl_weights(_numbers(r.z).astype(np.float64), _numbers(r.n).astype(np.float64), alpha, beta, penalty(at), l2)
+                yield pd.DataFrame([{"at": at[w != 0].tobytes(), "w": w[w != 0].tobytes()}])
+
+    out = np.zeros(size)
+    shards = rows.count()
+    if not shards:
+        return out
+    state = rows.sparkSession.createDataFrame([], _STATE)
     for _ in range(epochs):
-        got = rows.mapInPandas(epoch(z, n), "shard int, at binary, z binary, n binary").collect()
-        if not got:
-            return np.zeros(size)
-        got.sort(key=lambda r: r["shard"])
-        sums = np.zeros((2, size))
-        for r in got:
-            at = np.frombuffer(r["at"], np.int32)
-            sums[0, at] += np.frombuffer(r["z"], np.float32)
-            sums[1, at] += np.frombuffer(r["n"], np.float32)
-        z, n = (sums / len(got)).astype(np.float32)
-        del got, r  # not held beside the next epoch's
-    every = l1 if free is None else np.where(np.isin(np.arange(size), free), 0.0, l1)
-    return ftrl_weights(z.astype(np.float64), n.astype(np.float64), alpha, beta, every, l2)
+        moved = rows.join(F.broadcast(state), "model", "left").mapInPandas(epoch, "model int, shard int, at binary, dz binary, dn binary")
+        state = _common(moved, state, shards)
+    for r in state.mapInPandas(weigh, "at binary, w binary").collect():
+        out[_slots(r["at"])] = np.frombuffer(r["w"])
+    return out
 
 
 def score(docs: DataFrame, features: Features, w: np.ndarray, id_col: str, text_col: str) -> DataFrame:

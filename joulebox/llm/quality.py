@@ -55,9 +55,11 @@ def features(data: np.ndarray, offs: np.ndarray, bits: int = BITS) -> tuple[np.n
     return row, slot, SCALE / np.maximum(1, t.counts)[row]
 
 
-def fit(docs: DataFrame, labels: DataFrame, allowed, max_rows: int = MAX_TRAINING_ROWS, label: str = "quality", id_col: str = "doc_id") -> np.ndarray:
+def fit(
+    docs: DataFrame, labels: DataFrame, allowed, max_rows: int = MAX_TRAINING_ROWS, label: str = "quality", id_col: str = "doc_id", text_col: str = "text"
+) -> np.ndarray:
     """Weights from the labels of the ids that ``allowed`` admits."""
-    rows = featurise(labelled_sample(docs, labels, label, allowed, max_rows, id_col), features, BITS)
+    rows = featurise(labelled_sample(docs, labels, label, allowed, max_rows, id_col, text_col), features, BITS)
     return train_ftrl(rows, BITS, EPOCHS)
 
 

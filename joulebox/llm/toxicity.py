@@ -103,6 +103,9 @@ class Terms:
     values: np.ndarray
     slots: np.ndarray
 
+    def __reduce__(self) -> tuple:
+        return Terms.of, (self.keys, self.values)  # tasks make the slots anew: they are many times the rest
+
     @staticmethod
     def of(keys: np.ndarray, values: np.ndarray) -> Terms:
         order = np.argsort(keys)

@@ -15,7 +15,7 @@ SF_LABELS = "/root/testdata/sf0.1"  # sf0.01 has about forty toxic texts, too fe
     "query,label,least",
     [
         ("op1_quality", "quality", {0: 0.95, 1: 0.98}),
-        ("op5_toxicity", "toxic", {0: 0.98, 1: 0.65}),  # some 450 toxic texts in four languages: few terms are learned
+        ("op5_toxicity", "toxic", {0: 0.98, 1: 0.9}),
     ],
 )
 def test_held_out_accuracy(spark, query, label, least):
@@ -27,13 +27,6 @@ def test_held_out_accuracy(spark, query, label, least):
     assert len(share) == 2 and all(r.a >= least[r[label]] for r in share)
 
 
-def test_most_held_out_toxic_texts_are_found_from_few_labels(spark):
-    got = QUERIES["op5_toxicity"](spark, SF_LABELS).where("held_out")
-    known = got.join(spark.read.parquet(f"{SF_LABELS}/labels.parquet"), "doc_id")
-    share = {r.toxic: r.a for r in known.groupBy("toxic").agg(F.avg((F.col("predicted") == F.col("toxic")).cast("int")).alias("a")).collect()}
-    assert share[0] >= 0.98 and share[1] >= 0.9
-
-
 def test_listed_terms_outside_the_training_sample_score_as_toxic(spark):
     insults = toxicity.INSULTS[:30]
     clean = [f"river stone house number{i % 50} garden" for i in range(3000)]
@@ -147,3 +140,46 @@ def test_ftrl_learns_and_ignores_row_order(spark):
     df = spark.createDataFrame(rows, "shard int, place long, y double, slots array<int>, weights array<float>")
     w = linear.train_ftrl(linear.pack_shards(df), 4, 5)
     assert w[1] > 0.5 and w[0] < -0.5 and np.array_equal(w, linear.train_ftrl(linear.pack_shards(df.repartition(7)), 4, 5))
+
+
+def brute_ftrl(rows, bits, epochs, alpha=0.3, beta=1.0, l1=0.02, l2=0.5):
+    """FTRL-Proximal by the book, a dictionary for each shard, states averaged after each epoch."""
+    z, n = {}, {}
+
+    def weight(z, n, s):
+        a, b = z.get(s, 0.0), n.get(s, 0.0)
+        return 0.0 if abs(a) <= l1 else -(a - (l1 if a > 0 else -l1)) / ((beta + b**0.5) / alpha + l2)
+
+    shards = sorted({r[0] for r in rows})
+    for _ in range(epochs):
+        ends = []
+        for shard in shards:
+            own = sorted((r for r in rows if r[0] == shard), key=lambda r: (r[1], r[2]))
+            sz, sn = dict(z), dict(n)
+            for lo in range(0, len(own), linear.BATCH):
+                g = {}
+                for _, _, y, slots, values in own[lo : lo + linear.BATCH]:
+                    x = [*zip(slots, values, strict=True), (1 << bits, 1.0)]
+                    p = 1 / (1 + np.exp(-sum(weight(sz, sn, s) * v for s, v in x)))
+                    for s, v in x:
+                        g[s] = g.get(s, 0.0) + (p - y) * v
+                for s, d in g.items():
+                    w = weight(sz, sn, s)
+                    sz[s] = sz.get(s, 0.0) + d - ((sn.get(s, 0.0) + d * d) ** 0.5 - sn.get(s, 0.0) ** 0.5) / alpha * w
+                    sn[s] = sn.get(s, 0.0) + d * d
+            ends.append((sz, sn))
+        z, n = ({s: sum(e[k].get(s, 0.0) for e in ends) / len(ends) for s in set().union(*(e[k] for e in ends))} for k in (0, 1))
+    return np.array([weight(z, n, s) for s in range((1 << bits) + 1)])
+
+
+def test_ftrl_against_brute_force(spark):
+    rng = np.random.default_rng(1)
+    rows = []
+    for i in range(200):
+        slots = sorted(rng.choice(60, rng.integers(0, 9), replace=False).tolist())
+        rows.append((int(i % 3), int(i * 7919 % 1000), float(sum(s < 20 for s in slots) > 1), slots, [float(v) for v in rng.uniform(0.5, 2, len(slots))]))
+    df = spark.createDataFrame(rows, "shard int, place long, y double, slots array<int>, weights array<float>").repartition(4)
+    got = linear.train_ftrl(linear.pack_shards(df), 6, 4)
+    rows = [(*r[:4], [float(np.float32(v)) for v in r[4]]) for r in rows]
+    assert np.allclose(got, brute_ftrl(rows, 6, 4), atol=1e-4) and (got != 0).sum() > 30
+    assert not linear.train_ftrl(linear.pack_shards(df.limit(0)), 6, 2).any()
