@@ -31,9 +31,10 @@ Chance to miss a pair of similarity 0.8: (1 - 0.8**4)**24 < 4e-6 by the bands, a
 
 Edge cases: documents without words, or with a null id, are in no group (class
 id: their own id). Texts of fewer than five words are one shingle. Repeated rows
-are equal bags, so they are one class. Rows that share an id but not a text are
-one node, which has one of their signatures. Extra columns are ignored by
-``classes`` and kept by ``keep_one``.
+are equal bags, so they are one class; ``keep_one`` keeps one of rows with the same id and text (by
+128 bits of hash). Rows that share an id but not a text are one node, which has one of their signatures: they
+stay or go together. Very long texts are one bag each, a block of their own. Extra columns, whatever their
+names, are ignored by ``classes`` and kept by ``keep_one``.
 """
 
 from __future__ import annotations
@@ -42,7 +43,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
@@ -216,23 +217,30 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
     return stage(_similar(pairs.join(text["a"], "a").join(text["b"], "b"), threshold).distinct(), "links")
 
 
-def _leader_links(buckets: DataFrame, sigs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+def _leader_links(nodes: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """Links of each bucket's smallest node: one pair per node and bucket, whatever the bucket's size."""
+    buckets = nodes.select("node", F.explode("keys").alias("key"))
     leaders = buckets.groupBy("key").agg(F.min("node").alias("a"))
     pairs = buckets.join(leaders, "key").where("node != a").select("a", F.col("node").alias("b")).distinct()
-    return _verified(_agreeing(pairs, sigs), texts, threshold)
+    return _verified(_agreeing(pairs, nodes), texts, threshold)
 
 
-def _open_buckets(buckets: DataFrame, comps: DataFrame) -> DataFrame:
-    """(key, node, comp, big): rows of buckets with two components or more; big is the one with most nodes."""
-    placed = buckets.join(comps, "node")
+def _open_nodes(nodes: DataFrame, comps: DataFrame) -> DataFrame:
+    """(node, comp, sig, keys, at): nodes of buckets with two components or more.
+
+    ``keys`` are their open buckets in order, ``at`` says for each (key, big, chunks); big is the bucket's component with
+    most nodes. Signatures are joined to nodes, not to their places in buckets.
+    """
+    placed = nodes.select("node", "keys").join(comps, "node").select("node", "comp", F.explode("keys").alias("key"))
     sizes = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
     big = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("comps"), F.max(F.struct("n", "comp")).alias("m"), F.sum("n").alias("rows"))
     big = big.where("comps > 1").select("key", F.col("m.comp").alias("big"), F.ceil(F.col("rows") / CHUNK).cast("int").alias("chunks"))
-    return placed.join(big, "key")
+    here = F.sort_array(F.collect_list(F.struct("key", "big", "chunks")))  # two for each band at most
+    own = placed.join(big, "key").groupBy("node").agg(F.min("comp").alias("comp"), here.alias("at"))
+    return nodes.select("node", "sig").join(own, "node").select("node", "comp", "sig", F.col("at.key").alias("keys"), "at")
 
 
-def _candidates(open_: DataFrame, sigs: DataFrame, most: int | None) -> DataFrame:
+def _candidates(open_: DataFrame, most: int | None) -> DataFrame:
     """(a, b): for each node outside its bucket's big component, the ``most`` nodes (None: all) of other components
     whose signatures agree best, and at least on LEAST_AGREEING.
 
@@ -240,8 +248,7 @@ def _candidates(open_: DataFrame, sigs: DataFrame, most: int | None) -> DataFram
     chunks of about CHUNK nodes, which the nodes outside visit one by one. A pair that shares several
     buckets is brought by the one with the smallest key.
     """
-    own = open_.groupBy("node").agg(F.sort_array(F.collect_set("key")).alias("keys"))  # two for each band at most
-    rows = open_.join(sigs, "node").join(own, "node")
+    rows = open_.select("node", "comp", "sig", "keys", F.explode("at").alias("at")).select("node", "comp", "sig", "keys", "at.*")
     home = F.pmod(F.xxhash64("node"), F.col("chunks").cast("long")).cast("int")
     sat = rows.select("key", home.alias("chunk"), F.lit(False).alias("asks"), "node", "comp", "sig", "keys")
     asks = rows.where("comp != big").select("key", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(True).alias("asks"), "node", "comp", "sig", "keys")
@@ -306,16 +313,15 @@ def _joined(comps: DataFrame, links: DataFrame) -> DataFrame:
     return stage(comps.join(roots, "comp", "left").select("node", F.coalesce("root", "comp").alias("comp")), "comps")
 
 
-def _bucket_components(buckets: DataFrame, sigs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """(node, comp): components of the verified links of all nodes that share a bucket (key, node)."""
-    comps = _joined(sigs.select("node", F.col("node").alias("comp")), _leader_links(buckets, sigs, texts, threshold))
+def _bucket_components(nodes: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """(node, comp): components of the verified links of all nodes (node, keys, sig) that share a bucket."""
+    comps = _joined(nodes.select("node", F.col("node").alias("comp")), _leader_links(nodes, texts, threshold))
     tested, most = None, FEW
     while True:
-        open_ = stage(_open_buckets(buckets, comps), "open-buckets")
-        if open_.isEmpty():
+        nodes = stage(_open_nodes(nodes, comps), "open-buckets")  # a connected bucket stays connected
+        if nodes.isEmpty():
             return comps
-        buckets = open_.select("key", "node")  # a connected bucket stays connected
-        fresh = _candidates(open_, sigs, most)
+        fresh = _candidates(nodes, most)
         if tested is not None:
             fresh = fresh.join(tested, ["a", "b"], "left_anti")
         fresh = stage(fresh, "candidates")
@@ -335,19 +341,18 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id
     kept = rows.groupBy("f1", "f2").agg(F.min(F.struct("doc", "row")).alias("m")).select("f1", "f2", F.col("m.doc").alias("node"), F.col("m.row").alias("row"))
     kept = stage(kept, "equal-bags")
     first = rows.join(kept.select("row"), "row", "left_semi").withColumnRenamed("doc", "node")
-    banded = first.select("node", F.explode("keys").alias("key"))
+    banded = first.select("node", "size", F.explode("keys").alias("key"))
     shared = banded.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo != hi").select("key")
     met = stage(banded.join(shared, "key").distinct(), "shared-bands")
     grade = F.floor(F.log(F.col("size").cast("double")) / F.lit(float(np.log(1 / threshold))))
-    sizes = first.select("node", "size").distinct()
-    graded = _different(met).join(sizes, "node").select("node", F.explode(F.array(grade, grade + 1)).alias("grade"), "key")
-    buckets = stage(_different(graded.select(F.xxhash64("key", "grade").alias("key"), "node").distinct()), "buckets")
-    wanted = buckets.select("node").distinct()
-    sigs = stage(first.join(wanted, "node", "left_semi").select("node", "sig").dropDuplicates(["node"]), "signatures")
+    graded = _different(met).select("node", F.explode(F.array(grade, grade + 1)).alias("grade"), "key")
+    buckets = _different(graded.select(F.xxhash64("key", "grade").alias("key"), "node").distinct())
+    placed = stage(buckets.groupBy("node").agg(F.sort_array(F.collect_set("key")).alias("keys")), "buckets")
+    sigs = first.select("node", "sig").join(placed.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    nodes = stage(placed.join(sigs, "node").select("node", "keys", "sig"), "bucket-nodes")
     texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
-    # one plan at every size: a broadcast below some size would make the growth of small runs say nothing
-    texts = stage(texts.join(wanted.hint("merge"), "node", "left_semi"), "bucket-texts")
-    comps = _bucket_components(buckets, sigs, texts, threshold)
+    texts = stage(texts.join(nodes.select("node"), "node", "left_semi"), "bucket-texts")
+    comps = _bucket_components(nodes, texts, threshold)
     out = rows.select("doc", "f1", "f2").join(kept.select("f1", "f2", "node"), ["f1", "f2"])
     return out.join(comps, "node", "left").select("doc", F.coalesce("comp", "node").alias("class_id"))
 
@@ -365,10 +370,10 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_i
     Rows with a null id, or without words, all stay.
     """
     found = classes(docs, threshold, id_col, text_col).groupBy("doc").agg(F.min("class_id").alias("class_id"))
-    names = docs.columns
-    own = docs.join(found.withColumnsRenamed({"doc": "__doc", "class_id": "__class"}), docs[id_col].cast("long") == F.col("__doc"), "left")
-    # rows without a class all stay: their hash keeps them from meeting in one group
-    apart = F.when(F.col("__class").isNull(), F.xxhash64(F.col(text_col)))
-    order = Window.partitionBy(id_col, apart).orderBy(F.xxhash64(F.col(text_col)), F.col(text_col))
-    kept = own.where("__class is null or __class = __doc").withColumn("__n", F.when(F.col("__class").isNull(), 1).otherwise(F.row_number().over(order)))
-    return kept.where("__n = 1").select(*names)
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}  # columns of any name
+    own, doc, text = docs.toDF(*names.values()), F.col(names[id_col]), F.col(names[text_col])
+    own = own.join(found, doc.cast("long") == F.col("doc"), "left").where("class_id is null or class_id = doc")
+    # repeated rows by hash, which Spark merges before it shuffles; rows without a class all stay
+    apart = F.when(F.col("class_id").isNull(), F.monotonically_increasing_id())
+    marks = {"m0": doc, "m1": F.xxhash64(text, F.lit(1)), "m2": F.xxhash64(text, F.lit(2)), "m3": apart}
+    return own.withColumns(marks).dropDuplicates(list(marks)).select(*[F.col(n).alias(c) for c, n in names.items()])
