@@ -279,6 +279,13 @@ def _viterbi(data: np.ndarray, seg: np.ndarray, v: Vocabulary) -> tuple[np.ndarr
     return ids, np.bincount(who, weights=span, minlength=len(length)).astype(np.int64)
 
 
+def _distinct(text: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the first of each different segment, which of them each is), by the segments themselves."""
+    known: dict[bytes, int] = {}
+    same = np.array([known.setdefault(text[b:e].tobytes(), len(known)) for b, e in zip(begin.tolist(), end.tolist(), strict=True)], np.int64)
+    return np.unique(same, return_index=True)[1], same
+
+
 def encode_block(data: np.ndarray, offs: np.ndarray, v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all rows joined, number of ids by row) of a block of texts."""
     text, bounds = _marked(data, offs)
@@ -290,6 +297,9 @@ def encode_block(data: np.ndarray, offs: np.ndarray, v: Vocabulary) -> tuple[np.
     length = end - begin
     h = Spans(text, np.array([0, len(text)])).span_hash(begin, end)
     _, first, same = np.unique(h, return_index=True, return_inverse=True)
+    model = first[same]  # each segment's first one of its hash: it must have the same bytes
+    if not (np.array_equal(length[model], length) and np.array_equal(text[ranges(begin[model], length)], text)):
+        first, same = _distinct(text, begin, end)
     ids, counts = [], []
     size = np.cumsum(length[first])
     lo = 0

@@ -86,3 +86,12 @@ def test_columns_nulls_and_decoding(spark, vocabulary):
     odd = spark.createDataFrame([([0, 1, 2, -5, 10**6],), ([3 + 0xFF],), (None,), ([],)], "ids array<int>")
     assert [r.text for r in pieces.decode(odd, vocabulary).collect()] == ["", "\ufffd", None, ""]
     assert pieces.encode(df.limit(0), vocabulary).count() == 0
+
+
+def test_words_of_equal_hash_keep_their_own_ids(vocabulary, library, monkeypatch):
+    one = "".join("ab"[i.bit_count() % 2] for i in range(2048))
+    rows = [one, one.translate(str.maketrans("ab", "ba")), "plain words", one]
+    want = [library.encode(t) for t in rows]
+    assert ids_of(rows, vocabulary) == want
+    monkeypatch.setattr(pieces.Spans, "span_hash", lambda self, begin, end, salt=0: np.zeros(len(begin), np.uint64))
+    assert ids_of(rows, vocabulary) == want

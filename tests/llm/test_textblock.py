@@ -30,3 +30,19 @@ def test_sliced_columns_and_ranges():
     assert data.tobytes() == b"cde f" and offs.tolist() == [0, 0, 0, 5]
     assert tb.ranges(np.array([5, 1, 9]), np.array([2, 0, 3])).tolist() == [5, 6, 9, 10, 11]
     assert tb.text_buffer(pa.array([], pa.string()))[1].tolist() == [0]
+
+
+def thue_morse(bits):
+    """Two strings of 2 ** bits letters for which any polynomial hash modulo 2 ** 64 agrees from 11 bits on."""
+    one = "".join("ab"[i.bit_count() % 2] for i in range(1 << bits))
+    return one, one.translate(str.maketrans("ab", "ba"))
+
+
+def test_hashes_of_long_repetitive_words_differ():
+    for bits in (9, 11, 13):
+        one, two = thue_morse(bits)
+        data, offs = tb.text_buffer(pa.array([f"x {one} {two}", f"{two} {one}"]))
+        h = tb.Spans(data, offs).hashes()
+        assert h[1] != h[2] and h[3] == h[2] and h[4] == h[1]
+        folded = tb.Spans(*tb.text_buffer(pa.array([one, one.upper()])), fold=tb.LOWER).hashes()
+        assert folded[0] == folded[1]
