@@ -31,7 +31,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,6 +47,8 @@ RATE = 0.3
 SEGMENT = 64
 #: Bound on the documents that the model is fitted on.
 MAX_TRAINING_ROWS = 4_000
+#: Documents that a rare language gives at least, beyond that bound.
+MIN_TRAINING_ROWS = 100
 UNKNOWN = "und"
 
 
@@ -256,17 +258,24 @@ def train(rows: DataFrame, languages: list[str], epochs: int = EPOCHS) -> Model:
     return Model(languages, weights, moves)
 
 
-def fit(docs: DataFrame, allowed, max_rows: int = MAX_TRAINING_ROWS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
-    """A model from the texts and languages of the ids that ``allowed`` admits; None if there are none."""
+def fit(
+    docs: DataFrame, allowed, max_rows: int = MAX_TRAINING_ROWS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+    min_rows: int = MIN_TRAINING_ROWS,
+) -> Model | None:
+    """A model from the texts and languages of the ids that ``allowed`` admits; None if there are none.
+
+    About ``max_rows`` rows are taken by a hash of the id, and of each language about ``min_rows`` at least (all, if it has fewer).
+    """
     known = docs.where(allowed & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
     counts = known.groupBy(lang_col).count().collect()
     n = sum(r["count"] for r in counts)
     if not n:
         return None
     languages = sorted(r[lang_col] for r in counts)
-    place = F.xxhash64(F.col(id_col), F.lit(17))
-    share = min(1 << 20, (max_rows << 20) // n)
-    chosen = known.where(F.pmod(place, F.lit(1 << 20)) < share)
+    place = F.pmod(F.xxhash64(F.col(id_col), F.lit(17)), F.lit(1 << 20))
+    shares = [min(1 << 20, (max(min_rows, max_rows * r["count"] // n) << 20) // r["count"]) for r in counts]
+    share = F.element_at(F.create_map(*[F.lit(x) for r, s in zip(counts, shares, strict=True) for x in (r[lang_col], s)]), F.col(lang_col))
+    chosen = known.where(place < share)
     y = F.array_position(F.lit(languages), F.col(lang_col)) - 1
     spread = F.xxhash64(F.col(id_col), F.lit(19))
     rows = chosen.select(
@@ -275,13 +284,16 @@ def fit(docs: DataFrame, allowed, max_rows: int = MAX_TRAINING_ROWS, id_col: str
     return train(stage(rows, "language-rows"), languages)
 
 
-def document_languages(words: Spans, model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """(place of the language, mean probability) of each row; rows without words have -1 and 0."""
+def document_languages(words: Spans, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place of the language, its mean probability, the mean of the words' own best probabilities) of each row.
+
+    Rows without words have -1 and 0. A text of several languages has a low probability of each and certain words.
+    """
     rows = words.rows
     k = len(model.languages)
-    pred, score = np.full(rows, -1), np.zeros(rows)
+    pred, score, sure = np.full(rows, -1), np.zeros(rows), np.zeros(rows)
     if not len(words):
-        return pred, score
+        return pred, score, sure
     e, same, _ = emissions(words, model.weights)
     p = marginals(e[same], words.first, model.moves)
     sums = np.empty((rows, k))
@@ -290,7 +302,8 @@ def document_languages(words: Spans, model: Model) -> tuple[np.ndarray, np.ndarr
     full = words.counts > 0
     pred[full] = sums[full].argmax(axis=1)
     score[full] = np.minimum(1.0, sums[full].max(axis=1) / words.counts[full])
-    return pred, score
+    sure[full] = np.minimum(1.0, np.bincount(words.row, weights=p.max(axis=1), minlength=rows)[full] / words.counts[full])
+    return pred, score, sure
 
 
 def word_languages(text: str, model: Model) -> list[tuple[str, str, float]]:
@@ -308,19 +321,26 @@ def word_languages(text: str, model: Model) -> list[tuple[str, str, float]]:
     ]
 
 
+def has_letter(text: Column) -> Column:
+    return F.coalesce(text, F.lit("")).rlike(r"\p{L}")
+
+
 def identify(
     docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None,
-    pred_col: str = "lang_pred", score_col: str = "score",
+    pred_col: str = "lang_pred", score_col: str = "score", sure_col: str | None = None,
 ) -> DataFrame:
-    """``keep`` columns (the id only, if not given), the language and the score of every row."""
+    """``keep`` columns (the id only, if not given), the language and the score of every row, and how sure its words are
+    where ``sure_col`` is given. Without a model every language is unknown."""
     keep = keep or [id_col]
-    clash = {pred_col, score_col} & set(keep)
+    clash = {pred_col, score_col, sure_col} & set(keep)
     if clash:
         raise ValueError(f"the kept columns include {sorted(clash)}; name the results otherwise")
     if model is None:
-        return docs.select(*keep, F.lit(UNKNOWN).alias(pred_col), F.lit(0.0).alias(score_col))
+        none = [F.lit(0.0).alias(c) for c in (score_col, sure_col) if c]
+        return docs.select(*keep, F.lit(UNKNOWN).alias(pred_col), *none)
     names = np.array([*model.languages, UNKNOWN], object)
-    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(pred_col, T.StringType()), T.StructField(score_col, T.DoubleType())])
+    numbers = [c for c in (score_col, sure_col) if c]
+    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(pred_col, T.StringType())] + [T.StructField(c, T.DoubleType()) for c in numbers])
     sent = [F.col(c) for c in keep]
     if text_col not in keep:
         sent.append(F.col(text_col))
@@ -330,11 +350,10 @@ def identify(
         for batch in batches:
             letter = batch.column(n).to_numpy(zero_copy_only=False).astype(bool)
             for lo, hi, data, offs in blocks(batch.column(where)):
-                pred, score = document_languages(Spans(data, offs, LETTERS, LOWER), model)
+                pred, score, sure = document_languages(Spans(data, offs, LETTERS, LOWER), model)
                 none = ~letter[lo:hi] | (pred < 0)
-                pred[none], score[none] = len(names) - 1, 0.0
+                pred[none], score[none], sure[none] = len(names) - 1, 0.0, 0.0
                 own = [batch.column(i).slice(lo, hi - lo) for i in range(len(keep))]
-                yield pa.record_batch([*own, pa.array(names[pred], pa.string()), pa.array(score)], schema.fieldNames())
+                yield pa.record_batch([*own, pa.array(names[pred], pa.string()), pa.array(score), pa.array(sure)][: len(schema)], schema.fieldNames())
 
-    letter = F.coalesce(F.col(text_col), F.lit("")).rlike(r"\p{L}")
-    return docs.select(*sent, letter.alias("__letter")).mapInArrow(run, schema)
+    return docs.select(*sent, has_letter(F.col(text_col)).alias("__letter")).mapInArrow(run, schema)
