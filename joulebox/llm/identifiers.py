@@ -7,10 +7,15 @@ candidate give its lexical patterns: the two words before, the two after, and on
 each. Patterns and the identifiers (texts of candidates) they surround form a
 graph, which Spark scores in rounds:
 
-- a pattern's confidence for a kind is the mean score of its distinct identifiers
-  for that kind; it counts if at least ``LEAST_SUPPORT`` of them score well and the confidence
-  is at least ``LEAST_CONFIDENCE``;
-- an identifier that is no seed scores 1 less the product of (1 - confidence) over the patterns that count.
+- a pattern's confidence for a kind is the score that its distinct identifiers have for
+  that kind, over one more than what they have for all kinds and what speaks against it; it counts if at least
+  ``LEAST_SUPPORT`` of them score well and the confidence is at least ``LEAST_CONFIDENCE``;
+- only a pattern in which seeds are ``SEED_SHARE`` of the identifiers is telling and can count;
+- what speaks against a pattern is its identifiers that are no seeds, each by how plain its shape (digits
+  and runs of letters) is: the share of their patterns, on average over the shape's identifiers, that are not telling. So an unseen
+  form of a kind hardly counts against the contexts it is found in, and a year or an amount does;
+- an identifier that is no seed, and has at most ``MOST_APART`` of its patterns outside the telling ones, scores 1 less the
+  product of (1 - confidence) over the patterns that count.
 
 What scores at least ``LEAST_SCORE`` after ``ROUNDS`` rounds is taken as the kind, wherever
 it occurs. Identifiers count once for a pattern, so a passage that is copied ten
@@ -21,7 +26,8 @@ Positions are code points, ends are exclusive. Spans of a kind don't overlap.
 
 Edge cases: a null text is empty and has no spans; rows are judged one by one, so repeated rows
 get the same result; extra columns are ignored. Base patterns run in time
-linear in the text.
+linear in the text, so very long texts are scanned whole. An empty table gives an empty result, and a table without
+seeds the base spans alone (none).
 """
 
 from __future__ import annotations
@@ -42,6 +48,8 @@ ROUNDS = 3
 LEAST_SUPPORT = 5
 LEAST_CONFIDENCE = 0.8
 LEAST_SCORE = 0.9
+MOST_APART = 0.5
+SEED_SHARE = 0.2
 BLOCK_BYTES = 1 << 20
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -163,36 +171,38 @@ def find(docs: DataFrame, keep: list[str], text_col: str = "text") -> DataFrame:
     return stage(made.withColumn("row", F.monotonically_increasing_id()), "identifiers")
 
 
+def shape(identifier):
+    """Digits as 0, one by one, and runs of letters as a."""
+    return F.regexp_replace(F.regexp_replace(identifier, "[0-9]", "0"), r"\p{L}+", "a")
+
+
 def discover(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """(identifier, kind): identifiers beyond the seeds that confident patterns surround."""
     each = found.select(F.explode("found").alias("o")).select("o.kind", "o.identifier", F.explode("o.patterns").alias("pattern"))
     edges = stage(each.groupBy("pattern", "identifier").agg(F.max("kind").alias("kind")), "pattern-identifiers")
     seeds = edges.where("kind >= 0").select("identifier", "kind", F.lit(1.0).alias("score")).distinct()
-    total = stage(edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST_SUPPORT), "patterns")
-    free = edges.select("identifier").distinct().join(seeds, "identifier", "left_anti")
-    scores = seeds
-    known = None
+    total = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("kind") >= 0).alias("seeds"))
+    total = stage(total.withColumn("telling", F.col("seeds") >= F.col("n") * SEED_SHARE), "patterns")
+    # identifiers that are no seeds: the share of their patterns that are not telling, and the mean of it for their shape
+    free = edges.join(total, "pattern").groupBy("identifier").agg(F.max("kind").alias("kind"), F.avg((~F.col("telling")).cast("double")).alias("apart")).where("kind < 0")
+    free = free.select("identifier", "apart", shape(F.col("identifier")).alias("shape"))
+    shapes = free.groupBy("shape").agg(F.avg("apart").alias("neutral"))
+    free = stage(free.where("apart < 1").join(shapes, "shape").select("identifier", "apart", "neutral"), "free-identifiers")
+    against = edges.select("pattern", "identifier").join(free, "identifier").groupBy("pattern").agg(F.sum("neutral").alias("against"))
+    trusted = total.where((F.col("n") >= LEAST_SUPPORT) & F.col("telling")).select("pattern")
+    against = stage(trusted.join(against, "pattern", "left").select("pattern", F.coalesce("against", F.lit(0.0)).alias("against")), "contrary")
+    near = edges.select("pattern", "identifier").join(against.select("pattern"), "pattern", "left_semi")
+    scores, known = seeds, None
     for _ in range(rounds):
-        mass = (
-            edges.select("pattern", "identifier")
-            .join(scores, "identifier")
-            .groupBy("pattern", "kind")
-            .agg(F.sum("score").alias("mass"), F.sum((F.col("score") >= 0.5).cast("int")).alias("support"))
-        )
-        sure = (
-            mass.join(total, "pattern")
-            .withColumn("confidence", F.col("mass") / F.col("n"))
-            .where((F.col("support") >= LEAST_SUPPORT) & (F.col("confidence") >= LEAST_CONFIDENCE))
-        )
+        mass = near.join(scores, "identifier").groupBy("pattern", "kind").agg(F.sum("score").alias("mass"), F.sum((F.col("score") >= 0.5).cast("int")).alias("support"))
+        mass = stage(mass, "pattern-mass")
+        every = mass.groupBy("pattern").agg(F.sum("mass").alias("every"))
+        sure = mass.join(every, "pattern").join(against, "pattern")  # what is of other kinds speaks against, what is unknown and of no plain shape doesn't
+        sure = sure.withColumn("confidence", F.col("mass") / (F.col("every") + F.col("against") + 1))
+        sure = sure.where((F.col("support") >= LEAST_SUPPORT) & (F.col("confidence") >= LEAST_CONFIDENCE))
         doubt = F.log(F.greatest(F.lit(1e-9), 1 - F.col("confidence")))
-        known = (
-            edges.select("pattern", "identifier")
-            .join(sure, "pattern")
-            .groupBy("identifier", "kind")
-            .agg((1 - F.exp(F.sum(doubt))).alias("score"))
-            .join(free, "identifier")
-        )
-        known = stage(known, "identifier-scores")
+        known = near.join(sure, "pattern").groupBy("identifier", "kind").agg((1 - F.exp(F.sum(doubt))).alias("score"))
+        known = stage(known.join(free.where(F.col("apart") <= MOST_APART).select("identifier"), "identifier", "left_semi"), "identifier-scores")
         if known.isEmpty():
             break
         scores = seeds.union(known.select("identifier", "kind", "score"))

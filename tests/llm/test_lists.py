@@ -169,3 +169,72 @@ def test_contexts_discover_unseen_identifiers(spark):
     red = {r.doc_id: r.text for r in identifiers.redact(df).collect()}
     assert red[100] == "again reach me at <phone> any day or not" and red[101] == unseen[1][1]
     assert identifiers.redact(df.limit(0)).count() == 0
+
+
+def brute_discover(occurrences, rounds=identifiers.ROUNDS):
+    """The pattern graph in dictionaries: {identifier: kind} found; ``occurrences`` are (kind, identifier, patterns)."""
+    edges = {}
+    for kind, name, patterns in occurrences:
+        for p in patterns:
+            edges[p, name] = max(kind, edges.get((p, name), -1))
+    members = {}
+    for p, name in edges:
+        members.setdefault(p, set()).add(name)
+    seeds = {(name, k) for (_, name), k in edges.items() if k >= 0}
+    telling = {p for p, own in members.items() if sum(edges[p, name] >= 0 for name in own) >= identifiers.SEED_SHARE * len(own)}
+    free = {name for _, name in edges} - {name for name, _ in seeds}
+    apart = {name: np.mean([p not in telling for p in members if name in members[p]]) for name in free}
+    form = {name: re.sub(r"[^\W\d_]+", "a", re.sub("[0-9]", "0", name)) for name in free}
+    near = {name for name in free if apart[name] < 1}
+    neutral = {name: np.mean([apart[other] for other in free if form[other] == form[name]]) for name in near}
+    scores = {key: 1.0 for key in seeds}
+    found = {}
+    for _ in range(rounds):
+        sure = {}
+        for p in telling:
+            if len(members[p]) < identifiers.LEAST_SUPPORT:
+                continue
+            every = sum(v for (name, _), v in scores.items() if name in members[p])
+            against = sum(neutral.get(name, 0.0) for name in members[p])
+            for k in range(4):
+                mine = [v for (name, j), v in scores.items() if j == k and name in members[p]]
+                if sum(v >= 0.5 for v in mine) >= identifiers.LEAST_SUPPORT and sum(mine) / (every + against + 1) >= identifiers.LEAST_CONFIDENCE:
+                    sure[p, k] = sum(mine) / (every + against + 1)
+        found = {}
+        for name in near:
+            for k in range(4):
+                own = [c for (p, j), c in sure.items() if j == k and name in members[p]]
+                if own and apart[name] <= identifiers.MOST_APART:
+                    found[name, k] = 1 - np.prod([max(1e-9, 1 - c) for c in own])
+        scores = {key: 1.0 for key in seeds} | found
+    best = {}
+    for (name, k), v in sorted(found.items()):
+        if name not in best or v > best[name][0]:
+            best[name] = (v, k)
+    return {name: k for name, (v, k) in best.items() if v >= identifiers.LEAST_SCORE}
+
+
+def test_pattern_graph_against_brute_force(spark):
+    rng = np.random.default_rng(3)
+    seeds = [f"+1 555 {1000000 + i}" for i in range(25)] + [f"user{i}@mail.org" for i in range(25)]
+    unseen = [f"{200 + i}/55-{700 + i}" for i in range(40)] + [f"user{i}(at)mail" for i in range(5)]
+    plain = [str(1900 + i) for i in range(60)] + ["12 EUR 500"]
+    leads = ["reach me at", "ring us on", "mail is", "in the year", "about some", "number of the"]
+    tails = ["any day or", "if need be", "and then so", "of the house"]
+    texts = []
+    for _ in range(700):
+        lead = rng.integers(0, 6)
+        pool = [seeds[:25] * 3 + unseen, seeds[:25] + unseen, seeds[25:] * 2 + unseen[40:], plain, seeds[:4] + plain + unseen[:3], plain][lead]
+        texts.append(f"so {leads[lead]} {pool[rng.integers(0, len(pool))]} {tails[rng.integers(0, 2) if lead < 3 else rng.integers(2, 4)]} on")
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.identifier: r.kind for r in identifiers.discover(identifiers.find(df, ["doc_id"])).collect()}
+    each = [(k, name, p) for t in texts for k, _, _, name, p in identifiers.occurrences(t, identifiers.base_spans(t))]
+    want = brute_discover(each)
+    assert got == want and len(want) > 20 and not set(want) & set(plain)
+
+
+def test_many_unseen_forms_do_not_silence_a_context(spark):
+    seen = [(i, f"text {i} reach me at +1 555 {1000000 + i} any day or not") for i in range(12)]
+    unseen = [(100 + i, f"note {i} reach me at 55/{700 + i}/{8888 - i} any day or not") for i in range(30)]
+    got = identifiers.spans(spark.createDataFrame(seen + unseen, "doc_id long, text string"), ["doc_id"])
+    assert got.where("size(spans) = 1").count() == 42 and got.where("doc_id >= 100 and size(base) = 0").count() == 30

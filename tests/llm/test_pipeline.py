@@ -43,6 +43,23 @@ def test_stages_take_effect(spark, tmp_path):
     assert {r.doc_id: r.text for r in back} == texts
 
 
+def test_texts_of_three_languages_and_tables_without_languages_stay(spark):
+    rnd = random.Random(3)
+    own = {
+        "en": ["the", "and", "with", "river", "stone", "house", "there", "would"],
+        "de": ["der", "und", "nicht", "schön", "haus", "über", "auch", "noch"],
+        "es": ["el", "pero", "años", "niño", "casa", "también", "donde", "ella"],
+    }
+    rows = [(i, " ".join(rnd.choices(own[lang], k=40)), lang) for i in range(120) for lang in [["en", "de", "es"][i % 3]]]
+    mixed = " ".join(" ".join(rnd.choices(words, k=15)) for words in own.values())
+    rows += [(500, mixed, None), (501, "12 34", None), (502, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in corpus_pipeline.keep_languages(spark, df, "").collect()}
+    assert kept == {r[0] for r in rows} - {501, 502}
+    bare = df.selectExpr("doc_id", "text", "cast(null as string) as lang")
+    assert {r.doc_id for r in corpus_pipeline.keep_languages(spark, bare, "").collect()} == kept
+
+
 def test_empty_tables(spark, tmp_path):
     spark.createDataFrame([], COLUMNS).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
@@ -52,7 +69,7 @@ def test_empty_tables(spark, tmp_path):
 def test_registered_names():
     names = __spark_entry__.queries()
     assert set(QUERIES) <= set(names) and set(ORACLES) <= set(__spark_entry__.oracle_sql())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(q.startswith(f"op{n}_") for q in names) == 1
     assert "pipeline" in names and 4 <= len(corpus_pipeline.STAGES) <= 5
     assert near_copies.THRESHOLD == 0.8 and near_copies.SHINGLE == 5
