@@ -1,7 +1,8 @@
 """From raw documents to token ids: five stages, each one operator over all that its predecessor kept.
 
-1. languages: documents without a letter, or in which no language has a mean
-   probability of LEAST_SCORE, go (a text half in one language and half in another stays).
+1. languages: documents without a letter, or whose words are of no certain language (a mean best
+   probability below LEAST_SCORE), go; a text that changes between languages stays. If no document has a language
+   to learn from, only those without a letter go.
 2. near_copies: of each group of near copies the document with the smallest id stays.
 3. decontaminate: documents with a window of 10 words of a benchmark item go.
 4. identifiers: personal data is replaced by its kind in angle brackets; all documents stay.
@@ -29,7 +30,7 @@ from joulebox.llm import decontaminate, identifiers, languages, near_copies, pie
 from joulebox.llm.tables import held_out, read
 from joulebox.session import delete_path, scratch_path, staging
 
-#: Mean probability of a document's language below which it is rejected.
+#: Mean best probability of a document's words below which it is rejected.
 LEAST_SCORE = 0.4
 
 
@@ -44,7 +45,9 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     own, name, back = _numbered(docs)
     cols = {"id_col": name["doc_id"], "text_col": name["text"]}
     model = languages.fit(own, ~held_out(F.col(name["doc_id"]), 5, 0), lang_col=name["lang"], **cols)
-    found = languages.identify(own, model, keep=own.columns, pred_col="found", score_col="sure", **cols)
+    if model is None:
+        return back(own.where(languages.has_letter(F.col(name["text"]))))
+    found = languages.identify(own, model, keep=own.columns, pred_col="found", score_col="share", sure_col="sure", **cols)
     return back(found.where((F.col("found") != languages.UNKNOWN) & (F.col("sure") >= LEAST_SCORE)))
 
 
