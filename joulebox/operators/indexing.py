@@ -19,10 +19,14 @@ from joulebox.session import stage_table
 PARTITION_BYTES = 256 << 20
 
 
+#: Spark gives frames of unknown size (rows handed over by the driver) a size beyond any real table.
+UNKNOWN_BYTES = 1 << 53
+
+
 def _by_size(df: DataFrame) -> int:
-    """Partitions for the optimizer's estimate of the frame's size."""
+    """Partitions for the optimizer's estimate of the frame's size; 1 where it has none."""
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return max(1, min(size // PARTITION_BYTES, 1_000_000))
+    return max(1, size // PARTITION_BYTES if size < UNKNOWN_BYTES else 1)
 
 
 def global_index(df: DataFrame, order: list[Column | str], index_col: str = "row_index", partitions: int | None = None) -> DataFrame:

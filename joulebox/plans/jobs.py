@@ -23,7 +23,7 @@ from joulebox.plans import readings as R
 from joulebox.plans import reports as P
 from joulebox.schema import RAW_READING_LOOSE
 from joulebox.session import stage_table, staging
-from joulebox.sources.files import read_json_inferred, read_json_schema, split_corrupt
+from joulebox.sources.files import has_rows, read_json_inferred, read_json_schema, split_corrupt
 
 
 def _write(df, path: str, fmt: str) -> None:
@@ -162,7 +162,7 @@ def load_job(spark: SparkSession, lake: str, prefix: str = "") -> dict:
     run again, which changes nothing.
     """
     gold = f"{lake}/gold"
-    if not spark.catalog.tableExists(f"{prefix}dim_date") or spark.table(f"{prefix}dim_date").isEmpty():
+    if not has_rows(spark, f"{prefix}dim_date"):
         L.replace_table(spark.read.parquet(f"{gold}/dim_date"), f"{prefix}dim_date")
     L.replace_unless_empty(spark.read.parquet(f"{gold}/dim_building_type"), f"{prefix}dim_building_type")
     L.replace_unless_empty(spark.read.parquet(f"{gold}/dim_hvac_system"), f"{prefix}dim_hvac_system")

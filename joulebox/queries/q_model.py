@@ -100,6 +100,17 @@ def q_ml_index(spark, sf):
     return M.category_indexer().fit(feats).transform(probes)
 
 
+@register("ml_index__dictionary", S.with_features(
+    """SELECT EnergyPerArea, CAST(i AS DOUBLE) AS EnergyPerArea_index FROM features JOIN (
+  SELECT EnergyPerArea, row_number() OVER (ORDER BY count(*) DESC, EnergyPerArea) - 1 AS i FROM features
+  WHERE EnergyPerArea IS NOT NULL GROUP BY EnergyPerArea) USING (EnergyPerArea)"""
+))
+def q_ml_index_dictionary(spark, sf):
+    """Indexes of a column of nearly as many values as rows, which no driver need hold."""
+    rows = processed(spark, sf).select("EnergyPerArea").where("EnergyPerArea is not null")
+    return M.index_by(rows, M.category_dictionary(rows, "EnergyPerArea"), "EnergyPerArea", "EnergyPerArea_index")
+
+
 @register(
     "ml_onehot",
     S.with_model(

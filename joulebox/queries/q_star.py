@@ -21,7 +21,7 @@ from joulebox.plans import readings as R
 from joulebox.queries import sql as S
 from joulebox.registry import memo, register
 from joulebox.session import scratch_path, stage_table
-from joulebox.sources import files, testdata
+from joulebox.sources import files, testdata, warehouse
 
 CUTOFF = "1998-01-01"  # target / existing side of the incremental-load queries: earlier dates
 OVERLAP = "1997-07-01"  # source side: this date and later (overlaps the target)
@@ -112,6 +112,14 @@ def q_scan_table_query(spark, sf):
     )
 
 
+@register("scan_table_query__pushed", S.with_silver("SELECT HVACSystem, count(*) AS cnt FROM raw GROUP BY HVACSystem"))
+def q_scan_table_query_pushed(spark, sf):
+    """Rows by system of a stored table, from its files' footers."""
+    path = fresh(spark, "readings")
+    L.write_parquet(testdata.raw_readings(spark, sf), path, partition_by=["HVACSystem"])
+    return files.pushed_counts(spark, path, ["HVACSystem"])
+
+
 @register("to_bronze", S.with_silver("SELECT * FROM raw"))
 def q_to_bronze(spark, sf):
     path = fresh(spark, "bronze")
@@ -363,6 +371,16 @@ def q_sink_table_overwrite(spark, sf):
     return taken_out(spark, table, spark.table(table))
 
 
+@register("sink_table_overwrite__published", S.with_silver("SELECT * FROM fact"))
+def q_sink_table_overwrite_published(spark, sf):
+    """Through the sink that tasks write to and one commit publishes."""
+    path = fresh(spark, "published")
+    fact = G.fact_energy(stored_silver(spark, sf))
+    warehouse.publish(fact.filter(F.col("RoomArea") > 20), path)
+    warehouse.publish(fact, path)  # replaces the rows of the first write
+    return warehouse.read_published(spark, path)
+
+
 PUBLISHED = {  # dataset -> (table of the oracle, energy column)
     "processed_energy": ("features", "EnergyConsumption"),
     "energy_by_building": ("(SELECT BuildingType, sum(EnergyConsumption) AS TotalEnergy FROM features GROUP BY 1)", "TotalEnergy"),

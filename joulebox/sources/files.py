@@ -87,5 +87,22 @@ def run_table_query(
     return spark.sql(sql_text, args=binds or None)
 
 
+def pushed_counts(spark: SparkSession, path: str, by: list[str] | None = None) -> DataFrame:
+    """Rows of a Parquet folder (column cnt), by partition columns if given, from the files' footers: no row is read.
+
+    The count is pushed into the V2 reader. Its settings are those of a session of its own, so the caller's stay.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "csv,json,orc,text,avro,kafka")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    rows = own.read.parquet(path)
+    return rows.groupBy(*(by or [])).agg(F.count(F.lit(1)).alias("cnt"))
+
+
+def has_rows(spark: SparkSession, name: str) -> bool:
+    """Whether a table exists and holds a row: one row is looked for, none are counted."""
+    return spark.catalog.tableExists(name) and not spark.table(name).isEmpty()
+
+
 def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)

@@ -153,3 +153,17 @@ def test_ridge_of_two_inputs_by_cramers_rule(spark):
     b2 = (p * r2 - r12 * r1) / (p * p - r12 * r12) * y.std() / x2.std()
     lr = M.fit_numeric_model(rows, ["RoomArea", "NumberofAppliances"]).stages[-1]
     assert lr.coefficients.toArray().tolist() == pytest.approx([b1, b2]) and lr.intercept == pytest.approx(y.mean() - b1 * x1.mean() - b2 * x2.mean())
+
+
+def test_dictionary_equals_string_indexer(spark):
+    from pyspark.ml.feature import StringIndexer
+
+    rows = spark.range(250_000).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.pmod(F.xxhash64("id"), F.lit(100_000)))).alias("key"))
+    probe = spark.createDataFrame([("hot", 1.0), ("k5", 2.0), ("none such", 3.0), (None, 4.0)], "key string, `index` double").unionByName(rows.limit(500).withColumn("index", F.lit(0.0)))
+    dictionary = M.category_dictionary(rows, "key")
+    assert dictionary.count() > 80_000
+    theirs = StringIndexer(inputCol="key", outputCol="i", handleInvalid="keep").fit(rows).transform(probe)
+    ours = M.index_by(probe, dictionary, "key", "i")
+    assert sorted(map(tuple, ours.collect()), key=str) == sorted(map(tuple, theirs.collect()), key=str)
+    big = M.index_by(rows, dictionary, "key", "i")._jdf.queryExecution().executedPlan().toString()
+    assert "Collect" not in big

@@ -1,5 +1,7 @@
 import json
+import os
 
+import pytest
 
 from joulebox.plans import readings as R
 from joulebox.sources import files
@@ -45,3 +47,37 @@ def test_kafka_value_decode(spark):
     rows = decode_values(msgs, RAW_READING).collect()
     assert rows[0]["RecordID"] == "REC-000001" and rows[0]["RoomArea"] == 10
     assert rows[1]["RecordID"] is None
+
+
+def test_counts_are_pushed_into_the_reader(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(1000).selectExpr("id", "id % 3 as p").write.partitionBy("p").parquet(path)
+    counted = files.pushed_counts(spark, path)
+    assert counted.first()[0] == 1000 and "PushedAggregation: [COUNT(*)]" in counted._jdf.queryExecution().executedPlan().toString()
+    by = files.pushed_counts(spark, path, ["p"])
+    assert {(r.p, r.cnt) for r in by.collect()} == {(0, 334), (1, 333), (2, 333)}
+    plan = by._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*)]" in plan and "PushedGroupBy: [p]" in plan
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"  # the caller's session is as it was
+
+
+def test_published_tables_are_replaced_wholly_or_not_at_all(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from joulebox.sources import warehouse
+
+    path = str(tmp_path / "table")
+    with pytest.raises(FileNotFoundError):
+        warehouse.read_published(spark, path)
+    warehouse.publish(spark.range(100).selectExpr("id", "cast(id as string) as s", "cast(null as double) as d").repartition(4), path)
+    old = warehouse.read_published(spark, path)
+    assert old.count() == 100 and old.schema.simpleString() == "struct<id:bigint,s:string,d:double>"
+    broken = spark.range(100).repartition(4).select("id", F.when(F.col("id") == 77, F.raise_error(F.lit("broken"))).otherwise("x").alias("s"), F.lit(1.0).alias("d"))
+    with pytest.raises(Exception, match="broken"):
+        warehouse.publish(broken, path)
+    assert warehouse.read_published(spark, path).count() == 100 and len([f for f in os.listdir(path) if "-" in f]) == 1  # the failed version is gone
+    warehouse.publish(spark.range(7).selectExpr("id", "'y' as s", "0.5 as d"), path)
+    assert warehouse.read_published(spark, path).count() == 7 and old.count() == 100  # planned before: it reads its version
+    assert warehouse.remove_old_versions(path, 3600) == [] and len(warehouse.remove_old_versions(path, 0)) == 1
+    warehouse.publish(spark.range(0).selectExpr("id", "'y' as s", "0.5D as d"), path)
+    assert warehouse.read_published(spark, path).count() == 0
