@@ -19,7 +19,7 @@ from joulebox.plans import loading as L
 from joulebox.plans import medallion as G
 from joulebox.plans import readings as R
 from joulebox.queries import sql as S
-from joulebox.registry import memo, register
+from joulebox.registry import ORACLES, memo, register
 from joulebox.session import scratch_path, stage_table
 from joulebox.sources import files, testdata, warehouse
 
@@ -76,6 +76,11 @@ def q_scan_json_inferred(spark, sf):
     return files.read_json_inferred(spark, raw_json_path(spark, sf))
 
 
+@register("scan_json_inferred__stored", ORACLES["scan_json_inferred"])
+def q_scan_json_inferred_stored(spark, sf):
+    return files.read_json_stored(spark, raw_json_path(spark, sf))
+
+
 @register(
     "scan_csv",
     f"""WITH {S.LOOSE.strip()}

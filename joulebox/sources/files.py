@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from joulebox.session import stage_table_observed
+
 CORRUPT_COLUMN = "_corrupt_record"
 
 
@@ -22,6 +24,45 @@ def read_json_inferred(spark: SparkSession, path: str, sampling_ratio: float = 1
     )
 
 
+def _json_type(kind: T.DataType) -> T.DataType:
+    """What JSON inference calls a type that was found through VARIANT: fractions are doubles, whole numbers beyond a
+    long are decimals, and values of several types are text."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _json_type(f.dataType)) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_json_type(kind.elementType))
+    if isinstance(kind, T.DecimalType):
+        return kind if kind.scale == 0 and kind.precision > 20 else T.DoubleType()
+    return T.StringType() if isinstance(kind, (T.VariantType, T.NullType)) else kind
+
+
+def read_json_stored(spark: SparkSession, path: str) -> DataFrame:
+    """JSON lines or one-line top-level arrays with inferred types, from one scan of the files.
+
+    The lines are stored once as Parquet, and while they are written Spark merges their types through VARIANT; the rows are then
+    parsed from the stored lines by these types. Types are those of ``read_json_inferred``: a field with
+    numbers and text is text, as it stands in the file, and lines that are not JSON add the corrupt-record column.
+    The stored lines last as long as the frame may be read (see ``stage_table``).
+    """
+    lines = spark.read.text(path)
+    rest = [c for c in lines.columns if c != "value"]  # partition columns
+    elements = F.when(F.col("value").rlike(r"^\s*\["), F.from_json("value", "array<string>")).otherwise(F.array("value"))
+    lines = lines.select(F.explode(elements).alias("value"), *rest).where(F.trim("value") != "")
+    # not-a-number values are numbers for the types; the stored lines keep them
+    plain = F.regexp_replace("value", r"(?<=[:\[,])\s*[+-]?(NaN|INF|Infinity)\s*(?=[,}\]])", "0.5")
+    parsed = F.try_parse_json(plain)
+    is_row = F.coalesce(F.schema_of_variant(parsed).startswith("OBJECT"), F.lit(False))
+    metrics = {"types": F.schema_of_variant_agg(F.when(is_row, parsed)), "bad": F.count_if(~is_row)}
+    stored, found = stage_table_observed(lines, "json-lines", metrics)
+    types = found["types"] or "VOID"
+    schema = _json_type(T.DataType.fromDDL(types.replace("OBJECT<", "STRUCT<"))) if types.startswith("OBJECT<") else T.StructType([])
+    options = {"allowNonNumericNumbers": "true"}
+    if found["bad"]:
+        schema = T.StructType([T.StructField(CORRUPT_COLUMN, T.StringType()), *schema.fields])
+        options["columnNameOfCorruptRecord"] = CORRUPT_COLUMN
+    return stored.select(F.from_json("value", schema, options).alias("_r"), *rest).select("_r.*", *rest)
+
+
 def read_json_schema(
     spark: SparkSession,
     path: str,

@@ -81,3 +81,21 @@ def test_published_tables_are_replaced_wholly_or_not_at_all(spark, tmp_path):
     assert warehouse.remove_old_versions(path, 3600) == [] and len(warehouse.remove_old_versions(path, 0)) == 1
     warehouse.publish(spark.range(0).selectExpr("id", "'y' as s", "0.5D as d"), path)
     assert warehouse.read_published(spark, path).count() == 0
+
+
+def test_json_types_found_while_lines_are_stored(spark, tmp_path):
+    lines = [
+        '{"a":1,"b":1.50,"c":"x","d":24710.0,"n":null,"o":{"p":1},"l":[1,2],"big":12345678901234567890123,"e":1.0E10,"w":5.0}',
+        '{"a":2.5,"b":2,"c":5,"d":"NaN","t":true,"o":{"q":"z"},"l":["s"],"e":3,"w":7.0, "i": 9}',
+        "", '[{"a":7},{"a":8,"c":"é, \\"q\\""}]', '{"a": NaN}',
+    ]
+    for name, own in (("good", lines), ("bad", [*lines, "not json", '{"a": 5'])):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "x.json").write_text("\n".join(own))
+        path = str(tmp_path / name)
+        want, got = files.read_json_inferred(spark, path), files.read_json_stored(spark, path)
+        assert got.schema == want.schema
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "x.json").write_text("")
+    assert files.read_json_stored(spark, str(tmp_path / "none")).count() == 0
