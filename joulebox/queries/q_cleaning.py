@@ -72,7 +72,7 @@ def q_energy_by_building(spark, sf):
 
 
 #: What stands for the day of a reading, which the loose readings lack.
-PART_OF = F.col("NumberofAppliances")
+PART_OF = "NumberofAppliances"
 BATCHES = 3
 
 
@@ -83,9 +83,10 @@ def stored_states(spark: SparkSession, sf: str):
         feats = stage_table(features(spark, sf), "features")
         path = scratch_path(spark, f"states-{uuid.uuid4().hex[:12]}")
         batch = F.pmod(F.xxhash64("RoomArea"), F.lit(BATCHES))
+        part = F.col(PART_OF)
         for b in [*range(BATCHES), 0]:
-            states.add_batch(spark, path, states.energy_states(feats.where(batch == b), PART_OF), f"B{b}")
-        states.replace_parts(spark, path, states.energy_states(feats.where(PART_OF == 7), PART_OF), "again")
+            states.add_batch(spark, path, states.energy_states(feats.where(batch == b), part), f"B{b}")
+        states.replace_parts(spark, path, states.energy_states(feats.where(part == 7), part), "again")
         return path
 
     return spark.read.parquet(memo(spark, ("energy-states", sf), store))

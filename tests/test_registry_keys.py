@@ -26,3 +26,11 @@ def test_all_survey_ids_registered():
     assert [i for i in ids if i not in q] == []
     assert set(o) <= set(q)
     assert all(isinstance(v, str) and v.strip() for v in o.values())
+
+
+def test_queries_can_be_listed_without_a_session():
+    import subprocess
+    import sys
+
+    code = "import __spark_entry__ as e; assert e.queries() and e.oracle_sql(); import pyspark; assert pyspark.SparkContext._active_spark_context is None"
+    subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True, timeout=120)
