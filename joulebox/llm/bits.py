@@ -1,7 +1,8 @@
 """Bit arrays and Bloom probes made of SQL expressions only.
 
 A bit array is a list of 64-bit words that a query carries as a literal. Its
-length is fixed by the caller, so what reaches every task has a known size.
+length is fixed by the caller, so what reaches every task has a known size. The literal is one
+text that the optimizer turns into an array once, so a plan with millions of words is built at once.
 """
 
 from __future__ import annotations
@@ -36,10 +37,9 @@ def fill(keys: DataFrame, key: Column, salt: int, n_bits: int, n_hashes: int) ->
 
 def holds(words: list[int], key: Column, salt: int, n_bits: int, n_hashes: int) -> Column:
     """Whether all bits of ``key`` are set."""
-    table = F.lit(words) if any(words) else None
-    if table is None:
+    if not any(words):
         return F.lit(False)
-    table = table.cast("array<bigint>")
+    table = F.split(F.lit(",".join(map(str, words))), ",").cast("array<bigint>")
     test = F.lit(True)
     for p in positions(key, salt, n_bits, n_hashes):
         word = F.get(table, F.shiftright(p, 6).cast("int"))

@@ -7,7 +7,8 @@ so on until no key is left. A key of the corpus is listed if and only if the
 number of levels that it passes before the first miss is odd; so membership is
 exact for every key of the corpus, though each level is only a Bloom filter.
 The levels' sizes follow the list and the false positives of the level before,
-not the corpus; they travel as literals, and no row is joined.
+not the corpus; they travel as literals (about 1.44 bits a listed key for each halving of the error rate). Building it joins the
+list with the keys that pass the first level only; judging joins nothing.
 
 A rule is (host, path): it fits its host and all subdomains when the url's path
 starts with the rule's. The keys of a url are the joined host endings and path
@@ -22,6 +23,7 @@ keys of one url are equally long, the one with the longer host wins.
 
 from __future__ import annotations
 
+import json
 import math
 from dataclasses import dataclass
 
@@ -55,19 +57,15 @@ def path_of(url: Column) -> Column:
 def url_keys(host: Column, path: Column, labels: list[int], lengths: list[int]) -> Column:
     """Keys (host ending joined with path start), longest first; of equal length the longer host first."""
     parts = F.size(F.split(host, r"\."))
-    found = []
-    for n in labels:
-        for m in lengths:
-            ending = F.substring_index(host, ".", -n)
-            start = F.substring(path, 1, m)
-            fits = (host != "") & (parts >= n) & (F.char_length(path) >= m)
-            key = F.struct(
-                (-F.char_length(ending) - m).alias("order"),
-                (-F.char_length(ending)).alias("then"),
-                F.concat(ending, start).alias("key"),
-            )
-            found.append(F.when(fits, key))
-    return F.transform(F.array_sort(F.array_compact(F.array(*found))), lambda k: k["key"])
+
+    def key(n: Column, m: Column) -> Column:
+        ending = F.call_function("substring_index", host, F.lit("."), -n)
+        fits = (host != "") & (parts >= n) & (F.char_length(path) >= m)
+        size = F.char_length(ending)
+        return F.when(fits, F.struct((-size - m).alias("order"), (-size).alias("then"), F.concat(ending, F.substring(path, 1, m)).alias("key")))
+
+    shapes = F.flatten(F.transform(F.lit(labels), lambda n: F.transform(F.lit(lengths), lambda m: key(n, m))))
+    return F.transform(F.array_sort(F.array_compact(shapes)), lambda k: k["key"])
 
 
 def build_cascade(listed: DataFrame, universe: DataFrame, max_levels: int = 64) -> list[Level]:
@@ -76,8 +74,7 @@ def build_cascade(listed: DataFrame, universe: DataFrame, max_levels: int = 64)
     The first level's error rate is the list's share of the universe, so about as many
     keys as are listed pass it wrongly; every later level errs at one half.
     """
-    inside = listed.select("key").where("key is not null").distinct()
-    outside = universe.select("key").join(inside, "key", "left_anti")
+    inside, outside = stage(listed.select("key").where("key is not null").distinct(), "listed-keys"), universe.select("key")
     n_in, n_out = inside.count(), outside.count()
     levels: list[Level] = []
     while n_in and len(levels) < max_levels:
@@ -87,7 +84,10 @@ def build_cascade(listed: DataFrame, universe: DataFrame, max_levels: int = 64)
         at = len(levels)
         level = Level(bits.fill(inside, F.col("key"), at, n_bits, n_hashes), n_bits, n_hashes)
         levels.append(level)
-        wrong = stage(outside.where(bits.holds(level.words, F.col("key"), at, n_bits, n_hashes)), f"cascade-{at}")
+        wrong = outside.where(bits.holds(level.words, F.col("key"), at, n_bits, n_hashes))
+        if at == 0:  # the few of the universe that pass are the listed ones and those that pass wrongly
+            wrong = wrong.join(inside, "key", "left_anti")
+        wrong = stage(wrong, f"cascade-{at}")
         # the next level holds what passed wrongly; what is in this one must then be told from it
         inside, outside, n_in = wrong, inside, wrong.count()
     if n_in:
@@ -126,8 +126,8 @@ def judge(
     universe = stage(keyed.select(F.explode("keys").alias("key")).distinct(), "url-keys")
     member = {}
     for verdict in ("block", "allow"):
-        own = [(h + p,) for v, h, p in rules if v == verdict]
-        member[verdict] = build_cascade(spark.createDataFrame(own, "key string"), universe)
+        own = F.from_json(F.lit(json.dumps([h + p for v, h, p in rules if v == verdict])), "array<string>")
+        member[verdict] = build_cascade(spark.range(1).select(F.explode(own).alias("key")), universe)
     def longest(verdict: str) -> Column:
         return F.get(F.filter(F.col("keys"), lambda k: listed(member[verdict], k)), F.lit(0))
 

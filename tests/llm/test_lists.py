@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -238,3 +239,13 @@ def test_many_unseen_forms_do_not_silence_a_context(spark):
     unseen = [(100 + i, f"note {i} reach me at 55/{700 + i}/{8888 - i} any day or not") for i in range(30)]
     got = identifiers.spans(spark.createDataFrame(seen + unseen, "doc_id long, text string"), ["doc_id"])
     assert got.where("size(spans) = 1").count() == 42 and got.where("doc_id >= 100 and size(base) = 0").count() == 30
+
+
+def test_cascade_of_200000_listed_keys(spark):
+    universe = spark.range(300_000).select(F.concat(F.lit("host"), "id", F.lit(".org/")).alias("key"))
+    inside = universe.where("crc32(key) % 3 != 0").union(spark.range(20).select(F.concat(F.lit("else"), "id").alias("key")))
+    started = time.time()
+    levels = url_lists.build_cascade(inside, universe)
+    wrong = universe.where(url_lists.listed(levels, F.col("key")) != F.expr("crc32(key) % 3 != 0"))
+    assert wrong.count() == 0 and sum(len(x.words) for x in levels) > 3000
+    assert time.time() - started < 120
