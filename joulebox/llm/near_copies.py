@@ -21,10 +21,8 @@ own class and the next, so that no similar two are kept apart), and of buckets w
 documents one is kept. First every bucket's smallest id is compared with all of it, which
 connects most of a group of near copies. In a bucket that still holds several components, all pairs left to
 test have a document outside the largest one: those are compared, by signature, with all
-documents of other components. The few that agree best are verified first; new links make new
-components, and so on; when the best bring no more, all the others are verified, until no pair that could be similar is untested. Candidate pairs whose
-signatures agree on less than ``LEAST_AGREEING`` components are passed over. Components of the verified
-links are the classes.
+documents of other components, and where ``LEAST_AGREEING`` components agree, exactly by their bags, in the same task, best ones
+first; a document that is linked to a component needs no more pairs there. Components of the verified links are the classes.
 
 Chance to miss a pair of similarity 0.8: (1 - 0.8**4)**24 < 4e-6 by the bands, about
 5e-5 by the agreement test (four standard deviations).
@@ -57,10 +55,9 @@ BANDS, ROWS = 24, 4
 SIZE = 352
 #: Of SIZE components; 0.8 less four standard deviations of the estimate.
 LEAST_AGREEING = int(SIZE * 0.8 - 4 * (SIZE * 0.8 * 0.2) ** 0.5)
-#: Candidates that a node outside its bucket's large component brings at first.
-FEW = 2
-#: Nodes of a bucket that one group of rows holds at most, or about.
+#: Nodes of a bucket, and shingles of their bags, that one group of rows holds at most, or about.
 CHUNK = 20_000
+CHUNK_SHINGLES = 2_000_000
 BLOCK_BYTES = 1 << 20
 
 
@@ -225,82 +222,135 @@ def _leader_links(nodes: DataFrame, texts: DataFrame, threshold: float) -> DataF
     return _verified(_agreeing(pairs, nodes), texts, threshold)
 
 
-def _open_nodes(nodes: DataFrame, comps: DataFrame) -> DataFrame:
-    """(node, comp, sig, keys, at): nodes of buckets with two components or more.
+def _bags(texts: DataFrame) -> DataFrame:
+    """(node, size, values, counts): the bag of each text (node, text), by shingle hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, data, offs in blocks(batch.column(1), BLOCK_BYTES):
+                row, value, count = bags(Spans(data, offs), SHINGLE)
+                n = np.bincount(row, minlength=hi - lo)
+                lists = list_column(value.view(np.int64), n, pa.int64()), list_column(count.astype(np.int32), n, pa.int32())
+                yield pa.record_batch([batch.column(0).slice(lo, hi - lo), pa.array(n.astype(np.int64)), *lists], ["node", "size", "values", "counts"])
+
+    return texts.select("node", "text").mapInArrow(run, "node long, size long, values array<long>, counts array<int>")
+
+
+def _open_nodes(nodes: DataFrame, comps: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, comp, sig, size, values, counts, keys, at): nodes of buckets with two components or more.
 
     ``keys`` are their open buckets in order, ``at`` says for each (key, big, chunks); big is the bucket's component with
-    most nodes. Signatures are joined to nodes, not to their places in buckets.
+    most nodes. Signatures and bags are joined to nodes, not to their places in buckets.
     """
     placed = nodes.select("node", "keys").join(comps, "node").select("node", "comp", F.explode("keys").alias("key"))
     sizes = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
-    big = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("comps"), F.max(F.struct("n", "comp")).alias("m"), F.sum("n").alias("rows"))
-    big = big.where("comps > 1").select("key", F.col("m.comp").alias("big"), F.ceil(F.col("rows") / CHUNK).cast("int").alias("chunks"))
+    big = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("comps"), F.max(F.struct("n", "comp")).alias("m"))
+    big = big.where("comps > 1").select("key", F.col("m.comp").alias("big"))
+    own = stage(placed.join(big, "key"), "open-places")
+    bag = stage(_bags(texts.join(own.select("node").distinct(), "node", "left_semi")).dropDuplicates(["node"]), "bags")
+    load = own.join(bag.select("node", "size"), "node").groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
+    chunks = load.select("key", F.greatest(F.ceil(F.col("n") / CHUNK), F.ceil(F.col("size") / CHUNK_SHINGLES)).cast("int").alias("chunks"))
     here = F.sort_array(F.collect_list(F.struct("key", "big", "chunks")))  # two for each band at most
-    own = placed.join(big, "key").groupBy("node").agg(F.min("comp").alias("comp"), here.alias("at"))
-    return nodes.select("node", "sig").join(own, "node").select("node", "comp", "sig", F.col("at.key").alias("keys"), "at")
-
-
-def _candidates(open_: DataFrame, most: int | None) -> DataFrame:
-    """(a, b): for each node outside its bucket's big component, the ``most`` nodes (None: all) of other components
-    whose signatures agree best, and at least on LEAST_AGREEING.
+    own = own.join(chunks, "key").groupBy("node").agg(F.min("comp").alias("comp"), here.alias("at"))
+    return nodes.select("node", "sig").join(own, "node").join(bag, "node").withColumn("keys", F.col("at.key"))
+
+
+class Group:
+    """Nodes of a bucket side by side."""
+
+    def __init__(self, parts: list[pa.RecordBatch]):
+        t = pa.Table.from_batches(parts).combine_chunks()
+        self.node, self.comp, self.outside = (t.column(c).to_numpy() for c in ("node", "comp", "outside"))
+        self.sig = t.column("sig").combine_chunks().flatten().to_numpy().reshape(len(self.node), SIZE)
+        self.keys, self.key_edge = self._lists(t.column("keys"))
+        self.values, self.edge = self._lists(t.column("values"))
+        self.counts, _ = self._lists(t.column("counts"))
+        self.values = self.values.view(U64)
+
+    @staticmethod
+    def _lists(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+        column = column.combine_chunks()
+        return column.flatten().to_numpy(), np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy())])
+
+    def similar(self, i: int, other: Group, j: int, threshold: float) -> bool:
+        """Whether the bags of node i and the other group's node j are similar, exactly."""
+        mine, theirs = slice(self.edge[i], self.edge[i + 1]), slice(other.edge[j], other.edge[j + 1])
+        x, y, a, b = self.values[mine], other.values[theirs], self.counts[mine], other.counts[theirs]
+        if not len(x) or not len(y):
+            return False
+        at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+        least = int(np.where(y[at] == x, np.minimum(a, b[at]), 0).sum())
+        return least >= threshold * (int(a.sum()) + int(b.sum()) - least)
+
+    def met_before(self, key: int, i: int, other: Group, js: np.ndarray) -> np.ndarray:
+        """Whether i and each of the other group's nodes share a bucket with a smaller key: their pair belongs there."""
+        mine = self.keys[self.key_edge[i] : self.key_edge[i + 1]]
+        mine = mine[mine < key]
+        if not len(mine) or not len(js):
+            return np.zeros(len(js), bool)
+        n = other.key_edge[js + 1] - other.key_edge[js]
+        theirs = other.keys[ranges(other.key_edge[js], n)]
+        shared = mine[np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)] == theirs
+        return np.bincount(np.repeat(np.arange(len(js)), n)[shared], minlength=len(js)) > 0
+
+    def links(self, key: int, sat: Group, threshold: float) -> tuple[list[int], list[int]]:
+        """Links of these nodes to nodes of ``sat``, one for each component that a node meets.
+
+        A pair of two nodes outside the big component is the smaller one's to test. Once a node is linked to a component, its
+        other pairs there bring nothing new.
+        """
+        a, b = [], []
+        for i in range(len(self.node)):
+            same = (sat.sig == self.sig[i]).sum(axis=1)
+            fit = np.flatnonzero((same >= LEAST_AGREEING) & (sat.comp != self.comp[i]) & (~sat.outside | (sat.node > self.node[i])))
+            fit = fit[~self.met_before(key, i, sat, fit)]
+            joined = set()
+            for j in fit[np.lexsort((sat.node[fit], -same[fit]))].tolist():
+                if sat.comp[j] not in joined and self.similar(i, sat, j, threshold):
+                    joined.add(sat.comp[j])
+                    a.append(int(min(self.node[i], sat.node[j])))
+                    b.append(int(max(self.node[i], sat.node[j])))
+        return a, b
+
+
+def _open_links(open_: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): links that join the components of open buckets.
 
     Pairs inside the big component need no test, so all pairs that are left have a node outside it. Buckets are cut into
-    chunks of about CHUNK nodes, which the nodes outside visit one by one. A pair that shares several
-    buckets is brought by the one with the smallest key.
+    chunks of about CHUNK nodes or CHUNK_SHINGLES shingles, which the nodes outside visit one by one, compared by signature and then
+    by their bags. A task holds a chunk and one batch of those that visit it. A pair that shares several
+    buckets is tested in the one with the smallest key.
     """
-    rows = open_.select("node", "comp", "sig", "keys", F.explode("at").alias("at")).select("node", "comp", "sig", "keys", "at.*")
+    rows = open_.select("node", "comp", "sig", "keys", "values", "counts", F.explode("at").alias("at"))
+    rows = rows.select("at.*", (F.col("comp") != F.col("at.big")).alias("outside"), "node", "comp", "sig", "keys", "values", "counts")
     home = F.pmod(F.xxhash64("node"), F.col("chunks").cast("long")).cast("int")
-    sat = rows.select("key", home.alias("chunk"), F.lit(False).alias("asks"), "node", "comp", "sig", "keys")
-    asks = rows.where("comp != big").select("key", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(True).alias("asks"), "node", "comp", "sig", "keys")
+    columns = ["outside", "node", "comp", "sig", "keys", "values", "counts"]
+    sat = rows.select("key", home.alias("chunk"), F.lit(False).alias("asks"), *columns)
+    asks = rows.where("outside").select("key", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(True).alias("asks"), *columns)
     parts = int(open_.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = sat.union(asks).repartition(parts, "key", "chunk").sortWithinPartitions("key", "chunk", "asks", "node")
 
-    def met_before(key: int, keys: np.ndarray, edge: np.ndarray, i: int, others: np.ndarray) -> np.ndarray:
-        """Whether i and each of the others share a bucket with a smaller key: their pair belongs there."""
-        mine = keys[edge[i] : edge[i + 1]]
-        mine = mine[mine < key]
-        if not len(mine):
-            return np.zeros(len(others), bool)
-        n = edge[others + 1] - edge[others]
-        theirs = keys[ranges(edge[others], n)]
-        shared = mine[np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)] == theirs
-        return np.bincount(np.repeat(np.arange(len(others)), n)[shared], minlength=len(others)) > 0
-
-    def best(lo: int, hi: int, key, asks, node, comp, sig, keys, edge) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        sat = lo + np.flatnonzero(~asks[lo:hi])
-        for i in (lo + np.flatnonzero(asks[lo:hi])).tolist():
-            same = (sig[sat] == sig[i]).sum(axis=1)
-            fit = np.flatnonzero((same >= LEAST_AGREEING) & (comp[sat] != comp[i]))
-            fit = fit[~met_before(key[i], keys, edge, i, sat[fit])]
-            if len(fit):
-                pick = sat[fit[np.lexsort((node[sat[fit]], -same[fit]))][:most]]
-                yield np.minimum(node[i], node[pick]), np.maximum(node[i], node[pick])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def settle(last: bool) -> Iterator[pa.RecordBatch]:
-            table = pa.Table.from_batches(held).combine_chunks()
-            held.clear()
-            key, chunk, asks, node, comp = (table.column(i).to_numpy() for i in range(5))
-            sig = table.column(5).combine_chunks().flatten().to_numpy().reshape(len(key), SIZE)
-            lists = table.column(6).combine_chunks()
-            keys, bounds = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
-            edge = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (chunk[1:] != chunk[:-1]))).tolist()
-            ends = [*edge[1:], len(key)]
-            if not last:  # the last group may go on in the next batch
-                held.extend(table.slice(edge[-1]).to_batches())
-                edge, ends = edge[:-1], ends[:-1]
-            found = [x for lo, hi in zip(edge, ends, strict=True) for x in best(lo, hi, key, asks, node, comp, sig, keys, bounds)]
-            if found:
-                yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], ["a", "b"])
-
+        now, sitting, group = None, [], None
         for batch in batches:
-            if batch.num_rows:
-                held.append(batch)
-                yield from settle(False)
-        if held:
-            yield from settle(True)
+            key, chunk, asks = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            edge = np.flatnonzero((key[1:] != key[:-1]) | (chunk[1:] != chunk[:-1]) | (asks[1:] != asks[:-1])) + 1
+            for lo, hi in zip([0, *edge.tolist()], [*edge.tolist(), len(key)], strict=True):
+                if hi == lo:
+                    continue
+                if (key[lo], chunk[lo]) != now:
+                    now, sitting, group = (key[lo], chunk[lo]), [], None
+                part = batch.slice(lo, hi - lo)
+                if not asks[lo]:
+                    sitting.append(part)
+                    group = None
+                    continue
+                if not sitting:  # a chunk that no node has its home in
+                    continue
+                group = group or Group(sitting)
+                a, b = Group([part]).links(int(key[lo]), group, threshold)
+                if a:
+                    yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
@@ -316,23 +366,8 @@ def _joined(comps: DataFrame, links: DataFrame) -> DataFrame:
 def _bucket_components(nodes: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """(node, comp): components of the verified links of all nodes (node, keys, sig) that share a bucket."""
     comps = _joined(nodes.select("node", F.col("node").alias("comp")), _leader_links(nodes, texts, threshold))
-    tested, most = None, FEW
-    while True:
-        nodes = stage(_open_nodes(nodes, comps), "open-buckets")  # a connected bucket stays connected
-        if nodes.isEmpty():
-            return comps
-        fresh = _candidates(nodes, most)
-        if tested is not None:
-            fresh = fresh.join(tested, ["a", "b"], "left_anti")
-        fresh = stage(fresh, "candidates")
-        tested = fresh if tested is None else tested.union(fresh)
-        good = _verified(fresh, texts, threshold)
-        if not good.isEmpty():
-            comps, most = _joined(comps, good), FEW  # look again with the new components
-        elif most is None:
-            return comps
-        else:
-            most = None  # the best few bring no more: now all that are left
+    open_ = stage(_open_nodes(nodes, comps, texts), "open-buckets")  # a connected bucket needs no more
+    return comps if open_.isEmpty() else _joined(comps, stage(_open_links(open_, threshold), "links"))
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

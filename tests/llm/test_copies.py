@@ -161,6 +161,23 @@ def test_near_copies_against_brute_force(spark):
     assert sum(r.doc_id is None for r in kept) == 1 and kept[0].__fields__ == df.columns
 
 
+def test_buckets_cut_into_chunks_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(near_copies, "CHUNK", 5)
+    rnd = random.Random(11)
+    vocabulary = [f"v{k}" for k in range(400)]
+    docs = []
+    for g in range(6):  # groups around the threshold: links between some, none between others
+        base = [rnd.choice(vocabulary) for _ in range(120)]
+        for i in range(25):
+            w = list(base)
+            for _ in range(rnd.randint(0, 7)):
+                w[rnd.randrange(len(w))] = f"x{rnd.randrange(10**6)}"
+            docs.append((g * 100 + i, " ".join(w)))
+    got = near_copies.label(spark.createDataFrame(rows(docs), DOCS)).collect()
+    want = brute_classes(docs)
+    assert {r.doc_id: r.class_id for r in got} == want and len(set(want.values())) > 20
+
+
 def test_near_copies_of_an_empty_table(spark):
     df = spark.createDataFrame([], DOCS)
     assert near_copies.label(df).count() == 0 and near_copies.keep_one(df).count() == 0
