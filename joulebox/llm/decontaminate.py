@@ -36,8 +36,9 @@ from .tables import stage
 WIDTH = 10
 BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Largest filter of benchmark terms that travels with a query, in bits (512 KB).
-MAX_FILTER_BITS = 1 << 22
+#: Largest filter of benchmark terms that travels with a query, in bits (4 MB: 16 bits for each of two million terms).
+#: With more terms more of the documents' other words pass it, up to all of them: the cost grows, the result is the same.
+MAX_FILTER_BITS = 1 << 25
 
 
 def words_of(text: Column) -> Column:

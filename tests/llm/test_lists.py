@@ -249,3 +249,14 @@ def test_cascade_of_200000_listed_keys(spark):
     wrong = universe.where(url_lists.listed(levels, F.col("key")) != F.expr("crc32(key) % 3 != 0"))
     assert wrong.count() == 0 and sum(len(x.words) for x in levels) > 3000
     assert time.time() - started < 120
+
+
+def test_filter_of_500000_benchmark_terms(spark):
+    terms = spark.range(500_000).select(F.concat(F.lit("t"), "id").alias("term"))
+    words, n_bits = decontaminate._term_filter(terms)
+    assert n_bits == 1 << 23 and sum(w.bit_count() if w >= 0 else 64 - (~w).bit_count() for w in words) < 500_001
+    others = spark.range(100_000).select(F.concat(F.lit("u"), "id").alias("term"))
+    passed = [t.where(decontaminate.bits.holds(words, F.col("term"), 0, n_bits, 1)).count() for t in (terms, others)]
+    assert passed[0] == 500_000 and passed[1] < 10_000
+    docs = spark.createDataFrame([(1, "t7 u7 t499999 t7")], "doc_id long, text string")
+    assert {(r.term, r.n) for r in decontaminate.term_frequencies(docs, terms, "text").collect()} == {("t7", 2), ("t499999", 1)}
