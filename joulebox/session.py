@@ -12,6 +12,7 @@ import re
 import tempfile
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Observation, SparkSession
 
@@ -66,8 +67,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, name) if "://" not in base else base.rstrip("/") + "/" + name
 
 
-#: Folders staged by the scopes that are open now, the innermost last.
-_SCOPES: list[list[str]] = []
+#: Folders staged by the scopes that are open in this thread, the innermost last.
+_SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("staging-scopes", default=())
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
@@ -83,11 +84,13 @@ def staging(spark: SparkSession):
 
     A job wraps its whole work in it; what the job returns or has written must not read them.
     """
-    _SCOPES.append([])
+    own: list[str] = []
+    before = _SCOPES.set((*_SCOPES.get(), own))
     try:
         yield
     finally:
-        for path in _SCOPES.pop():
+        _SCOPES.reset(before)
+        for path in own:
             delete_path(spark, path)
 
 
@@ -102,8 +105,8 @@ def stage_table(df, name: str):
     it lasts as long as the checkpoint folder.
     """
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}")
-    if _SCOPES:
-        _SCOPES[-1].append(path)
+    if scopes := _SCOPES.get():
+        scopes[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
