@@ -368,7 +368,7 @@ def _stretches(docs: DataFrame, width: int, gram: int, id_col: str, text_col: st
         if held:
             yield _sent_cuts(_repeats(held, width), parts)
 
-    sent = rows.mapInArrow(pack, _SENT).repartition(parts, "part").sortWithinPartitions("bucket")
+    sent = rows.mapInArrow(pack, _SENT).repartitionById(parts, F.col("part")).sortWithinPartitions("bucket")
     return sent.mapInArrow(count, "part int, kind int, body binary")
 
 
@@ -454,5 +454,5 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, id_col
                 yield keep(columns, np.frombuffer(text, np.uint8), cuts)
 
     sent = _stretches(docs, width, gram, id_col, text_col, parts).union(_packed_texts(docs, id_col, text_col, parts))
-    dealt = sent.repartition(parts, "part").sortWithinPartitions("kind")
+    dealt = sent.repartitionById(parts, F.col("part")).sortWithinPartitions("kind")
     return dealt.mapInArrow(cut, f"`{id_col}` long, n_words long, n_removed long, {name} string")
