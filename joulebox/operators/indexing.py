@@ -15,18 +15,22 @@ from pyspark.sql import functions as F
 from joulebox.session import stage_table
 
 
-#: Estimated bytes that a partition of the range shuffle should hold.
-PARTITION_BYTES = 256 << 20
+#: Stored bytes of the tables read that one partition of a shuffle should stand for: rows take many times as much unpacked.
+PARTITION_BYTES = 16 << 20
 
 
 #: Spark gives frames of unknown size (rows handed over by the driver) a size beyond any real table.
 UNKNOWN_BYTES = 1 << 53
 
 
-def _by_size(df: DataFrame) -> int:
-    """Partitions for the optimizer's estimate of the frame's size; 1 where it has none."""
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return max(1, size // PARTITION_BYTES if size < UNKNOWN_BYTES else 1)
+def partitions_for(df: DataFrame) -> int:
+    """Partitions for what the frame reads; 1 where that has no known size.
+
+    The sizes are those of the plan's sources: the optimizer takes a join to be as large as its sides multiplied.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+    return max(1, sum(s for s in sizes if s < UNKNOWN_BYTES) // PARTITION_BYTES)
 
 
 def global_index(df: DataFrame, order: list[Column | str], index_col: str = "row_index", partitions: int | None = None) -> DataFrame:
@@ -36,7 +40,7 @@ def global_index(df: DataFrame, order: list[Column | str], index_col: str = "row
     value that repeats a third of all rows does not land in one task.
     """
     spark = df.sparkSession
-    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), _by_size(df))
+    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), partitions_for(df))
     keys = [F.col(c) if isinstance(c, str) else c for c in order] + [F.rand(17)]
     ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     tagged = ranged.withColumns({"_pid": F.spark_partition_id(), "_mid": F.monotonically_increasing_id()})

@@ -30,6 +30,7 @@ from joulebox.operators.indexing import global_index
 
 PARTITIONS = 3
 ROWS_PER_TASK = 1_000_000
+ROWS_PER_FILE = 100_000  # a read opens whole files: short ones keep it near the rows that it wants
 SCHEMA = "key binary, value binary, topic string, partition int, offset long, timestamp timestamp"
 _COLUMNS = ["key", "value", "offset", "timestamp"]
 
@@ -54,7 +55,8 @@ def publish(
         (timestamp if timestamp is not None else F.current_timestamp()).alias("timestamp"),
     )
     part = f"{path.rstrip('/')}/log/{time.time_ns()}"
-    records.sortWithinPartitions("partition", "offset").write.partitionBy("partition").parquet(part)
+    in_order = records.sortWithinPartitions("partition", "offset")
+    in_order.write.option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy("partition").parquet(part)
     written = spark.read.parquet(part).groupBy(F.expr("_metadata.file_path").alias("file"), "partition")
     files = written.agg(F.min("offset").alias("first"), F.max("offset").alias("last"))
     files.select("file", F.col("partition").cast("int"), "first", "last").coalesce(1).write.mode("append").json(f"{path.rstrip('/')}/segments")
