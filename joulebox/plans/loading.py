@@ -58,8 +58,13 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
     w.parquet(path)
 
 
+#: Rows of a compressed JSON file at most: one task reads such a file from its start to its end.
+JSON_ROWS_PER_FILE = 500_000
+
+
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).json(path)
+    """JSON lines, compressed: they repeat the column names in every row. Readers know them by the ending ``.json.gz``."""
+    df.write.mode(mode).option("compression", "gzip").option("maxRecordsPerFile", JSON_ROWS_PER_FILE).json(path)
 
 
 def append_if_rows(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> bool:

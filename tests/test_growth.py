@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from joulebox.operators import indexing
+from joulebox.plans import loading
 from joulebox.sources import topic
 
 
@@ -21,6 +22,14 @@ def test_partitions_follow_the_tables_read_and_not_a_joins_estimate(spark, tmp_p
 def test_topic_files_are_short(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(topic, "ROWS_PER_FILE", 10)
     topic.publish(spark.range(300).repartition(1), f"{tmp_path}/topic", ["id"], partitions=2)
-    found = topic._segments(f"{tmp_path}/topic")
-    assert max(s["last"] - s["first"] + 1 for s in found) <= 10
-    assert sum(s["last"] - s["first"] + 1 for s in found) == 300
+    rows = spark.read.parquet(f"{tmp_path}/topic/log/*").groupBy(F.expr("_metadata.file_path")).count().collect()
+    assert max(r["count"] for r in rows) <= 10
+    assert sum(r["count"] for r in rows) == 300
+
+
+def test_json_is_written_compressed_in_short_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(loading, "JSON_ROWS_PER_FILE", 100)
+    rows = spark.range(250).select(F.col("id"), F.lit("a text that repeats").alias("text")).repartition(1)
+    loading.write_json(rows, f"{tmp_path}/out")
+    assert len(list((tmp_path / "out").glob("part-*.json.gz"))) == 3
+    assert {tuple(r) for r in spark.read.schema(rows.schema).json(f"{tmp_path}/out").collect()} == {tuple(r) for r in rows.collect()}
