@@ -94,7 +94,7 @@ def staging(spark: SparkSession):
             delete_path(spark, path)
 
 
-def stage_table(df, name: str):
+def stage_table(df, name: str, compression: str | None = None):
     """Write ``df`` as parquet to a fresh folder under the shared checkpoint
     directory and return a frame reading it back.
 
@@ -102,19 +102,20 @@ def stage_table(df, name: str):
     then the rows): the second use scans stored columns, with pruning and
     filter pushdown, and the lineage is cut, so a lost executor only costs a
     re-read. The innermost open ``staging`` block owns the folder; without one
-    it lasts as long as the checkpoint folder.
+    it lasts as long as the checkpoint folder. ``compression`` is the codec of the
+    files, the session's unless named.
     """
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}")
     if scopes := _SCOPES.get():
         scopes[-1].append(path)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def stage_table_observed(df, name: str, metrics: dict):
+def stage_table_observed(df, name: str, metrics: dict, compression: str | None = None):
     """``stage_table`` that also returns aggregate ``metrics`` ({alias: Column})
     computed by the same write through ``DataFrame.observe`` (no extra pass)."""
     obs = Observation(name)
     observed = df.observe(obs, *[m.alias(k) for k, m in metrics.items()])
-    out = stage_table(observed, name)
+    out = stage_table(observed, name, compression)
     return out, obs.get

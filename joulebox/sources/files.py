@@ -53,7 +53,7 @@ def read_json_stored(spark: SparkSession, path: str) -> DataFrame:
     parsed = F.try_parse_json(plain)
     is_row = F.coalesce(F.schema_of_variant(parsed).startswith("OBJECT"), F.lit(False))
     metrics = {"types": F.schema_of_variant_agg(F.when(is_row, parsed)), "bad": F.count_if(~is_row)}
-    stored, found = stage_table_observed(lines, "json-lines", metrics)
+    stored, found = stage_table_observed(lines, "json-lines", metrics, compression="zstd")  # text that repeats itself
     types = found["types"] or "VOID"
     schema = _json_type(T.DataType.fromDDL(types.replace("OBJECT<", "STRUCT<"))) if types.startswith("OBJECT<") else T.StructType([])
     options = {"allowNonNumericNumbers": "true"}

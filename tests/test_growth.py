@@ -1,10 +1,11 @@
 """What grows with the tables: partitions, files, bytes written, rows of a task."""
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from joulebox.operators import indexing
 from joulebox.plans import loading
-from joulebox.sources import topic
+from joulebox.sources import files, topic
 
 
 def test_partitions_follow_the_tables_read_and_not_a_joins_estimate(spark, tmp_path, monkeypatch):
@@ -33,3 +34,10 @@ def test_json_is_written_compressed_in_short_files(spark, tmp_path, monkeypatch)
     loading.write_json(rows, f"{tmp_path}/out")
     assert len(list((tmp_path / "out").glob("part-*.json.gz"))) == 3
     assert {tuple(r) for r in spark.read.schema(rows.schema).json(f"{tmp_path}/out").collect()} == {tuple(r) for r in rows.collect()}
+
+
+def test_stored_json_lines_are_packed_by_zstd(spark, tmp_path):
+    loading.write_json(spark.range(20), f"{tmp_path}/in")
+    stored = files.read_json_stored(spark, f"{tmp_path}/in")
+    assert {pq.ParquetFile(f.removeprefix("file://")).metadata.row_group(0).column(0).compression for f in stored.inputFiles()} == {"ZSTD"}
+    assert {r["id"] for r in stored.collect()} == set(range(20))
