@@ -361,7 +361,8 @@ def q_quantiles_approx(spark, sf):
 def within(feats, got):
     """Whether each quantile of ``got`` (column, probability, value) has a rank in ``feats`` within 0.01 of its probability."""
     ranks = feats.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in APPROX_COLUMNS])).alias("e")).select("e.*")
-    counted = ranks.join(got, "column").groupBy("column", "probability").agg(
+    # bounded: one row per quantile; joined by a shuffle, all rows of a column would go to one task
+    counted = ranks.join(F.broadcast(got), "column").groupBy("column", "probability").agg(
         F.count("x").alias("n"), F.count_if(F.col("x") < F.col("value")).alias("below"), F.count_if(F.col("x") <= F.col("value")).alias("upto")
     )
     wanted, slack = F.col("probability") * F.col("n"), F.col("n") * 0.01 + 1

@@ -41,3 +41,18 @@ def test_stored_json_lines_are_packed_by_zstd(spark, tmp_path):
     stored = files.read_json_stored(spark, f"{tmp_path}/in")
     assert {pq.ParquetFile(f.removeprefix("file://")).metadata.row_group(0).column(0).compression for f in stored.inputFiles()} == {"ZSTD"}
     assert {r["id"] for r in stored.collect()} == set(range(20))
+
+
+def test_ranks_of_quantiles_are_not_dealt_by_column(spark):
+    from joulebox.queries.q_cleaning import APPROX_COLUMNS, within
+
+    feats = spark.range(100).select(*[F.col("id").cast("double").alias(c) for c in APPROX_COLUMNS])
+    got = spark.createDataFrame([(c, 0.5, 50.0) for c in APPROX_COLUMNS], "column string, probability double, value double")
+    with_conf = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        checked = within(feats, got)
+        assert "SortMergeJoin" not in checked._jdf.queryExecution().executedPlan().toString()
+        assert [(r["n"], r["within"]) for r in checked.collect()] == [(100, True)] * 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", with_conf)
