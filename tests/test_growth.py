@@ -3,7 +3,7 @@
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
-from joulebox.operators import indexing
+from joulebox.operators import dedup, indexing
 from joulebox.plans import loading
 from joulebox.sources import files, topic
 
@@ -56,3 +56,14 @@ def test_ranks_of_quantiles_are_not_dealt_by_column(spark):
         assert [(r["n"], r["within"]) for r in checked.collect()] == [(100, True)] * 3
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", with_conf)
+
+
+def test_large_tables_are_deduplicated_in_more_tasks_with_the_same_rows(spark, monkeypatch):
+    key = F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id") % 50)  # a third of the rows share the NULL key
+    rows = spark.range(1200).select(key.alias("k"), (F.col("id") % 7).cast("double").alias("v"), F.when(F.col("id") % 5 > 0, F.lit(-0.0)).otherwise(0.0).alias("z"))
+    plain_key, plain_rows = (sorted(map(repr, d.collect())) for d in (dedup.dedup_key(rows, "k"), dedup.dedup_rows_counted(rows)))
+    monkeypatch.setattr(dedup, "partitions_for", lambda df: 20)
+    for found, plain in ((dedup.dedup_key(rows, "k"), plain_key), (dedup.dedup_rows_counted(rows), plain_rows)):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(_hash") == 2 and plan.count("Exchange") == 2 and ", 20)" in plan
+        assert sorted(map(repr, found.collect())) == plain
