@@ -10,7 +10,8 @@ terms, largest first, while they stay competitive. The threshold rises block by
 block, and from shard to shard within a task; the tasks' best are merged.
 
 Vectors are packed in shards, queries in blocks; each block meets each shard once. Shards
-are dealt to groups by a hash, blocks are copied to the groups.
+are dealt to tasks by a hash; every task reads the stored blocks, so no block passes through the driver or
+is copied in a shuffle, and a task holds its own shards and a batch.
 
 Components become floor(scale * x), whole numbers; scores are exact (float64 while
 all sums stay below 2**52, Python integers beyond) and end at the range of a long.
@@ -32,11 +33,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tables import stage
+from .tables import parts_for, stage
 
 SHARD = 4096
 QUERY_BLOCK = 256
 STEP = 1024
+TASK_BYTES = 64 << 20  # stored bytes of the vectors whose shards one task holds
 _PACKED = "block string, ids binary, width int, body binary"
 
 
@@ -141,16 +143,16 @@ def top_k(
     vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024, id_col: str = "vec_id", vector_col: str = "embedding", groups: int | None = None
 ) -> DataFrame:
     """(query_id, rank, id, score): the k best candidates of every row for which ``is_query`` holds."""
-    spark = vectors.sparkSession
     rows = vectors.where(F.col(id_col).isNotNull() & usable(F.col(vector_col)))
     numbers = whole_numbers(F.col(vector_col), scale).alias("v")
-    groups = groups or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     shards = _pack(rows.select(F.col(id_col).cast("long").alias("id"), numbers), SHARD)
     asked = rows.where(is_query).select(F.col(id_col).cast("long").alias("id"), numbers).distinct()
     blocks = stage(_pack(asked, QUERY_BLOCK), "query-blocks")  # a task that runs again must meet the same blocks
-    shards = shards.withColumn("group", F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int"))
-    copies = blocks.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    met = copies.alias("q").join(shards.alias("s"), "group").select(
+    wanted = groups or parts_for(rows, TASK_BYTES)
+    by_session = not groups and wanted == int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # then tasks may be joined
+    shards = shards.repartition("block") if by_session else shards.repartition(wanted, "block")
+    # blocks by shards without a key: a block's row meets the shards that its task holds, one after the other
+    met = blocks.alias("q").hint("shuffle_replicate_nl").crossJoin(shards.alias("s")).select(
         F.col("q.block"), F.col("q.ids"), F.col("q.width"), F.col("q.body"), F.col("s.ids").alias("s_ids"), F.col("s.width").alias("s_width"), F.col("s.body").alias("s_body")
     )
 

@@ -111,6 +111,26 @@ def test_top_k_against_brute_force(spark):
     assert topk.top_k(df.limit(0), F.col("vec_id") % 100 == 0).count() == 0
 
 
+def test_top_k_sends_no_blocks_through_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(topk, "SHARD", 20)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 3)
+    rng = np.random.default_rng(4)
+    vectors = [(i, [int(x) for x in rng.integers(-9, 9, 5)]) for i in range(200)]
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in vectors], "vec_id long, embedding array<double>").repartition(3)
+    want = []
+    for q, v in vectors[::10]:
+        best = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), i) for i, w in vectors if i != q)[:4]
+        want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(best)]
+    for groups in (None, 1, 7):
+        found = topk.top_k(df, F.col("vec_id") % 10 == 0, k=4, scale=1, groups=groups)
+        assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(tuple, found.collect())) == want
+    monkeypatch.setattr(topk, "parts_for", lambda rows, bytes_each: 11)  # vectors that ask for more tasks than the session's
+    many = topk.top_k(df, F.col("vec_id") % 10 == 0, k=4, scale=1)
+    assert "hashpartitioning(block" in (plan := many._jdf.queryExecution().executedPlan().toString()) and ", 11)" in plan
+    assert sorted(map(tuple, many.collect())) == want
+
+
 def test_top_k_returns_all_of_few_and_keeps_large_numbers_exact(spark):
     df = spark.createDataFrame([(0, [2.0e6, 1.0]), (1, [2.0e6, 0.001]), (2, [-2.0e6, 1.0])], "vec_id long, embedding array<double>")
     got = [(r.rank, r.vec_id, r.score) for r in topk.top_k(df, F.col("vec_id") == 0).orderBy("rank").collect()]
