@@ -3,13 +3,13 @@
 ``publish`` appends rows to a topic's folder as records (key, value, partition,
 offset, timestamp), dealt over the partitions in their order, and lists the written files
 with their offset ranges. ``StoredTopic`` is a streaming data source over such a folder: offsets
-are tracked per partition in the query's checkpoint, a read takes only the files that
-hold its offsets, and long ranges are cut so that several tasks share a partition.
+are tracked per partition in the query's checkpoint, a read takes only the files and their row groups that
+hold its offsets, and a micro-batch is cut into equal ranges so that all cores share it.
 
 Options: ``path`` (the folder), ``topic`` (its name), ``startingOffsets`` (``earliest`` or ``latest``),
 ``maxOffsetsPerTrigger`` (rows of a micro-batch at most), ``stopAfter`` (rows at most since
 the query was started), ``interval`` (seconds between two micro-batches' worth of rows, for a replay
-at a pace). A source does not learn from Spark where a restarted query stands,
+at a pace), ``minPartitions`` (tasks to deal a micro-batch to where it has the rows). A source does not learn from Spark where a restarted query stands,
 so the row bounds need ``checkpoint``, the query's checkpoint folder, whose offset log says it.
 """
 
@@ -30,7 +30,9 @@ from joulebox.operators.indexing import global_index
 
 PARTITIONS = 3
 ROWS_PER_TASK = 1_000_000
+ROWS_PER_RANGE = 10_000  # fewer are not worth another task
 ROWS_PER_FILE = 100_000  # a read opens whole files: short ones keep it near the rows that it wants
+ROWS_PER_GROUP = 10_000  # and decodes whole row groups
 SCHEMA = "key binary, value binary, topic string, partition int, offset long, timestamp timestamp"
 _COLUMNS = ["key", "value", "offset", "timestamp"]
 
@@ -56,7 +58,8 @@ def publish(
     )
     part = f"{path.rstrip('/')}/log/{time.time_ns()}"
     in_order = records.sortWithinPartitions("partition", "offset")
-    in_order.write.option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy("partition").parquet(part)
+    layout = {"maxRecordsPerFile": ROWS_PER_FILE, "parquet.block.row.count.limit": ROWS_PER_GROUP, "parquet.enable.dictionary#value": "false"}
+    in_order.write.options(**layout).partitionBy("partition").parquet(part)
     written = spark.read.parquet(part).groupBy(F.expr("_metadata.file_path").alias("file"), "partition")
     files = written.agg(F.min("offset").alias("first"), F.max("offset").alias("last"))
     files.select("file", F.col("partition").cast("int"), "first", "last").coalesce(1).write.mode("append").json(f"{path.rstrip('/')}/segments")
@@ -114,8 +117,30 @@ def checkpointed(checkpoint: str, source: int = 0) -> dict[str, int] | None:
 
 
 class Range(InputPartition):
-    def __init__(self, partition: int, first: int, end: int, files: list[str]):
-        self.partition, self.first, self.end, self.files = partition, first, end, files
+    """What a task reads: pieces (partition, first offset, end, files that hold some of it)."""
+
+    def __init__(self, pieces: list[tuple[int, int, int, list[str]]]):
+        self.pieces = pieces
+
+
+def cut(start: dict[str, int], end: dict[str, int], tasks: int) -> list[list[tuple[str, int, int]]]:
+    """The records between two positions as equally long runs of (partition, first offset, end): one for each task, fewer where they
+    would be short, more where they would be long.
+
+    A run may take the rest of one partition and the beginning of the next, so the longest task is no longer than the others.
+    """
+    rows = {p: max(0, stop - start.get(p, 0)) for p, stop in sorted(end.items())}
+    total, before = sum(rows.values()), 0
+    n = max(min(tasks, total // ROWS_PER_RANGE), -(-total // ROWS_PER_TASK))
+    bounds = [total * i // n for i in range(n + 1)] if n else [0]
+    out: list[list[tuple[str, int, int]]] = [[] for _ in bounds[1:]]
+    for p, length in rows.items():
+        for run, lo, hi in zip(out, bounds, bounds[1:], strict=False):
+            lo, hi = max(lo, before), min(hi, before + length)
+            if lo < hi:
+                run.append((p, end[p] - length + lo - before, end[p] - length + hi - before))
+        before += length
+    return out
 
 
 class TopicReader(DataSourceStreamReader):
@@ -124,7 +149,7 @@ class TopicReader(DataSourceStreamReader):
         self.starting = options.get("startingoffsets", "earliest")
         number = lambda name: int(options[name]) if options.get(name) else None
         self.rows, self.stop_after, self.interval = number("maxoffsetspertrigger"), number("stopafter"), float(options.get("interval", 0))
-        self.checkpoint = options.get("checkpoint")
+        self.checkpoint, self.tasks = options.get("checkpoint"), number("minpartitions") or 1
         if (self.rows or self.stop_after) and not self.checkpoint:
             raise ValueError("maxOffsetsPerTrigger and stopAfter need the option checkpoint")
         self.position: dict[str, int] | None = None
@@ -148,28 +173,29 @@ class TopicReader(DataSourceStreamReader):
         return self.position
 
     def partitions(self, start: dict, end: dict) -> list[Range]:
-        segments, out = _segments(self.path), []
-        for p, stop in sorted(end.items()):
-            for lo in range(start.get(p, 0), stop, ROWS_PER_TASK):
-                hi = min(stop, lo + ROWS_PER_TASK)
-                out.append(Range(int(p), lo, hi, [s["file"] for s in segments if str(s["partition"]) == p and s["first"] < hi and s["last"] >= lo]))
-        return out
+        segments = _segments(self.path)
+        held = lambda p, lo, hi: [s["file"] for s in segments if str(s["partition"]) == p and s["first"] < hi and s["last"] >= lo]
+        return [Range([(int(p), lo, hi, held(p, lo, hi)) for p, lo, hi in run]) for run in cut(start, end, self.tasks)]
 
     def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
-        for file in partition.files:
-            store, at = _open(file)
-            within = [("offset", ">=", partition.first), ("offset", "<", partition.end)]
-            found = pq.read_table(at, filesystem=store, columns=_COLUMNS, filters=within, partitioning=None)
-            n = found.num_rows
-            columns = {
-                "key": found["key"].cast(pa.binary()),
-                "value": found["value"].cast(pa.binary()),
-                "topic": pa.array([self.topic] * n, pa.string()),
-                "partition": pa.array([partition.partition] * n, pa.int32()),
-                "offset": found["offset"].cast(pa.int64()),
-                "timestamp": found["timestamp"].cast(pa.timestamp("us", "UTC")),
-            }
-            yield from pa.table(columns).to_batches(max_chunksize=10_000)
+        for number, first, end, files in partition.pieces:
+            for file in files:
+                yield from self._records(number, first, end, file)
+
+    def _records(self, number: int, first: int, end: int, file: str) -> Iterator[pa.RecordBatch]:
+        store, at = _open(file)
+        within = [("offset", ">=", first), ("offset", "<", end)]
+        found = pq.read_table(at, filesystem=store, columns=_COLUMNS, filters=within, partitioning=None)
+        n = found.num_rows
+        columns = {
+            "key": found["key"].cast(pa.binary()),
+            "value": found["value"].cast(pa.binary()),
+            "topic": pa.array([self.topic] * n, pa.string()),
+            "partition": pa.array([number] * n, pa.int32()),
+            "offset": found["offset"].cast(pa.int64()),
+            "timestamp": found["timestamp"].cast(pa.timestamp("us", "UTC")),
+        }
+        yield from pa.table(columns).to_batches(max_chunksize=10_000)
 
 
 class StoredTopic(DataSource):
@@ -192,7 +218,8 @@ def topic_stream(
 ) -> DataFrame:
     """The topic's records as a stream; the same columns as a Kafka topic's (but its headers)."""
     spark.dataSource.register(StoredTopic)
-    given = {"path": path, "topic": topic, "checkpoint": checkpoint, "maxOffsetsPerTrigger": max_rows, "stopAfter": stop_after, "interval": interval}
+    tasks = spark.sparkContext.defaultParallelism
+    given = {"path": path, "topic": topic, "checkpoint": checkpoint, "maxOffsetsPerTrigger": max_rows, "stopAfter": stop_after, "interval": interval, "minPartitions": tasks}
     reader = spark.readStream.format("stored_topic").option("startingOffsets", starting_offsets)
     for name, value in given.items():
         if value is not None:

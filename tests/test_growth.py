@@ -28,6 +28,33 @@ def test_topic_files_are_short(spark, tmp_path, monkeypatch):
     assert sum(r["count"] for r in rows) == 300
 
 
+def test_topic_records_lie_in_short_row_groups(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(topic, "ROWS_PER_GROUP", 10)
+    topic.publish(spark.range(300).repartition(1), f"{tmp_path}/topic", ["id"], partitions=2)
+    groups = [pq.ParquetFile(f).metadata for f in (tmp_path / "topic" / "log").rglob("part-*.parquet")]
+    assert max(m.row_group(i).num_rows for m in groups for i in range(m.num_row_groups)) <= 10
+    assert sum(m.num_rows for m in groups) == 300
+
+
+def test_micro_batches_are_dealt_to_all_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(topic, "ROWS_PER_RANGE", 10)
+    topic.publish(spark.range(300), f"{tmp_path}/topic", ["id"])
+    reader = topic.TopicReader({"path": f"{tmp_path}/topic", "minpartitions": "8"})
+    runs = reader.partitions({"0": 10}, {"0": 100, "1": 100, "2": 50})
+    read = [[(p, o) for b in reader.read(r) for p, o in zip(b["partition"].to_pylist(), b["offset"].to_pylist(), strict=True)] for r in runs]
+    assert len(runs) == 8 and {len(r) for r in read} == {30}
+    assert sorted(x for r in read for x in r) == [(p, o) for p, lo, hi in ((0, 10, 100), (1, 0, 100), (2, 0, 50)) for o in range(lo, hi)]
+
+
+def test_runs_of_a_micro_batch(monkeypatch):
+    monkeypatch.setattr(topic, "ROWS_PER_RANGE", 10)
+    monkeypatch.setattr(topic, "ROWS_PER_TASK", 40)
+    assert topic.cut({}, {"0": 3, "1": 4}, 8) == [[("0", 0, 3), ("1", 0, 4)]]  # few rows: one task
+    assert topic.cut({"0": 5}, {"0": 5, "1": 0}, 8) == [] and topic.cut({}, {}, 8) == []
+    assert topic.cut({"0": 2}, {"0": 22, "1": 20}, 2) == [[("0", 2, 22)], [("1", 0, 20)]]
+    assert topic.cut({}, {"0": 100}, 1) == [[("0", 0, 33)], [("0", 33, 66)], [("0", 66, 100)]]  # long ones are cut
+
+
 def test_json_is_written_compressed_in_short_files(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(loading, "JSON_ROWS_PER_FILE", 100)
     rows = spark.range(250).select(F.col("id"), F.lit("a text that repeats").alias("text")).repartition(1)
